@@ -170,3 +170,273 @@ def q_batch_features(spark, sf_dir):
 
 
 __all__ = ["REGISTRY", "query", "gold", "alerts", "rec", "disc", "quality"]
+
+
+# --- Bronze / Silver ----------------------------------------------------
+from ledgerline.operators import contract as ct  # noqa: E402
+from ledgerline.operators import incremental as inc  # noqa: E402
+from ledgerline.runtime import scratch_path  # noqa: E402
+from ledgerline.schemas import RAW_EVENT  # noqa: E402
+from ledgerline.sinks import writers  # noqa: E402
+from ledgerline.sources import scans  # noqa: E402
+from ledgerline.streaming import envelope as envl  # noqa: E402
+from ledgerline.functions import pan  # noqa: E402
+from ledgerline.sources.tables import table  # noqa: E402
+
+BATCH_ID = "20240131020000"
+SOURCE_FILE = "landing/transactions"
+
+
+def bronze_split(spark, sf_dir):
+    return ingest.ingest_bronze(fx.txn_raw(spark, sf_dir), TEST_SALT, batch_id=BATCH_ID,
+                                source_file=SOURCE_FILE)
+
+
+def bronze(spark, sf_dir):
+    return bronze_split(spark, sf_dir)[0]
+
+
+@query("bronze_ingest")
+def q_bronze(spark, sf_dir):
+    return bronze(spark, sf_dir)
+
+
+@query("bronze_quarantine")
+def q_quarantine(spark, sf_dir):
+    return bronze_split(spark, sf_dir)[1]
+
+
+@query("dq_flags")
+def q_dq_flags(spark, sf_dir):
+    return quality.with_dq_flags(bronze(spark, sf_dir))
+
+
+@query("dq_clean")
+def q_dq_clean(spark, sf_dir):
+    return quality.split_clean(bronze(spark, sf_dir))[0]
+
+
+@query("dq_rejected")
+def q_dq_rejected(spark, sf_dir):
+    return quality.split_clean(bronze(spark, sf_dir))[1]
+
+
+@query("dedup_latest")
+def q_dedup(spark, sf_dir):
+    return quality.dedup_latest(quality.split_clean(bronze(spark, sf_dir))[0])
+
+
+@query("dq_orphan_accounts")
+def q_orphans(spark, sf_dir):
+    return quality.orphan_accounts(bronze(spark, sf_dir), fx.dim_account(spark, sf_dir))
+
+
+@query("geo_mismatch")
+def q_geo_mismatch(spark, sf_dir):
+    return en.geo_mismatch(bronze(spark, sf_dir), fx.dim_account(spark, sf_dir))
+
+
+def silver_tables(spark, sf_dir):
+    mcc, geo = _dims(spark)
+    return medallion.silver(bronze(spark, sf_dir), mcc, geo)
+
+
+@query("silver_transactions")
+def q_silver(spark, sf_dir):
+    return silver_tables(spark, sf_dir)[0]
+
+
+@query("gold_from_silver")
+def q_gold_from_silver(spark, sf_dir):
+    return medallion.gold_from_silver(silver_tables(spark, sf_dir)[0])
+
+
+@query("run_metrics")
+def q_run_metrics(spark, sf_dir):
+    raw_all = ingest.ingest_bronze(fx.txn_raw(spark, sf_dir), TEST_SALT, batch_id=BATCH_ID,
+                                   source_file=SOURCE_FILE)
+    everything = quality.with_dq_flags(raw_all[0].unionByName(raw_all[1]))
+    g = medallion.gold_from_silver(silver_tables(spark, sf_dir)[0])
+    return quality.run_metrics(everything, g)
+
+
+@query("dq_gate")
+def q_dq_gate(spark, sf_dir):
+    from ledgerline.functions.timefn import days_before
+    return quality.dq_gate(gold(spark, sf_dir), reconcile.recon_summary(rec(spark, sf_dir)),
+                           days_before(AS_OF, 1))
+
+
+@query("trailing_30d_outliers")
+def q_trailing(spark, sf_dir):
+    return scoring.trailing_outliers(fx.txn(spark, sf_dir)).select(
+        "transaction_id", "account_id", "amount", "prior_txn_count", "trailing_avg",
+        "trailing_std", "trailing_outlier_flag")
+
+
+# --- scans and sinks (write to the shared folder, read back) ------------
+JSON_BAD_EVERY = 211
+
+
+@query("scan_json_raw")
+def q_scan_json(spark, sf_dir):
+    raw = fx.txn_raw(spark, sf_dir)
+    text = envl.event_json(raw, RAW_EVENT.names)
+    bad = F.pmod(F.col("event_id"), F.lit(JSON_BAD_EVERY)) == 0
+    lines = raw.select(F.when(bad, F.substring(text, 1, 30)).otherwise(text).alias("value"))
+    path = scratch_path(spark, "landing-json")
+    lines.write.mode("overwrite").text(path)
+    df = scans.scan_json(spark, path)
+    return df.withColumn("is_corrupt", F.col("_corrupt_record").isNotNull()).drop("_corrupt_record")
+
+
+@query("sink_partitioned_roundtrip")
+def q_sink_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "gold")
+    writers.write_partitioned(gold(spark, sf_dir), path, ["txn_date", "region"], mode="overwrite")
+    return scans.scan_partitioned(spark, path)
+
+
+@query("scan_partitioned")
+def q_scan_partitioned(spark, sf_dir):
+    path = scratch_path(spark, "bronze")
+    writers.write_partitioned(bronze(spark, sf_dir), path, ["ingest_date", "region"], mode="append")
+    return scans.scan_partitioned(spark, path).filter(F.col("ingest_date") >= F.lit(dt.date(2024, 1, 15)))
+
+
+@query("scan_merge_schema")
+def q_scan_merge(spark, sf_dir):
+    b = fx.batch(spark, sf_dir).drop("txn_date")
+    path = scratch_path(spark, "extract")
+    old = b.filter(F.col("transaction_ts") < F.lit(dt.datetime(2024, 1, 16))).drop("fx_rate_to_usd", "device_id")
+    new = b.filter(F.col("transaction_ts") >= F.lit(dt.datetime(2024, 1, 16)))
+    old.write.mode("overwrite").parquet(f"{path}/part=old")
+    new.write.mode("overwrite").parquet(f"{path}/part=new")
+    return scans.scan_merge_schema(spark, path).drop("part")
+
+
+# --- incremental extract, upsert, history -------------------------------
+SNAPSHOT_END = dt.date(2024, 1, 24)
+
+
+def source_v1(spark, sf_dir):
+    """The extract as it was after day 24."""
+    return fx.batch(spark, sf_dir).filter(F.col("txn_date") <= F.lit(SNAPSHOT_END))
+
+
+def source_v2(spark, sf_dir):
+    """Today's extract: every row, plus re-delivered corrections of some rows."""
+    b = fx.batch(spark, sf_dir)
+    fixes = (b.filter(F.pmod("event_id", F.lit(17)) == 0)
+             .withColumn("amount", (F.col("amount") + 5).cast("decimal(18,2)"))
+             .withColumn("updated_at", F.col("updated_at") + F.make_dt_interval(days=F.lit(7))))
+    return b.unionByName(fixes)
+
+
+def watermarks_after_v1(spark, sf_dir):
+    v1 = source_v1(spark, sf_dir)
+    others = spark.createDataFrame(
+        [("card_network_feed", dt.datetime(2024, 1, 29), dt.datetime(2024, 1, 29, 3))],
+        "source_system string, last_processed_ts timestamp_ntz, updated_at timestamp_ntz")
+    return inc.advance_watermark(spark, others, "core_banking_extract", v1,
+                                 dt.datetime(2024, 1, 25, 2, 0))
+
+
+def extract_v2(spark, sf_dir):
+    wm = watermarks_after_v1(spark, sf_dir)
+    mark = inc.watermark_value(wm, "core_banking_extract")
+    return inc.extract_incremental(source_v2(spark, sf_dir), mark), wm
+
+
+@query("incremental_extract")
+def q_inc_extract(spark, sf_dir):
+    return extract_v2(spark, sf_dir)[0]
+
+
+@query("incremental_watermark")
+def q_inc_watermark(spark, sf_dir):
+    ext, wm = extract_v2(spark, sf_dir)
+    return inc.advance_watermark(spark, wm, "core_banking_extract", ext, RUN_TS)
+
+
+@query("upsert_merge")
+def q_upsert(spark, sf_dir):
+    ext, _ = extract_v2(spark, sf_dir)
+    return inc.merge_frames(source_v1(spark, sf_dir), ext)
+
+
+@query("incremental_run")
+def q_inc_run(spark, sf_dir):
+    target = scratch_path(spark, "silver-extract")
+    inc.upsert(spark, target, source_v1(spark, sf_dir), "txn_date", exists=False)
+    ext, _ = extract_v2(spark, sf_dir)
+    inc.upsert(spark, target, ext, "txn_date")
+    inc.upsert(spark, target, ext, "txn_date")  # replay: no change
+    return spark.read.parquet(target)
+
+
+@query("history_as_of")
+def q_history(spark, sf_dir):
+    versions = bronze(spark, sf_dir).withColumn("valid_from", F.col("ingest_ts"))
+    return inc.as_of(versions, dt.datetime(2024, 1, 15, 12, 0))
+
+
+# --- contracts ------------------------------------------------------------
+def canonical_schema():
+    from pyspark.sql import types as T
+    return T.StructType(RAW_EVENT.fields + [T.StructField("wallet_provider", T.StringType())])
+
+
+@query("contract_conformance")
+def q_contract(spark, sf_dir):
+    return ct.conformance(spark, fx.txn_raw(spark, sf_dir))
+
+
+@query("align_schema")
+def q_align(spark, sf_dir):
+    return ct.align_schema(fx.txn_raw(spark, sf_dir), canonical_schema())
+
+
+# --- stream operators, batch twins ---------------------------------------
+CORRUPT_B64_EVERY = 89
+BAD_JSON_EVERY = 83
+
+
+def envelopes(spark, sf_dir):
+    """Envelopes built from the landing data, with undecodable records."""
+    raw = fx.txn_raw(spark, sf_dir)
+    text = envl.event_json(raw, RAW_EVENT.names)
+    eid = F.col("event_id")
+    data = (F.when(F.pmod(eid, F.lit(CORRUPT_B64_EVERY)) == 0, F.concat(F.lit("corrupt!"), eid.cast("string")))
+            .when(F.pmod(eid, F.lit(BAD_JSON_EVERY)) == 0, envl.b64(F.substring(text, 1, 25)))
+            .otherwise(envl.b64(text)))
+    return raw.select(data.alias("data"), F.col("account_id").alias("partition_key"))
+
+
+@query("stream_decode")
+def q_stream_decode(spark, sf_dir):
+    return envl.decode_envelope(envelopes(spark, sf_dir))
+
+
+@query("stream_redact")
+def q_stream_redact(spark, sf_dir):
+    d = envl.decode_envelope(envelopes(spark, sf_dir))
+    return envl.redact(d.filter(~F.col("decode_error")))
+
+
+@query("stream_valid")
+def q_stream_valid(spark, sf_dir):
+    return envl.route(envl.decode_envelope(envelopes(spark, sf_dir)))[0]
+
+
+@query("stream_dead_letter")
+def q_stream_dead(spark, sf_dir):
+    return envl.route(envl.decode_envelope(envelopes(spark, sf_dir)))[1]
+
+
+# --- free-text redaction -------------------------------------------------
+@query("redact_free_text")
+def q_redact_text(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.select("doc_id", pan.count_pan_runs(F.col("text")).alias("pan_runs"),
+                    pan.redact_text(F.col("text")).alias("text_redacted"))

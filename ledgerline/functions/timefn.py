@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+_EPOCH = dt.datetime(1970, 1, 1)
 
 
 def epoch_seconds(ts: Column | str) -> Column:
@@ -17,7 +17,7 @@ def epoch_seconds(ts: Column | str) -> Column:
     ``timestamp`` first (which applies the session zone).
     """
     col = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("SECOND", _EPOCH, col.cast("timestamp_ntz"))
+    return F.timestamp_diff("SECOND", F.lit(_EPOCH).cast("timestamp_ntz"), col.cast("timestamp_ntz"))
 
 
 def days_before(day: dt.date, n: int) -> dt.date:

@@ -34,14 +34,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_BOUND_CACHE: dict[tuple, int] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows.  Beyond the bound the
     frame is returned unchanged and the planner picks a shuffle join (AQE
-    can still convert it at run time from real sizes).
+    can still convert it at run time from real sizes).  The proven count is
+    remembered per (plan, input files), so a dimension read by many jobs of
+    one session is checked once and re-checked when its files change.
     """
-    n = df.limit(max_rows + 1).count()
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    n = _BOUND_CACHE.get(key)
+    if n is None:
+        n = df.limit(max_rows + 1).count()
+        _BOUND_CACHE[key] = n
     return F.broadcast(df) if n <= max_rows else df
 
 

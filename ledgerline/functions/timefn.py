@@ -11,13 +11,16 @@ _EPOCH = dt.datetime(1970, 1, 1)
 
 
 def epoch_seconds(ts: Column | str) -> Column:
-    """Whole seconds since 1970-01-01 of a TIMESTAMP_NTZ (or TIMESTAMP) column.
+    """Whole seconds since 1970-01-01 00:00:00 of a TIMESTAMP_NTZ column.
 
-    ``timestamp_diff`` on NTZ values is zone-free, unlike casting to
-    ``timestamp`` first (which applies the session zone).
+    Built from calendar fields, which are zone-free on NTZ values; casting
+    to TIMESTAMP first would apply the session zone (and its DST jumps).
+    For TIMESTAMP (with zone) columns use ``F.unix_seconds``.
     """
     col = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("SECOND", F.lit(_EPOCH).cast("timestamp_ntz"), col.cast("timestamp_ntz"))
+    days = F.datediff(F.to_date(col), F.lit(_EPOCH.date())).cast("long")
+    return (days * 86400 + F.hour(col).cast("long") * 3600 + F.minute(col).cast("long") * 60
+            + F.second(col).cast("long"))
 
 
 def days_before(day: dt.date, n: int) -> dt.date:

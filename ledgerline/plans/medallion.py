@@ -26,17 +26,16 @@ def score_transactions(df: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame,
                        params: RiskParams = RiskParams()) -> DataFrame:
     """Velocity, enrichment, outlier and score for event rows in one pass.
 
-    All per-account work runs on the per-second pre-aggregate: the rolling
-    window (cell-partitioned) and the account statistics (a second
-    aggregation of the same pre-aggregate).  The rows themselves are
-    shuffled once, for the join on (account, second); the dimensions are
-    broadcast after a size check.
+    Per-account work runs on partial (map-side combined) aggregates: the
+    rolling window on the per-second pre-aggregate (cell-partitioned) and
+    the account statistics.  The two small results are joined on account,
+    and the rows themselves are shuffled once, for the join on (account,
+    second); the dimensions are broadcast after a size check.
     """
-    ps = per_second(df)
-    tr = trailing(ps, params.velocity_window_s, ["n_id", "s_amt"])
-    acct = ps.groupBy("account_id").agg(
-        F.sum("n_amt").alias("a_n"), F.sum("s_amt").alias("a_s"), F.sum("s_sq").alias("a_sq"))
-    acct = acct.withColumnRenamed("account_id", "_acct")
+    tr = trailing(per_second(df), params.velocity_window_s, ["n_id", "s_amt"])
+    acct = scoring.account_stats(df).select(
+        F.col("account_id").alias("_acct"), F.col("n_amt").alias("a_n"),
+        F.col("s_amt").alias("a_s"), F.col("s_sq").alias("a_sq"))
     stats = tr.join(acct, tr["account_id"].eqNullSafe(acct["_acct"]), "left").drop("_acct")
     rows = velocity_columns(attach(df, stats), params)
     rows = rows.withColumn("amount_outlier_flag", scoring.outlier_test(

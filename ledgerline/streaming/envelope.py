@@ -23,31 +23,23 @@ SCHEMA_VALIDATION_FAILED = "SCHEMA_VALIDATION_FAILED"
 _EVENT_FIELDS = [f.name for f in schemas.RAW_EVENT.fields]
 
 
-def _json_str(s: Column) -> Column:
-    esc = F.regexp_replace(F.regexp_replace(s, r"\\", r"\\\\"), '"', '\\\\"')
-    return F.concat(F.lit('"'), esc, F.lit('"'))
-
-
 def event_json(df: DataFrame, fields: Sequence[str] = tuple(_EVENT_FIELDS)) -> Column:
     """Canonical JSON text of an event: fixed key order, NULL keys omitted,
-    decimals as plain numbers, timestamps ISO-8601 with microseconds."""
+    decimals as plain numbers, timestamps ISO-8601 with microseconds.
+
+    One native ``to_json`` (escaping included); timestamps are formatted
+    first so the text does not depend on JSON writer options.
+    """
     types = {f.name: f.dataType.typeName() for f in df.schema.fields}
-    pieces = []
+    cols = []
     for name in fields:
         if name not in types:
             continue
         c = F.col(name)
-        t = types[name]
-        if t in ("timestamp_ntz", "timestamp"):
-            val = _json_str(F.date_format(c, JSON_TS))
-        elif t in ("decimal", "double", "float", "long", "integer", "short", "byte"):
-            val = c.cast("string")
-        elif t == "boolean":
-            val = F.when(c, F.lit("true")).otherwise(F.lit("false"))
-        else:
-            val = _json_str(c.cast("string"))
-        pieces.append(F.when(c.isNotNull(), F.concat(F.lit(f'"{name}":'), val)))
-    return F.concat(F.lit("{"), F.concat_ws(",", *pieces), F.lit("}"))
+        if types[name] in ("timestamp_ntz", "timestamp"):
+            c = F.date_format(c, JSON_TS)
+        cols.append(c.alias(name))
+    return F.to_json(F.struct(*cols))
 
 
 def b64(text: Column) -> Column:
@@ -61,12 +53,20 @@ def encode_envelope(df: DataFrame) -> DataFrame:
 
 
 def decode_envelope(env: DataFrame) -> DataFrame:
-    """base64 -> UTF-8 JSON -> typed event; undecodable rows are marked."""
+    """base64 -> UTF-8 JSON -> typed event; undecodable rows are marked.
+
+    The parse runs inside a one-row ``inline`` generator.  Filters on the
+    decoded fields (routing) then stay above the generator, so each payload
+    is decoded and parsed exactly once per row; with a plain projection the
+    optimizer would substitute the parse into every pushed-down predicate.
+    """
     payload = F.try_to_binary(F.col("data"), F.lit("base64")).cast("string")
-    d = env.withColumn("payload", payload)
-    parsed = F.from_json("payload", schemas.RAW_EVENT, {"timestampNTZFormat": JSON_TS})
-    d = d.withColumn("_e", parsed).withColumn("_keys", F.json_object_keys("payload"))
-    bad = F.col("_keys").isNull()
+    d = env.select("partition_key", "data", payload.alias("payload"))
+    parsed = F.struct(
+        F.json_object_keys("payload").isNull().alias("decode_error"),
+        F.from_json("payload", schemas.RAW_EVENT, {"timestampNTZFormat": JSON_TS}).alias("_e"))
+    d = d.select("partition_key", "data", F.inline(F.array(parsed)))
+    bad = F.col("decode_error")
     return d.select(
         "partition_key",
         F.sha2(F.col("data"), 256).alias("payload_sha256"),

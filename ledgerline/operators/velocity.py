@@ -7,10 +7,11 @@ single partition.  Instead:
 1. pre-aggregate rows per (account, epoch second) — map-side partial
    aggregation, so the shuffle carries at most one row per second per
    account and map task;
-2. cut time into cells as wide as the window; each per-second row is
-   emitted for its own cell and (as context) for the next cell, and the
-   window runs per (account, cell), so a partition never holds more than
-   two windows' worth of distinct seconds;
+2. cut time into cells at least as wide as the window; each per-second
+   row is emitted for its own cell and, if it lies within one window of the
+   next cell's start, as context for that cell too; the window runs per
+   (account, cell), so a partition never holds more than cell + window
+   distinct seconds of one account;
 3. join the per-second results back to the rows on (account, second).
 
 The result equals ``RANGE BETWEEN window PRECEDING AND CURRENT ROW`` over
@@ -46,20 +47,35 @@ def per_second(df: DataFrame, ts_col: str = "transaction_ts", key: str = "accoun
                  F.sum(c * c).alias("s_sq")))
 
 
+def default_cell(window_s: int) -> int:
+    """Cell width for a window: wide enough that few rows are copied as
+    context (only those within one window of the next cell), narrow enough
+    that a partition holds at most cell + window seconds of one account."""
+    return max(int(window_s), min(12 * int(window_s), 7 * 86400))
+
+
 def trailing(per_sec: DataFrame, window_s: int, value_cols: Sequence[str],
-             exclude_current: bool = False, key: str = "account_id") -> DataFrame:
+             exclude_current: bool = False, key: str = "account_id",
+             cell_s: int | None = None) -> DataFrame:
     """Sums of ``value_cols`` over seconds in [sec - window_s, sec - e].
 
-    ``e`` is 0, or 1 with ``exclude_current``.  Output: key, sec and one
-    ``<col>_w`` column per input column.
+    ``e`` is 0, or 1 with ``exclude_current``.  Time is cut into cells of
+    ``cell_s`` (>= window) seconds; each per-second row belongs to its cell
+    and, when it lies within one window of the next cell's start, is also
+    copied there as context.  Output: key, sec and one ``<col>_w`` column
+    per input column.
     """
     width = int(window_s)
+    cell_w = int(cell_s or default_cell(width))
+    if cell_w < width:
+        raise ValueError("cell width must be at least the window length")
     sec = F.col(SEC)
-    cell = F.floor(sec / F.lit(width)).cast("long")
+    cell = F.floor(sec / F.lit(cell_w)).cast("long")
     own = F.struct(cell.alias("cell"), F.lit(True).alias("own"))
     ctx = F.struct((cell + 1).alias("cell"), F.lit(False).alias("own"))
-    spread = per_sec.withColumn(
-        "_c", F.explode(F.when(sec.isNull(), F.array(own)).otherwise(F.array(own, ctx))))
+    needed_next = sec >= (cell + 1) * F.lit(cell_w) - F.lit(width)
+    spread = per_sec.withColumn("_c", F.explode(
+        F.when(sec.isNotNull() & needed_next, F.array(own, ctx)).otherwise(F.array(own))))
     hi = -1 if exclude_current else 0
     w = (Window.partitionBy(key, F.col("_c.cell")).orderBy(sec)
          .rangeBetween(-width, hi))
@@ -88,10 +104,11 @@ def velocity_columns(df: DataFrame, params: RiskParams) -> DataFrame:
             .drop("n_id_w", "s_amt_w"))
 
 
-def velocity_signals(df: DataFrame, params: RiskParams = RiskParams()) -> DataFrame:
+def velocity_signals(df: DataFrame, params: RiskParams = RiskParams(),
+                     cell_s: int | None = None) -> DataFrame:
     """Rolling count and sum per account plus the velocity flag."""
     ps = per_second(df)
-    tr = trailing(ps, params.velocity_window_s, ["n_id", "s_amt"])
+    tr = trailing(ps, params.velocity_window_s, ["n_id", "s_amt"], cell_s=cell_s)
     return velocity_columns(attach(df, tr), params)
 
 

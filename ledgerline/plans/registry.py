@@ -66,6 +66,12 @@ def q_velocity(spark, sf_dir):
     return velocity_signals(fx.txn(spark, sf_dir))
 
 
+@query("velocity_signals_bucketed")
+def q_velocity_bucketed(spark, sf_dir):
+    # finest split: cells as wide as the window (every row also copied as context)
+    return velocity_signals(fx.txn(spark, sf_dir), cell_s=RiskParams().velocity_window_s)
+
+
 @query("velocity_signals_day")
 def q_velocity_day(spark, sf_dir):
     return velocity_signals(fx.txn(spark, sf_dir), RiskParams(velocity_window_s=86400))

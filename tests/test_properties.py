@@ -30,11 +30,13 @@ def frame(spark, evs):
 
 
 @SETTINGS
-@given(st.lists(event, min_size=1, max_size=40), st.sampled_from([60, 300, 1000]))
-def test_velocity_equals_brute_force(spark, evs, window):
+@given(st.lists(event, min_size=1, max_size=40), st.sampled_from([60, 300, 1000]),
+       st.sampled_from([None, 1, 7]))
+def test_velocity_equals_brute_force(spark, evs, window, cell_factor):
     df, data = frame(spark, evs)
+    cell = None if cell_factor is None else window * cell_factor
     got = {r.transaction_id: (r.txn_count_5min, r.txn_sum_5min)
-           for r in velocity_signals(df, RiskParams(velocity_window_s=window)).collect()}
+           for r in velocity_signals(df, RiskParams(velocity_window_s=window), cell_s=cell).collect()}
     sec = lambda ts: int((ts - dt.datetime(1970, 1, 1)).total_seconds() // 1)
     for tid, acct, amt, ts in data:
         peers = [a for (_, ac, a, t) in data if ac == acct and sec(ts) - window <= sec(t) <= sec(ts)]

@@ -108,11 +108,16 @@ def discrepancy_audit(disc: DataFrame, as_of: dt.date, days: int = 1) -> DataFra
 
 
 def recon_accuracy(gold: DataFrame, disc: DataFrame, as_of: dt.date) -> DataFrame:
-    """K6: yesterday's accuracy; the denominator is all transactions of the day."""
+    """K6: yesterday's accuracy; the denominator is all transactions of the day.
+
+    Both counts come from one aggregation over a tagged union of the two
+    day slices (no join of the scalar results).
+    """
     day = days_before(as_of, 1)
-    t = gold.filter(F.col("txn_date") == F.lit(day)).agg(F.count(F.lit(1)).alias("total_txns"))
-    m = disc.filter(F.col("txn_date") == F.lit(day)).agg(F.count(F.lit(1)).alias("mismatch_count"))
-    j = t.crossJoin(m)
+    t = gold.filter(F.col("txn_date") == F.lit(day)).select(F.lit(True).alias("_gold"))
+    m = disc.filter(F.col("txn_date") == F.lit(day)).select(F.lit(False).alias("_gold"))
+    j = t.unionByName(m).agg(F.count_if(F.col("_gold")).alias("total_txns"),
+                             F.count_if(~F.col("_gold")).alias("mismatch_count"))
     return j.withColumn("reconciliation_accuracy_pct", round_ratio(
         F.col("total_txns") - F.col("mismatch_count"), F.col("total_txns"), 2, factor=100))
 

@@ -47,19 +47,31 @@ def orphan_accounts(df: DataFrame, dim_account: DataFrame) -> DataFrame:
     return df.filter(F.col("account_id").isNotNull()).join(known, "account_id", "left_anti")
 
 
-def dq_gate(gold: DataFrame, recon_summary: DataFrame, day: dt.date,
+def dq_gate(gold: DataFrame, rec: DataFrame, day: dt.date,
             params: DqParams = DqParams()) -> DataFrame:
-    """One decision row for ``day``: metrics plus one boolean per threshold."""
-    m = gold.filter(F.col("txn_date") == F.lit(day)).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.col("transaction_id").isNull()).alias("null_ids"),
-    )
-    r = recon_summary.select(F.col("accuracy_pct").alias("recon_accuracy_pct"))
-    out = m.crossJoin(r).select(
+    """One decision row for ``day``: metrics plus one boolean per threshold.
+
+    ``rec`` is the reconciliation of the run (one row per key with its
+    ``discrepancy_type``).  All metrics come from a single aggregation over
+    a tagged union of the two inputs.
+    """
+    g = gold.filter(F.col("txn_date") == F.lit(day)).select(
+        F.lit("g").alias("_src"), F.col("transaction_id").isNull().alias("_null_id"),
+        F.lit(False).alias("_match"))
+    r = rec.select(F.lit("r").alias("_src"), F.lit(False).alias("_null_id"),
+                   (F.col("discrepancy_type") == "MATCH").alias("_match"))
+    src = F.col("_src")
+    m = g.unionByName(r).agg(
+        F.count_if(src == "g").alias("row_count"),
+        F.count_if((src == "g") & F.col("_null_id")).alias("null_ids"),
+        F.count_if(src == "r").alias("_rec_total"),
+        F.count_if((src == "r") & F.col("_match")).alias("_rec_match"))
+    out = m.select(
         F.lit(day).alias("gate_date"),
         "row_count", "null_ids",
         round_ratio(F.col("null_ids"), F.col("row_count"), 3, factor=100).alias("null_rate_pct"),
-        "recon_accuracy_pct",
+        F.coalesce(round_ratio(F.col("_rec_match"), F.col("_rec_total"), 2, factor=100),
+                   F.lit(0.0)).alias("recon_accuracy_pct"),
     )
     out = out.select(
         "*",
@@ -70,16 +82,21 @@ def dq_gate(gold: DataFrame, recon_summary: DataFrame, day: dt.date,
     return out.withColumn("passed", F.col("rows_ok") & F.col("nulls_ok") & F.col("recon_ok"))
 
 
-def run_metrics(bronze_all: DataFrame, silver: DataFrame, alerts_col: str = "fraud_alert") -> DataFrame:
-    """Accepted / rejected / quarantined / alert counts in one pass over each input."""
-    b = bronze_all.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(F.col("transaction_id").isNull()).alias("quarantined"),
-        F.count_if(F.col("transaction_id").isNotNull() & (F.size("dq_flags") > 0)).alias("rejected"),
-        F.count_if(F.col("transaction_id").isNotNull() & (F.size("dq_flags") == 0)).alias("accepted_before_dedup"),
-    )
-    s = silver.agg(
-        F.count(F.lit(1)).alias("silver_rows"),
-        F.count_if(F.col(alerts_col)).alias("alerts"),
-    )
-    return b.crossJoin(s)
+def run_metrics(bronze_all: DataFrame, gold: DataFrame, alerts_col: str = "fraud_alert") -> DataFrame:
+    """Raw / quarantined / rejected / accepted / Gold / alert counts in one
+    aggregation over a tagged union of the landing rows and the Gold rows."""
+    n = F.size(F.col("dq_flags"))
+    has_id = F.col("transaction_id").isNotNull()
+    b = bronze_all.select(F.lit(True).alias("_raw"), (~has_id).alias("_q"),
+                          (has_id & (n > 0)).alias("_rej"), (has_id & (n == 0)).alias("_acc"),
+                          F.lit(False).alias("_alert"))
+    g = gold.select(F.lit(False).alias("_raw"), F.lit(False).alias("_q"), F.lit(False).alias("_rej"),
+                    F.lit(False).alias("_acc"), F.coalesce(F.col(alerts_col), F.lit(False)).alias("_alert"))
+    raw = F.col("_raw")
+    return b.unionByName(g).agg(
+        F.count_if(raw).alias("raw_rows"),
+        F.count_if(F.col("_q")).alias("quarantined"),
+        F.count_if(F.col("_rej")).alias("rejected"),
+        F.count_if(F.col("_acc")).alias("accepted_before_dedup"),
+        F.count_if(~raw).alias("silver_rows"),
+        F.count_if(F.col("_alert")).alias("alerts"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import round_ratio
+from ledgerline.operators.quality import dedup_latest
 from ledgerline.params import RECON_TOLERANCE
 
 # Fixed discrepancy labels.
@@ -19,7 +20,16 @@ MISSING_IN_STREAM = "MISSING_IN_STREAM"
 
 
 def _side(df: DataFrame, tag: str) -> DataFrame:
-    return df.filter(F.col("transaction_id").isNotNull()).select(
+    """Non-null keys, one row per key (latest version).
+
+    Inputs are normally unique per key already; the dedup is a guard that
+    costs no extra exchange (the join reuses its hash partitioning on the
+    key) and, pre-limited on the map side, keeps a mass of copies of one key
+    away from a single reducer, which a full outer join could not split.
+    """
+    order = [c for c in ("updated_at", "ingest_ts") if c in df.columns]
+    df = dedup_latest(df.filter(F.col("transaction_id").isNotNull()), ("transaction_id",), order)
+    return df.select(
         "transaction_id",
         F.col("amount").alias(f"{tag}_amount"),
         F.to_date("transaction_ts").alias(f"_{tag}_date"),
@@ -32,7 +42,8 @@ def reconcile(stream: DataFrame, batch: DataFrame, tolerance: str = RECON_TOLERA
     Null keys never match anything and are expected to be quarantined
     upstream; they are excluded here.  Columns are renamed before the join
     so nothing is ambiguous, and presence markers decide which side is
-    missing.  Physical plan: one shuffle per side, sort-merge full outer.
+    missing.  Physical plan: one shuffle per side (shared by the per-key
+    dedup and the join), sort-merge full outer.
     """
     s, b = _side(stream, "stream"), _side(batch, "batch")
     j = s.join(b, "transaction_id", "full_outer")

@@ -269,8 +269,7 @@ def q_run_metrics(spark, sf_dir):
 @query("dq_gate")
 def q_dq_gate(spark, sf_dir):
     from ledgerline.functions.timefn import days_before
-    return quality.dq_gate(gold(spark, sf_dir), reconcile.recon_summary(rec(spark, sf_dir)),
-                           days_before(AS_OF, 1))
+    return quality.dq_gate(gold(spark, sf_dir), rec(spark, sf_dir), days_before(AS_OF, 1))
 
 
 @query("trailing_30d_outliers")

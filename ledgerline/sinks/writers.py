@@ -41,7 +41,7 @@ def publish_partitions(spark: SparkSession, df: DataFrame, path: str, by: Sequen
     """
     stage = scratch_path(spark, "stage")
     obs = Observation("staged")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", *by).write.mode("overwrite") \
         .partitionBy(*by).parquet(stage)
     staged = spark.read.parquet(stage)
     n = staged.count()

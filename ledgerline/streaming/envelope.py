@@ -89,12 +89,26 @@ def flag_required(df: DataFrame, required: Sequence[str] = STREAM_REQUIRED) -> D
     return df.withColumn("missing_fields", missing).withColumn("reason", reason)
 
 
-def route(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Decode -> redact -> validate -> (valid, dead letter) from one plan."""
+VALID_COLUMNS = ["partition_key", "payload_sha256", *_EVENT_FIELDS, "redacted"]
+DEAD_COLUMNS = ["partition_key", "reason", "missing_fields", "payload_sha256", "event_redacted"]
+
+
+def routed(decoded: DataFrame) -> DataFrame:
+    """Decode -> redact -> validate in one projection, with a ``route``
+    column (``valid`` / ``dead``) so one write can serve both sinks."""
     checked = flag_required(redact(decoded))
-    valid = checked.filter(F.col("reason").isNull()).drop("reason", "missing_fields", "decode_error")
-    dead = checked.filter(F.col("reason").isNotNull())
-    dead = dead.select(
-        "partition_key", "reason", "missing_fields", "payload_sha256",
-        F.when(~F.col("decode_error"), event_json(dead)).alias("event_redacted"))
-    return valid, dead
+    return checked.select(
+        *checked.columns,
+        F.when(F.col("reason").isNull(), F.lit("valid")).otherwise(F.lit("dead")).alias("route"),
+        F.when(F.col("reason").isNotNull() & ~F.col("decode_error"), event_json(checked))
+        .alias("event_redacted"))
+
+
+def split_routed(r: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return (r.filter(F.col("route") == "valid").select(*VALID_COLUMNS),
+            r.filter(F.col("route") == "dead").select(*DEAD_COLUMNS))
+
+
+def route(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid, dead letter) from one plan."""
+    return split_routed(routed(decoded))

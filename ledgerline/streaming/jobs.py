@@ -24,7 +24,7 @@ from ledgerline.functions.timefn import epoch_seconds
 from ledgerline.operators.kpis import _kpi_aggs, _with_rate
 from ledgerline.params import RiskParams
 from ledgerline.runtime import checkpoint_root
-from ledgerline.streaming.envelope import decode_envelope, route
+from ledgerline.streaming.envelope import decode_envelope, routed
 
 log = logging.getLogger(__name__)
 
@@ -44,33 +44,42 @@ def read_event_stream(spark: SparkSession, src_dir: str, max_files_per_trigger:
     return r.json(src_dir)
 
 
-def route_batch(valid_path: str, dead_path: str, failed_at: dt.datetime | None = None
+def route_batch(out_path: str, failed_at: dt.datetime | None = None
                 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body writing the two routed tables."""
+    """``foreachBatch`` body; one write job per micro-batch.
+
+    Rows land in ``out_path/batch_id=N/route=valid|dead``; overwrite of the
+    batch directory makes a replayed batch replace itself.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            valid, dead = route(batch)
-            stamp = F.lit(failed_at).cast("timestamp_ntz") if failed_at else F.localtimestamp()
-            valid.write.mode("overwrite").parquet(f"{valid_path}/batch_id={batch_id}")
-            (dead.withColumn("failed_at", stamp)
-             .write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}"))
-        finally:
-            batch.unpersist()
+        stamp = F.lit(failed_at).cast("timestamp_ntz") if failed_at else F.localtimestamp()
+        out = routed(batch).withColumn(
+            "failed_at", F.when(F.col("route") == "dead", stamp))
+        out.write.mode("overwrite").partitionBy("route").parquet(f"{out_path}/batch_id={batch_id}")
     return write
 
 
-def start_event_stream(spark: SparkSession, src_dir: str, valid_path: str, dead_path: str,
+def read_routed(spark: SparkSession, out_path: str) -> tuple[DataFrame, DataFrame]:
+    """(valid table, dead-letter table) of a routed stream output."""
+    from ledgerline.streaming.envelope import DEAD_COLUMNS, VALID_COLUMNS
+    r = spark.read.parquet(out_path)
+    return (r.filter(F.col("route") == "valid").select(*VALID_COLUMNS, "batch_id"),
+            r.filter(F.col("route") == "dead").select(*DEAD_COLUMNS, "failed_at", "batch_id"))
+
+
+def start_event_stream(spark: SparkSession, src_dir: str, out_path: str,
                        checkpoint: str | None = None, available_now: bool = True,
-                       failed_at: dt.datetime | None = None) -> StreamingQuery:
-    """One read, two sinks; batch counts observable in the progress."""
-    decoded = decode_envelope(read_event_stream(spark, src_dir))
+                       failed_at: dt.datetime | None = None,
+                       max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """One read, one routed write per micro-batch; counts observable
+    in the query progress (``observedMetrics['routing']``)."""
+    decoded = decode_envelope(read_event_stream(spark, src_dir, max_files_per_trigger))
     observed = decoded.observe(
         "routing",
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("decode_error")).alias("decode_failed"))
     ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/streams/events"
-    w = (observed.writeStream.foreachBatch(route_batch(valid_path, dead_path, failed_at))
+    w = (observed.writeStream.foreachBatch(route_batch(out_path, failed_at))
          .option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
     return w.start()

@@ -20,19 +20,20 @@ def rows(df, drop=()):
 
 
 def test_event_stream_routes_like_the_batch_twin_and_restarts(spark, tmp_path):
-    src, valid, dead = (str(tmp_path / x) for x in ("src", "valid", "dead"))
+    src, out = str(tmp_path / "src"), str(tmp_path / "routed")
     ckpt = str(tmp_path / "ckpt")
     env = envelopes(spark, SF_SMALL).withColumn("_h", F.abs(F.hash("data")) % 3)
     env.filter("_h = 0").drop("_h").write.mode("append").json(src)
     env.filter("_h = 1").drop("_h").write.mode("append").json(src)
-    q = jobs.start_event_stream(spark, src, valid, dead, checkpoint=ckpt, failed_at=RUN)
+    q = jobs.start_event_stream(spark, src, out, checkpoint=ckpt, failed_at=RUN)
     q.awaitTermination()
     assert q.lastProgress["observedMetrics"]["routing"]["events"] >= 0
     env.filter("_h = 2").drop("_h").write.mode("append").json(src)   # new arrivals
-    q = jobs.start_event_stream(spark, src, valid, dead, checkpoint=ckpt, failed_at=RUN)
+    q = jobs.start_event_stream(spark, src, out, checkpoint=ckpt, failed_at=RUN)
     q.awaitTermination()
-    got_valid = spark.read.parquet(valid).drop("batch_id")
-    got_dead = spark.read.parquet(dead).drop("batch_id", "failed_at")
+    got_valid, got_dead = jobs.read_routed(spark, out)
+    assert got_dead.filter(F.col("failed_at") != F.lit(RUN)).count() == 0
+    got_valid, got_dead = got_valid.drop("batch_id"), got_dead.drop("batch_id", "failed_at")
     assert rows(got_valid) == rows(q_stream_valid(spark, SF_SMALL))
     assert rows(got_dead) == rows(q_stream_dead(spark, SF_SMALL))
 
@@ -119,9 +120,9 @@ def test_latency_listener_records_slow_batches(spark, tmp_path):
     listener = jobs.LatencyListener(budget_ms=0)
     spark.streams.addListener(listener)
     try:
-        src, valid, dead = (str(tmp_path / x) for x in ("src", "valid", "dead"))
-        envelopes(spark, SF_SMALL).limit(50).write.json(src)
-        jobs.start_event_stream(spark, src, valid, dead, checkpoint=str(tmp_path / "ck")).awaitTermination()
+        src, out = str(tmp_path / "src"), str(tmp_path / "routed")
+        envelopes(spark, SF_SMALL).write.json(src)
+        jobs.start_event_stream(spark, src, out, checkpoint=str(tmp_path / "ck")).awaitTermination()
         import time
         for _ in range(50):
             if listener.slow:

@@ -66,3 +66,35 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def cluster_conf(input_bytes: int, executor_cores: int, executor_memory_gb: int,
+                 target_partition_mb: int = 256) -> dict[str, str]:
+    """Session settings sized for the data (set them when building the session).
+
+    * file splits of ``target_partition_mb`` so a scan task reads a bounded
+      slice whatever the table size;
+    * initial shuffle partitions = input / target, never below 2x the cores
+      of the cluster share; AQE then coalesces small ones and splits skewed
+      ones (skew join), and ``rebalance`` writes get advisory-sized files;
+    * the broadcast threshold stays at the reference's 50 MB; our own
+      dimension broadcasts are additionally bounded by row count.
+
+    With 4 GB per core and 256 MB partitions a task holds well under its
+    memory share, so sorts and aggregations spill rarely.
+    """
+    mb = 1024 * 1024
+    parts = max(2 * executor_cores, -(-int(input_bytes) // (target_partition_mb * mb)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_mb * mb),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_mb * mb),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.autoBroadcastJoinThreshold": str(50 * mb),
+        "spark.sql.parquet.compression.codec": "snappy",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.executor.cores": str(executor_cores),
+        "spark.executor.memory": f"{executor_memory_gb}g",
+    }

@@ -42,3 +42,13 @@ def test_reconcile_counts(spark):
 def test_day_window_velocity(spark):
     v = velocity_signals(fx.txn(spark, SF_SMALL), RiskParams(velocity_window_s=86400))
     assert v.filter(F.col("txn_count_5min") >= 5).count() == 173
+
+
+def test_high_risk_mcc_one_day_default(spark):
+    from ledgerline.operators import kpis
+    from ledgerline.params import AS_OF
+    from ledgerline.plans.registry import gold
+    # FIXTURES.md §4: the one-day report has 0 / 0 / 1 groups at sf0.001 / 0.01 / 0.1
+    assert kpis.high_risk_mcc(gold(spark, SF_SMALL), AS_OF, days=1).count() == 0
+    assert kpis.high_risk_mcc(gold(spark, "/root/testdata/sf0.1"), AS_OF, days=1).count() == 1
+    assert kpis.high_risk_mcc(gold(spark, SF_SMALL), AS_OF, days=30).count() == 42

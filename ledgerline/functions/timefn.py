@@ -25,3 +25,13 @@ def epoch_seconds(ts: Column | str) -> Column:
 
 def days_before(day: dt.date, n: int) -> dt.date:
     return day - dt.timedelta(days=n)
+
+
+def ts_literal(value: dt.datetime) -> Column:
+    """TIMESTAMP_NTZ literal of a naive wall-clock datetime.
+
+    ``F.lit(datetime)`` builds a zoned TIMESTAMP that shifts by the session
+    offset when compared with or cast to NTZ; casting the ISO text is
+    zone-free.
+    """
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

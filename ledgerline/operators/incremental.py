@@ -17,6 +17,7 @@ from ledgerline import schemas
 from ledgerline.operators.quality import dedup_latest
 from ledgerline.params import IncrementalParams
 from ledgerline.sinks.writers import publish_partitions
+from ledgerline.functions.timefn import ts_literal
 
 EPOCH = dt.datetime(1970, 1, 1)
 
@@ -39,7 +40,7 @@ def extract_incremental(src: DataFrame, mark: dt.datetime,
                         params: IncrementalParams = IncrementalParams()) -> DataFrame:
     """Rows with ``updated_at`` strictly after mark minus the grace period."""
     start = mark - dt.timedelta(minutes=params.grace_minutes)
-    return src.filter(F.col("updated_at") > F.lit(start).cast("timestamp_ntz"))
+    return src.filter(F.col("updated_at") > ts_literal(start))
 
 
 def advance_watermark(spark: SparkSession, wm: DataFrame | None, source: str,
@@ -50,9 +51,9 @@ def advance_watermark(spark: SparkSession, wm: DataFrame | None, source: str,
     new = extracted.agg(F.max("updated_at").alias("m"))
     row = new.select(
         F.lit(source).alias("source_system"),
-        F.greatest(F.coalesce(F.col("m"), F.lit(old).cast("timestamp_ntz")),
-                   F.lit(old).cast("timestamp_ntz")).alias("last_processed_ts"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("updated_at"))
+        F.greatest(F.coalesce(F.col("m"), ts_literal(old)),
+                   ts_literal(old)).alias("last_processed_ts"),
+        ts_literal(run_ts).alias("updated_at"))
     if wm is None:
         return row
     return wm.filter(F.col("source_system") != source).select(*schemas.WATERMARKS.names).unionByName(row)
@@ -96,7 +97,7 @@ def as_of(versions: DataFrame, ts: dt.datetime, keys: Sequence[str] = ("transact
     Filter first (pushed to the scan), then a top-1 per key, which the
     planner pre-limits on the map side before the shuffle.
     """
-    cand = versions.filter(F.col(valid_from) <= F.lit(ts).cast("timestamp_ntz"))
+    cand = versions.filter(F.col(valid_from) <= ts_literal(ts))
     w = Window.partitionBy(*keys).orderBy(F.col(valid_from).desc(),
                                           F.xxhash64(*[F.col(c) for c in versions.columns]).desc())
     return cand.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

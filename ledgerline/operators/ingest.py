@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.pan import pan_token
+from ledgerline.functions.timefn import ts_literal
 
 
 def tokenize_pan(df: DataFrame, salt: str, col: str = "card_number",
@@ -31,7 +32,7 @@ def ingest_bronze(raw: DataFrame, salt: str, ingest_ts: dt.datetime | None = Non
     """
     df = tokenize_pan(raw, salt).drop("card_number")
     if ingest_ts is not None:
-        df = df.withColumn("ingest_ts", F.lit(ingest_ts).cast("timestamp_ntz"))
+        df = df.withColumn("ingest_ts", ts_literal(ingest_ts))
         if batch_id is None:
             batch_id = ingest_ts.strftime("%Y%m%d%H%M%S")
     if "ingest_date" not in df.columns or ingest_ts is not None:

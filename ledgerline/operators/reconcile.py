@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.numeric import round_ratio
 from ledgerline.operators.quality import dedup_latest
 from ledgerline.params import RECON_TOLERANCE
+from ledgerline.functions.timefn import ts_literal
 
 # Fixed discrepancy labels.
 MATCH = "MATCH"
@@ -62,7 +63,7 @@ def discrepancies(rec: DataFrame, detected_at: dt.datetime) -> DataFrame:
     """Non-matching rows in the serving-table shape (resolved defaults to false)."""
     return rec.filter(F.col("discrepancy_type") != MATCH).select(
         "transaction_id", "discrepancy_type", "stream_amount", "batch_amount", "txn_date",
-        F.lit(detected_at).cast("timestamp_ntz").alias("detected_at"),
+        ts_literal(detected_at).alias("detected_at"),
         F.lit(False).alias("resolved"),
         F.lit(None).cast("string").alias("resolution_notes"))
 

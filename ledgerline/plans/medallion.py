@@ -11,6 +11,7 @@ from ledgerline.operators import enrich as en
 from ledgerline.operators import ingest, quality, scoring
 from ledgerline.operators.velocity import SEC, attach, per_second, trailing, velocity_columns, velocity_signals
 from ledgerline.params import RiskParams
+from ledgerline.functions.timefn import ts_literal
 
 
 def silver(bronze: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame,
@@ -73,7 +74,7 @@ def fraud_alerts(gold: DataFrame, loaded_at: dt.datetime) -> DataFrame:
         "country_code", "mcc_code", "channel", "transaction_ts", "txn_date", "region",
         F.col("fraud_risk_score").cast("decimal(6,4)").alias("fraud_risk_score"),
         "fraud_alert", "velocity_flag", "high_risk_mcc_flag", "amount_outlier_flag",
-        F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"))
+        ts_literal(loaded_at).alias("loaded_at"))
 
 
 __all__ = ["silver", "score_transactions", "gold_from_events", "gold_from_silver",

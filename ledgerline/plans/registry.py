@@ -19,6 +19,7 @@ from ledgerline.operators.velocity import velocity_signals
 from ledgerline.params import AS_OF, TEST_SALT, RiskParams
 from ledgerline.plans import medallion
 from ledgerline.sources import fixtures as fx
+from ledgerline.functions.timefn import ts_literal
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -313,8 +314,8 @@ def q_scan_partitioned(spark, sf_dir):
 def q_scan_merge(spark, sf_dir):
     b = fx.batch(spark, sf_dir).drop("txn_date")
     path = scratch_path(spark, "extract")
-    old = b.filter(F.col("transaction_ts") < F.lit(dt.datetime(2024, 1, 16))).drop("fx_rate_to_usd", "device_id")
-    new = b.filter(F.col("transaction_ts") >= F.lit(dt.datetime(2024, 1, 16)))
+    old = b.filter(F.col("transaction_ts") < ts_literal(dt.datetime(2024, 1, 16))).drop("fx_rate_to_usd", "device_id")
+    new = b.filter(F.col("transaction_ts") >= ts_literal(dt.datetime(2024, 1, 16)))
     old.write.mode("overwrite").parquet(f"{path}/part=old")
     new.write.mode("overwrite").parquet(f"{path}/part=new")
     return scans.scan_merge_schema(spark, path).drop("part")

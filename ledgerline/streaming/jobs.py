@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ledgerline import schemas
-from ledgerline.functions.timefn import epoch_seconds
 from ledgerline.operators.kpis import _kpi_aggs, _with_rate
 from ledgerline.params import RiskParams
 from ledgerline.runtime import checkpoint_root
 from ledgerline.streaming.envelope import decode_envelope, routed
+from ledgerline.functions.timefn import epoch_seconds, ts_literal
 
 log = logging.getLogger(__name__)
 
@@ -52,7 +52,7 @@ def route_batch(out_path: str, failed_at: dt.datetime | None = None
     batch directory makes a replayed batch replace itself.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        stamp = F.lit(failed_at).cast("timestamp_ntz") if failed_at else F.localtimestamp()
+        stamp = ts_literal(failed_at) if failed_at else F.localtimestamp()
         out = routed(batch).withColumn(
             "failed_at", F.when(F.col("route") == "dead", stamp))
         out.write.mode("overwrite").partitionBy("route").parquet(f"{out_path}/batch_id={batch_id}")

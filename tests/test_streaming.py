@@ -10,6 +10,7 @@ from ledgerline.plans.registry import envelopes, q_stream_dead, q_stream_valid
 from ledgerline.schemas import RAW_EVENT
 from ledgerline.sources import fixtures as fx
 from ledgerline.streaming import jobs
+from ledgerline.functions.timefn import ts_literal
 
 RUN = dt.datetime(2024, 1, 31, 2)
 
@@ -67,7 +68,7 @@ def test_dedup_stream_keeps_one_per_id(spark, tmp_path):
 
 def test_windowed_kpis_match_batch_hours(spark, tmp_path):
     t = fx.txn(spark, SF_SMALL)
-    sentinel = t.limit(1).withColumn("transaction_ts", F.lit(dt.datetime(2024, 3, 1)).cast("timestamp_ntz")) \
+    sentinel = t.limit(1).withColumn("transaction_ts", ts_literal(dt.datetime(2024, 3, 1))) \
         .withColumn("transaction_id", F.lit("sentinel")).withColumn("fraud_alert", F.lit(False))
     g = t.withColumn("fraud_alert", F.col("amount") > 2000)
     src = _event_files(spark, tmp_path, g)
@@ -76,7 +77,7 @@ def test_windowed_kpis_match_batch_hours(spark, tmp_path):
     q = (out.writeStream.format("memory").queryName("kpi_out").outputMode("append")
          .trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start())
     q.awaitTermination()
-    got = spark.table("kpi_out").filter(F.col("window_start") < F.lit(dt.datetime(2024, 2, 1)))
+    got = spark.table("kpi_out").filter(F.col("window_start") < ts_literal(dt.datetime(2024, 2, 1)))
     batch = (g.withColumn("window_start", F.date_trunc("hour", "transaction_ts").cast("timestamp_ntz"))
              .groupBy("window_start", "region", "channel")
              .agg(F.count("transaction_id").alias("txn_volume"),
@@ -93,7 +94,7 @@ def test_velocity_stream_equals_batch(spark, tmp_path):
                                 "transaction_id string, account_id string, amount decimal(18,2), "
                                 "transaction_ts timestamp_ntz")
     far.write.mode("append").parquet(src)
-    flush2 = far.withColumn("transaction_ts", F.lit(dt.datetime(2024, 6, 2)).cast("timestamp_ntz"))
+    flush2 = far.withColumn("transaction_ts", ts_literal(dt.datetime(2024, 6, 2)))
     flush2.write.mode("append").parquet(src)
     out = jobs.velocity_stream(_stream(spark, src, t.schema), delay="3 hours")
     q = (out.writeStream.format("memory").queryName("vel_out").outputMode("append")

@@ -139,5 +139,19 @@ def align_schema(df: DataFrame, canonical: T.StructType) -> DataFrame:
     return df.select(*cols, *extras)
 
 
+def require_not_null(df: DataFrame, cols: Sequence[str], table: str) -> DataFrame:
+    """V7: NOT NULL columns of a serving table fail the write instead of
+    silently dropping or loading bad rows (``raise_error`` is evaluated per
+    row inside the projection, so it cannot be pruned away)."""
+    out = []
+    for c in df.columns:
+        if c in cols:
+            msg = F.lit(f"{table}.{c} is NOT NULL but a row has NULL")
+            out.append(F.when(F.col(c).isNull(), F.raise_error(msg)).otherwise(F.col(c)).alias(c))
+        else:
+            out.append(F.col(c))
+    return df.select(*out)
+
+
 def contract_json(contract: Sequence[dict[str, Any]] = tuple(TRANSACTION_CONTRACT)) -> str:
     return json.dumps({"type": "record", "name": "transaction_event", "fields": list(contract)})

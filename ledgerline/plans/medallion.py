@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ledgerline.operators import enrich as en
 from ledgerline.operators import ingest, quality, scoring
 from ledgerline.operators.velocity import SEC, attach, per_second, trailing, velocity_columns, velocity_signals
+from ledgerline import schemas
+from ledgerline.operators.contract import require_not_null
 from ledgerline.params import RiskParams
 from ledgerline.functions.timefn import ts_literal
 
@@ -63,18 +65,16 @@ def gold_from_silver(silver_df: DataFrame, params: RiskParams = RiskParams()) ->
 
 
 def fraud_alerts(gold: DataFrame, loaded_at: dt.datetime) -> DataFrame:
-    """P15 + serving contract: alert rows, score as decimal(6,4), NOT NULLs enforced."""
-    a = gold.filter(F.col("fraud_alert"))
-    required = ["transaction_id", "account_id", "amount", "currency", "transaction_ts",
-                "txn_date", "fraud_risk_score", "fraud_alert"]
-    for c in required:
-        a = a.filter(F.col(c).isNotNull())
-    return a.select(
+    """P15 + serving contract: alert rows in the table's shape, score as
+    decimal(6,4); a NULL in a NOT NULL column fails the load."""
+    a = gold.filter(F.col("fraud_alert")).select(
         "transaction_id", "account_id", "card_number_token", "amount", "currency",
         "country_code", "mcc_code", "channel", "transaction_ts", "txn_date", "region",
         F.col("fraud_risk_score").cast("decimal(6,4)").alias("fraud_risk_score"),
         "fraud_alert", "velocity_flag", "high_risk_mcc_flag", "amount_outlier_flag",
         ts_literal(loaded_at).alias("loaded_at"))
+    required = [f.name for f in schemas.FRAUD_ALERTS.fields if not f.nullable]
+    return require_not_null(a, required, "fraud_alerts")
 
 
 __all__ = ["silver", "score_transactions", "gold_from_events", "gold_from_silver",

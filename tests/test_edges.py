@@ -119,3 +119,14 @@ def test_round_ratio_half_up(spark, num, den, scale, factor, expected):
     df = spark.createDataFrame([(num, den)], "n long, d long")
     got = df.select(round_ratio(F.col("n"), F.col("d"), scale, factor)).first()[0]
     assert got == expected
+
+
+def test_serving_contract_fails_on_null(spark):
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+    from ledgerline.operators.contract import require_not_null
+    df = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    ok = require_not_null(df.filter("k IS NOT NULL"), ["k"], "t")
+    assert ok.count() == 1
+    with pytest.raises((PySparkException, Py4JJavaError, Exception)):
+        require_not_null(df, ["k"], "t").collect()

@@ -128,3 +128,28 @@ def run_gold(spark: SparkSession, silver_df: DataFrame, gold_path: str, kpi_path
     _write(_kpis.daily_kpis(written), kpi_path, ["txn_date"], mode="overwrite")
     _write(fraud_alerts(written, loaded_at), alerts_path, ["txn_date"], mode="overwrite")
     return {"gold_rows": og.get["rows"], "alerts": og.get["alerts"]}
+
+
+def run_batch_transform(spark: SparkSession, src_path: str, out_path: str) -> int:
+    """Schema-merging scan -> batch features -> overwrite by txn_date."""
+    from ledgerline.operators.features import batch_features
+    from ledgerline.sources.scans import scan_merge_schema
+    o = Observation("features")
+    df = batch_features(scan_merge_schema(spark, src_path))
+    _write(df.observe(o, F.count(F.lit(1)).alias("rows")), out_path, ["txn_date"], mode="overwrite")
+    return o.get["rows"]
+
+
+def run_reconcile(spark: SparkSession, stream_df: DataFrame, batch_df: DataFrame, out_path: str,
+                  detected_at: dt.datetime) -> dict[str, int]:
+    """B8 + G6: append discrepancies (serving shape) by txn_date; the summary
+    counts are observed on the same pass as the write."""
+    from ledgerline.operators import reconcile as rc
+    rec = rc.reconcile(stream_df, batch_df)
+    t = F.col("discrepancy_type")
+    o = Observation("recon")
+    rec = rec.observe(o, F.count(F.lit(1)).alias("total_count"),
+                      F.count_if(t.isin(rc.MATCH, rc.AMOUNT_MISMATCH)).alias("matched_count"),
+                      F.count_if(t == rc.MATCH).alias("exact_match_count"))
+    _write(rc.discrepancies(rec, detected_at), out_path, ["txn_date"], mode="append")
+    return dict(o.get)

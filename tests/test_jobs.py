@@ -66,3 +66,33 @@ def test_vault_round_trip(spark):
                        "card_number_token")
     assert joined.count() == v.count() == fx.txn(spark, SF_SMALL).select("card_number").distinct().count()
     assert back.filter(~F.col("card_number").startswith("4")).count() == 0
+
+
+def test_batch_transform_and_reconcile_jobs(spark, tmp_path):
+    src = str(tmp_path / "extract")
+    fx.batch(spark, SF_SMALL).drop("txn_date").write.parquet(src)
+    n = medallion.run_batch_transform(spark, src, str(tmp_path / "features"))
+    assert n == 996
+    feats = spark.read.parquet(str(tmp_path / "features"))
+    assert feats.count() == 996 and {"amount_usd", "txn_dow", "is_weekend"} <= set(feats.columns)
+    m = medallion.run_reconcile(spark, fx.txn(spark, SF_SMALL), fx.batch(spark, SF_SMALL),
+                                str(tmp_path / "disc"), RUN)
+    assert m == {"total_count": 1015, "matched_count": 981, "exact_match_count": 965}
+    assert spark.read.parquet(str(tmp_path / "disc")).count() == 1015 - 965
+
+
+def test_bronze_source_file_from_scan_metadata(spark, tmp_path):
+    from ledgerline.operators.ingest import ingest_bronze
+    from ledgerline.plans.registry import envelopes  # noqa: F401
+    from ledgerline.schemas import RAW_EVENT
+    from ledgerline.sources.scans import scan_json
+    from ledgerline.streaming.envelope import event_json
+    raw = fx.txn_raw(spark, SF_SMALL)
+    path = str(tmp_path / "landing")
+    raw.select(event_json(raw, RAW_EVENT.names).alias("value")).write.text(path)
+    valid, quarantine = ingest_bronze(scan_json(spark, path), TEST_SALT, dt.datetime(2024, 1, 31, 2))
+    row = valid.select("source_file", "batch_id", "ingest_ts", "ingest_date").first()
+    assert row.source_file.startswith("file:") and "landing" in row.source_file
+    assert row.batch_id == "20240131020000" and row.ingest_date == dt.date(2024, 1, 31)
+    assert valid.count() + quarantine.count() == 1100
+    assert "card_number" not in valid.columns

@@ -13,13 +13,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions import pan
+from ledgerline.functions.timefn import days_before, ts_literal
+from ledgerline.operators import contract as ct
 from ledgerline.operators import enrich as en
 from ledgerline.operators import features, ingest, kpis, quality, reconcile, scoring
+from ledgerline.operators import incremental as inc
 from ledgerline.operators.velocity import velocity_signals
 from ledgerline.params import AS_OF, TEST_SALT, RiskParams
 from ledgerline.plans import medallion
+from ledgerline.runtime import scratch_path
+from ledgerline.schemas import RAW_EVENT
+from ledgerline.sinks import writers
 from ledgerline.sources import fixtures as fx
-from ledgerline.functions.timefn import ts_literal
+from ledgerline.sources import scans
+from ledgerline.sources.tables import table
+from ledgerline.streaming import envelope as envl
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -176,20 +185,9 @@ def q_batch_features(spark, sf_dir):
     return features.batch_features(fx.batch(spark, sf_dir))
 
 
-__all__ = ["REGISTRY", "query", "gold", "alerts", "rec", "disc", "quality"]
 
 
 # --- Bronze / Silver ----------------------------------------------------
-from ledgerline.operators import contract as ct  # noqa: E402
-from ledgerline.operators import incremental as inc  # noqa: E402
-from ledgerline.runtime import scratch_path  # noqa: E402
-from ledgerline.schemas import RAW_EVENT  # noqa: E402
-from ledgerline.sinks import writers  # noqa: E402
-from ledgerline.sources import scans  # noqa: E402
-from ledgerline.streaming import envelope as envl  # noqa: E402
-from ledgerline.functions import pan  # noqa: E402
-from ledgerline.sources.tables import table  # noqa: E402
-
 BATCH_ID = "20240131020000"
 SOURCE_FILE = "landing/transactions"
 
@@ -269,7 +267,6 @@ def q_run_metrics(spark, sf_dir):
 
 @query("dq_gate")
 def q_dq_gate(spark, sf_dir):
-    from ledgerline.functions.timefn import days_before
     return quality.dq_gate(gold(spark, sf_dir), rec(spark, sf_dir), days_before(AS_OF, 1))
 
 

@@ -83,7 +83,6 @@ def test_batch_transform_and_reconcile_jobs(spark, tmp_path):
 
 def test_bronze_source_file_from_scan_metadata(spark, tmp_path):
     from ledgerline.operators.ingest import ingest_bronze
-    from ledgerline.plans.registry import envelopes  # noqa: F401
     from ledgerline.schemas import RAW_EVENT
     from ledgerline.sources.scans import scan_json
     from ledgerline.streaming.envelope import event_json

@@ -75,7 +75,8 @@ def upsert(spark: SparkSession, target_path: str | None, updates: DataFrame,
 
     Touched = partitions of the updates plus partitions that currently hold
     one of the updated keys (a key may move between partitions).  The first
-    load (``exists=False``) is a plain partitioned write.  Returns the rows
+    load (``exists=False``) is a plain partitioned write.  A partition left
+    without rows (all its keys moved) is removed.  Returns the rows
     published.  Re-running with the same updates gives the same table.
     """
     upd = dedup_latest(updates, keys, (order_col,))
@@ -87,7 +88,21 @@ def upsert(spark: SparkSession, target_path: str | None, updates: DataFrame,
     touched = upd.select(partition_col).union(hit).distinct()
     scope = target.join(touched, partition_col, "left_semi")
     new_scope = scope.join(upd.select(*keys), list(keys), "left_anti").unionByName(upd)
-    return publish_partitions(spark, new_scope, target_path, [partition_col])
+    # partitions whose only rows moved elsewhere: a dynamic overwrite never
+    # writes them, so their directories are removed after the publish.  This
+    # is a list of partition values (metadata), not data.
+    emptied = [r[0] for r in touched.join(new_scope.select(partition_col).distinct(),
+                                          partition_col, "left_anti").collect()]
+    n = publish_partitions(spark, new_scope, target_path, [partition_col])
+    for value in emptied:
+        _delete_partition(spark, target_path, partition_col, value)
+    return n
+
+
+def _delete_partition(spark: SparkSession, path: str, col: str, value) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{col}={value}")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def as_of(versions: DataFrame, ts: dt.datetime, keys: Sequence[str] = ("transaction_id",),

@@ -84,3 +84,16 @@ def compact(spark: SparkSession, path: str, by: Sequence[str], max_files: int =
     frag = stats.filter(F.col("files") > max_files).select(*by)
     data = spark.read.parquet(path).join(frag, list(by), "left_semi")
     return publish_partitions(spark, data.hint("rebalance", *by), path, by)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
+                   mode: str = "overwrite") -> None:
+    """Bucketed, key-sorted table at ``path`` registered as ``table``.
+
+    Two tables bucketed on the same key with the same bucket count join (and
+    window/aggregate) on that key without any shuffle: the stream and batch
+    sides of reconciliation, or Silver and its upserts, written this way
+    are co-located once instead of being re-shuffled every run.
+    """
+    (df.write.mode(mode).format("parquet").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))

@@ -76,3 +76,21 @@ def test_reconcile_is_one_full_outer_join(spark):
     p = plan(E.queries()["recon_summary"](spark, SF_SMALL))
     assert len(re.findall(r"(SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin) \[transaction_id", p)) == 1
     assert "FullOuter" in p
+
+
+def test_bucketed_sides_reconcile_without_shuffle(spark, tmp_path):
+    from ledgerline.operators import reconcile
+    cols = ["transaction_id", "amount", "transaction_ts", "updated_at"]
+    writers.write_bucketed(fx.txn(spark, SF_SMALL).select(*cols), "rec_stream", str(tmp_path / "s"),
+                           "transaction_id", 8)
+    writers.write_bucketed(fx.batch(spark, SF_SMALL).select(*cols), "rec_batch", str(tmp_path / "b"),
+                           "transaction_id", 8)
+    try:
+        rec = reconcile.reconcile(spark.table("rec_stream"), spark.table("rec_batch"))
+        p = plan(rec)
+        assert "FullOuter" in p and "Exchange hashpartitioning" not in p
+        got = {r[0]: r[1] for r in rec.groupBy("discrepancy_type").count().collect()}
+        assert got == {"MATCH": 965, "AMOUNT_MISMATCH": 16, "MISSING_IN_BATCH": 19, "MISSING_IN_STREAM": 15}
+    finally:
+        spark.sql("DROP TABLE IF EXISTS rec_stream")
+        spark.sql("DROP TABLE IF EXISTS rec_batch")

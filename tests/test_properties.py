@@ -106,3 +106,13 @@ def test_storage_upsert_replay(spark, tmp_path):
     k1 = [r for r in first if r[0] == "k1"]
     assert k1 == [("k1", 100, T0 + dt.timedelta(1), 2)]
     assert spark.read.parquet(path).filter(F.col("transaction_id") == "k1").count() == 1
+
+
+def test_upsert_clears_partition_left_empty(spark, tmp_path):
+    sch = "transaction_id string, amount int, updated_at timestamp_ntz, part int"
+    base = spark.createDataFrame([("a", 1, T0, 0), ("b", 2, T0, 1)], sch)
+    path = str(tmp_path / "tgt")
+    inc.upsert(spark, path, base, "part", exists=False)
+    inc.upsert(spark, path, spark.createDataFrame([("b", 3, T0 + dt.timedelta(1), 0)], sch), "part")
+    got = sorted((r.transaction_id, r.amount, r.part) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 1, 0), ("b", 3, 0)]

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_LOCAL_ROOT: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
@@ -17,14 +20,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     loss of an executor.  Only when the session names no such folder (local
     tests) do we create one and register it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_ROOT.get(spark.sparkContext.applicationId)
     if not root:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
         root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
+        _LOCAL_ROOT[spark.sparkContext.applicationId] = root
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # noqa: BLE001 - core conf may be read-only at run time
+            pass
     return root
 
 

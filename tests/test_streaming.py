@@ -132,3 +132,23 @@ def test_latency_listener_records_slow_batches(spark, tmp_path):
         assert listener.slow
     finally:
         spark.streams.removeListener(listener)
+
+
+def test_windowed_kpis_drop_and_count_late_rows(spark, tmp_path):
+    t = fx.txn(spark, SF_SMALL).withColumn("fraud_alert", F.lit(False))
+    src = _event_files(spark, tmp_path, t)
+    late = t.limit(3).withColumn("transaction_ts", ts_literal(dt.datetime(2024, 1, 2))) \
+        .withColumn("transaction_id", F.concat(F.lit("late_"), F.col("transaction_id")))
+    late.write.mode("append").parquet(src)          # arrives after the watermark passed Jan 2
+    out = jobs.windowed_kpis(_stream(spark, src, t.schema), window="1 hour", delay="30 minutes")
+    q = (out.writeStream.format("memory").queryName("kpi_late").outputMode("append")
+         .trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.awaitTermination()
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
+                  for p in q.recentProgress for op in p.get("stateOperators", []))
+    # counted after partial aggregation: late rows of one group count once
+    assert dropped >= 1
+    hour = ts_literal(dt.datetime(2024, 1, 2))
+    got = spark.table("kpi_late").filter(F.col("window_start") == hour).agg(F.sum("txn_volume")).first()[0]
+    on_time = t.filter(F.date_trunc("hour", "transaction_ts").cast("timestamp_ntz") == hour).count()
+    assert (got or 0) == on_time

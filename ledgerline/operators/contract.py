@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.sources.tables import literal_table
+
 # Fixed values of the contract rules: the primitive type map, the widening
 # chain int -> bigint -> float -> double, and the two required-field sets
 # (5 on the event stream, 8 for the batch contract).
@@ -97,7 +99,7 @@ def conformance(spark: SparkSession, df: DataFrame,
     """V1-V5: one report row per contract field (data scanned once)."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     meta = contract_rows(contract, actual, required)
-    meta_df = spark.createDataFrame(meta, T.StructType([
+    meta_df = literal_table(spark, meta, T.StructType([
         T.StructField("field", T.StringType()), T.StructField("required", T.BooleanType()),
         T.StructField("present", T.BooleanType()), T.StructField("expected", T.StringType()),
         T.StructField("actual", T.StringType()), T.StructField("compatible", T.BooleanType()),
@@ -117,7 +119,9 @@ def conformance(spark: SparkSession, df: DataFrame,
                          (F.col("_rows") - F.col("non_null")).alias("nulls"),
                          F.col("cast_failures").cast("long").alias("cast_failures"))
     else:
-        per = spark.createDataFrame([], "field string, rows long, nulls long, cast_failures long")
+        per = literal_table(spark, [], T.StructType([
+            T.StructField("field", T.StringType()), T.StructField("rows", T.LongType()),
+            T.StructField("nulls", T.LongType()), T.StructField("cast_failures", T.LongType())]))
     return meta_df.join(per, "field", "left")
 
 

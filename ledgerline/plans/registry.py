@@ -23,11 +23,11 @@ from ledgerline.operators.velocity import velocity_signals
 from ledgerline.params import AS_OF, TEST_SALT, RiskParams
 from ledgerline.plans import medallion
 from ledgerline.runtime import scratch_path
-from ledgerline.schemas import RAW_EVENT
+from ledgerline.schemas import RAW_EVENT, WATERMARKS
 from ledgerline.sinks import writers
 from ledgerline.sources import fixtures as fx
 from ledgerline.sources import scans
-from ledgerline.sources.tables import table
+from ledgerline.sources.tables import literal_table, table
 from ledgerline.streaming import envelope as envl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -338,9 +338,8 @@ def source_v2(spark, sf_dir):
 
 def watermarks_after_v1(spark, sf_dir):
     v1 = source_v1(spark, sf_dir)
-    others = spark.createDataFrame(
-        [("card_network_feed", dt.datetime(2024, 1, 29), dt.datetime(2024, 1, 29, 3))],
-        "source_system string, last_processed_ts timestamp_ntz, updated_at timestamp_ntz")
+    others = literal_table(
+        spark, [("card_network_feed", "2024-01-29 00:00:00", "2024-01-29 03:00:00")], WATERMARKS)
     return inc.advance_watermark(spark, others, "core_banking_extract", v1,
                                  dt.datetime(2024, 1, 25, 2, 0))
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas
 from ledgerline.operators.quality import dedup_latest
 from ledgerline.params import IncrementalParams
-from ledgerline.sinks.writers import publish_partitions
+from ledgerline.sinks.writers import publish_partitions, stage_and_publish
 from ledgerline.functions.timefn import ts_literal
 
 EPOCH = dt.datetime(1970, 1, 1)
@@ -85,20 +85,33 @@ def upsert(spark: SparkSession, target_path: str | None, updates: DataFrame,
     target = spark.read.parquet(target_path)
     upd = upd.select(*target.columns)
     hit = target.join(upd.select(*keys), list(keys), "left_semi").select(partition_col)
-    touched = upd.select(partition_col).union(hit).distinct()
-    scope = target.join(touched, partition_col, "left_semi")
+    # partition values (metadata, bounded by the partition count): the scope
+    # read below is then a literal IN filter, pruned to those directories
+    touched = [r[0] for r in upd.select(partition_col).union(hit).distinct().collect()]
+    if not touched:
+        return 0
+    scope = target.filter(F.col(partition_col).isin(touched))
     new_scope = scope.join(upd.select(*keys), list(keys), "left_anti").unionByName(upd)
-    # partitions whose only rows moved elsewhere: a dynamic overwrite never
-    # writes them, so their directories are removed after the publish.  This
-    # is a list of partition values (metadata), not data.
-    emptied = [r[0] for r in touched.join(new_scope.select(partition_col).distinct(),
-                                          partition_col, "left_anti").collect()]
-    n = publish_partitions(spark, new_scope, target_path, [partition_col])
-    for value in emptied:
+    n, staged = stage_and_publish(spark, new_scope, target_path, [partition_col])
+    # a partition whose keys all moved away is never written by a dynamic
+    # overwrite; remove it
+    written = partition_values(staged, partition_col)
+    for value in {str(v) for v in touched} - written:
         _delete_partition(spark, target_path, partition_col, value)
     return n
 
 
+def partition_values(df: DataFrame, col: str) -> set[str]:
+    """Values of a partition column from the file paths (no data read)."""
+    marker = f"/{col}="
+    out = set()
+    for f in df.inputFiles():
+        i = f.find(marker)
+        if i >= 0:
+            out.add(f[i + len(marker):].split("/", 1)[0])
+    return out
+
+
 def _delete_partition(spark: SparkSession, path: str, col: str, value) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{col}={value}")

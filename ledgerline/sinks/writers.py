@@ -39,6 +39,12 @@ def publish_partitions(spark: SparkSession, df: DataFrame, path: str, by: Sequen
     then the touched partitions are replaced by a dynamic overwrite.
     Single writer per target.  Returns the staged row count.
     """
+    return stage_and_publish(spark, df, path, by)[0]
+
+
+def stage_and_publish(spark: SparkSession, df: DataFrame, path: str,
+                      by: Sequence[str]) -> tuple[int, DataFrame]:
+    """``publish_partitions`` that also returns the staged table."""
     stage = scratch_path(spark, "stage")
     obs = Observation("staged")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", *by).write.mode("overwrite") \
@@ -48,7 +54,7 @@ def publish_partitions(spark: SparkSession, df: DataFrame, path: str, by: Sequen
     if n != obs.get["rows"]:
         raise RuntimeError(f"staging check failed: wrote {obs.get['rows']} rows, read {n}")
     write_partitioned(staged, path, by, mode="overwrite", cluster=False)
-    return n
+    return n, staged
 
 
 def write_serving(df: DataFrame, url: str, table: str, properties: dict[str, str],

@@ -50,4 +50,4 @@ def redact_text(text: Column) -> Column:
 
 
 def count_pan_runs(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(PAN_RUN))
+    return F.regexp_count(text, F.lit(PAN_RUN)).cast("long")

@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ledgerline import schemas
@@ -135,7 +136,8 @@ def windowed_kpis(events: DataFrame, window: str = "1 hour", delay: str = "30 mi
 VELOCITY_OUT = ("transaction_id string, account_id string, transaction_ts timestamp_ntz, "
                 "amount decimal(18,2), txn_count_5min long, txn_sum_5min decimal(20,2), velocity_flag boolean")
 VELOCITY_STATE = ("p_id array<string>, p_sec array<long>, p_us array<long>, p_cents array<long>, "
-                  "p_has array<long>, h_sec array<long>, h_cents array<long>, h_has array<long>")
+                  "p_has array<long>, p_keep array<string>, h_sec array<long>, h_cents array<long>, "
+                  "h_has array<long>")
 
 
 def _velocity_fn(params: RiskParams):
@@ -149,18 +151,19 @@ def _velocity_fn(params: RiskParams):
     def fn(key, pdfs, state):
         new = [p for p in pdfs]
         if state.exists:
-            p_id, p_sec, p_us, p_cents, p_has, h_sec, h_cents, h_has = state.get
+            p_id, p_sec, p_us, p_cents, p_has, p_keep, h_sec, h_cents, h_has = state.get
             pend = pd.DataFrame({"id": list(p_id), "sec": list(p_sec), "us": list(p_us),
-                                 "cents": list(p_cents), "has": list(p_has)})
+                                 "cents": list(p_cents), "has": list(p_has), "keep": list(p_keep)})
             hist = pd.DataFrame({"sec": list(h_sec), "cents": list(h_cents), "has": list(h_has)})
         else:
-            pend = pd.DataFrame({"id": [], "sec": [], "us": [], "cents": [], "has": []})
+            pend = pd.DataFrame({"id": [], "sec": [], "us": [], "cents": [], "has": [], "keep": []})
             hist = pd.DataFrame({"sec": [], "cents": [], "has": []})
         if new and not state.hasTimedOut:
             x = pd.concat(new, ignore_index=True)
             pend = pd.concat([pend, pd.DataFrame({
                 "id": x["transaction_id"], "sec": x["_sec"], "us": x["_us"],
-                "cents": x["_cents"].fillna(0), "has": x["_cents"].notna().astype("int64")})],
+                "cents": x["_cents"].fillna(0), "has": x["_cents"].notna().astype("int64"),
+                "keep": x["_keep"]})],
                 ignore_index=True)
         pend = pend.astype({"sec": "int64", "us": "int64", "cents": "int64", "has": "int64"})
         hist = hist.astype({"sec": "int64", "cents": "int64", "has": "int64"})
@@ -187,7 +190,8 @@ def _velocity_fn(params: RiskParams):
                 "txn_count_5min": cnt.astype("int64"),
                 "txn_sum_5min": [Decimal(int(s)).scaleb(-2) if h else None for s, h in zip(tot, has)],
                 "velocity_flag": (cnt >= params.velocity_count)
-                | ((has > 0) & (tot >= params.velocity_amount * 100))}))
+                | ((has > 0) & (tot >= params.velocity_amount * 100)),
+                "_keep": r["keep"].to_numpy()}))
             hist = pd.concat([hist, r[["sec", "cents", "has"]]], ignore_index=True)
             pend = pend[~ready]
         # history older than every second still to be emitted is no longer needed
@@ -197,8 +201,8 @@ def _velocity_fn(params: RiskParams):
             state.remove()
         else:
             state.update((pend["id"].tolist(), pend["sec"].tolist(), pend["us"].tolist(),
-                          pend["cents"].tolist(), pend["has"].tolist(), hist["sec"].tolist(),
-                          hist["cents"].tolist(), hist["has"].tolist()))
+                          pend["cents"].tolist(), pend["has"].tolist(), pend["keep"].tolist(),
+                          hist["sec"].tolist(), hist["cents"].tolist(), hist["has"].tolist()))
             if len(pend):
                 state.setTimeoutTimestamp(max(int((pend["sec"].min() + 1) * 1000), wm_ms + 1))
             else:
@@ -210,20 +214,52 @@ def _velocity_fn(params: RiskParams):
 
 
 def velocity_stream(events: DataFrame, params: RiskParams = RiskParams(), delay: str = "30 minutes",
-                    ts: str = "transaction_ts") -> DataFrame:
+                    ts: str = "transaction_ts", keep: Sequence[str] = ()) -> DataFrame:
     """Exact trailing-window velocity on a stream (equals W2/W3 on replay).
 
     Per-account state keeps the rows not yet final (inside the watermark
     delay) and the emitted rows still inside the look-back.  A row is
     emitted once the watermark passes the end of its second, so no later
     in-watermark row can change it.  State is bounded by the delay plus the
-    window per account, independent of history length.
+    window per account, independent of history length.  ``keep`` columns
+    ride along with each row (as JSON in the state) and come back typed.
     """
+    keep = [c for c in keep if c not in ("account_id", "transaction_id", "transaction_ts", "amount")]
+    keep_schema = T.StructType([f for f in events.schema.fields if f.name in keep])
+    payload = F.to_json(F.struct(*[F.col(c) for c in keep])) if keep else F.lit(None).cast("string")
     e = (events.withColumn("event_time", event_time(ts))
          .withColumn("_sec", epoch_seconds(ts))
          .withColumn("_us", (F.extract(F.lit("SECOND"), F.col(ts)) * 1_000_000).cast("long") % 1_000_000)
          .withColumn("_cents", (F.col("amount") * 100).cast("long"))
+         .withColumn("_keep", payload)
          .withWatermark("event_time", delay)
-         .select("account_id", "transaction_id", "_sec", "_us", "_cents", "event_time"))
-    return e.groupBy("account_id").applyInPandasWithState(
-        _velocity_fn(params), VELOCITY_OUT, VELOCITY_STATE, "append", "EventTimeTimeout")
+         .select("account_id", "transaction_id", "_sec", "_us", "_cents", "_keep", "event_time"))
+    out = e.groupBy("account_id").applyInPandasWithState(
+        _velocity_fn(params), VELOCITY_OUT + ", _keep string", VELOCITY_STATE, "append", "EventTimeTimeout")
+    if not keep:
+        return out.drop("_keep")
+    return (out.withColumn("_k", F.from_json("_keep", keep_schema))
+            .select(*[c for c in out.columns if c != "_keep"], *[F.col(f"_k.{c}").alias(c) for c in keep]))
+
+
+def score_stream(events: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame, account_stats: DataFrame,
+                 params: RiskParams = RiskParams(), delay: str = "30 minutes") -> DataFrame:
+    """Real-time risk scoring: exact stateful velocity, stream-static
+    enrichment, outlier test against account statistics of the history
+    table (``scoring.account_stats`` of Silver), weighted score and alert.
+
+    The static statistics are joined per micro-batch (a shuffle join; they
+    grow with the number of accounts, so they are not broadcast blindly).
+    """
+    from ledgerline.operators.enrich import enrich
+    from ledgerline.operators.scoring import outlier_test, risk_score
+
+    keep = [c for c in events.columns if c not in ("account_id", "transaction_id", "transaction_ts", "amount")]
+    v = velocity_stream(events, params, delay, keep=keep)
+    st = account_stats.select(F.col("account_id").alias("_acct"), F.col("n_amt").alias("_n"),
+                              F.col("s_amt").alias("_s"), F.col("s_sq").alias("_sq"))
+    j = v.join(st, v["account_id"] == st["_acct"], "left")
+    j = j.withColumn("amount_outlier_flag", outlier_test(
+        F.col("amount"), F.coalesce(F.col("_n"), F.lit(0)), F.col("_s"), F.col("_sq"), params.zscore))
+    j = j.drop("_acct", "_n", "_s", "_sq")
+    return risk_score(enrich(j, dim_mcc, dim_geo, params), params)

@@ -152,3 +152,26 @@ def test_windowed_kpis_drop_and_count_late_rows(spark, tmp_path):
     got = spark.table("kpi_late").filter(F.col("window_start") == hour).agg(F.sum("txn_volume")).first()[0]
     on_time = t.filter(F.date_trunc("hour", "transaction_ts").cast("timestamp_ntz") == hour).count()
     assert (got or 0) == on_time
+
+
+def test_score_stream_equals_batch_scoring(spark, tmp_path):
+    from ledgerline.operators.scoring import account_stats
+    from ledgerline.plans.medallion import score_transactions
+    t = fx.txn(spark, SF_SMALL).select("transaction_id", "account_id", "amount", "transaction_ts",
+                                       "currency", "mcc_code", "country_code", "channel", "region")
+    src = _event_files(spark, tmp_path, t)
+    flush = t.limit(1).withColumn("transaction_id", F.lit("flush")).withColumn("account_id", F.lit("acct_flush")) \
+        .withColumn("transaction_ts", ts_literal(dt.datetime(2024, 6, 1)))
+    flush.write.mode("append").parquet(src)
+    flush.withColumn("transaction_ts", ts_literal(dt.datetime(2024, 6, 2))).write.mode("append").parquet(src)
+    mcc, geo = fx.dim_merchant_category(spark), fx.dim_geo_risk(spark)
+    out = jobs.score_stream(_stream(spark, src, t.schema), mcc, geo, account_stats(t), delay="3 hours")
+    q = (out.writeStream.format("memory").queryName("scored_out").outputMode("append")
+         .trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.awaitTermination()
+    cols = ["transaction_id", "txn_count_5min", "velocity_flag", "amount_outlier_flag", "geo_risk_score",
+            "high_risk_mcc_flag", "fraud_risk_score", "fraud_alert", "channel", "region"]
+    got = spark.table("scored_out").filter(F.col("account_id") != "acct_flush").select(*cols)
+    want = score_transactions(fx.txn(spark, SF_SMALL), mcc, geo).select(*cols)
+    assert rows(got) == rows(want)
+    assert got.filter("fraud_alert").count() == 5

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline import schemas
+from ledgerline.functions.timefn import ts_literal
 from ledgerline.operators import enrich as en
 from ledgerline.operators import ingest, quality, scoring
-from ledgerline.operators.velocity import SEC, attach, per_second, trailing, velocity_columns, velocity_signals
-from ledgerline import schemas
+from ledgerline.operators import kpis as _kpis
 from ledgerline.operators.contract import require_not_null
+from ledgerline.operators.incremental import upsert as _upsert
+from ledgerline.operators.velocity import attach, per_second, trailing, velocity_columns, velocity_signals
 from ledgerline.params import RiskParams
-from ledgerline.functions.timefn import ts_literal
+from ledgerline.sinks.writers import write_partitioned as _write
 
 
 def silver(bronze: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame,
@@ -77,16 +80,9 @@ def fraud_alerts(gold: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     return require_not_null(a, required, "fraud_alerts")
 
 
-__all__ = ["silver", "score_transactions", "gold_from_events", "gold_from_silver",
-           "fraud_alerts", "SEC"]
 
 
 # --- jobs: the same plans with their sinks -------------------------------------
-from pyspark.sql import Observation, SparkSession  # noqa: E402
-
-from ledgerline.operators import kpis as _kpis  # noqa: E402
-from ledgerline.operators.incremental import upsert as _upsert  # noqa: E402
-from ledgerline.sinks.writers import write_partitioned as _write  # noqa: E402
 
 
 def run_bronze(spark: SparkSession, raw: DataFrame, bronze_path: str, salt: str,

@@ -130,3 +130,16 @@ def test_serving_contract_fails_on_null(spark):
     assert ok.count() == 1
     with pytest.raises((PySparkException, Py4JJavaError, Exception)):
         require_not_null(df, ["k"], "t").collect()
+
+
+def test_routing_partitions_the_input(spark):
+    from conftest import SF_SMALL
+    from ledgerline.plans.registry import envelopes
+    from ledgerline.streaming.envelope import decode_envelope, route
+    env = envelopes(spark, SF_SMALL)
+    valid, dead = route(decode_envelope(env))
+    assert valid.count() + dead.count() == env.count()
+    assert valid.filter(~F.col("card_number").startswith("tok_") & (F.col("card_number") != "[REDACTED]")).count() == 0
+    reasons = {r[0] for r in dead.select("reason").distinct().collect()}
+    assert reasons == {"DECODE_FAILED", "SCHEMA_VALIDATION_FAILED"}
+    assert dead.filter(F.col("event_redacted").contains('"card_number":"4')).count() == 0

@@ -88,14 +88,20 @@ def fraud_alerts(gold: DataFrame, loaded_at: dt.datetime) -> DataFrame:
 def run_bronze(spark: SparkSession, raw: DataFrame, bronze_path: str, salt: str,
                ingest_ts: dt.datetime | None = None, batch_id: str | None = None,
                source_file: str | None = None) -> dict[str, int]:
-    """Bronze job: tokenised append partitioned by (ingest_date, region) plus
-    quarantine; counts come from ``observe`` on the writes (no extra pass)."""
+    """Bronze job: tokenised rows partitioned by (ingest_date, region) plus
+    quarantine; counts come from ``observe`` on the writes (no extra pass).
+
+    Each batch lands in its own ``batch_id`` sub-partition written with a
+    dynamic overwrite, so re-running a batch after a failure replaces its
+    own files instead of appending duplicates, while readers still prune
+    on (ingest_date, region).
+    """
     valid, quarantine = ingest.ingest_bronze(raw, salt, ingest_ts, batch_id, source_file)
     ov, oq = Observation("bronze"), Observation("quarantine")
     _write(valid.observe(ov, F.count(F.lit(1)).alias("rows")), bronze_path,
-           ["ingest_date", "region"], mode="append")
-    quarantine.observe(oq, F.count(F.lit(1)).alias("rows")).write.mode("append") \
-        .parquet(bronze_path.rstrip("/") + "_quarantine")
+           ["ingest_date", "region", "batch_id"], mode="overwrite")
+    _write(quarantine.observe(oq, F.count(F.lit(1)).alias("rows")),
+           bronze_path.rstrip("/") + "_quarantine", ["batch_id"], mode="overwrite", cluster=False)
     return {"bronze_rows": ov.get["rows"], "quarantined": oq.get["rows"]}
 
 

@@ -21,7 +21,12 @@ def test_medallion_jobs_end_to_end(spark, tmp_path):
     m = medallion.run_bronze(spark, fx.txn_raw(spark, SF_SMALL), b, TEST_SALT, batch_id="20240131020000",
                              source_file="landing/transactions")
     assert m == {"bronze_rows": 1089, "quarantined": 11}
+    again = medallion.run_bronze(spark, fx.txn_raw(spark, SF_SMALL), b, TEST_SALT, batch_id="20240131020000",
+                                 source_file="landing/transactions")        # replayed batch
+    assert again == m
     bronze = spark.read.parquet(b)
+    assert bronze.count() == 1089 and spark.read.parquet(b + "_quarantine").count() == 11
+    bronze = bronze.withColumn("batch_id", F.col("batch_id").cast("string"))
     mcc, geo = fx.dim_merchant_category(spark), fx.dim_geo_risk(spark)
     r1 = medallion.run_silver(spark, bronze, mcc, geo, s, exists=False)
     r2 = medallion.run_silver(spark, bronze, mcc, geo, s, exists=True)     # replay: idempotent

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
+from ledgerline.functions.timefn import epoch_seconds, ts_literal
 from ledgerline.operators.quality import dedup_latest
 from ledgerline.params import IncrementalParams
 from ledgerline.sinks.writers import publish_partitions, stage_and_publish
-from ledgerline.functions.timefn import ts_literal
 
 EPOCH = dt.datetime(1970, 1, 1)
 
@@ -129,3 +129,36 @@ def as_of(versions: DataFrame, ts: dt.datetime, keys: Sequence[str] = ("transact
     w = Window.partitionBy(*keys).orderBy(F.col(valid_from).desc(),
                                           F.xxhash64(*[F.col(c) for c in versions.columns]).desc())
     return cand.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
+def build_history(versions: DataFrame, keys: Sequence[str] = ("transaction_id",),
+                  valid_from: str = "valid_from", bucket_s: int = 3600) -> DataFrame:
+    """A10: SCD2 history, ``valid_to`` = next version's ``valid_from`` per key.
+
+    A per-key ``lead`` would hold every version of a key in one task.
+    Instead ``lead`` runs within (key, time bucket) partitions; the last
+    version of a bucket takes the first ``valid_from`` of the key's next
+    non-empty bucket, found by a window over per-bucket summaries (one row
+    per key and bucket, so bounded by the time span, not by row count).
+    Versions with equal ``valid_from`` are ordered by a row hash; all but
+    the last get an empty interval.
+    """
+    tie = F.xxhash64(*[F.col(c) for c in versions.columns])
+    vf = F.col(valid_from)
+    v = versions.withColumn("_b", F.floor(epoch_seconds(vf) / F.lit(int(bucket_s))).cast("long"))
+    w_in = Window.partitionBy(*keys, "_b").orderBy(vf.asc_nulls_first(), tie)
+    v = v.withColumn("_next_in", F.lead(vf).over(w_in))
+    summ = v.groupBy(*keys, "_b").agg(F.min(vf).alias("_bmin"))
+    w_b = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_first())
+    summ = summ.withColumn("_next_b", F.lead("_bmin").over(w_b)).drop("_bmin")
+    out = v.join(summ.withColumnsRenamed({k: f"_s_{k}" for k in keys} | {"_b": "_s_b"}),
+                 [v[k].eqNullSafe(F.col(f"_s_{k}")) for k in keys] + [v["_b"].eqNullSafe(F.col("_s_b"))],
+                 "left")
+    valid_to = F.when(vf.isNull(), F.lit(None)).otherwise(F.coalesce(F.col("_next_in"), F.col("_next_b")))
+    return out.select(*versions.columns, valid_to.cast(versions.schema[valid_from].dataType).alias("valid_to"))
+
+
+def current_at(history: DataFrame, ts: dt.datetime, valid_from: str = "valid_from") -> DataFrame:
+    """Rows of an SCD2 history valid at ``ts``."""
+    t = ts_literal(ts)
+    return history.filter((F.col(valid_from) <= t) & (F.col("valid_to").isNull() | (F.col("valid_to") > t)))

@@ -383,6 +383,12 @@ def q_history(spark, sf_dir):
     return inc.as_of(versions, dt.datetime(2024, 1, 15, 12, 0))
 
 
+@query("history_scd2")
+def q_history_scd2(spark, sf_dir):
+    versions = bronze(spark, sf_dir).withColumn("valid_from", F.col("ingest_ts"))
+    return inc.build_history(versions)
+
+
 # --- contracts ------------------------------------------------------------
 def canonical_schema():
     from pyspark.sql import types as T

@@ -137,3 +137,24 @@ def test_hot_account_is_split_and_exact(spark):
     hot_rows = t.filter(F.col("account_id") == "acct_hot").count()
     assert biggest <= cell + p.velocity_window_s and biggest < hot_rows
     assert trailing(per_second(t), p.velocity_window_s, ["n_id"]).count() == per_second(t).count()
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["k1", "k2"]), st.integers(0, 30_000)), min_size=1, max_size=30))
+def test_scd2_history_equals_lead_per_key(spark, recs):
+    sch = "transaction_id string, v int, valid_from timestamp_ntz"
+    data = [(k, i, T0 + dt.timedelta(seconds=s)) for i, (k, s) in enumerate(recs)]
+    df = spark.createDataFrame(data, sch)
+    got = {(r.transaction_id, r.v): r.valid_to for r in inc.build_history(df, bucket_s=600).collect()}
+    for k, i, vf in data:
+        later = sorted(t for (k2, _, t) in data if k2 == k and t > vf)
+        same = [j for (k2, j, t) in data if k2 == k and t == vf]
+        if len(same) == 1:
+            assert got[(k, i)] == (later[0] if later else None)
+        else:   # ties: all but one get an empty interval, one gets the next instant
+            assert got[(k, i)] in (vf, later[0] if later else None)
+    # exactly one version is current at any instant
+    at = T0 + dt.timedelta(seconds=15_000)
+    cur = inc.current_at(inc.build_history(df, bucket_s=600), at).collect()
+    keys_before = {k for k, _, t in data if t <= at}
+    assert sorted(r.transaction_id for r in cur) == sorted(keys_before)

@@ -263,3 +263,28 @@ def score_stream(events: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame, acco
         F.col("amount"), F.coalesce(F.col("_n"), F.lit(0)), F.col("_s"), F.col("_sq"), params.zscore))
     j = j.drop("_acct", "_n", "_s", "_sq")
     return risk_score(enrich(j, dim_mcc, dim_geo, params), params)
+
+
+def start_scoring_stream(spark: SparkSession, src_dir: str, out_path: str, dim_mcc: DataFrame,
+                         dim_geo: DataFrame, account_stats: DataFrame,
+                         params: RiskParams = RiskParams(), delay: str = "30 minutes",
+                         checkpoint: str | None = None, available_now: bool = True,
+                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Real-time path: envelopes -> decode/redact/validate -> exact velocity
+    -> enrichment + account statistics -> score, appended by event date.
+
+    The Parquet file sink with a checkpoint is exactly-once; rows are
+    written once the watermark makes their velocity final.
+    """
+    from ledgerline.streaming.envelope import split_routed
+    decoded = decode_envelope(read_event_stream(spark, src_dir, max_files_per_trigger))
+    valid, _ = split_routed(routed(decoded))
+    events = valid.select("transaction_id", "account_id", "amount", "transaction_ts", "currency",
+                          "mcc_code", "country_code", "channel", "region")
+    scored = score_stream(events, dim_mcc, dim_geo, account_stats, params, delay)
+    scored = scored.withColumn("txn_date", F.to_date("transaction_ts"))
+    ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/streams/scoring"
+    w = (scored.writeStream.format("parquet").outputMode("append").partitionBy("txn_date")
+         .option("path", out_path).option("checkpointLocation", ckpt))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
+    return w.start()

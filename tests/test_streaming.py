@@ -198,3 +198,27 @@ def test_velocity_stream_out_of_order_within_delay(spark, tmp_path):
     want = velocity_signals(t).select(*got.columns)
     assert got.count() == t.count()
     assert rows(got) == rows(want)
+
+
+def test_scoring_stream_end_to_end_from_envelopes(spark, tmp_path):
+    from ledgerline.operators.scoring import account_stats
+    from ledgerline.plans.registry import gold
+    from ledgerline.streaming.envelope import encode_envelope
+    t = fx.txn(spark, SF_SMALL)
+    src = str(tmp_path / "env")
+    day = F.floor((F.dayofmonth("transaction_ts") - 1) / 10)
+    for i in range(3):                                       # arrivals in event-time order
+        encode_envelope(t.filter(day == i)).write.mode("append").json(src)
+    flush = t.limit(1).withColumn("transaction_id", F.lit("flush")).withColumn("account_id", F.lit("acct_flush"))
+    for when in (dt.datetime(2024, 6, 1), dt.datetime(2024, 6, 2)):
+        encode_envelope(flush.withColumn("transaction_ts", ts_literal(when))).write.mode("append").json(src)
+    out = str(tmp_path / "scored")
+    q = jobs.start_scoring_stream(spark, src, out, fx.dim_merchant_category(spark), fx.dim_geo_risk(spark),
+                                  account_stats(t), delay="3 hours", checkpoint=str(tmp_path / "ck"),
+                                  max_files_per_trigger=4)
+    q.awaitTermination()
+    got = spark.read.parquet(out).filter(F.col("account_id") != "acct_flush")
+    want = gold(spark, SF_SMALL)
+    cols = ["transaction_id", "fraud_risk_score", "fraud_alert", "velocity_flag", "amount_outlier_flag"]
+    assert got.count() == t.count()
+    assert rows(got.select(*cols)) == rows(want.select(*cols))

@@ -1,8 +1,11 @@
-"""Skew probe: per-task shuffle reads of the velocity plans with a hot account.
+"""Skew probe: per-task shuffle reads with a hot key holding a third of all rows.
 
-Rewrites the account of every third event to one account (a third of all
-rows), runs the textbook per-account window and the cell-based form with
-Spark's event log on (written to a fresh scratch folder), and prints the
+1. Velocity: every third event moved to one account; the textbook
+   per-account window vs the cell-based form.
+2. Dedup: every third event made a copy of one transaction; ``row_number``
+   dedup with the planner's partial ``WindowGroupLimit`` disabled vs enabled.
+
+Runs with Spark's event log on (a fresh scratch folder) and prints the
 records read per task for every shuffle stage of each variant.  AQE
 coalescing is off so the hash distribution itself is visible.
 
@@ -43,6 +46,14 @@ def main() -> None:
     for label, fn in (("per-account window", velocity_signals_window), ("cell-based", velocity_signals)):
         spark.sparkContext.setJobGroup(label, label)
         fn(t).write.format("noop").mode("overwrite").save()
+    # a group of copies: every third row is a re-delivery of one transaction
+    from ledgerline.operators.quality import dedup_latest
+    copies = fx.txn(spark, sf_dir).withColumn(
+        "transaction_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit("txn_hot")).otherwise(F.col("transaction_id")))
+    for label, threshold in (("dedup, no pre-limit", "-1"), ("dedup (ours)", "1000")):
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", threshold)
+        spark.sparkContext.setJobGroup(label, label)
+        dedup_latest(copies, ("transaction_id",), ("updated_at",)).write.format("noop").mode("overwrite").save()
     app = spark.sparkContext.applicationId
     spark.stop()
     path = [p for p in glob.glob(f"{logdir}/*") if app in p][0]
@@ -59,7 +70,7 @@ def main() -> None:
                 m = (e.get("Task Metrics") or {}).get("Shuffle Read Metrics") or {}
                 reads.setdefault(e["Stage ID"], []).append(m.get("Total Records Read", 0))
     print(f"rows {rows}, hot account {rows // 3}, shuffle partitions {parts}")
-    for label in ("per-account window", "cell-based"):
+    for label in ("per-account window", "cell-based", "dedup, no pre-limit", "dedup (ours)"):
         for s in sorted(x for x in reads if group.get(x) == label and sum(reads[x]) > 0):
             r = reads[s]
             print(f"{label:20s} stage {s:3d}: {sum(r):7d} records over {len(r)} tasks, largest task {max(r)}")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values of the token format and the redaction marker: tokens are
+# "tok_" + 24 hex digits of SHA-256(pan || salt) + "_" + the last four
+# characters; redacted card numbers read "[REDACTED]".
 TOKEN_PREFIX = "tok_"
 REDACTED = "[REDACTED]"
 # Masked display keeps the last four digits behind a fixed-width mask.

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_LOCAL_ROOT: dict[str, str] = {}
+_LOCAL_ROOT: dict[int, str] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -20,15 +20,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     loss of an executor.  Only when the session names no such folder (local
     tests) do we create one and register it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_ROOT.get(spark.sparkContext.applicationId)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_ROOT.get(id(spark))
     if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+        try:
+            jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+            root = jdir.get() if jdir.isDefined() else None
+        except Exception:  # noqa: BLE001 - no JVM context (e.g. a remote session)
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        _LOCAL_ROOT[spark.sparkContext.applicationId] = root
+        _LOCAL_ROOT[id(spark)] = root
         try:
+            spark.sparkContext.setCheckpointDir(root)
             spark.conf.set("spark.checkpoint.dir", root)
         except Exception:  # noqa: BLE001 - core conf may be read-only at run time
             pass

@@ -62,7 +62,7 @@ def _memo(fn):
     its arguments; rebuilding it per query only costs driver time.
     """
     def wrapper(spark: SparkSession, *args):
-        key = (fn.__name__, spark.sparkContext.applicationId, *args)
+        key = (fn.__name__, id(spark), *args)
         df = _MEMO.get(key)
         if df is None or df.sparkSession is not spark:
             df = fn(spark, *args)

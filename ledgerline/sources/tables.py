@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     session; the test tables never change while a session runs.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (id(spark), path)
     df = _READS.get(key)
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)

@@ -151,9 +151,10 @@ def build_history(versions: DataFrame, keys: Sequence[str] = ("transaction_id",)
     summ = v.groupBy(*keys, "_b").agg(F.min(vf).alias("_bmin"))
     w_b = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_first())
     summ = summ.withColumn("_next_b", F.lead("_bmin").over(w_b)).drop("_bmin")
-    out = v.join(summ.withColumnsRenamed({k: f"_s_{k}" for k in keys} | {"_b": "_s_b"}),
-                 [v[k].eqNullSafe(F.col(f"_s_{k}")) for k in keys] + [v["_b"].eqNullSafe(F.col("_s_b"))],
-                 "left")
+    # plain equality on (keys, bucket): the join reuses the window's hash
+    # partitioning, so the versions are shuffled once (a NULL key keeps its
+    # in-bucket links only)
+    out = v.join(summ, [*keys, "_b"], "left")
     valid_to = F.when(vf.isNull(), F.lit(None)).otherwise(F.coalesce(F.col("_next_in"), F.col("_next_b")))
     return out.select(*versions.columns, valid_to.cast(versions.schema[valid_from].dataType).alias("valid_to"))
 

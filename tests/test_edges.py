@@ -143,3 +143,29 @@ def test_routing_partitions_the_input(spark):
     reasons = {r[0] for r in dead.select("reason").distinct().collect()}
     assert reasons == {"DECODE_FAILED", "SCHEMA_VALIDATION_FAILED"}
     assert dead.filter(F.col("event_redacted").contains('"card_number":"4')).count() == 0
+
+
+def test_contract_enforcement_lists_all_offenders(spark):
+    from conftest import SF_SMALL
+    from ledgerline.operators.contract import SchemaCompatibilityError, conformance, enforce, normalize_type
+    from ledgerline.sources import fixtures as fx
+    df = fx.txn_raw(spark, SF_SMALL).drop("currency")
+    report = {r.field: r for r in conformance(spark, df).collect()}
+    assert report["currency"].present is False and report["currency"].required is True
+    assert report["event_id"].compatible is True           # int -> bigint is a widening
+    assert report["updated_at"].compatible is False        # string expected, timestamp found
+    assert report["amount"].cast_failures == 0 and report["transaction_id"].nulls > 0
+    with pytest.raises(SchemaCompatibilityError) as err:
+        enforce(conformance(spark, df))
+    assert "currency" in str(err.value) and "updated_at" in str(err.value)
+    assert normalize_type(["null", {"type": "long", "logicalType": "timestamp-micros"}]) == "timestamp"
+    assert normalize_type({"type": "bytes", "logicalType": "decimal", "precision": 9, "scale": 3}) == "decimal(9,3)"
+
+
+def test_cluster_conf_sizes_partitions():
+    from ledgerline.runtime import cluster_conf
+    big = cluster_conf(100 * 1024 ** 4, executor_cores=8000, executor_memory_gb=32)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = cluster_conf(1024 ** 2, executor_cores=8, executor_memory_gb=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

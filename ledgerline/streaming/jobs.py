@@ -224,15 +224,18 @@ def velocity_stream(events: DataFrame, params: RiskParams = RiskParams(), delay:
     window per account, independent of history length.  ``keep`` columns
     ride along with each row (as JSON in the state) and come back typed.
     """
-    keep = [c for c in keep if c not in ("account_id", "transaction_id", "transaction_ts", "amount")]
+    keep = [c for c in keep if c not in ("account_id", "transaction_id", "transaction_ts", "amount",
+                                         "event_time")]
     keep_schema = T.StructType([f for f in events.schema.fields if f.name in keep])
     payload = F.to_json(F.struct(*[F.col(c) for c in keep])) if keep else F.lit(None).cast("string")
-    e = (events.withColumn("event_time", event_time(ts))
+    # reuse an upstream event-time watermark (e.g. from ``dedup_stream``)
+    timed = events if "event_time" in events.columns else \
+        events.withColumn("event_time", event_time(ts)).withWatermark("event_time", delay)
+    e = (timed
          .withColumn("_sec", epoch_seconds(ts))
          .withColumn("_us", (F.extract(F.lit("SECOND"), F.col(ts)) * 1_000_000).cast("long") % 1_000_000)
          .withColumn("_cents", (F.col("amount") * 100).cast("long"))
          .withColumn("_keep", payload)
-         .withWatermark("event_time", delay)
          .select("account_id", "transaction_id", "_sec", "_us", "_cents", "_keep", "event_time"))
     out = e.groupBy("account_id").applyInPandasWithState(
         _velocity_fn(params), VELOCITY_OUT + ", _keep string", VELOCITY_STATE, "append", "EventTimeTimeout")
@@ -269,18 +272,23 @@ def start_scoring_stream(spark: SparkSession, src_dir: str, out_path: str, dim_m
                          dim_geo: DataFrame, account_stats: DataFrame,
                          params: RiskParams = RiskParams(), delay: str = "30 minutes",
                          checkpoint: str | None = None, available_now: bool = True,
-                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+                         max_files_per_trigger: int | None = None,
+                         dedup: bool = True) -> StreamingQuery:
     """Real-time path: envelopes -> decode/redact/validate -> exact velocity
     -> enrichment + account statistics -> score, appended by event date.
 
-    The Parquet file sink with a checkpoint is exactly-once; rows are
-    written once the watermark makes their velocity final.
+    Re-delivered events are dropped within the watermark (one shared
+    event-time watermark drives the dedup and the velocity state).  The
+    Parquet file sink with a checkpoint is exactly-once; rows are written
+    once the watermark makes their velocity final.
     """
     from ledgerline.streaming.envelope import split_routed
     decoded = decode_envelope(read_event_stream(spark, src_dir, max_files_per_trigger))
     valid, _ = split_routed(routed(decoded))
     events = valid.select("transaction_id", "account_id", "amount", "transaction_ts", "currency",
                           "mcc_code", "country_code", "channel", "region")
+    if dedup:   # at-least-once delivery: first arrival per id within the watermark (S4)
+        events = dedup_stream(events, delay)
     scored = score_stream(events, dim_mcc, dim_geo, account_stats, params, delay)
     scored = scored.withColumn("txn_date", F.to_date("transaction_ts"))
     ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/streams/scoring"

@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from ledgerline import schemas
 from ledgerline.operators.kpis import _kpi_aggs, _with_rate
 from ledgerline.params import RiskParams
-from ledgerline.runtime import checkpoint_root
+from ledgerline.runtime import bounded_broadcast, checkpoint_root
 from ledgerline.streaming.envelope import decode_envelope, routed
 from ledgerline.functions.timefn import epoch_seconds, ts_literal
 
@@ -246,13 +246,17 @@ def velocity_stream(events: DataFrame, params: RiskParams = RiskParams(), delay:
 
 
 def score_stream(events: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame, account_stats: DataFrame,
-                 params: RiskParams = RiskParams(), delay: str = "30 minutes") -> DataFrame:
+                 params: RiskParams = RiskParams(), delay: str = "30 minutes",
+                 stats_broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Real-time risk scoring: exact stateful velocity, stream-static
     enrichment, outlier test against account statistics of the history
     table (``scoring.account_stats`` of Silver), weighted score and alert.
 
-    The static statistics are joined per micro-batch (a shuffle join; they
-    grow with the number of accounts, so they are not broadcast blindly).
+    The statistics grow with the number of accounts: they are broadcast
+    only when a row-count check proves them within
+    ``stats_broadcast_max_rows`` (four numbers per account), otherwise
+    joined by a shuffle per micro-batch (bucket the table on account_id to
+    avoid re-shuffling it).
     """
     from ledgerline.operators.enrich import enrich
     from ledgerline.operators.scoring import outlier_test, risk_score
@@ -261,6 +265,7 @@ def score_stream(events: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame, acco
     v = velocity_stream(events, params, delay, keep=keep)
     st = account_stats.select(F.col("account_id").alias("_acct"), F.col("n_amt").alias("_n"),
                               F.col("s_amt").alias("_s"), F.col("s_sq").alias("_sq"))
+    st = bounded_broadcast(st, stats_broadcast_max_rows)
     j = v.join(st, v["account_id"] == st["_acct"], "left")
     j = j.withColumn("amount_outlier_flag", outlier_test(
         F.col("amount"), F.coalesce(F.col("_n"), F.lit(0)), F.col("_s"), F.col("_sq"), params.zscore))

@@ -1,12 +1,16 @@
 """Structured Streaming jobs built from the same column functions as batch.
 
 * ``start_event_stream``: envelopes -> decode -> redact -> validate, routed
-  by ``foreachBatch`` into a valid table and a dead-letter table (S1, B13,
-  B14).  Each micro-batch writes its own ``batch_id=N`` directory with
-  overwrite, so a batch replayed after a failure replaces itself instead of
-  duplicating (exactly-once output with the checkpointed offsets).
+  by ``foreachBatch`` into valid and dead-letter rows (S1, B13, B14), one
+  write job per micro-batch.  Each micro-batch writes its own
+  ``batch_id=N`` directory with overwrite, so a batch replayed after a
+  failure replaces itself instead of duplicating (exactly-once output with
+  the checkpointed offsets).
 * ``dedup_stream`` (S4), ``windowed_kpis`` (S7/S8) and ``velocity_stream``
   (S5, exact trailing window through per-account state).
+* ``score_stream`` / ``start_scoring_stream``: real-time risk scoring
+  (velocity state, stream-static enrichment and account statistics),
+  written to an exactly-once file sink.
 """
 
 from __future__ import annotations

@@ -83,16 +83,22 @@ def upsert(spark: SparkSession, target_path: str | None, updates: DataFrame,
     if not exists:
         return publish_partitions(spark, upd, target_path, [partition_col])
     target = spark.read.parquet(target_path)
-    upd = upd.select(*target.columns)
-    hit = target.join(upd.select(*keys), list(keys), "left_semi").select(partition_col)
-    # partition values (metadata, bounded by the partition count): the scope
-    # read below is then a literal IN filter, pruned to those directories
-    touched = [r[0] for r in upd.select(partition_col).union(hit).distinct().collect()]
-    if not touched:
-        return 0
-    scope = target.filter(F.col(partition_col).isin(touched))
-    new_scope = scope.join(upd.select(*keys), list(keys), "left_anti").unionByName(upd)
-    n, staged = stage_and_publish(spark, new_scope, target_path, [partition_col])
+    # used by two jobs below; kept for the duration of this upsert only
+    # (recomputed from its lineage if an executor holding it is lost)
+    upd = upd.select(*target.columns).persist()
+    try:
+        hit = target.join(upd.select(*keys), list(keys), "left_semi").select(partition_col)
+        # partition values (metadata, bounded by the partition count): the
+        # scope read below is then a literal IN filter, pruned to those
+        # directories
+        touched = [r[0] for r in upd.select(partition_col).union(hit).distinct().collect()]
+        if not touched:
+            return 0
+        scope = target.filter(F.col(partition_col).isin(touched))
+        new_scope = scope.join(upd.select(*keys), list(keys), "left_anti").unionByName(upd)
+        n, staged = stage_and_publish(spark, new_scope, target_path, [partition_col])
+    finally:
+        upd.unpersist()
     # a partition whose keys all moved away is never written by a dynamic
     # overwrite; remove it
     written = partition_values(staged, partition_col)

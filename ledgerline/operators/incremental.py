@@ -10,14 +10,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.functions.timefn import epoch_seconds, ts_literal
 from ledgerline.operators.quality import dedup_latest
 from ledgerline.params import IncrementalParams
-from ledgerline.sinks.writers import publish_partitions, stage_and_publish
+from ledgerline.sinks.writers import stage_and_publish, write_partitioned
 
 EPOCH = dt.datetime(1970, 1, 1)
 
@@ -80,8 +80,11 @@ def upsert(spark: SparkSession, target_path: str | None, updates: DataFrame,
     published.  Re-running with the same updates gives the same table.
     """
     upd = dedup_latest(updates, keys, (order_col,))
-    if not exists:
-        return publish_partitions(spark, upd, target_path, [partition_col])
+    if not exists:   # first load: nothing reads the target, write it directly
+        obs = Observation("first_load")
+        write_partitioned(upd.observe(obs, F.count(F.lit(1)).alias("rows")), target_path,
+                          [partition_col], mode="overwrite")
+        return obs.get["rows"]
     target = spark.read.parquet(target_path)
     # used by two jobs below; kept for the duration of this upsert only
     # (recomputed from its lineage if an executor holding it is lost)

@@ -100,3 +100,17 @@ def test_bronze_source_file_from_scan_metadata(spark, tmp_path):
     assert row.batch_id == "20240131020000" and row.ingest_date == dt.date(2024, 1, 31)
     assert valid.count() + quarantine.count() == 1100
     assert "card_number" not in valid.columns
+
+
+def test_scan_current_reads_open_versions(spark, tmp_path):
+    from ledgerline.operators import incremental as inc
+    from ledgerline.plans.registry import bronze
+    from ledgerline.sources.scans import scan_current
+    versions = bronze(spark, SF_SMALL).withColumn("valid_from", F.col("ingest_ts"))
+    path = str(tmp_path / "history")
+    inc.build_history(versions).write.parquet(path)
+    current = scan_current(spark, path)
+    assert current.count() == versions.select("transaction_id").distinct().count()
+    assert current.groupBy("transaction_id").count().filter("count > 1").count() == 0
+    latest = versions.groupBy("transaction_id").agg(F.max("valid_from").alias("valid_from"))
+    assert current.join(latest, ["transaction_id", "valid_from"], "left_anti").count() == 0

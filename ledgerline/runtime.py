@@ -88,7 +88,8 @@ def cluster_conf(input_bytes: int, executor_cores: int, executor_memory_gb: int,
       of the cluster share; AQE then coalesces small ones and splits skewed
       ones (skew join), and ``rebalance`` writes get advisory-sized files;
     * the broadcast threshold stays at the reference's 50 MB; our own
-      dimension broadcasts are additionally bounded by row count.
+      dimension broadcasts are additionally bounded by row count;
+    * stream state lives in RocksDB rather than on the JVM heap.
 
     With 4 GB per core and 256 MB partitions a task holds well under its
     memory share, so sorts and aggregations spill rarely.
@@ -104,7 +105,30 @@ def cluster_conf(input_bytes: int, executor_cores: int, executor_memory_gb: int,
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.autoBroadcastJoinThreshold": str(50 * mb),
         "spark.sql.parquet.compression.codec": "snappy",
+        # keyed stream state (velocity, dedup) off the JVM heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.session.timeZone": "UTC",
         "spark.executor.cores": str(executor_cores),
         "spark.executor.memory": f"{executor_memory_gb}g",
     }
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Make ``ledgerline`` importable on executors (``addPyFile`` of a zip).
+
+    Needed by the Python-side pieces (the streaming state function); the
+    batch plans run in the JVM only.  The zip is built once per session on
+    the driver and distributed by Spark.
+    """
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="ledgerline-pkg-"), "ledgerline.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(out)
+    return out

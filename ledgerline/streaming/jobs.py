@@ -145,11 +145,22 @@ VELOCITY_STATE = ("p_id array<string>, p_sec array<long>, p_us array<long>, p_ce
 
 
 def _velocity_fn(params: RiskParams):
+    """The per-account state function.
+
+    It captures plain numbers only (no ledgerline objects), so Python
+    workers can run it without importing this package.
+    """
+    win = int(params.velocity_window_s)
+    min_count = int(params.velocity_count)
+    min_cents = int(params.velocity_amount) * 100
+    return _make_velocity_state_fn(win, min_count, min_cents)
+
+
+def _make_velocity_state_fn(win: int, min_count: int, min_cents: int):
     import numpy as np
     import pandas as pd
     from decimal import Decimal
 
-    win = int(params.velocity_window_s)
     epoch = pd.Timestamp("1970-01-01")
 
     def fn(key, pdfs, state):
@@ -193,8 +204,7 @@ def _velocity_fn(params: RiskParams):
                 "amount": [Decimal(int(c)).scaleb(-2) if h else None for c, h in zip(r["cents"], r["has"])],
                 "txn_count_5min": cnt.astype("int64"),
                 "txn_sum_5min": [Decimal(int(s)).scaleb(-2) if h else None for s, h in zip(tot, has)],
-                "velocity_flag": (cnt >= params.velocity_count)
-                | ((has > 0) & (tot >= params.velocity_amount * 100)),
+                "velocity_flag": (cnt >= min_count) | ((has > 0) & (tot >= min_cents)),
                 "_keep": r["keep"].to_numpy()}))
             hist = pd.concat([hist, r[["sec", "cents", "has"]]], ignore_index=True)
             pend = pend[~ready]

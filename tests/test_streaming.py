@@ -224,3 +224,42 @@ def test_scoring_stream_end_to_end_from_envelopes(spark, tmp_path):
     cols = ["transaction_id", "fraud_risk_score", "fraud_alert", "velocity_flag", "amount_outlier_flag"]
     assert got.count() == t.count()
     assert rows(got.select(*cols)) == rows(want.select(*cols))
+
+
+def test_velocity_stream_on_rocksdb_state_store(spark, tmp_path):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(provider, None)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        t = fx.txn(spark, SF_SMALL).select("transaction_id", "account_id", "amount", "transaction_ts")
+        src = _event_files(spark, tmp_path, t)
+        far = spark.createDataFrame([("flush", "acct_flush", None, dt.datetime(2024, 6, 1))], t.schema)
+        far.write.mode("append").parquet(src)
+        far.withColumn("transaction_ts", ts_literal(dt.datetime(2024, 6, 2))).write.mode("append").parquet(src)
+        out = jobs.velocity_stream(_stream(spark, src, t.schema), delay="3 hours")
+        q = (out.writeStream.format("memory").queryName("vel_rocks").outputMode("append")
+             .trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start())
+        q.awaitTermination()
+        got = spark.table("vel_rocks").filter(F.col("account_id") != "acct_flush")
+        assert rows(got) == rows(velocity_signals(t).select(*got.columns))
+    finally:
+        if old is None:
+            spark.conf.unset(provider)
+        else:
+            spark.conf.set(provider, old)
+
+
+def test_state_function_needs_no_package_import():
+    import os
+    import subprocess
+    import sys
+    from pyspark import cloudpickle
+    from ledgerline.params import RiskParams
+    blob = cloudpickle.dumps(jobs._velocity_fn(RiskParams()))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    code = ("import pickle, sys; f = pickle.loads(sys.stdin.buffer.read()); "
+            "import importlib.util; assert importlib.util.find_spec('ledgerline') is None; print(callable(f))")
+    out = subprocess.run([sys.executable, "-c", code], input=blob, capture_output=True, cwd="/", env=env,
+                         timeout=120)
+    assert out.returncode == 0, out.stderr.decode()[-500:]
+    assert out.stdout.strip() == b"True"      # a worker without the package can run it

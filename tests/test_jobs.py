@@ -114,3 +114,12 @@ def test_scan_current_reads_open_versions(spark, tmp_path):
     assert current.groupBy("transaction_id").count().filter("count > 1").count() == 0
     latest = versions.groupBy("transaction_id").agg(F.max("valid_from").alias("valid_from"))
     assert current.join(latest, ["transaction_id", "valid_from"], "left_anti").count() == 0
+
+
+def test_ship_package_zips_the_package(spark):
+    import zipfile
+    from ledgerline.runtime import ship_package
+    path = ship_package(spark)
+    names = zipfile.ZipFile(path).namelist()
+    assert "ledgerline/__init__.py" in names and "ledgerline/streaming/jobs.py" in names
+    assert all(n.endswith(".py") for n in names)

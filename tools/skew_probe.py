@@ -10,6 +10,7 @@ records read per task for every shuffle stage of each variant.  AQE
 coalescing is off so the hash distribution itself is visible.
 
 usage: python tools/skew_probe.py [sf_dir] [shuffle_partitions]
+       SKEW_PROBE_COALESCE=true keeps AQE coalescing on (the default setting)
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ def main() -> None:
     logdir = tempfile.mkdtemp(prefix="ledgerline-evlog-")
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", parts)
-             .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
+             .config("spark.sql.adaptive.coalescePartitions.enabled",
+                     os.environ.get("SKEW_PROBE_COALESCE", "false"))
              .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", logdir)
              .config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())

@@ -7,16 +7,17 @@ line counts whether or not it stays.  Lines without a token always stay.
 
 DataFrame functions only:
 
-1. Rarity: word occurrences are counted in ``buckets`` hash buckets over all
-   documents.  A word's code is a long made of the bucket's frequency class,
-   the word's length (longer first) and 51 bits of its hash, so sorting codes
-   sorts by rarity, and equal codes mean equal words.
+1. Rarity: word occurrences are counted in hash buckets over all documents.  A
+   word's code is a long made of the bucket's frequency class and 58 bits of the
+   word's hash, so sorting codes sorts by rarity; equal codes are taken as
+   equal words.
 2. Equal token sets meet in one row, the earliest line (partial aggregates, so
    that a line with any number of copies is no hot group).
-3. Prefix filter: two sets of similarity t share one of their first
-   ``n - ceil(t n) + 1`` codes.  Candidates also pass the length filter, the
-   positional filter and a parity filter (the sets' 64-bit parity words differ
-   in at most as many bits as the sets in tokens).
+3. Prefix filter: two sets of similarity t share at least k of their first
+   ``n - ceil(t n) + k`` codes; k is 1, and more for long lines, which meet by
+   chance more often.  Candidates also pass the length filter, the positional
+   filter and a parity filter (the sets' 64-bit parity words differ in at most as
+   many bits as the sets in tokens).
 4. First only the earliest set of each of the rarest codes is a partner.  That
    removes nearly all of a group of variants with one candidate for each set.
    Sets that are left are joined with all earlier ones.
@@ -37,13 +38,15 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import small_broadcast, staged
 
 LAST = (1 << 63) - 1
+CODE_BITS = 58  # of a word's hash in its code; five bits above hold the frequency class
 
 
 @dataclass(frozen=True)
 class LineParams:
     num: int = 4                     # similarity num / den
     den: int = 5
-    buckets: int = 1 << 16
+    bucket_bits: int = 16            # rarity is counted in 2 ** bucket_bits hash buckets
+    long_step: int = 48
     first_codes: int = 2             # rarest codes whose earliest set is tried first
     broadcast_rows: int = 500_000    # size check of the lists that are broadcast
 
@@ -57,58 +60,59 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.where("text is not null").select(F.coalesce("doc_id", F.lit(LAST)).alias("at"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
 
 
-def _bucket(h: Column, p: LineParams) -> Column:
-    return F.pmod(F.shiftrightunsigned(h, 40), F.lit(p.buckets)).cast("int")
-
-
 def frequency_classes(docs: DataFrame, p: LineParams) -> Column:
-    """Array literal: bucket -> 2 log2 of its count over the mean bucket, 0 to 31."""
-    words = docs.where("text is not null").select(F.explode(F.transform(_words(F.translate("text", "\n", " ")), lambda w: F.xxhash64(w))).alias("h"))
-    n = dict(words.groupBy(_bucket(F.col("h"), p).alias("b")).count().collect())  # at most `buckets` rows
-    mean = max(1.0, sum(n.values()) / p.buckets)
-    classes = [0] * p.buckets
+    """Array literal: hash bucket -> 2 log2 of its count over the mean bucket (0 to 31), in a code's leading bits."""
+    words = docs.where("text is not null").select(F.explode(_words(F.translate("text", "\n", " "))).alias("w"))
+    n = dict(words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - p.bucket_bits).alias("b")).count().collect())  # at most 2 ** bucket_bits rows
+    mean = max(1.0, sum(n.values()) / 2 ** p.bucket_bits)
+    classes = [0] * 2 ** p.bucket_bits
     for b, c in n.items():
         x = c / mean
         while x >= 2 ** 0.5 and classes[b] < 31:
             x, classes[b] = x / 2 ** 0.5, classes[b] + 1
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")
+    return F.split(F.lit(",".join(str(c << CODE_BITS) for c in classes)), ",").cast("array<long>")
 
 
 def token_codes(line: Column, classes: Column, p: LineParams) -> Column:
     """The line's distinct tokens as sorted codes, the rarest first."""
-    def code(w: Column) -> Column:
-        h = F.xxhash64(w)
-        short = 63 - F.least(F.length(w), F.lit(63))
-        level = F.shiftleft(F.element_at(classes, _bucket(h, p) + 1).cast("long"), 57)
-        return F.when(w != "", level.bitwiseOR(F.shiftleft(short.cast("long"), 51)).bitwiseOR(h.bitwiseAND((1 << 51) - 1)))
-    return F.sort_array(F.array_compact(F.array_distinct(F.transform(_words(line), code))))
+    hashes = F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w)))
+    hashes = F.array_remove(hashes, F.xxhash64(F.lit("")))
+    return F.sort_array(F.transform(hashes, lambda h: F.get(classes, F.shiftrightunsigned(h, 64 - p.bucket_bits).cast("int"))
+                                    .bitwiseOR(h.bitwiseAND((1 << CODE_BITS) - 1))))
 
 
 def _ceil_div(a: Column, b: int) -> Column:
     return F.floor((a + (b - 1)) / b).cast("int")
 
 
+def _shared(n: Column, p: LineParams) -> Column:
+    """Codes that the prefixes must share: 1, and 1 more for each ``long_step`` tokens of a long line."""
+    return F.when(n >= 2 * p.long_step, 1 + F.floor(n / p.long_step)).otherwise(1).cast("int")
+
+
 def token_sets(docs: DataFrame, classes: Column, p: LineParams) -> DataFrame:
     """One row for each distinct token set: its earliest line (at, no), size n, parity word and prefix codes."""
     coded = _lines(docs).select("at", "no", token_codes(F.col("line"), classes, p).alias("codes")).where(F.size("codes") > 0)
     n = F.size("codes")
     parity = F.aggregate("codes", F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(63).cast("int"))))
-    row = F.struct("at", "no", n.alias("n"), parity.alias("parity"), F.slice("codes", 1, n - _ceil_div(n * p.num, p.den) + 1).alias("prefix"))
+    row = F.struct("at", "no", n.alias("n"), parity.alias("parity"), F.slice("codes", 1, F.least(n, n - _ceil_div(n * p.num, p.den) + _shared(n, p))).alias("prefix"))
     return (coded.groupBy(F.xxhash64("codes").alias("d1"), F.xxhash64(F.lit(7), F.col("codes")).alias("d2"))
             .agg(F.min(row).alias("s")).select("s.*"))
 
 
-def _candidates(x: DataFrame, y: DataFrame, p: LineParams) -> DataFrame:
-    """Distinct pairs (earlier x, later y) that share a code and pass the filters.  meta: size, position, done."""
+def _candidates(x: DataFrame, y: DataFrame, p: LineParams, counted: bool) -> DataFrame:
+    """Pairs (earlier x, later y) that share a code and pass the filters.  meta: size, position, done."""
     nx, ny = F.shiftright("x.meta", 32), F.shiftright("y.meta", 32)
     ix, iy = F.shiftright("x.meta", 1).bitwiseAND(0x7FFFFFFF), F.shiftright("y.meta", 1).bitwiseAND(0x7FFFFFFF)
     done = F.col("y.meta").bitwiseAND(1) * (1 << 40)  # beside nx, so that both sides keep one exchange
     overlap = F.floor(((nx + ny) * p.num + (p.num + p.den - 1)) / (p.num + p.den))
     earlier = (F.col("x.at") < F.col("y.at")) | ((F.col("x.at") == F.col("y.at")) & (F.col("x.no") < F.col("y.no")))
     on = ((F.col("x.code") == F.col("y.code")) & earlier & ((nx + done) * p.num <= ny * p.den) & (ny * p.num <= nx * p.den)
-          & (1 + F.least(nx - ix, ny - iy) >= overlap)
+          & (F.least(ix, iy) + F.least(nx - ix, ny - iy) >= overlap)
           & (F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= nx + ny - 2 * overlap))
-    return x.alias("x").join(y.alias("y"), on).select(F.col("x.at").alias("xat"), F.col("x.no").alias("xno"), F.col("y.at").alias("yat"), F.col("y.no").alias("yno")).distinct()
+    need = F.least(_shared(nx, p), _shared(ny, p)) if counted else F.lit(1)
+    met = x.alias("x").join(y.alias("y"), on).select(F.col("x.at").alias("xat"), F.col("x.no").alias("xno"), F.col("y.at").alias("yat"), F.col("y.no").alias("yno"), need.alias("need"))
+    return met.groupBy("xat", "xno", "yat", "yno", "need").count().where("count >= need").drop("need", "count")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: Column, p: LineParams) -> DataFrame:
@@ -137,12 +141,12 @@ def surviving_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     early = rows(sets, F.slice("prefix", 1, p.first_codes))
     first = staged(early.groupBy("code").agg(F.min(F.struct("at", "no", "parity", "meta")).alias("f"), F.count("*").alias("c")).where("c > 1")
                    .select("code", "f.*"), "line-first")
-    done = staged(_verified(_candidates(first, early, p), docs, classes, p), "line-done").withColumn("done", F.lit(1).cast("long"))
+    done = staged(_verified(_candidates(first, early, p, False), docs, classes, p), "line-done").withColumn("done", F.lit(1).cast("long"))
     marked = sets.join(small_broadcast(done, p.broadcast_rows), ["at", "no"], "left")
     meta = meta.bitwiseOR(F.col("done"))
     code = (marked.withColumn("done", F.coalesce("done", F.lit(0).cast("long"))).select("*", F.posexplode("prefix").alias("i", "code"))
             .select("code", "at", "no", "parity", meta.alias("meta")))
-    more = staged(_verified(_candidates(code, code, p), docs, classes, p), "line-more")
+    more = staged(_verified(_candidates(code, code, p, True), docs, classes, p), "line-more")
     gone = small_broadcast(staged(done.select("at", "no").union(more), "line-gone"), p.broadcast_rows)
     return sets.select("at", "no").join(gone, ["at", "no"], "left_anti")
 

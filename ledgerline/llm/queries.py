@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, lang_id, line_dedup, packing, simhash
+from ledgerline.llm import chat, decontaminate, lang_id, line_dedup, packing, simhash, toxicity
 from ledgerline.llm.common import crc_mod
 
 
@@ -26,6 +26,13 @@ def op2_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -34,6 +41,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op7_chat_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.with_control_conversation(_table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.format_conversations(rows))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
@@ -45,4 +57,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ppm_language, op2_simhash_trie, op4_spaced_seeds, op5_best_fit_packing, op10_line_dedup, pipeline)}
+    f.__name__: f for f in (
+    op1_ppm_language, op2_simhash_trie, op3_weak_toxicity, op4_spaced_seeds, op5_best_fit_packing, op7_chat_rendering, op10_line_dedup, pipeline)}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, decontaminate, lang_id, line_dedup, packing, simhash, toxicity
+from ledgerline.llm import chat, decontaminate, embeddings, lang_id, line_dedup, packing, pii, simhash, suffix, toxicity
 from ledgerline.llm.common import crc_mod
 
 
@@ -41,11 +41,24 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op7_chat_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.with_control_conversation(_table(spark, sf_dir, "conversations"))
     return chat.read_back(chat.format_conversations(rows))
 
 
+def op8_bilstm_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
+def op9_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
@@ -58,4 +71,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-    op1_ppm_language, op2_simhash_trie, op3_weak_toxicity, op4_spaced_seeds, op5_best_fit_packing, op7_chat_rendering, op10_line_dedup, pipeline)}
+    op1_ppm_language, op2_simhash_trie, op3_weak_toxicity, op4_spaced_seeds, op5_best_fit_packing, op6_suffix_grouping, op7_chat_rendering,
+    op8_bilstm_pii, op9_subspace_join, op10_line_dedup, pipeline)}

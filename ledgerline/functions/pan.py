@@ -52,5 +52,16 @@ def redact_text(text: Column) -> Column:
     return F.regexp_replace(text, PAN_RUN_LAST4, MASK + "$1")
 
 
+# A card number in a broken record: the field's value as far as it goes, and
+# any run of 9 or more digits with single spaces or dashes between them.
+_PAN_FIELD = r'("card_number"\s*:\s*)"?[^",}]*"?'
+_LONG_DIGITS = r"[0-9](?:[ -]?[0-9]){8,}"
+
+
+def redact_record(text: Column) -> Column:
+    """A raw record's text without the card number, whole or cut off."""
+    return F.regexp_replace(F.regexp_replace(text, _PAN_FIELD, f'$1"{REDACTED}"'), _LONG_DIGITS, REDACTED)
+
+
 def count_pan_runs(text: Column) -> Column:
     return F.regexp_count(text, F.lit(PAN_RUN)).cast("long")

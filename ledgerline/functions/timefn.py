@@ -23,6 +23,22 @@ def epoch_seconds(ts: Column | str) -> Column:
             + F.second(col).cast("long"))
 
 
+_ISO = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?)(?:Z|([+-])(\d{2}):?(\d{2}))?$"
+
+
+def parse_iso_utc(text: Column | str) -> Column:
+    """ISO-8601 text, fraction and offset optional -> TIMESTAMP_NTZ in UTC; NULL if it is none.
+
+    Without an offset the text is taken as UTC.
+    """
+    col = F.trim(F.col(text) if isinstance(text, str) else text)
+    part = lambda k: F.regexp_extract(col, _ISO, k)
+    local = F.concat_ws(" ", part(1), part(2)).try_cast("timestamp_ntz")
+    number = lambda k: F.coalesce(part(k).try_cast("int"), F.lit(0))
+    sign = F.when(part(3) == "-", -1).otherwise(1)
+    return local - F.make_dt_interval(hours=sign * number(4), mins=sign * number(5))
+
+
 def days_before(day: dt.date, n: int) -> dt.date:
     return day - dt.timedelta(days=n)
 

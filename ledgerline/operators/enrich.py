@@ -40,7 +40,7 @@ def geo_mismatch(df: DataFrame, dim_account: DataFrame) -> DataFrame:
     The account dimension grows with the customer base, so this is a plain
     equi-join (sort-merge or AQE-converted broadcast), not a forced broadcast.
     """
-    acct = dim_account.select("account_id", F.col("home_country").alias("_home"))
+    acct = dedup_dim(dim_account.select("account_id", F.col("home_country").alias("_home")), "account_id")
     out = df.join(acct, "account_id", "left")
     return (out.withColumn("geo_mismatch_flag",
                            F.coalesce(F.col("country_code") != F.col("_home"), F.lit(False)))

@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline import schemas
 from ledgerline.functions.timefn import epoch_seconds, ts_literal
 from ledgerline.operators.quality import dedup_latest
 from ledgerline.params import IncrementalParams
-from ledgerline.sinks.writers import stage_and_publish, write_partitioned
+from ledgerline.sinks.writers import drop_stage, stage_and_publish, write_partitioned
 
 EPOCH = dt.datetime(1970, 1, 1)
 
@@ -85,45 +87,49 @@ def upsert(spark: SparkSession, target_path: str | None, updates: DataFrame,
         write_partitioned(upd.observe(obs, F.count(F.lit(1)).alias("rows")), target_path,
                           [partition_col], mode="overwrite")
         return obs.get["rows"]
-    target = spark.read.parquet(target_path)
+    target = _typed_target(spark, target_path, upd, partition_col)
     # used by two jobs below; kept for the duration of this upsert only
     # (recomputed from its lineage if an executor holding it is lost)
     upd = upd.select(*target.columns).persist()
     try:
         hit = target.join(upd.select(*keys), list(keys), "left_semi").select(partition_col)
         # partition values (metadata, bounded by the partition count): the
-        # scope read below is then a literal IN filter, pruned to those
-        # directories
+        # scope read below is then a literal filter, pruned to those directories
         touched = [r[0] for r in upd.select(partition_col).union(hit).distinct().collect()]
         if not touched:
             return 0
-        scope = target.filter(F.col(partition_col).isin(touched))
+        part = F.col(partition_col)
+        in_scope = part.isin([v for v in touched if v is not None])
+        scope = target.filter(in_scope | part.isNull() if None in touched else in_scope)
+        before = partition_dirs(scope, partition_col)
         new_scope = scope.join(upd.select(*keys), list(keys), "left_anti").unionByName(upd)
-        n, staged = stage_and_publish(spark, new_scope, target_path, [partition_col])
+        n, staged, stage = stage_and_publish(spark, new_scope, target_path, [partition_col])
     finally:
         upd.unpersist()
     # a partition whose keys all moved away is never written by a dynamic
     # overwrite; remove it
-    written = partition_values(staged, partition_col)
-    for value in {str(v) for v in touched} - written:
-        _delete_partition(spark, target_path, partition_col, value)
+    for name in before - partition_dirs(staged, partition_col):
+        _delete_partition(spark, target_path, name)
+    drop_stage(spark, stage)
     return n
 
 
-def partition_values(df: DataFrame, col: str) -> set[str]:
-    """Values of a partition column from the file paths (no data read)."""
-    marker = f"/{col}="
-    out = set()
-    for f in df.inputFiles():
-        i = f.find(marker)
-        if i >= 0:
-            out.add(f[i + len(marker):].split("/", 1)[0])
-    return out
+def _typed_target(spark: SparkSession, path: str, updates: DataFrame, partition_col: str) -> DataFrame:
+    """The target with the partition column in the updates' type: directory
+    names alone would turn "01" into 1."""
+    kind = updates.schema[partition_col].dataType
+    fields = [T.StructField(f.name, kind if f.name == partition_col else f.dataType) for f in spark.read.parquet(path).schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
-def _delete_partition(spark: SparkSession, path: str, col: str, value) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{col}={value}")
+def partition_dirs(df: DataFrame, col: str) -> set[str]:
+    """Directory names (``col=value``, as stored) that hold the rows of a scan."""
+    name = F.regexp_extract(F.col("_metadata.file_path"), f"/({col}=[^/]*)/", 1)
+    return {unquote(r[0]) for r in df.select(name).distinct().collect()}
+
+
+def _delete_partition(spark: SparkSession, path: str, name: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"), name)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 

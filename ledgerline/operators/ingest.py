@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.pan import pan_token
+from ledgerline.functions.pan import pan_token, redact_record
 from ledgerline.functions.timefn import ts_literal
 
 
@@ -23,7 +23,8 @@ def ingest_bronze(raw: DataFrame, salt: str, ingest_ts: dt.datetime | None = Non
     """raw event -> (valid, quarantine).
 
     The raw PAN is dropped right after tokenisation so it is never
-    persisted.  ``ingest_ts`` / ``batch_id`` are parameters of the run
+    persisted; a scan's ``_corrupt_record`` is replaced by its redacted text and
+    the line's SHA-256 (``corrupt_sha256``).  ``ingest_ts`` / ``batch_id`` are parameters of the run
     (the batch id is the UTC ``yyyyMMddHHmmss`` of ``ingest_ts``); when
     ``ingest_ts`` is None an existing ``ingest_ts`` column is kept.
     ``source_file`` defaults to the scan's ``_metadata.file_path``.
@@ -31,6 +32,9 @@ def ingest_bronze(raw: DataFrame, salt: str, ingest_ts: dt.datetime | None = Non
     job each without counting first.
     """
     df = tokenize_pan(raw, salt).drop("card_number")
+    if "_corrupt_record" in df.columns:
+        df = df.withColumns({"corrupt_sha256": F.sha2("_corrupt_record", 256),
+                             "_corrupt_record": redact_record(F.col("_corrupt_record"))})
     if ingest_ts is not None:
         df = df.withColumn("ingest_ts", ts_literal(ingest_ts))
         if batch_id is None:

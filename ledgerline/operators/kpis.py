@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import avg_of_scaled, round_ratio
 from ledgerline.functions.timefn import days_before
+from ledgerline.operators.enrich import dedup_dim
 from ledgerline.params import DIM_BROADCAST_MAX_ROWS
 from ledgerline.runtime import bounded_broadcast
 from ledgerline.schemas import MONEY_TOTAL
@@ -75,13 +76,13 @@ def top_accounts(alerts: DataFrame, as_of: dt.date, days: int = 7, k: int = 25)
 
 def geo_exposure(alerts: DataFrame, dim_geo: DataFrame) -> DataFrame:
     """K3: flagged volume by country joined to the geo dimension."""
-    geo = bounded_broadcast(dim_geo.select("country_code", "country_name", "fatf_watchlist"),
+    geo = bounded_broadcast(dedup_dim(dim_geo.select("country_code", "country_name", "fatf_watchlist"), "country_code"),
                             DIM_BROADCAST_MAX_ROWS)
     a = alerts.filter(F.col("fraud_alert")).join(geo, "country_code")
     g = a.groupBy("country_code", "country_name", "fatf_watchlist").agg(
         F.count(F.lit(1)).alias("flagged_txn_count"),
         F.sum("amount").cast(MONEY_TOTAL).alias("flagged_amount_total"))
-    return g.orderBy(F.col("flagged_amount_total").desc())
+    return g.orderBy(F.col("flagged_amount_total").desc(), "country_code")
 
 
 def channel_breakdown(gold: DataFrame, as_of: dt.date) -> DataFrame:
@@ -94,7 +95,7 @@ def channel_breakdown(gold: DataFrame, as_of: dt.date) -> DataFrame:
         F.count_if(alert).alias("flagged_count"),
         s.alias("_s"), n.alias("_n"))
     g = g.withColumn("avg_risk_score", round_ratio(F.col("_s"), F.col("_n") * 10000, 4)).drop("_s", "_n")
-    return g.orderBy(F.col("flagged_count").desc())
+    return g.orderBy(F.col("flagged_count").desc(), "channel")
 
 
 def discrepancy_audit(disc: DataFrame, as_of: dt.date, days: int = 1) -> DataFrame:
@@ -104,7 +105,7 @@ def discrepancy_audit(disc: DataFrame, as_of: dt.date, days: int = 1) -> DataFra
     g = d.groupBy("discrepancy_type").agg(
         F.count(F.lit(1)).alias("discrepancy_count"),
         F.sum(var).cast(MONEY_TOTAL).alias("total_variance_amount"))
-    return g.orderBy(F.col("discrepancy_count").desc())
+    return g.orderBy(F.col("discrepancy_count").desc(), "discrepancy_type")
 
 
 def recon_accuracy(gold: DataFrame, disc: DataFrame, as_of: dt.date) -> DataFrame:
@@ -136,4 +137,4 @@ def high_risk_mcc(gold: DataFrame, as_of: dt.date, days: int = 1, min_count: int
         F.count(F.lit(1)).alias("txn_count"),
         F.sum("amount").cast(MONEY_TOTAL).alias("total_amount"),
         F.bool_or(F.coalesce(F.col("velocity_flag"), F.lit(False))).alias("any_velocity_flag"))
-    return a.filter(F.col("txn_count") > min_count).orderBy(F.col("total_amount").desc())
+    return a.filter(F.col("txn_count") > min_count).orderBy(F.col("total_amount").desc(), "account_id", "mcc_code")

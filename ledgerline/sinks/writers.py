@@ -39,22 +39,31 @@ def publish_partitions(spark: SparkSession, df: DataFrame, path: str, by: Sequen
     then the touched partitions are replaced by a dynamic overwrite.
     Single writer per target.  Returns the staged row count.
     """
-    return stage_and_publish(spark, df, path, by)[0]
+    n, _, stage = stage_and_publish(spark, df, path, by)
+    drop_stage(spark, stage)
+    return n
 
 
 def stage_and_publish(spark: SparkSession, df: DataFrame, path: str,
-                      by: Sequence[str]) -> tuple[int, DataFrame]:
-    """``publish_partitions`` that also returns the staged table."""
+                      by: Sequence[str]) -> tuple[int, DataFrame, str]:
+    """``publish_partitions`` that leaves the staged table and returns it with its path."""
     stage = scratch_path(spark, "stage")
     obs = Observation("staged")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", *by).write.mode("overwrite") \
         .partitionBy(*by).parquet(stage)
-    staged = spark.read.parquet(stage)
+    # the written types, not those that directory names suggest ("01", nulls only)
+    staged = spark.read.schema(df.schema).parquet(stage)
     n = staged.count()
     if n != obs.get["rows"]:
         raise RuntimeError(f"staging check failed: wrote {obs.get['rows']} rows, read {n}")
     write_partitioned(staged, path, by, mode="overwrite", cluster=False)
-    return n, staged
+    return n, staged, stage
+
+
+def drop_stage(spark: SparkSession, stage: str) -> None:
+    """Remove a staged copy after its publish."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def write_serving(df: DataFrame, url: str, table: str, properties: dict[str, str],

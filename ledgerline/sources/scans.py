@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schemas
-
-# Timestamps in JSON are ISO-8601 with microseconds.
-JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+from ledgerline.functions.timefn import parse_iso_utc
 
 
 def scan_json(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW_EVENT) -> DataFrame:
@@ -17,13 +15,27 @@ def scan_json(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW
 
     A line that does not parse yields NULL fields and its text in
     ``_corrupt_record`` (PERMISSIVE mode), so nothing is dropped silently.
+    Timestamps are read as text and parsed as ISO-8601 with optional fraction
+    and offset, normalised to UTC; a record whose timestamp is none of that is
+    marked corrupt with its fields as JSON.
     """
-    full = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
-    return (spark.read.schema(full)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .option("timestampNTZFormat", JSON_TS_FORMAT)
-            .json(path))
+    full = T.StructType(iso_as_text(schema).fields + [T.StructField("_corrupt_record", T.StringType())])
+    raw = (spark.read.schema(full)
+           .option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt_record")
+           .json(path))
+    stamps = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    unread = F.lit(False)
+    for name in stamps:
+        unread = unread | (F.col(name).isNotNull() & parse_iso_utc(name).isNull())
+    broken = F.coalesce(F.col("_corrupt_record"), F.when(unread, F.to_json(F.struct(*schema.names))))
+    return raw.withColumns({"_corrupt_record": broken} | {name: parse_iso_utc(name) for name in stamps})
+
+
+def iso_as_text(schema: T.StructType) -> T.StructType:
+    """``schema`` with its TIMESTAMP_NTZ fields as text, to be parsed by ``parse_iso_utc``."""
+    return T.StructType([T.StructField(f.name, T.StringType()) if isinstance(f.dataType, T.TimestampNTZType) else f
+                         for f in schema.fields])
 
 
 def scan_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.functions.pan import redact_pan, was_redacted
+from ledgerline.functions.timefn import parse_iso_utc
 from ledgerline.operators.contract import STREAM_REQUIRED
+from ledgerline.sources.scans import iso_as_text
 
 JSON_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # Fixed routing reasons of the dead-letter table.
@@ -21,6 +23,7 @@ DECODE_FAILED = "DECODE_FAILED"
 SCHEMA_VALIDATION_FAILED = "SCHEMA_VALIDATION_FAILED"
 
 _EVENT_FIELDS = [f.name for f in schemas.RAW_EVENT.fields]
+_STAMPS = {f.name for f in schemas.RAW_EVENT.fields if f.dataType.typeName() == "timestamp_ntz"}
 
 
 def event_json(df: DataFrame, fields: Sequence[str] = tuple(_EVENT_FIELDS)) -> Column:
@@ -64,14 +67,14 @@ def decode_envelope(env: DataFrame) -> DataFrame:
     d = env.select("partition_key", "data", payload.alias("payload"))
     parsed = F.struct(
         F.json_object_keys("payload").isNull().alias("decode_error"),
-        F.from_json("payload", schemas.RAW_EVENT, {"timestampNTZFormat": JSON_TS}).alias("_e"))
+        F.from_json("payload", iso_as_text(schemas.RAW_EVENT)).alias("_e"))
     d = d.select("partition_key", "data", F.inline(F.array(parsed)))
     bad = F.col("decode_error")
     return d.select(
         "partition_key",
         F.sha2(F.col("data"), 256).alias("payload_sha256"),
         bad.alias("decode_error"),
-        *[F.when(~bad, F.col(f"_e.{n}")).alias(n) for n in _EVENT_FIELDS],
+        *[F.when(~bad, parse_iso_utc(f"_e.{n}") if n in _STAMPS else F.col(f"_e.{n}")).alias(n) for n in _EVENT_FIELDS],
     )
 
 

@@ -110,15 +110,3 @@ def velocity_signals(df: DataFrame, params: RiskParams = RiskParams(),
     ps = per_second(df)
     tr = trailing(ps, params.velocity_window_s, ["n_id", "s_amt"], cell_s=cell_s)
     return velocity_columns(attach(df, tr), params)
-
-
-def velocity_signals_window(df: DataFrame, params: RiskParams = RiskParams()) -> DataFrame:
-    """The textbook form: one RANGE window per account (not skew-safe).
-
-    Kept as the executable definition the cell-based form is tested against.
-    """
-    w = (Window.partitionBy("account_id").orderBy(epoch_seconds("transaction_ts"))
-         .rangeBetween(-params.velocity_window_s, 0))
-    out = (df.withColumn("n_id_w", F.count("transaction_id").over(w))
-           .withColumn("s_amt_w", F.sum("amount").over(w)))
-    return velocity_columns(out, params)

@@ -16,6 +16,7 @@ from ledgerline.operators.contract import require_not_null
 from ledgerline.operators.incremental import upsert as _upsert
 from ledgerline.operators.velocity import attach, per_second, trailing, velocity_columns, velocity_signals
 from ledgerline.params import RiskParams
+from ledgerline.sinks.writers import drop_stale, replace_days
 from ledgerline.sinks.writers import write_partitioned as _write
 
 
@@ -108,11 +109,11 @@ def run_bronze(spark: SparkSession, raw: DataFrame, bronze_path: str, salt: str,
 def run_silver(spark: SparkSession, bronze_df: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame,
                silver_path: str, exists: bool, params: RiskParams = RiskParams()) -> dict[str, int]:
     """Silver job: idempotent upsert by transaction_id (replays do not
-    duplicate history) and an append of the rejected rows."""
+    duplicate history); the rejected rows of a batch replace its earlier ones."""
     silver_df, rejected = silver(bronze_df, dim_mcc, dim_geo, params)
     orj = Observation("rejected")
-    rejected.observe(orj, F.count(F.lit(1)).alias("rows")).write.mode("append") \
-        .parquet(silver_path.rstrip("/") + "_rejected")
+    _write(rejected.observe(orj, F.count(F.lit(1)).alias("rows")), silver_path.rstrip("/") + "_rejected",
+           ["batch_id"], mode="overwrite", cluster=False)
     n = _upsert(spark, silver_path, silver_df, "ingest_date", order_col="ingest_ts", exists=exists)
     return {"silver_rows_published": n, "rejected": orj.get["rows"]}
 
@@ -121,14 +122,18 @@ def run_gold(spark: SparkSession, silver_df: DataFrame, gold_path: str, kpi_path
              alerts_path: str, loaded_at: dt.datetime, params: RiskParams = RiskParams()) -> dict[str, int]:
     """Gold job: score once, write Gold partitioned by (txn_date, region),
     then derive KPIs and alerts from the written table (the scoring plan
-    is not re-run for each sink)."""
+    is not re-run for each sink).  All partitions of the processed days are
+    replaced in the three tables, also by nothing."""
     og = Observation("gold")
     g = gold_from_silver(silver_df, params)
     _write(g.observe(og, F.count(F.lit(1)).alias("rows"), F.count_if("fraud_alert").alias("alerts")),
            gold_path, ["txn_date", "region"], mode="overwrite")
-    written = spark.read.parquet(gold_path)
-    _write(_kpis.daily_kpis(written), kpi_path, ["txn_date"], mode="overwrite")
-    _write(fraud_alerts(written, loaded_at), alerts_path, ["txn_date"], mode="overwrite")
+    keys = silver_df.select(F.to_date("transaction_ts").alias("txn_date"), "region").distinct()
+    days = sorted({r["txn_date"] for r in keys.collect() if r["txn_date"] is not None})
+    drop_stale(spark, keys, gold_path, ["txn_date", "region"], days)
+    written = spark.read.parquet(gold_path).where(F.col("txn_date").isin(days))
+    replace_days(spark, _kpis.daily_kpis(written), kpi_path, ["txn_date"], days)
+    replace_days(spark, fraud_alerts(written, loaded_at), alerts_path, ["txn_date"], days)
     return {"gold_rows": og.get["rows"], "alerts": og.get["alerts"]}
 
 
@@ -144,8 +149,9 @@ def run_batch_transform(spark: SparkSession, src_path: str, out_path: str) -> in
 
 def run_reconcile(spark: SparkSession, stream_df: DataFrame, batch_df: DataFrame, out_path: str,
                   detected_at: dt.datetime) -> dict[str, int]:
-    """B8 + G6: append discrepancies (serving shape) by txn_date; the summary
-    counts are observed on the same pass as the write."""
+    """B8 + G6: discrepancies (serving shape) by txn_date and run; a replay of a
+    run replaces its own rows.  The summary counts are observed on the same
+    pass as the write."""
     from ledgerline.operators import reconcile as rc
     rec = rc.reconcile(stream_df, batch_df)
     t = F.col("discrepancy_type")
@@ -153,5 +159,6 @@ def run_reconcile(spark: SparkSession, stream_df: DataFrame, batch_df: DataFrame
     rec = rec.observe(o, F.count(F.lit(1)).alias("total_count"),
                       F.count_if(t.isin(rc.MATCH, rc.AMOUNT_MISMATCH)).alias("matched_count"),
                       F.count_if(t == rc.MATCH).alias("exact_match_count"))
-    _write(rc.discrepancies(rec, detected_at), out_path, ["txn_date"], mode="append")
+    found = rc.discrepancies(rec, detected_at).withColumn("run_id", F.lit(detected_at.strftime("%Y%m%d%H%M%S")))
+    _write(found, out_path, ["txn_date", "run_id"], mode="overwrite")
     return dict(o.get)

@@ -64,20 +64,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing ``df`` as Parquet in the shared folder."""
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def cluster_conf(input_bytes: int, executor_cores: int, executor_memory_gb: int,
                  target_partition_mb: int = 256) -> dict[str, str]:
     """Session settings sized for the data (set them when building the session).

@@ -23,9 +23,6 @@ RAW_EVENT = T.StructType([
     T.StructField("device_id", T.StringType()),
 ])
 
-RAW_EVENT_WITH_CORRUPT = T.StructType(
-    RAW_EVENT.fields + [T.StructField("_corrupt_record", T.StringType())])
-
 # Stream envelope: base64 text of the JSON event plus the routing key.
 ENVELOPE = T.StructType([
     T.StructField("data", T.StringType()),

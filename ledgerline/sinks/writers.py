@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,35 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "
     w.parquet(path)
 
 
+def replace_days(spark: SparkSession, df: DataFrame, path: str, by: Sequence[str], days: Sequence) -> None:
+    """Write ``df`` partitioned by ``by`` (a date first) and drop what the
+    processed ``days`` hold besides: a corrected run leaves no stale partition."""
+    write_partitioned(df, path, by, mode="overwrite")
+    drop_stale(spark, df, path, by, days)
+
+
+def drop_stale(spark: SparkSession, df: DataFrame, path: str, by: Sequence[str], days: Sequence) -> None:
+    """Delete the partitions of ``days`` under ``path`` that have no row in ``df``."""
+    hive_null = "__HIVE_DEFAULT_PARTITION__"
+    now = {tuple(hive_null if v is None else str(v) for v in r) for r in df.select(*by).distinct().collect()}  # partition values
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def visit(folder, values: tuple) -> None:
+        if len(values) == len(by):
+            if values not in now:
+                fs.delete(folder, True)
+        elif fs.exists(folder):
+            for s in fs.listStatus(folder):
+                name = s.getPath().getName()
+                if name.startswith(by[len(values)] + "="):
+                    visit(s.getPath(), (*values, unquote(name.split("=", 1)[1])))
+
+    for day in days:
+        visit(jvm.org.apache.hadoop.fs.Path(root, f"{by[0]}={day}"), (str(day),))
+
+
 def publish_partitions(spark: SparkSession, df: DataFrame, path: str, by: Sequence[str]) -> int:
     """Replace exactly the partitions present in ``df`` through a staging copy.
 

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from ledgerline.functions.numeric import round_ratio
 from ledgerline.functions.pan import mask_pan, pan_token, redact_text
 from ledgerline.operators import quality, reconcile, scoring
-from ledgerline.operators.velocity import velocity_signals, velocity_signals_window
+from ledgerline.operators.velocity import velocity_signals
+from reference_forms import velocity_by_self_join
 from ledgerline.params import TEST_SALT
 
 SCHEMA = T.StructType([
@@ -56,7 +57,7 @@ def test_velocity_boundary_300_in_301_out(spark):
     assert got["d"] == (2, Decimal("2.00"), False)
     assert got["e"][0] == 1
     plain = {r.transaction_id: (r.txn_count_5min, r.txn_sum_5min, r.velocity_flag)
-             for r in velocity_signals_window(df).collect()}
+             for r in velocity_by_self_join(df).collect()}
     assert plain == got
 
 

@@ -122,14 +122,14 @@ def test_hot_account_is_split_and_exact(spark):
     """One account holding a third of all rows: same result as the textbook
     window, and no (account, cell) partition exceeds cell + window seconds."""
     from conftest import SF_SMALL
-    from ledgerline.operators.velocity import (SEC, default_cell, per_second, trailing,
-                                               velocity_signals_window)
+    from ledgerline.operators.velocity import SEC, default_cell, per_second, trailing
+    from reference_forms import velocity_by_self_join
     from ledgerline.sources import fixtures as fx
     t = fx.txn(spark, SF_SMALL).withColumn(
         "account_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit("acct_hot")).otherwise(F.col("account_id")))
     p = RiskParams()
     fast = velocity_signals(t, p).select("transaction_id", "txn_count_5min", "txn_sum_5min", "velocity_flag")
-    slow = velocity_signals_window(t, p).select(*fast.columns)
+    slow = velocity_by_self_join(t, p).select(*fast.columns)
     assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))
     cell = default_cell(p.velocity_window_s)
     ps = per_second(t).withColumn("_cell", F.floor(F.col(SEC) / cell))

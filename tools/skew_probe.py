@@ -39,13 +39,13 @@ def main() -> None:
              .config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    from ledgerline.operators.velocity import velocity_signals, velocity_signals_window
+    from ledgerline.operators.velocity import velocity_signals
     from ledgerline.sources import fixtures as fx
 
     t = fx.txn(spark, sf_dir).withColumn(
         "account_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit("acct_hot")).otherwise(F.col("account_id")))
     rows = t.count()
-    for label, fn in (("per-account window", velocity_signals_window), ("cell-based", velocity_signals)):
+    for label, fn in (("cell-based", velocity_signals),):
         spark.sparkContext.setJobGroup(label, label)
         fn(t).write.format("noop").mode("overwrite").save()
     # a group of copies: every third row is a re-delivery of one transaction

@@ -13,11 +13,11 @@ DataFrame functions only:
    equal words.
 2. Equal token sets meet in one row, the earliest line (partial aggregates, so
    that a line with any number of copies is no hot group).
-3. Prefix filter: two sets of similarity t share at least k of their first
-   ``n - ceil(t n) + k`` codes; k is 1, and more for long lines, which meet by
-   chance more often.  Candidates also pass the length filter, the positional
-   filter and a parity filter (the sets' 64-bit parity words differ in at most as
-   many bits as the sets in tokens).
+3. Prefix filter: two sets of similarity t share one of their first
+   ``n - ceil(t n) + 1`` codes.  Candidates also pass the length filter, the
+   positional filter and a parity filter: the sets' parity words differ in at
+   most as many bits as the sets in tokens.  Long sets have three 64-bit words,
+   whose exclusive or is the one word of a short set.
 4. First only the earliest set of each of the rarest codes is a partner.  That
    removes nearly all of a group of variants with one candidate for each set.
    Sets that are left are joined with all earlier ones.
@@ -46,7 +46,7 @@ class LineParams:
     num: int = 4                     # similarity num / den
     den: int = 5
     bucket_bits: int = 16            # rarity is counted in 2 ** bucket_bits hash buckets
-    long_step: int = 48
+    long_set: int = 96               # tokens from which a set has three parity words
     first_codes: int = 2             # rarest codes whose earliest set is tried first
     broadcast_rows: int = 500_000    # size check of the lists that are broadcast
 
@@ -85,34 +85,36 @@ def _ceil_div(a: Column, b: int) -> Column:
     return F.floor((a + (b - 1)) / b).cast("int")
 
 
-def _shared(n: Column, p: LineParams) -> Column:
-    """Codes that the prefixes must share: 1, and 1 more for each ``long_step`` tokens of a long line."""
-    return F.when(n >= 2 * p.long_step, 1 + F.floor(n / p.long_step)).otherwise(1).cast("int")
+def _parity(codes: Column) -> Column:
+    one = F.lit(1).cast("long")
+    return F.aggregate(codes, F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(F.call_function("shiftleft", one, c.bitwiseAND(63).cast("int"))))
 
 
 def token_sets(docs: DataFrame, classes: Column, p: LineParams) -> DataFrame:
     """One row for each distinct token set: its earliest line (at, no), size n, parity word and prefix codes."""
     coded = _lines(docs).select("at", "no", token_codes(F.col("line"), classes, p).alias("codes")).where(F.size("codes") > 0)
     n = F.size("codes")
-    parity = F.aggregate("codes", F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(63).cast("int"))))
-    row = F.struct("at", "no", n.alias("n"), parity.alias("parity"), F.slice("codes", 1, F.least(n, n - _ceil_div(n * p.num, p.den) + _shared(n, p))).alias("prefix"))
+    part = lambda k: F.when(n >= p.long_set, _parity(F.filter("codes", lambda c: F.pmod(F.shiftright(c, 6), F.lit(3)) == k))).otherwise(0)
+    coded = coded.withColumns({"all": _parity(F.col("codes")), "p2": part(1), "p3": part(2)})
+    row = F.struct("at", "no", n.alias("n"), F.col("all").bitwiseXOR(F.col("p2")).bitwiseXOR(F.col("p3")).alias("p1"), "p2", "p3",
+                   F.slice("codes", 1, n - _ceil_div(n * p.num, p.den) + 1).alias("prefix"))
     return (coded.groupBy(F.xxhash64("codes").alias("d1"), F.xxhash64(F.lit(7), F.col("codes")).alias("d2"))
             .agg(F.min(row).alias("s")).select("s.*"))
 
 
-def _candidates(x: DataFrame, y: DataFrame, p: LineParams, counted: bool) -> DataFrame:
-    """Pairs (earlier x, later y) that share a code and pass the filters.  meta: size, position, done."""
+def _candidates(x: DataFrame, y: DataFrame, p: LineParams) -> DataFrame:
+    """Distinct pairs (earlier x, later y) that share a code and pass the filters.  meta: size, position, done."""
     nx, ny = F.shiftright("x.meta", 32), F.shiftright("y.meta", 32)
     ix, iy = F.shiftright("x.meta", 1).bitwiseAND(0x7FFFFFFF), F.shiftright("y.meta", 1).bitwiseAND(0x7FFFFFFF)
     done = F.col("y.meta").bitwiseAND(1) * (1 << 40)  # beside nx, so that both sides keep one exchange
     overlap = F.floor(((nx + ny) * p.num + (p.num + p.den - 1)) / (p.num + p.den))
     earlier = (F.col("x.at") < F.col("y.at")) | ((F.col("x.at") == F.col("y.at")) & (F.col("x.no") < F.col("y.no")))
+    d1, d2, d3 = (F.col(f"x.p{k}").bitwiseXOR(F.col(f"y.p{k}")) for k in (1, 2, 3))
+    folded = F.bit_count(d1.bitwiseXOR(d2).bitwiseXOR(d3))
+    apart = F.when(F.least(nx, ny) >= p.long_set, F.bit_count(d1) + F.bit_count(d2) + F.bit_count(d3)).otherwise(folded)
     on = ((F.col("x.code") == F.col("y.code")) & earlier & ((nx + done) * p.num <= ny * p.den) & (ny * p.num <= nx * p.den)
-          & (F.least(ix, iy) + F.least(nx - ix, ny - iy) >= overlap)
-          & (F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= nx + ny - 2 * overlap))
-    need = F.least(_shared(nx, p), _shared(ny, p)) if counted else F.lit(1)
-    met = x.alias("x").join(y.alias("y"), on).select(F.col("x.at").alias("xat"), F.col("x.no").alias("xno"), F.col("y.at").alias("yat"), F.col("y.no").alias("yno"), need.alias("need"))
-    return met.groupBy("xat", "xno", "yat", "yno", "need").count().where("count >= need").drop("need", "count")
+          & (1 + F.least(nx - ix, ny - iy) >= overlap) & (apart <= nx + ny - 2 * overlap))
+    return x.alias("x").join(y.alias("y"), on).select(F.col("x.at").alias("xat"), F.col("x.no").alias("xno"), F.col("y.at").alias("yat"), F.col("y.no").alias("yno")).distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: Column, p: LineParams) -> DataFrame:
@@ -137,16 +139,16 @@ def surviving_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     classes = frequency_classes(docs, p)
     sets = staged(token_sets(docs, classes, p), "line-sets")
     meta = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft((F.col("i") + 1).cast("long"), 1))
-    rows = lambda s, codes: s.select("*", F.posexplode(codes).alias("i", "code")).select("code", "at", "no", "parity", meta.alias("meta"))
+    rows = lambda s, codes: s.select("*", F.posexplode(codes).alias("i", "code")).select("code", "at", "no", "p1", "p2", "p3", meta.alias("meta"))
     early = rows(sets, F.slice("prefix", 1, p.first_codes))
-    first = staged(early.groupBy("code").agg(F.min(F.struct("at", "no", "parity", "meta")).alias("f"), F.count("*").alias("c")).where("c > 1")
+    first = staged(early.groupBy("code").agg(F.min(F.struct("at", "no", "p1", "p2", "p3", "meta")).alias("f"), F.count("*").alias("c")).where("c > 1")
                    .select("code", "f.*"), "line-first")
-    done = staged(_verified(_candidates(first, early, p, False), docs, classes, p), "line-done").withColumn("done", F.lit(1).cast("long"))
+    done = staged(_verified(_candidates(first, early, p), docs, classes, p), "line-done").withColumn("done", F.lit(1).cast("long"))
     marked = sets.join(small_broadcast(done, p.broadcast_rows), ["at", "no"], "left")
     meta = meta.bitwiseOR(F.col("done"))
     code = (marked.withColumn("done", F.coalesce("done", F.lit(0).cast("long"))).select("*", F.posexplode("prefix").alias("i", "code"))
-            .select("code", "at", "no", "parity", meta.alias("meta")))
-    more = staged(_verified(_candidates(code, code, p, True), docs, classes, p), "line-more")
+            .select("code", "at", "no", "p1", "p2", "p3", meta.alias("meta")))
+    more = staged(_verified(_candidates(code, code, p), docs, classes, p), "line-more")
     gone = small_broadcast(staged(done.select("at", "no").union(more), "line-gone"), p.broadcast_rows)
     return sets.select("at", "no").join(gone, ["at", "no"], "left_anti")
 

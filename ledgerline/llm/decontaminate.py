@@ -91,7 +91,7 @@ def longest_stretch(same: np.ndarray, equal: float) -> tuple[int, int]:
     low = np.minimum.accumulate(score)
     best = (0, 0)
     for end in range(len(same), 0, -1):
-        if end <= best[1] - best[0] or not same[end - 1]:
+        if end < best[1] - best[0] or not same[end - 1]:
             continue
         # the first prefix that is not above: low falls, so its first index is found by bisection
         start = int(np.searchsorted(-low[:end], -(score[end] + 1e-9), "left"))

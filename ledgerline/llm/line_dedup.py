@@ -23,9 +23,9 @@ DataFrame functions only:
    Sets that are left are joined with all earlier ones.
 5. Candidates are verified on the whole token sets.
 
-Ties: lines at the same (doc_id, line number), that is of repeated rows, don't
-remove each other.  Null doc_ids come last and tie with each other.  Null text
-has no lines.
+Rows that share a doc_id, or have none (they come last), are versions of one
+document: lines at the same line number tie, don't remove each other, and
+stay or go together.  Null text has no lines and stays null.
 """
 
 from __future__ import annotations
@@ -153,30 +153,34 @@ def surviving_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     return sets.select("at", "no").join(gone, ["at", "no"], "left_anti")
 
 
-def dedup_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
-    """The columns of ``docs`` with ``text`` left of removed lines, and n_lines, n_removed.
-
-    Every row is returned; a document may be left with an empty text.
-    """
+def _with_left(docs: DataFrame, p: LineParams) -> DataFrame:
+    """``docs`` and __left, the lines that stay (null for null text)."""
     kept = staged(surviving_lines(docs, p).groupBy("at").agg(F.collect_set("no").alias("__kept")), "line-kept").withColumnRenamed("at", "__at")
-    kept = small_broadcast(kept, p.broadcast_rows)
-    out = docs.withColumn("__at", F.coalesce("doc_id", F.lit(LAST))).join(kept, "__at", "left")
-    lines = F.split("text", "\n")
     blank = lambda x: F.trim(F.translate(x, "\t\r\x0b\x0c", "    ")) == ""
-    left = F.filter(lines, lambda x, i: blank(x) | F.coalesce(F.array_contains("__kept", i), F.lit(False)))
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    whole = F.coalesce(F.size(left) == F.size(lines), F.lit(True))
-    return (out.withColumn("__left", left)
-            .select(*[F.when(whole, F.col("text")).otherwise(F.array_join("__left", "\n")).alias("text") if c == "text" else F.col(f"`{c}`") for c in names],
-                    F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-                    F.when(F.col("text").isNull(), 0).otherwise(F.size(lines) - F.size("__left")).cast("long").alias("n_removed")))
+    stays = lambda x, i: blank(x) | F.coalesce(F.array_contains("__kept", i), F.lit(False))
+    return (docs.withColumn("__at", F.coalesce("doc_id", F.lit(LAST))).join(small_broadcast(kept, p.broadcast_rows), "__at", "left")
+            .withColumn("__left", F.filter(F.split("text", "\n"), stays)).drop("__at", "__kept"))
+
+
+def dedup_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
+    """doc_id, text left of removed lines, n_lines, n_removed of every row; a text may be left empty."""
+    n = F.coalesce(F.size(F.split("text", "\n")), F.lit(0))
+    n = F.when(F.col("text").isNull(), 0).otherwise(n).cast("long")
+    left = F.when(F.col("text").isNull(), 0).otherwise(F.size("__left")).cast("long")
+    return _with_left(docs.select("doc_id", "text"), p).select(
+        "doc_id", F.array_join("__left", "\n").alias("text"), n.alias("n_lines"), (n - left).alias("n_removed"))
 
 
 def drop_repeated_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
-    """``docs`` without the removed lines; a document that lost all its lines goes.  Columns as given."""
-    out = dedup_lines(docs, p)
-    empty = F.trim(F.translate(F.coalesce("text", F.lit("")), "\n\t\r\x0b\x0c", "     ")) == ""
-    kept = out.where(~((F.col("n_removed") > 0) & empty))
+    """``docs`` without the removed lines; a document that lost lines and has no word left goes.
+
+    Columns as given; ``n_chars``, if there, is counted anew for changed texts.
+    """
+    left = F.array_join("__left", "\n")
+    changed = F.col("text").isNotNull() & (F.size("__left") < F.size(F.split("text", "\n")))
+    empty = F.trim(F.translate(left, "\n\t\r\x0b\x0c", "     ")) == ""
+    out = _with_left(docs, p).where(~(changed & empty) | F.col("text").isNull())
+    cols = {"text": F.when(changed, left).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return kept.select(*[f"`{c}`" for c in docs.columns if c not in ("n_lines", "n_removed")])
+        cols["n_chars"] = F.when(changed, F.length(left)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return out.select(*[cols.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

@@ -60,7 +60,7 @@ def op9_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

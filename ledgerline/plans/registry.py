@@ -158,6 +158,12 @@ def q_k7(spark, sf_dir):
     return kpis.high_risk_mcc(gold(spark, sf_dir), AS_OF, days=30)
 
 
+@query("kpi_high_risk_mcc_day")
+def q_k7_day(spark, sf_dir):
+    # the test data has no group above the report's threshold of 3 on one day
+    return kpis.high_risk_mcc(gold(spark, sf_dir), AS_OF, days=1, min_count=0)
+
+
 
 @query("kpi_discrepancy_audit")
 def q_k5(spark, sf_dir):
@@ -283,8 +289,16 @@ JSON_BAD_EVERY = 211
 
 @query("scan_json_raw")
 def q_scan_json(spark, sf_dir):
+    # the forms that producers write: no offset, Z, +00:00, another zone; with and without a fraction
     raw = fx.txn_raw(spark, sf_dir)
+    form = F.pmod(F.col("event_id"), F.lit(4))
+    stamps = ("transaction_ts", "updated_at")
+    local = {c: F.when(form == 3, F.col(c) + F.make_dt_interval(hours=F.lit(2))).otherwise(F.col(c)) for c in stamps}
+    raw = raw.withColumns(local)
     text = envl.event_json(raw, RAW_EVENT.names)
+    zone = F.when(form == 1, "Z").when(form == 2, "+00:00").when(form == 3, "+02:00").otherwise("")
+    text = F.regexp_replace(F.when(form % 2 == 1, F.replace(text, F.lit(".000000"), F.lit(""))).otherwise(text),
+                            F.lit(f'("(?:{"|".join(stamps)})":"[^"]+)"'), F.concat(F.lit("$1"), zone, F.lit('"')))
     bad = F.pmod(F.col("event_id"), F.lit(JSON_BAD_EVERY)) == 0
     lines = raw.select(F.when(bad, F.substring(text, 1, 30)).otherwise(text).alias("value"))
     path = scratch_path(spark, "landing-json")

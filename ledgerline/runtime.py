@@ -27,6 +27,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = jdir.get() if jdir.isDefined() else None
         except Exception:  # noqa: BLE001 - no JVM context (e.g. a remote session)
             root = None
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         _LOCAL_ROOT[id(spark)] = root

@@ -33,12 +33,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a stored table if its counted rows are within ``max_rows``.
+def small_broadcast(df: DataFrame, max_bytes: int) -> DataFrame:
+    """Broadcast a stored table if its files hold at most ``max_bytes``.
 
     Beyond the bound the frame comes back unchanged and joins shuffle.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def crc_mod(col: str, n: int) -> Column:

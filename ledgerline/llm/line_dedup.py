@@ -48,7 +48,7 @@ class LineParams:
     bucket_bits: int = 16            # rarity is counted in 2 ** bucket_bits hash buckets
     long_set: int = 96               # tokens from which a set has three parity words
     first_codes: int = 2             # rarest codes whose earliest set is tried first
-    broadcast_rows: int = 500_000    # size check of the lists that are broadcast
+    broadcast_bytes: int = 24 << 20  # size check of the stored lists that are broadcast
 
 
 def _words(line: Column) -> Column:
@@ -121,7 +121,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: Column, p: LineParams)
     """(at, no) of the later lines of the candidate pairs that are similar indeed."""
     pairs = staged(pairs, "line-pairs")
     need = pairs.select(F.col("xat").alias("at"), F.col("xno").alias("no")).union(pairs.select("yat", "yno")).distinct()
-    need = small_broadcast(staged(need.groupBy("at").agg(F.collect_list("no").alias("nos")), "line-need"), p.broadcast_rows)
+    need = small_broadcast(staged(need.groupBy("at").agg(F.collect_list("no").alias("nos")), "line-need"), p.broadcast_bytes)
     by_doc = docs.where("text is not null").select(F.coalesce("doc_id", F.lit(LAST)).alias("at"), "text").join(need, "at")
     # null doc_ids and repeated rows share a position; a position's sets are told apart by min below
     codes = by_doc.select("at", F.posexplode(F.split("text", "\n")).alias("no", "line"), "nos").where(F.array_contains("nos", F.col("no")))
@@ -144,12 +144,12 @@ def surviving_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     first = staged(early.groupBy("code").agg(F.min(F.struct("at", "no", "p1", "p2", "p3", "meta")).alias("f"), F.count("*").alias("c")).where("c > 1")
                    .select("code", "f.*"), "line-first")
     done = staged(_verified(_candidates(first, early, p), docs, classes, p), "line-done").withColumn("done", F.lit(1).cast("long"))
-    marked = sets.join(small_broadcast(done, p.broadcast_rows), ["at", "no"], "left")
+    marked = sets.join(small_broadcast(done, p.broadcast_bytes), ["at", "no"], "left")
     meta = meta.bitwiseOR(F.col("done"))
     code = (marked.withColumn("done", F.coalesce("done", F.lit(0).cast("long"))).select("*", F.posexplode("prefix").alias("i", "code"))
             .select("code", "at", "no", "p1", "p2", "p3", meta.alias("meta")))
     more = staged(_verified(_candidates(code, code, p), docs, classes, p), "line-more")
-    gone = small_broadcast(staged(done.select("at", "no").union(more), "line-gone"), p.broadcast_rows)
+    gone = small_broadcast(staged(done.select("at", "no").union(more), "line-gone"), p.broadcast_bytes)
     return sets.select("at", "no").join(gone, ["at", "no"], "left_anti")
 
 
@@ -158,7 +158,7 @@ def _with_left(docs: DataFrame, p: LineParams) -> DataFrame:
     kept = staged(surviving_lines(docs, p).groupBy("at").agg(F.collect_set("no").alias("__kept")), "line-kept").withColumnRenamed("at", "__at")
     blank = lambda x: F.trim(F.translate(x, "\t\r\x0b\x0c", "    ")) == ""
     stays = lambda x, i: blank(x) | F.coalesce(F.array_contains("__kept", i), F.lit(False))
-    return (docs.withColumn("__at", F.coalesce("doc_id", F.lit(LAST))).join(small_broadcast(kept, p.broadcast_rows), "__at", "left")
+    return (docs.withColumn("__at", F.coalesce("doc_id", F.lit(LAST))).join(small_broadcast(kept, p.broadcast_bytes), "__at", "left")
             .withColumn("__left", F.filter(F.split("text", "\n"), stays)).drop("__at", "__kept"))
 
 

@@ -51,11 +51,11 @@ class SuffixParams:
     length: int = 400
     gram: int = 16                   # bytes of an anchor
     band: int = 200
-    mean_phrase: int = 16
-    max_phrase: int = 64
+    mean_phrase: int = 16            # a power of two
+    max_phrase: int = 128
     bucket_bytes: int = 2 << 20
     segment: int = 4 << 20           # bytes of a document that are cut at once
-    broadcast_rows: int = 1_000_000  # size check of the lists that are broadcast
+    broadcast_bytes: int = 24 << 20  # size check of the stored lists that are broadcast
 
 
 def gram_hashes(b: np.ndarray, gram: int) -> np.ndarray:
@@ -158,45 +158,51 @@ def suffix_order(s: np.ndarray) -> list[int]:
     return order
 
 
-def phrase_ends(b: np.ndarray, p: SuffixParams) -> np.ndarray:
-    """Positions where a phrase begins; each depends on the following max_phrase + 8 bytes only."""
-    mark = np.zeros(len(b), bool)
+def phrase_begins(b: np.ndarray, lengths: np.ndarray, p: SuffixParams) -> np.ndarray:
+    """Positions in the joined parts where a phrase begins; each depends on the bytes that follow, max_phrase + mean_phrase + 8 at most.
+
+    Towards a part's end they also depend on what follows; no window's first phrase is there.
+    """
+    least = np.full(len(b) + p.mean_phrase, ~np.uint64(0))
     h = gram_hashes(b, 8)
-    mark[:len(h)] = h % np.uint64(p.mean_phrase) == 0
+    least[:len(h)] = h
+    for k in 2 ** np.arange(int(np.log2(p.mean_phrase))):  # over the next mean_phrase positions
+        least[:-k] = np.minimum(least[:-k], least[k:])
+    mark = np.zeros(len(b), bool)
+    mark[:len(h)] = h == least[:len(h)]
     ahead = np.concatenate([[0], np.cumsum(mark)])
+    room = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(b))
     to = np.minimum(np.arange(len(b)) + p.max_phrase, len(b))
-    return np.flatnonzero(mark | (ahead[to] == ahead[:-1]))  # long stretches without a mark: everywhere
+    return np.flatnonzero(mark | (ahead[to] == ahead[:-1]) & (room > p.max_phrase))  # long stretches without a mark: everywhere
 
 
 def repeated_starts(parts: list[bytes], n_starts: list[int], p: SuffixParams) -> list[np.ndarray]:
     """For each part, which of its first ``n_starts`` positions start a window that occurs at another position."""
-    context = p.max_phrase + 8
-    begins, symbols, owner = [], [], []
-    for i, t in enumerate(parts):
-        ends = phrase_ends(np.frombuffer(t, np.uint8), p)
-        begins.append(ends)
-        stop = np.append(ends[1:], len(t))
-        symbols += [t[a:b + context] for a, b in zip(ends.tolist(), stop.tolist())]
-        owner.append(np.full(len(ends), i))
+    context = p.max_phrase + p.mean_phrase + 8
+    lengths = np.array([len(t) for t in parts])
+    shift = np.concatenate([[0], np.cumsum(lengths)])
+    joined = b"".join(parts)
+    at = phrase_begins(np.frombuffer(joined, np.uint8), lengths, p)
+    own = np.searchsorted(shift, at, "right") - 1
+    end = shift[own + 1]
+    follows = np.append(at[1:], len(joined))
+    symbols = [joined[a:b] for a, b in zip(at.tolist(), np.minimum(follows + context, end).tolist())]
     rank = {x: k for k, x in enumerate(sorted(set(symbols)), len(parts))}
     value = np.array([rank[x] for x in symbols], np.int64)
     del symbols, rank
     # every part is closed by a value of its own, the last by the least
-    sizes = np.array([len(x) for x in begins])
-    closing = np.cumsum(sizes + 1) - 1
-    seq = np.empty(int(sizes.sum()) + len(parts), np.int64)
+    closing = np.cumsum(np.bincount(own, minlength=len(parts)) + 1) - 1
+    seq = np.empty(len(at) + len(parts), np.int64)
     inside = np.ones(len(seq), bool)
     inside[closing] = False
     seq[closing], seq[inside] = np.arange(len(parts))[::-1], value
     order = np.array(suffix_order(seq), np.int64)
-    which = np.cumsum(inside) - 1
-    order = which[order[inside[order]]]  # phrases in suffix order
+    order = (np.cumsum(inside) - 1)[order[inside[order]]]  # phrases in suffix order
 
-    shift = np.cumsum([0] + [len(t) for t in parts])
-    flat = np.frombuffer(b"".join(parts) + b"\x00" * p.length, np.uint8)
-    own, pos = np.concatenate(owner)[order], np.concatenate(begins)[order]
-    end = shift[own + 1]
-    at = shift[own] + pos
+    flat = np.frombuffer(joined + b"\x00" * p.length, np.uint8)
+    before = at - np.maximum(np.concatenate([[-1], at[:-1]]), shift[own] - 1)  # starts that this phrase is the first for
+    at, own, end, before = at[order], own[order], end[order], before[order]
+    pos = at - shift[own]
     common = np.zeros(len(at), np.int64)  # bytes in common with the suffix before it
     step = np.arange(p.length)
     for a in range(1, len(at), 4096):
@@ -204,25 +210,27 @@ def repeated_starts(parts: list[bytes], n_starts: list[int], p: SuffixParams) ->
         differ = flat[x[:, None] + step] != flat[y[:, None] + step]
         equal = np.where(differ.any(1), differ.argmax(1), p.length)
         common[a:a + 4096] = np.minimum(equal, np.minimum(end[a:a + 4096] - x, end[a - 1:a + 4095][:len(x)] - y))
-    before = np.concatenate([np.diff(x, prepend=-1) for x in begins])[order]  # starts that this phrase is the first for
     starts = np.array(n_starts)[own]
     out = [np.zeros(n, bool) for n in n_starts]
+    on = np.arange(len(at))  # phrases with a start x bytes before them
     left = np.zeros(len(at), np.uint64)
     for x in range(p.max_phrase + 1):
+        keep = before[on] > x
+        on, left = on[keep], left[keep]
         if x:
-            left = (left ^ flat[np.maximum(at - x, 0)].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            left = (left ^ flat[at[on] - x].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
             left ^= left >> np.uint64(32)
-        takes = (before > x) & (pos - x < starts) & (pos >= x)
+        takes = pos[on] - x < starts[on]
         if not takes.any():
             continue
-        right = np.cumsum(common < p.length - x)[takes]
+        right = np.cumsum(common < p.length - x)[on[takes]]
         k = np.lexsort((left[takes], right))
         r, q = right[k], left[takes][k]
         same = (r[1:] == r[:-1]) & (q[1:] == q[:-1])
         again = np.zeros(len(k), bool)
         again[1:] |= same
         again[:-1] |= same
-        hit = np.flatnonzero(takes)[k[again]]
+        hit = on[takes][k[again]]
         for i, s in zip(own[hit].tolist(), (pos[hit] - x).tolist()):
             out[i][s] = True
     return out
@@ -255,16 +263,16 @@ def repeated_runs(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFram
     keyed = _keyed(docs)
     every = staged(keyed.select("at", "th", "text").mapInArrow(cut, "at long, th long, name long, s long, e long, digest binary"), "suffix-runs")
     shared = staged(every.groupBy("name").count().where("count > 1").select("name"), "suffix-names")
-    runs_ = staged(every.join(small_broadcast(shared, p.broadcast_rows), "name", "left_semi"), "suffix-shared")
+    runs_ = staged(every.join(small_broadcast(shared, p.broadcast_bytes), "name", "left_semi"), "suffix-shared")
     one = staged(runs_.groupBy("name", "digest").agg(F.count("*").alias("copies"), F.min(F.struct("at", "th", "s", "e")).alias("r")), "suffix-distinct")
     copied = runs_.join(one.where("copies > 1").select("name", "digest"), ["name", "digest"], "left_semi").select("at", "th", "s", "e")
     several = staged(one.groupBy("name").count().where("count > 1").select("name"), "suffix-several")
-    need = staged(one.join(small_broadcast(several, p.broadcast_rows), "name", "left_semi").select("name", "copies", "r.*"), "suffix-need")
+    need = staged(one.join(small_broadcast(several, p.broadcast_bytes), "name", "left_semi").select("name", "copies", "r.*"), "suffix-need")
     total = need.agg(F.sum(F.col("e") - F.col("s") + p.length)).first()[0] or 0
     buckets = max(1, -(-int(total) // p.bucket_bytes))
 
     by_doc = need.groupBy("at", "th").agg(F.collect_list(F.struct("name", "copies", "s", "e")).alias("need"))
-    by_doc = small_broadcast(staged(by_doc, "suffix-by-doc"), p.broadcast_rows)
+    by_doc = small_broadcast(staged(by_doc, "suffix-by-doc"), p.broadcast_bytes)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, limit=4 << 20):
@@ -292,7 +300,7 @@ def remove_repeats(docs: DataFrame, p: SuffixParams = SuffixParams(), keep_bytes
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row (and ``kept``, the bytes that are left)."""
     ship(docs.sparkSession)
     found = staged(repeated_runs(docs, p).distinct().groupBy("at", "th").agg(F.collect_list(F.struct("s", "e")).alias("runs")), "suffix-found")
-    rows = _keyed(docs).join(small_broadcast(found, p.broadcast_rows), ["at", "th"], "left").select("doc_id", "text", "runs")
+    rows = _keyed(docs).join(small_broadcast(found, p.broadcast_bytes), ["at", "th"], "left").select("doc_id", "text", "runs")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):

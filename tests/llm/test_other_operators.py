@@ -92,7 +92,7 @@ def test_repeats_equal_brute_force(spark, odd_rows, no_docs):
         rows.append((300 + n, words(r, 20) + cut + (words(r, 30) + base[0][:430] if n % 5 == 0 else "")))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     want = sorted(zip([str(d) for d, _ in rows], *zip(*[x[:4] for x in _remove([(t or "").encode() for _, t in rows], 400)])))
-    for p in (suffix.SuffixParams(), suffix.SuffixParams(bucket_bytes=2_000, segment=900, broadcast_rows=0)):
+    for p in (suffix.SuffixParams(), suffix.SuffixParams(bucket_bytes=2_000, segment=900, broadcast_bytes=0)):
         got = suffix.remove_repeats(docs, p).collect()
         assert sorted((str(x["doc_id"]), x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got) == want
     assert suffix.remove_repeats(no_docs).count() == 0
@@ -268,7 +268,7 @@ def test_lines_equal_brute_force(spark, odd_docs, no_docs):
         rows.append((d, "\n".join([*lines, ""] if d % 3 else lines)))
     want = _dedup(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    for p in (line_dedup.LineParams(), line_dedup.LineParams(bucket_bits=4, first_codes=1, long_set=4, broadcast_rows=0)):
+    for p in (line_dedup.LineParams(), line_dedup.LineParams(bucket_bits=4, first_codes=1, long_set=4, broadcast_bytes=0)):
         assert {x["doc_id"]: x["text"] for x in line_dedup.dedup_lines(docs, p).collect()} == want
     out = line_dedup.drop_repeated_lines(odd_docs)
     assert out.columns == odd_docs.columns

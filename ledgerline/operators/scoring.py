@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import round_ratio
-from ledgerline.operators.velocity import attach, cents, per_second, trailing
+from ledgerline.operators.velocity import attach, cents, per_second, trailing_by_events
 from ledgerline.params import RiskParams
 
 
@@ -103,11 +103,12 @@ def gold_transactions(df: DataFrame) -> DataFrame:
 def trailing_outliers(df: DataFrame, days: int = 30, params: RiskParams = RiskParams()) -> DataFrame:
     """Z-score against the account's trailing ``days`` (current second excluded).
 
-    Uses the cell-partitioned rolling sums of ``velocity`` (exact counts,
-    sums and sums of squares), so a hot account is split by time.
+    Uses the running sums of ``velocity`` (exact counts, sums and sums of
+    squares) inside one-day cells, so a hot account is split by time and the
+    work is linear in its seconds.
     """
     ps = per_second(df)
-    tr = trailing(ps, days * 86400, ["n_amt", "s_amt", "s_sq"], exclude_current=True)
+    tr = trailing_by_events(ps, days * 86400, ["n_amt", "s_amt", "s_sq"], exclude_current=True)
     out = attach(df, tr)
     n = F.coalesce(F.col("n_amt_w"), F.lit(0)).cast("long")
     s_c, _, var = _stats_from_sums(n, F.col("s_amt_w"), F.col("s_sq_w"))

@@ -29,6 +29,9 @@ from ledgerline.functions.timefn import epoch_seconds
 from ledgerline.params import RiskParams
 
 SEC = "_sec"
+# Sliding frames cost up to the window's seconds a row; beyond this window the
+# event form is used, which gives the same sums.
+LONG_WINDOW_S = 3600
 
 
 def cents(amount: Column) -> Column:
@@ -84,6 +87,41 @@ def trailing(per_sec: DataFrame, window_s: int, value_cols: Sequence[str],
             .filter("_own").drop("_own"))
 
 
+def trailing_by_events(per_sec: DataFrame, window_s: int, value_cols: Sequence[str],
+                       exclude_current: bool = False, key: str = "account_id",
+                       cell_s: int = 86400) -> DataFrame:
+    """``trailing`` for long windows, linear in the seconds of an account.
+
+    A second's values enter at ``sec`` (one later with ``exclude_current``) and
+    leave at ``sec + window_s + 1``; the sum at a second is a running sum of
+    these events.  It runs inside cells of ``cell_s`` seconds, whatever the
+    window, and starts from the totals of the account's earlier cells.
+    Counts and decimals are exact, so the result equals the sliding frame.
+    """
+    sec = F.col(SEC)
+    moves = F.array(F.struct((sec + int(exclude_current)).alias("t"), F.lit(1).alias("sign")),
+                    F.struct((sec + int(window_s) + 1).alias("t"), F.lit(-1).alias("sign")),
+                    F.struct(sec.alias("t"), F.lit(0).alias("sign")))  # the second itself, asking
+    events = (per_sec.where(sec.isNotNull()).select(key, SEC, *value_cols, F.inline(moves))
+              .withColumn("_cell", F.floor(F.col("t") / F.lit(cell_s)).cast("long")))
+    for c in value_cols:
+        events = events.withColumns({f"_d_{c}": F.when(F.col("sign") > 0, F.col(c)).when(F.col("sign") < 0, -F.col(c)),
+                                     f"_n_{c}": F.when(F.col(c).isNotNull(), F.col("sign")).otherwise(0)})
+    parts = [f"_{x}_{c}" for c in value_cols for x in "dn"]
+    inside = (Window.partitionBy(key, "_cell").orderBy("t", F.col("sign") == 0)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    running = events.select(key, SEC, "_cell", "sign", *[F.sum(p).over(inside).alias(p) for p in parts]).where("sign = 0")
+    totals = events.groupBy(key, "_cell").agg(*[F.sum(p).alias(p) for p in parts])
+    earlier = Window.partitionBy(key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(F.col(key).alias("_k"), F.col("_cell").alias("_c"), *[F.sum(p).over(earlier).alias(f"{p}_before") for p in parts])
+    both = running.join(carried, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_cell") == F.col("_c")))
+    total = lambda p: F.coalesce(F.col(p), F.lit(0)) + F.coalesce(F.col(f"{p}_before"), F.lit(0))
+    timed = both.select(key, SEC, *[F.when(total(f"_n_{c}") > 0, total(f"_d_{c}")).alias(f"{c}_w") for c in value_cols])
+    # without a time a row is its own frame
+    untimed = per_sec.where(sec.isNull()).select(key, SEC, *[F.col(c).cast(timed.schema[f"{c}_w"].dataType).alias(f"{c}_w") for c in value_cols])
+    return timed.unionByName(untimed)
+
+
 def attach(rows: DataFrame, per_sec_out: DataFrame, ts_col: str = "transaction_ts",
            key: str = "account_id") -> DataFrame:
     """Join per-second results back to rows (null-safe on both keys)."""
@@ -108,5 +146,8 @@ def velocity_signals(df: DataFrame, params: RiskParams = RiskParams(),
                      cell_s: int | None = None) -> DataFrame:
     """Rolling count and sum per account plus the velocity flag."""
     ps = per_second(df)
-    tr = trailing(ps, params.velocity_window_s, ["n_id", "s_amt"], cell_s=cell_s)
+    if params.velocity_window_s > LONG_WINDOW_S and cell_s is None:
+        tr = trailing_by_events(ps, params.velocity_window_s, ["n_id", "s_amt"])
+    else:
+        tr = trailing(ps, params.velocity_window_s, ["n_id", "s_amt"], cell_s=cell_s)
     return velocity_columns(attach(df, tr), params)

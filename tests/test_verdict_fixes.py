@@ -99,3 +99,19 @@ def test_gold_rerun_leaves_no_stale_partitions(spark, tmp_path):
     assert got == {(day[0], "a/b", 4), (day[1], "EU", 3)}
     replace_days(spark, rows().where("false"), path, ["txn_date", "region"], day[1:])
     assert {r["v"] for r in spark.read.parquet(path).collect()} == {4}
+
+
+def test_long_windows_by_events_equal_the_sliding_frame(spark):
+    import random
+    from ledgerline.operators.velocity import SEC, trailing, trailing_by_events
+    r = random.Random(4)
+    rows = [(r.choice(["a", "b", None]), None if n % 50 == 0 else r.randint(0, 400_000), r.randint(1, 3), r.choice([None, 5, 7])) for n in range(400)]
+    rows = [(k, s, n, v) for (k, s), (n, v) in {(k, s): (n, v) for k, s, n, v in rows}.items()]
+    ps = spark.createDataFrame(rows, f"account_id string, {SEC} long, n_id long, s_amt long")
+    for window, excl in ((90_000, False), (90_000, True), (100, False)):
+        fast = trailing_by_events(ps, window, ["n_id", "s_amt"], excl, cell_s=50_000)
+        slow = trailing(ps, window, ["n_id", "s_amt"], excl)
+        key = lambda x: str(tuple(x))
+        assert sorted(map(tuple, fast.collect()), key=key) == sorted(map(tuple, slow.collect()), key=key)
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "RangeFrame" not in plan

@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ledgerline import schemas
+from ledgerline.functions.pan import was_redacted
+from ledgerline.operators.contract import STREAM_REQUIRED
 from ledgerline.operators.kpis import _kpi_aggs, _with_rate
 from ledgerline.params import RiskParams
 from ledgerline.runtime import bounded_broadcast, checkpoint_root
@@ -79,10 +81,16 @@ def start_event_stream(spark: SparkSession, src_dir: str, out_path: str,
     """One read, one routed write per micro-batch; counts observable
     in the query progress (``observedMetrics['routing']``)."""
     decoded = decode_envelope(read_event_stream(spark, src_dir, max_files_per_trigger))
+    complete = ~F.col("decode_error")
+    for name in STREAM_REQUIRED:
+        complete = complete & F.col(name).isNotNull()
     observed = decoded.observe(
         "routing",
         F.count(F.lit(1)).alias("events"),
-        F.count_if(F.col("decode_error")).alias("decode_failed"))
+        F.count_if(F.col("decode_error")).alias("decode_failed"),
+        F.count_if(complete).alias("valid"),
+        F.count_if(~complete & ~F.col("decode_error")).alias("schema_failed"),
+        F.count_if(was_redacted(F.col("card_number"))).alias("redacted"))
     ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/streams/events"
     w = (observed.writeStream.foreachBatch(route_batch(out_path, failed_at))
          .option("checkpointLocation", ckpt))

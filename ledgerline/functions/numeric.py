@@ -11,22 +11,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _idiv(x: Column, d: Column) -> Column:
-    """floor(x / d) for non-negative longs, exact below 2**53."""
-    return ((x - F.pmod(x, d)) / d).cast("long")
-
-
 def round_ratio(num: Column, den: Column, scale: int, factor: int = 1) -> Column:
     """round(num * factor / den, scale) with HALF_UP, NULL when den is 0.
 
     ``num`` and ``den`` must be integral; the result is a double.
     """
     p = 10 ** scale
-    den_l = den.cast("long")
-    a = F.abs(num).cast("long") * F.lit(2 * factor * p)
-    q = _idiv(a + den_l, den_l * 2)
-    signed = F.when(num < 0, -q).otherwise(q)
-    return F.when(den_l == 0, F.lit(None).cast("double")).otherwise(signed / F.lit(float(p)))
+    whole = "decimal(38,0)"
+    d = F.nullif(den.cast("decimal(22,0)"), F.lit(0).cast("decimal(22,0)"))
+    x = (F.abs(num).cast("decimal(30,0)") * F.lit(2 * factor * p).cast("decimal(7,0)")).cast(whole) + d
+    q = ((x - F.pmod(x, d * 2)) / (d * 2)).cast(whole)  # exact: a whole quotient
+    return F.when(num < 0, -q).otherwise(q).cast("double") / F.lit(float(p))
 
 
 def avg_of_scaled(values: Column, scale: int) -> tuple[Column, Column]:

@@ -6,39 +6,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import round_ratio
-from ledgerline.operators.velocity import attach, cents, per_second, trailing_by_events
+from ledgerline.operators.velocity import LIMB, attach, cents, per_second, square_limbs, trailing_by_events
 from ledgerline.params import RiskParams
 
 
-def _stats_from_sums(n: Column, s_amt: Column, s_sq: Column) -> tuple[Column, Column, Column]:
-    """(avg cents numerator, variance numerator, variance as double) from exact sums.
+def _moments(n: Column, s_amt: Column, s_sq: Column) -> tuple[Column, Column, Column, Column]:
+    """(sum of cents, whole mean m, remainder d, sum of squared deviations as double).
 
-    var_samp = (n * sum(x^2) - sum(x)^2) / (n (n - 1)), numerator exact.
+    The squares come in two limbs and are shifted by m before they become a
+    double, so neither large amounts nor many rows overflow or cancel:
+    sum (x - m)^2 = sum x^2 - n m^2 - 2 m d with sum x = n m + d.
     """
+    big = "decimal(38,0)"
+    rows = F.greatest(F.coalesce(n, F.lit(1)), F.lit(1)).cast("decimal(20,0)")
     s_c = cents(s_amt)
-    var_num = n.cast("decimal(38,0)") * s_sq - s_c * s_c
-    var = F.when(n > 1, var_num.cast("double") / (n * (n - 1)).cast("double") / F.lit(10000.0))
-    return s_c, var_num, var
+    d = F.pmod(s_c, rows).cast(big)
+    m = ((s_c - d) / rows).cast("decimal(20,0)")
+    m_hi, m_lo = square_limbs(m.cast("long"))
+    low = s_sq["lo"] - (rows * m_lo).cast(big) - (2 * m * d.cast("decimal(17,0)")).cast(big)
+    low_part = F.pmod(low, F.lit(LIMB).cast("decimal(19,0)"))
+    high = s_sq["hi"] - (rows * m_hi).cast(big) + ((low - low_part) / F.lit(LIMB).cast("decimal(19,0)")).cast(big)
+    shifted = high.cast("double") * F.lit(float(LIMB)) + low_part.cast("double")
+    return s_c, m, d, F.greatest(shifted - d.cast("double") * d.cast("double") / rows.cast("double"), F.lit(0.0))
+
+
+def _stats_from_sums(n: Column, s_amt: Column, s_sq: Column) -> tuple[Column, Column]:
+    """(sum of cents, sample variance as double)."""
+    s_c, _, _, ss = _moments(n, s_amt, s_sq)
+    return s_c, F.when(n > 1, ss / (n - 1).cast("double") / F.lit(10000.0))
 
 
 def outlier_test(amount: Column, n: Column, s_amt: Column, s_sq: Column, z: float) -> Column:
-    """std > 0 and |x - avg| / std > z, evaluated exactly on integers.
+    """std > 0 and |x - avg| / std > z, in doubles made from exact shifted sums.
 
-    Equivalent to (n - 1) (n x - sum)^2 > z^2 n (n sum(x^2) - sum^2); false
-    when the standard deviation is 0 or undefined (fewer than two rows).
+    False when the standard deviation is 0 or undefined (fewer than two rows).
     """
-    s_c = cents(s_amt)
-    dev = n.cast("decimal(38,0)") * cents(amount) - s_c
-    var_num = n.cast("decimal(38,0)") * s_sq - s_c * s_c
-    z2 = float(z) ** 2
-    if z2.is_integer():
-        lhs = (n - 1).cast("decimal(38,0)") * dev * dev
-        rhs = F.lit(int(z2)).cast("decimal(38,0)") * n.cast("decimal(38,0)") * var_num
-        test = lhs > rhs
-    else:
-        test = ((n - 1).cast("double") * (dev * dev).cast("double")
-                > F.lit(z2) * n.cast("double") * var_num.cast("double"))
-    return F.coalesce((n > 1) & (var_num > 0) & test, F.lit(False))
+    _, m, d, ss = _moments(n, s_amt, s_sq)
+    rows = n.cast("double")
+    off = (cents(amount) - m).cast("double") - d.cast("double") / rows
+    test = off * off * (rows - 1.0) > F.lit(float(z) ** 2) * ss
+    return F.when((n > 1) & (ss > 0) & amount.isNotNull(), test).otherwise(F.lit(False))
 
 
 def account_stats(df: DataFrame) -> DataFrame:
@@ -47,18 +54,18 @@ def account_stats(df: DataFrame) -> DataFrame:
     Partial (map-side) aggregation of exact sums: a hot account is combined
     on every map task before the shuffle.
     """
-    c = cents(F.col("amount"))
+    hi, lo = square_limbs(cents(F.col("amount")).cast("long"))
     agg = df.groupBy("account_id").agg(
         F.count("amount").alias("n_amt"),
         F.sum("amount").alias("s_amt"),
-        F.sum(c * c).alias("s_sq"))
-    return agg
+        F.sum(hi).alias("_hi"), F.sum(lo).alias("_lo"))
+    return agg.select("account_id", "n_amt", "s_amt", F.struct(F.col("_hi").alias("hi"), F.col("_lo").alias("lo")).alias("s_sq"))
 
 
 def stats_columns(df: DataFrame) -> DataFrame:
     """Readable avg/std (4 dp) from the exact sums."""
     n = F.col("n_amt")
-    s_c, _, var = _stats_from_sums(n, F.col("s_amt"), F.col("s_sq"))
+    s_c, var = _stats_from_sums(n, F.col("s_amt"), F.col("s_sq"))
     return df.select(
         "*",
         round_ratio(s_c, n * 100, 4).alias("avg_amount"),
@@ -108,15 +115,16 @@ def trailing_outliers(df: DataFrame, days: int = 30, params: RiskParams = RiskPa
     work is linear in its seconds.
     """
     ps = per_second(df)
-    tr = trailing_by_events(ps, days * 86400, ["n_amt", "s_amt", "s_sq"], exclude_current=True)
+    tr = trailing_by_events(ps, days * 86400, ["n_amt", "s_amt", "s_hi", "s_lo"], exclude_current=True)
     out = attach(df, tr)
     n = F.coalesce(F.col("n_amt_w"), F.lit(0)).cast("long")
-    s_c, _, var = _stats_from_sums(n, F.col("s_amt_w"), F.col("s_sq_w"))
+    s_sq = F.struct(F.col("s_hi_w").alias("hi"), F.col("s_lo_w").alias("lo"))
+    s_c, var = _stats_from_sums(n, F.col("s_amt_w"), s_sq)
     return out.select(
         "*",
         n.alias("prior_txn_count"),
         round_ratio(s_c, n * 100, 4).alias("trailing_avg"),
         F.round(F.sqrt(var), 4).alias("trailing_std"),
-        outlier_test(F.col("amount"), n, F.col("s_amt_w"), F.col("s_sq_w"), params.zscore)
+        outlier_test(F.col("amount"), n, F.col("s_amt_w"), s_sq, params.zscore)
         .alias("trailing_outlier_flag"),
-    ).drop("n_amt_w", "s_amt_w", "s_sq_w")
+    ).drop("n_amt_w", "s_amt_w", "s_hi_w", "s_lo_w")

@@ -39,15 +39,30 @@ def cents(amount: Column) -> Column:
     return (amount * 100).cast("decimal(38,0)")
 
 
+# Squares of cents are summed in two limbs: hi * LIMB + lo.
+LIMB = 10 ** 18
+
+
+def square_limbs(cents_: Column) -> tuple[Column, Column]:
+    """(hi, lo) of the square of a long of at most 18 digits, as decimals for exact sums."""
+    a = F.call_function("div", F.abs(cents_), F.lit(10 ** 9))
+    b = F.abs(cents_) % F.lit(10 ** 9)
+    mid = 2 * a * b
+    hi = a * a + F.call_function("div", mid, F.lit(10 ** 9))
+    lo = (mid % F.lit(10 ** 9)) * F.lit(10 ** 9) + b * b
+    return hi.cast("decimal(20,0)"), lo.cast("decimal(20,0)")
+
+
 def per_second(df: DataFrame, ts_col: str = "transaction_ts", key: str = "account_id") -> DataFrame:
     """(key, second) -> counts and exact sums used by every rolling signal."""
-    c = cents(F.col("amount"))
+    hi, lo = square_limbs(cents(F.col("amount")).cast("long"))
     return (df.withColumn(SEC, epoch_seconds(ts_col))
             .groupBy(key, SEC)
             .agg(F.count("transaction_id").alias("n_id"),
                  F.count("amount").alias("n_amt"),
                  F.sum("amount").alias("s_amt"),
-                 F.sum(c * c).alias("s_sq")))
+                 F.sum(hi.cast("decimal(28,0)")).alias("s_hi"),
+                 F.sum(lo.cast("decimal(28,0)")).alias("s_lo")))
 
 
 def default_cell(window_s: int) -> int:

@@ -115,3 +115,21 @@ def test_long_windows_by_events_equal_the_sliding_frame(spark):
         assert sorted(map(tuple, fast.collect()), key=key) == sorted(map(tuple, slow.collect()), key=key)
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "RangeFrame" not in plan
+
+
+def test_scoring_does_not_overflow(spark):
+    from decimal import Decimal
+    from statistics import mean, stdev
+    from ledgerline.operators import scoring
+    top = Decimal("9999999999999999.99")
+    amounts = [Decimal(f"{n % 7}.{n % 100:02d}") for n in range(300)] + [top, -top]
+    rows = [("a", x) for x in amounts] + [("b", top)] * 150 + [("c", top)] * 149 + [("c", top - Decimal("0.01"))] + [("d", None), ("e", Decimal("5.00"))]
+    df = spark.createDataFrame(rows, "account_id string, amount decimal(18,2)")
+    got = {r["account_id"]: r for r in scoring.stats_columns(scoring.account_stats(df)).collect()}
+    assert abs(got["a"]["std_amount"] / float(stdev(amounts)) - 1) < 1e-12
+    assert abs(got["a"]["avg_amount"] - float(mean(amounts))) < 1e-3
+    assert got["b"]["std_amount"] == 0.0 and abs(got["b"]["avg_amount"] / float(top) - 1) < 1e-15
+    assert got["c"]["std_amount"] == round(float(stdev([Decimal("0.01")] * 149 + [Decimal(0)])), 4)
+    assert got["d"]["std_amount"] is None and got["e"]["std_amount"] is None
+    out = scoring.amount_outliers(df).where("amount_outlier_flag").collect()
+    assert sorted((r["account_id"], r["amount"]) for r in out) == [("a", -top), ("a", top), ("c", top - Decimal("0.01"))]

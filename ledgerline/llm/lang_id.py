@@ -48,7 +48,7 @@ class PpmParams:
     max_langs: int = 64
     min_context: int = 8          # occurrences that a context needs to be a node
     max_nodes: int = 16_000
-    table_bytes: int = 192 << 20  # bound of the cost table
+    table_bytes: int = 96 << 20   # bound of the cost table
 
 
 @dataclass
@@ -109,7 +109,7 @@ def _build(counts, p: PpmParams) -> PpmModel:
 
     # nodes: the empty context, and the most frequent longer ones; a suffix of
     # a context is at least as frequent, so a node's parent is a node as well
-    room = max(1, min(p.max_nodes, p.table_bytes // (a1 * nl * 8)) - 1)
+    room = max(1, min(p.max_nodes, p.table_bytes // (a1 * nl * 4)) - 1)
     ctx = np.concatenate([(gram[k == j] >> 8) + (np.int64(j) << 32) for j in range(1, ORDER + 1)])
     uniq, inv = np.unique(ctx, return_inverse=True)
     total = np.bincount(inv, np.concatenate([n[k == j] for j in range(1, ORDER + 1)]), len(uniq)) if len(uniq) else np.zeros(0)
@@ -153,7 +153,7 @@ def _build(counts, p: PpmParams) -> PpmModel:
         node[:, back[(code >> 8) & 255], back[code & 255]] = node_of[int(code)]
     for code in by_len[3]:
         node[back[(code >> 16) & 255], back[(code >> 8) & 255], back[code & 255]] = node_of[int(code)]
-    return PpmModel(langs, symbol.astype(np.int32), node.reshape(-1), bits, a1)
+    return PpmModel(langs, symbol.astype(np.int32), node.reshape(-1), bits.astype(np.float32), a1)
 
 
 def code_lengths(model: PpmModel, docs: list[bytes], chunk: int = 1 << 19) -> np.ndarray:
@@ -175,7 +175,7 @@ def code_lengths(model: PpmModel, docs: list[bytes], chunk: int = 1 << 19) -> np
         if len(which):
             # pairs (start, end); the sums over separators between documents are dropped
             edges = np.append(cut.reshape(-1), len(cost)) if cut[-1, 1] < len(cost) else cut.reshape(-1)[:-1]
-            out[which] += np.add.reduceat(cost, edges, axis=0)[: 2 * len(which): 2]
+            out[which] += np.add.reduceat(cost, edges, axis=0, dtype=np.float64)[: 2 * len(which): 2]
     return out
 
 

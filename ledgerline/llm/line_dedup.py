@@ -18,9 +18,9 @@ DataFrame functions only:
    positional filter and a parity filter: the sets' parity words differ in at
    most as many bits as the sets in tokens.  Long sets have three 64-bit words,
    whose exclusive or is the one word of a short set.
-4. First only the earliest set of each of the rarest codes is a partner.  That
-   removes nearly all of a group of variants with one candidate for each set.
-   Sets that are left are joined with all earlier ones.
+4. First only the few earliest sets of some codes of the prefix are partners,
+   which removes nearly all of a group of variants with a bounded number of
+   candidates for each set.  Sets that are left are joined with all earlier ones.
 5. Candidates are verified on the whole token sets.
 
 Rows that share a doc_id, or have none (they come last), are versions of one
@@ -32,7 +32,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import small_broadcast, staged
@@ -47,7 +47,8 @@ class LineParams:
     den: int = 5
     bucket_bits: int = 16            # rarity is counted in 2 ** bucket_bits hash buckets
     long_set: int = 96               # tokens from which a set has three parity words
-    first_codes: int = 2             # rarest codes whose earliest set is tried first
+    first_codes: int = 4             # prefix codes, spread over it, whose earliest sets are tried first
+    first_sets: int = 8              # how many of them
     broadcast_bytes: int = 24 << 20  # size check of the stored lists that are broadcast
 
 
@@ -139,10 +140,13 @@ def surviving_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     classes = frequency_classes(docs, p)
     sets = staged(token_sets(docs, classes, p), "line-sets")
     meta = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft((F.col("i") + 1).cast("long"), 1))
-    rows = lambda s, codes: s.select("*", F.posexplode(codes).alias("i", "code")).select("code", "at", "no", "p1", "p2", "p3", meta.alias("meta"))
-    early = rows(sets, F.slice("prefix", 1, p.first_codes))
-    first = staged(early.groupBy("code").agg(F.min(F.struct("at", "no", "p1", "p2", "p3", "meta")).alias("f"), F.count("*").alias("c")).where("c > 1")
-                   .select("code", "f.*"), "line-first")
+    size, k = F.size("prefix"), F.lit(p.first_codes - 1)
+    spread = F.array_distinct(F.transform(F.sequence(F.lit(0), k), lambda j: F.floor(j * (size - 1) / F.greatest(k, F.lit(1))).cast("int")))
+    early = (sets.select("*", spread.alias("picked"), F.posexplode("prefix").alias("i", "code")).where(F.array_contains("picked", F.col("i")))
+             .select("code", "at", "no", "p1", "p2", "p3", meta.alias("meta")))
+    order = Window.partitionBy("code").orderBy("at", "no")  # cut to first_sets a task before the shuffle
+    first = early.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= p.first_sets)
+    first = staged(first.withColumn("c", F.count("*").over(Window.partitionBy("code"))).where("c > 1").drop("rn", "c"), "line-first")
     done = staged(_verified(_candidates(first, early, p), docs, classes, p), "line-done").withColumn("done", F.lit(1).cast("long"))
     marked = sets.join(small_broadcast(done, p.broadcast_bytes), ["at", "no"], "left")
     meta = meta.bitwiseOR(F.col("done"))

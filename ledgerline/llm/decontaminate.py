@@ -1,14 +1,15 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Words are ``\\w+`` of the lower-cased text.  A seed is a fixed mask over eight
+Words are ``\\w+`` of the lower-cased text.  A seed is a fixed mask over a few
 word positions; its hash leaves the positions marked 0 out, so that a changed
-word there still hits.  The two masks of the defaults hit every overlap of 13
-words with up to two substituted ones (checked over all placements in the tests).
+word there still hits.  The two masks of the defaults hit every stretch of eight
+or more words of which 80 % agree: k changed words leave k + 1 runs, one of them
+of four words if k >= 4, and the tests go through all placements up to 25 words.
 
 Each hit puts document and item on a diagonal.  All words of both on that
-diagonal are compared, and the longest stretch in which at least ``equal`` of
-the words agree counts if it has ``min_words`` words (or the whole of a shorter
-item).  Insertions shift the diagonal; the parts on either side count by
+diagonal are compared (diagonals with too few equal words in all are passed
+over), and the longest stretch in which at least ``equal`` of the words agree
+counts if it has ``min_words`` words (or the whole of a shorter item).  Insertions shift the diagonal; the parts on either side count by
 themselves.
 
 The benchmark's seeds are broadcast in blocks of items that hold about
@@ -39,11 +40,12 @@ WORD = re.compile(r"\w+")
 
 @dataclass(frozen=True)
 class SeedParams:
-    masks: tuple[str, ...] = ("11101011", "11001111")
+    masks: tuple[str, ...] = ("1111", "11011")  # sized for equal and min_item_words
     min_words: int = 13
     equal: float = 0.8
     min_item_words: int = 8
     block_words: int = 2_000_000
+    hits_at_once: int = 1 << 17   # seed hits of a document that are looked at together
 
 
 @dataclass
@@ -51,6 +53,8 @@ class SeedIndex:
     vocab: dict[str, int]
     item_ids: list
     items: list[np.ndarray]       # word ids
+    flat: np.ndarray              # the same, joined, and where each item begins
+    begin: np.ndarray
     hashes: list[np.ndarray]      # of each mask, sorted
     item: list[np.ndarray]        # item and position of each hash
     pos: list[np.ndarray]
@@ -74,7 +78,8 @@ def build_index(rows: list[tuple], p: SeedParams) -> SeedIndex:
     vocab: dict[str, int] = {}
     kept = [(i, w) for i, t in rows if len(w := words(t or "")) >= p.min_item_words]
     items = [np.array([vocab.setdefault(x, len(vocab)) for x in w], np.int64) for _, w in kept]
-    index = SeedIndex(vocab, [i for i, _ in kept], items, [], [], [])
+    flat = np.concatenate(items) if items else np.zeros(0, np.int64)
+    index = SeedIndex(vocab, [i for i, _ in kept], items, flat, np.cumsum([0, *map(len, items)]), [], [], [])
     for mask in p.masks:
         per = [_seed_hashes(x, mask) for x in items]
         h = np.concatenate(per) if per else np.zeros(0, np.uint64)
@@ -102,12 +107,10 @@ def longest_stretch(same: np.ndarray, equal: float) -> tuple[int, int]:
     return best
 
 
-def overlaps(text: str, index: SeedIndex, p: SeedParams) -> list[tuple[int, int, int, int, int]]:
-    """(item, start in the document, start in the item, words, equal words): the longest of each item."""
-    get = index.vocab.get
-    ids = np.array([get(w, -1) for w in words(text)], np.int64)
+def _hits(ids: np.ndarray, index: SeedIndex, p: SeedParams) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(item, shift) of the seed hits, some ``hits_at_once`` together, distinct in each."""
     known = np.concatenate([[0], np.cumsum(ids >= 0)])
-    diagonals: set[tuple[int, int]] = set()
+    span = len(ids) + 1 + int(np.diff(index.begin).max(initial=0))
     for mask, hashes, item, pos in zip(p.masks, index.hashes, index.item, index.pos):
         n = len(ids) - len(mask) + 1
         if n <= 0 or not len(hashes):
@@ -116,18 +119,43 @@ def overlaps(text: str, index: SeedIndex, p: SeedParams) -> list[tuple[int, int,
         if not len(at):
             continue
         h = _seed_hashes(ids, mask)[at]
-        lo, hi = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
-        for a, x, y in zip(at[hi > lo], lo[hi > lo], hi[hi > lo]):
-            diagonals.update((int(item[k]), int(a - pos[k])) for k in range(x, y))
-    best: dict[int, tuple[int, int, int, int]] = {}
-    for i, shift in sorted(diagonals):
-        w = index.items[i]
-        lo, hi = max(0, -shift), min(len(w), len(ids) - shift)
-        same = ids[lo + shift:hi + shift] == w[lo:hi]
-        a, b = longest_stretch(same, p.equal)
-        if b - a >= min(p.min_words, len(w)) and b - a > best.get(i, (0, 0, 0, 0))[2]:
-            best[i] = (lo + shift + a, lo + a, b - a, int(same[a:b].sum()))
-    return [(i, *x) for i, x in sorted(best.items())]
+        lo = np.searchsorted(hashes, h, "left")
+        on = np.flatnonzero(hashes[np.minimum(lo, len(hashes) - 1)] == h)
+        at, lo = at[on], lo[on]
+        ends = np.cumsum(np.searchsorted(hashes, h[on], "right") - lo)  # of each position's hits
+        for first in range(0, int(ends[-1]) if len(ends) else 0, p.hits_at_once):
+            k = np.arange(first, min(first + p.hits_at_once, int(ends[-1])))
+            own = np.searchsorted(ends, k, "right")
+            k = lo[own] + k - np.where(own > 0, ends[own - 1], 0)
+            key = np.unique(item[k] * (2 * span) + (at[own] - pos[k] + span))
+            yield key // (2 * span), key % (2 * span) - span
+
+
+def overlaps(text: str, index: SeedIndex, p: SeedParams) -> list[tuple[int, int, int, int, int]]:
+    """(item, start in the document, start in the item, words, equal words): the longest of each item."""
+    get = index.vocab.get
+    ids = np.array([get(w, -1) for w in words(text)], np.int64)
+    best: dict[int, tuple[int, int, int, int, int]] = {}
+    for item, shift in _hits(ids, index, p):
+        length = index.begin[item + 1] - index.begin[item]
+        lo, hi = np.maximum(0, -shift), np.minimum(length, len(ids) - shift)
+        wanted = np.minimum(p.min_words, length)
+        few = max(1, p.hits_at_once * 4 // int((hi - lo).max()))  # diagonals whose words are compared at once
+        for x in range(0, len(item), few):
+            i, s, a, n = item[x:x + few], shift[x:x + few], lo[x:x + few], (hi - lo)[x:x + few]
+            ends = np.cumsum(n)
+            step = np.arange(ends[-1]) - np.repeat(ends - n, n) + np.repeat(a, n)
+            same = ids[step + np.repeat(s, n)] == index.flat[step + np.repeat(index.begin[i], n)]
+            total = np.add.reduceat(same.astype(np.int64), ends - n)
+            for k in np.flatnonzero(total >= p.equal * wanted[x:x + few] - 1e-9).tolist():
+                on = same[ends[k] - n[k]:ends[k]]
+                b, c = longest_stretch(on, p.equal)
+                if c - b < wanted[x + k]:
+                    continue
+                at, old = int(s[k]), best.get(int(i[k]))
+                if old is None or (old[2], -old[4]) < (c - b, -at):  # of equal ones that of the least shift
+                    best[int(i[k])] = (int(a[k] + s[k] + b), int(a[k] + b), c - b, int(on[b:c].sum()), at)
+    return [(i, *x[:4]) for i, x in sorted(best.items())]
 
 
 def _blocks(benchmark: DataFrame, p: SeedParams) -> Iterator[SeedIndex]:

@@ -170,6 +170,31 @@ def test_masks_hit_every_two_substitutions():
             assert any(not any(a + i in bad for i, c in enumerate(m) if c == "1") for m in p.masks for a in range(p.min_words - len(m) + 1)), bad
 
 
+def test_masks_hit_every_accepted_placement():
+    p = decontaminate.SeedParams()
+    used = [[sum(1 << a + i for i, c in enumerate(m) if c == "1") for a in range(26 - len(m))] for m in p.masks]
+    for n in range(p.min_item_words, 26):
+        seeds = [s for row in used for s in row if s < 1 << n]
+        for bad in itertools.combinations([1 << i for i in range(1, n - 1)], int((1 - p.equal) * n + 1e-9)):
+            changed = sum(bad)
+            assert any(not s & changed for s in seeds), (n, f"{changed:b}")
+
+
+def test_accepted_overlaps_are_found_at_all_lengths():
+    r = random.Random(12)
+    item = [f"w{n}" for n in range(60)]
+    for p in (decontaminate.SeedParams(), decontaminate.SeedParams(hits_at_once=3)):
+        for n in range(8, 26):
+            for _ in range(30):
+                part = list(item[:n]) if n < 13 else list(item[20:20 + n])
+                changed = r.sample(range(1, n - 1), n // 5)
+                for at in changed:
+                    part[at] = "other"
+                index = decontaminate.build_index([(7, " ".join(item[:n] if n < 13 else item))], p)
+                got = decontaminate.overlaps(" ".join(["x"] * 5 + part + ["x"] * 5), index, p)
+                assert got == [(0, 5, 0 if n < 13 else 20, n, n - n // 5)], (n, changed)
+
+
 def _stretch(same, equal):
     best = (0, 0)
     for a in range(len(same)):

@@ -2,7 +2,7 @@
 
 Lines are cut at ``\\n``; a line's tokens are its distinct lower-cased words
 between white space.  A line is removed if an earlier line, by (doc_id, line
-number), has a Jaccard similarity of at least ``num/den`` (0.8); the earlier
+number, see below for rows that share a doc_id), has a Jaccard similarity of at least ``num/den`` (0.8); the earlier
 line counts whether or not it stays.  Lines without a token always stay.
 
 DataFrame functions only:
@@ -23,9 +23,10 @@ DataFrame functions only:
    candidates for each set.  Sets that are left are joined with all earlier ones.
 5. Candidates are verified on the whole token sets.
 
-Rows that share a doc_id, or have none (they come last), are versions of one
-document: lines at the same line number tie, don't remove each other, and
-stay or go together.  Null text has no lines and stays null.
+A document's place is its doc_id (none comes last), then, among rows that share
+a doc_id with different texts or have none, the text's hash ``th``.  Exact copies
+of a row have one place: their lines at the same line number tie, don't remove
+each other, and stay or go together.  Null text has no lines and stays null.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import small_broadcast, staged
 
 LAST = (1 << 63) - 1
+LINE = ["at", "th", "no"]  # names a line: its document's place and its number
 CODE_BITS = 58  # of a word's hash in its code; five bits above hold the frequency class
 
 
@@ -56,9 +58,21 @@ def _words(line: Column) -> Column:
     return F.split(F.translate(F.lower(line), "\t\r\x0b\x0c", "    "), " ")
 
 
+def placed(docs: DataFrame, p: LineParams) -> DataFrame:
+    """``docs`` and their place: __at (doc_id, null last), __th (hash of the text; 0 if no other text has the doc_id).
+
+    The zeros keep the sets small in shuffles.
+    """
+    th = F.xxhash64("text")
+    several = docs.where("doc_id is not null and text is not null").groupBy(F.col("doc_id").cast("long").alias("__at")).agg(F.min(th).alias("a"), F.max(th).alias("b"))
+    several = staged(several.where("a <> b").select("__at", F.lit(True).alias("__several")), "line-several")
+    rows = docs.withColumn("__at", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).join(small_broadcast(several, p.broadcast_bytes), "__at", "left")
+    return rows.withColumn("__th", F.when(F.col("doc_id").isNull() | F.col("__several"), th).otherwise(F.lit(0).cast("long"))).drop("__several")
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """at (doc_id, null last), no, line of every line."""
-    return docs.where("text is not null").select(F.coalesce("doc_id", F.lit(LAST)).alias("at"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    """at, th, no, line of every line of placed documents."""
+    return docs.where("text is not null").select(F.col("__at").alias("at"), F.col("__th").alias("th"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
 
 
 def frequency_classes(docs: DataFrame, p: LineParams) -> Column:
@@ -92,12 +106,12 @@ def _parity(codes: Column) -> Column:
 
 
 def token_sets(docs: DataFrame, classes: Column, p: LineParams) -> DataFrame:
-    """One row for each distinct token set: its earliest line (at, no), size n, parity word and prefix codes."""
-    coded = _lines(docs).select("at", "no", token_codes(F.col("line"), classes, p).alias("codes")).where(F.size("codes") > 0)
+    """One row for each distinct token set: its earliest line (at, th, no), size n, parity word and prefix codes."""
+    coded = _lines(docs).select("at", "th", "no", token_codes(F.col("line"), classes, p).alias("codes")).where(F.size("codes") > 0)
     n = F.size("codes")
     part = lambda k: F.when(n >= p.long_set, _parity(F.filter("codes", lambda c: F.pmod(F.shiftright(c, 6), F.lit(3)) == k))).otherwise(0)
     coded = coded.withColumns({"all": _parity(F.col("codes")), "p2": part(1), "p3": part(2)})
-    row = F.struct("at", "no", n.alias("n"), F.col("all").bitwiseXOR(F.col("p2")).bitwiseXOR(F.col("p3")).alias("p1"), "p2", "p3",
+    row = F.struct("at", "th", "no", n.alias("n"), F.col("all").bitwiseXOR(F.col("p2")).bitwiseXOR(F.col("p3")).alias("p1"), "p2", "p3",
                    F.slice("codes", 1, n - _ceil_div(n * p.num, p.den) + 1).alias("prefix"))
     return (coded.groupBy(F.xxhash64("codes").alias("d1"), F.xxhash64(F.lit(7), F.col("codes")).alias("d2"))
             .agg(F.min(row).alias("s")).select("s.*"))
@@ -109,61 +123,63 @@ def _candidates(x: DataFrame, y: DataFrame, p: LineParams) -> DataFrame:
     ix, iy = F.shiftright("x.meta", 1).bitwiseAND(0x7FFFFFFF), F.shiftright("y.meta", 1).bitwiseAND(0x7FFFFFFF)
     done = F.col("y.meta").bitwiseAND(1) * (1 << 40)  # beside nx, so that both sides keep one exchange
     overlap = F.floor(((nx + ny) * p.num + (p.num + p.den - 1)) / (p.num + p.den))
-    earlier = (F.col("x.at") < F.col("y.at")) | ((F.col("x.at") == F.col("y.at")) & (F.col("x.no") < F.col("y.no")))
+    earlier = F.lit(False)
+    for c in reversed(LINE):
+        earlier = (F.col(f"x.{c}") < F.col(f"y.{c}")) | ((F.col(f"x.{c}") == F.col(f"y.{c}")) & earlier)
     d1, d2, d3 = (F.col(f"x.p{k}").bitwiseXOR(F.col(f"y.p{k}")) for k in (1, 2, 3))
     folded = F.bit_count(d1.bitwiseXOR(d2).bitwiseXOR(d3))
     apart = F.when(F.least(nx, ny) >= p.long_set, F.bit_count(d1) + F.bit_count(d2) + F.bit_count(d3)).otherwise(folded)
     on = ((F.col("x.code") == F.col("y.code")) & earlier & ((nx + done) * p.num <= ny * p.den) & (ny * p.num <= nx * p.den)
           & (1 + F.least(nx - ix, ny - iy) >= overlap) & (apart <= nx + ny - 2 * overlap))
-    return x.alias("x").join(y.alias("y"), on).select(F.col("x.at").alias("xat"), F.col("x.no").alias("xno"), F.col("y.at").alias("yat"), F.col("y.no").alias("yno")).distinct()
+    return x.alias("x").join(y.alias("y"), on).select(*[F.col(f"{s}.{c}").alias(s + c) for s in "xy" for c in LINE]).distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: Column, p: LineParams) -> DataFrame:
-    """(at, no) of the later lines of the candidate pairs that are similar indeed."""
+    """at, th, no of the later lines of the candidate pairs that are similar indeed."""
     pairs = staged(pairs, "line-pairs")
-    need = pairs.select(F.col("xat").alias("at"), F.col("xno").alias("no")).union(pairs.select("yat", "yno")).distinct()
-    need = small_broadcast(staged(need.groupBy("at").agg(F.collect_list("no").alias("nos")), "line-need"), p.broadcast_bytes)
-    by_doc = docs.where("text is not null").select(F.coalesce("doc_id", F.lit(LAST)).alias("at"), "text").join(need, "at")
-    # null doc_ids and repeated rows share a position; a position's sets are told apart by min below
-    codes = by_doc.select("at", F.posexplode(F.split("text", "\n")).alias("no", "line"), "nos").where(F.array_contains("nos", F.col("no")))
-    codes = codes.select("at", "no", token_codes(F.col("line"), classes, p).alias("codes")).distinct()
+    need = pairs.select(*[F.col("x" + c).alias(c) for c in LINE]).union(pairs.select(*["y" + c for c in LINE])).distinct()
+    need = small_broadcast(staged(need.groupBy("at", "th").agg(F.collect_list("no").alias("nos")), "line-need"), p.broadcast_bytes)
+    by_doc = docs.where("text is not null").select(F.col("__at").alias("at"), F.col("__th").alias("th"), "text").join(need, ["at", "th"])
+    codes = by_doc.select("at", "th", F.posexplode(F.split("text", "\n")).alias("no", "line"), "nos").where(F.array_contains("nos", F.col("no")))
+    codes = codes.select("at", "th", "no", token_codes(F.col("line"), classes, p).alias("codes")).distinct()  # exact copies share a place
     codes = staged(codes, "line-codes")
-    x = codes.select(F.col("at").alias("xat"), F.col("no").alias("xno"), F.col("codes").alias("xc"))
-    y = codes.select(F.col("at").alias("yat"), F.col("no").alias("yno"), F.col("codes").alias("yc"))
+    x = codes.select(*[F.col(c).alias("x" + c) for c in LINE], F.col("codes").alias("xc"))
+    y = codes.select(*[F.col(c).alias("y" + c) for c in LINE], F.col("codes").alias("yc"))
     shared = F.size(F.array_intersect("xc", "yc"))
     similar = shared * (p.num + p.den) >= (F.size("xc") + F.size("yc")) * p.num
-    return pairs.join(x, ["xat", "xno"]).join(y, ["yat", "yno"]).where(similar).select(F.col("yat").alias("at"), F.col("yno").alias("no")).distinct()
+    return pairs.join(x, ["x" + c for c in LINE]).join(y, ["y" + c for c in LINE]).where(similar).select(*[F.col("y" + c).alias(c) for c in LINE]).distinct()
 
 
 def surviving_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
-    """(at, no) of the lines with tokens that stay."""
+    """at, th, no of the lines with tokens that stay; ``docs`` are placed."""
     classes = frequency_classes(docs, p)
     sets = staged(token_sets(docs, classes, p), "line-sets")
     meta = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft((F.col("i") + 1).cast("long"), 1))
     size, k = F.size("prefix"), F.lit(p.first_codes - 1)
     spread = F.array_distinct(F.transform(F.sequence(F.lit(0), k), lambda j: F.floor(j * (size - 1) / F.greatest(k, F.lit(1))).cast("int")))
     early = (sets.select("*", spread.alias("picked"), F.posexplode("prefix").alias("i", "code")).where(F.array_contains("picked", F.col("i")))
-             .select("code", "at", "no", "p1", "p2", "p3", meta.alias("meta")))
-    order = Window.partitionBy("code").orderBy("at", "no")  # cut to first_sets a task before the shuffle
+             .select("code", *LINE, "p1", "p2", "p3", meta.alias("meta")))
+    order = Window.partitionBy("code").orderBy(*LINE)  # cut to first_sets a task before the shuffle
     first = early.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= p.first_sets)
     first = staged(first.withColumn("c", F.count("*").over(Window.partitionBy("code"))).where("c > 1").drop("rn", "c"), "line-first")
     done = staged(_verified(_candidates(first, early, p), docs, classes, p), "line-done").withColumn("done", F.lit(1).cast("long"))
-    marked = sets.join(small_broadcast(done, p.broadcast_bytes), ["at", "no"], "left")
+    marked = sets.join(small_broadcast(done, p.broadcast_bytes), LINE, "left")
     meta = meta.bitwiseOR(F.col("done"))
     code = (marked.withColumn("done", F.coalesce("done", F.lit(0).cast("long"))).select("*", F.posexplode("prefix").alias("i", "code"))
-            .select("code", "at", "no", "p1", "p2", "p3", meta.alias("meta")))
+            .select("code", *LINE, "p1", "p2", "p3", meta.alias("meta")))
     more = staged(_verified(_candidates(code, code, p), docs, classes, p), "line-more")
-    gone = small_broadcast(staged(done.select("at", "no").union(more), "line-gone"), p.broadcast_bytes)
-    return sets.select("at", "no").join(gone, ["at", "no"], "left_anti")
+    gone = small_broadcast(staged(done.select(*LINE).union(more.select(*LINE)), "line-gone"), p.broadcast_bytes)
+    return sets.select(*LINE).join(gone, LINE, "left_anti")
 
 
 def _with_left(docs: DataFrame, p: LineParams) -> DataFrame:
     """``docs`` and __left, the lines that stay (null for null text)."""
-    kept = staged(surviving_lines(docs, p).groupBy("at").agg(F.collect_set("no").alias("__kept")), "line-kept").withColumnRenamed("at", "__at")
+    docs = placed(docs, p)
+    kept = staged(surviving_lines(docs, p).groupBy(F.col("at").alias("__at"), F.col("th").alias("__th")).agg(F.collect_set("no").alias("__kept")), "line-kept")
     blank = lambda x: F.trim(F.translate(x, "\t\r\x0b\x0c", "    ")) == ""
     stays = lambda x, i: blank(x) | F.coalesce(F.array_contains("__kept", i), F.lit(False))
-    return (docs.withColumn("__at", F.coalesce("doc_id", F.lit(LAST))).join(small_broadcast(kept, p.broadcast_bytes), "__at", "left")
-            .withColumn("__left", F.filter(F.split("text", "\n"), stays)).drop("__at", "__kept"))
+    return (docs.join(small_broadcast(kept, p.broadcast_bytes), ["__at", "__th"], "left")
+            .withColumn("__left", F.filter(F.split("text", "\n"), stays)).drop("__at", "__th", "__kept"))
 
 
 def dedup_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:

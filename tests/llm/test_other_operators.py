@@ -278,6 +278,24 @@ def test_lines_equal_brute_force(spark, odd_docs, no_docs):
     assert line_dedup.dedup_lines(no_docs).count() == 0
 
 
+def test_lines_of_null_and_repeated_ids_are_told_apart(spark):
+    r = random.Random(21)
+    pool = [words(r, 20) for _ in range(12)]
+    near = lambda k: pool[k] + " changed"
+    rows = [(1, pool[0]), (2, pool[1]), (None, near(0) + "\n" + pool[2]), (None, pool[3] + "\n" + pool[4]), (None, pool[5]), (None, pool[5] + "\n" + near(4)),
+            (None, pool[8]), (None, pool[8]), (7, near(1) + "\n" + pool[6]), (7, pool[7] + "\n" + pool[7]), (7, pool[9]), (7, pool[9]), (8, near(6)), (8, pool[10])]
+    docs = spark.createDataFrame([(d, t, n) for n, (d, t) in enumerate(rows)], "doc_id long, text string, n int").repartition(3)
+    th = {x["n"]: x["th"] for x in docs.selectExpr("n", "xxhash64(text) th").collect()}
+    place = [(d is None, d or 0, th[n]) for n, (d, _) in enumerate(rows)]
+    lines = [(place[n], k, line, set(line.split())) for n, (_, t) in enumerate(rows) for k, line in enumerate(t.split("\n"))]
+    gone = {(a, k) for a, k, _, w in lines if any((b, m) < (a, k) and len(v & w) * 9 >= (len(v) + len(w)) * 4 for b, m, _, v in lines)}
+    want = sorted((str(d), "\n".join(x for k, x in enumerate(t.split("\n")) if (place[n], k) not in gone)) for n, (d, t) in enumerate(rows))
+    for p in (line_dedup.LineParams(), line_dedup.LineParams(bucket_bits=4, broadcast_bytes=0)):
+        assert sorted((str(x["doc_id"]), x["text"]) for x in line_dedup.dedup_lines(docs, p).collect()) == want
+    left = {x["n"] for x in line_dedup.drop_repeated_lines(docs).collect()}
+    assert left == {n for n, (_, t) in enumerate(rows) if any((place[n], k) not in gone for k in range(len(t.split("\n"))))}
+
+
 # ---- pipeline ---------------------------------------------------------------------------
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")

@@ -10,8 +10,13 @@ else; strings never cross documents.
    Only equal names can hold equal windows.  Names that occur once are done with.
 2. Copies: runs with equal bytes (128-bit digest) are repeated as a whole, and
    stand once in what follows, however many there are.
+   A name whose distinct runs hold more than ``bucket_bytes`` (a passage shorter
+   than a window in many documents) is refined: its runs are cut into ranges of
+   starts at fixed distances of the anchor, ``refine`` wide in turn, each named by
+   the longer core that all its windows hold, and step 2 is done again.  A last
+   width of 1 compares whole windows, so that nothing of such a name is left to sort.
 3. Sort: the distinct runs of names that have several are dealt by name into
-   buckets of about ``bucket_bytes``.  Their text is parsed into phrases that end where
+   buckets of about ``bucket_bytes``; no name brings more than that.  Their text is parsed into phrases that end where
    the following bytes say so (the same in every copy), and phrases are ranked in
    byte order together with the bytes that decided their end, so that the order
    of phrase sequences is the byte order of the suffixes.  ``suffix_order`` sorts
@@ -54,6 +59,7 @@ class SuffixParams:
     mean_phrase: int = 16            # a power of two
     max_phrase: int = 128
     bucket_bytes: int = 2 << 20
+    refine: tuple[int, ...] = (25, 1)  # starts in a range of a refined run; ends in 1
     segment: int = 4 << 20           # bytes of a document that are cut at once
     broadcast_bytes: int = 24 << 20  # size check of the stored lists that are broadcast
 
@@ -93,16 +99,31 @@ def runs(b: np.ndarray, p: SuffixParams) -> Iterator[tuple[int, int, int]]:
             yield max(s, mid + 1), e, a
 
 
-def _cut(text: bytes, p: SuffixParams) -> Iterator[tuple[int, int, int, bytes]]:
-    """(name, first start, last start, digest of the bytes) of each run of a document."""
+def _digest(kept: bytes, before: int) -> bytes:
+    """Of a run's bytes; the anchor's offset is part of the run."""
+    return hashlib.blake2b(kept, digest_size=16, salt=before.to_bytes(4, "little")).digest()
+
+
+def _cut(text: bytes, p: SuffixParams) -> Iterator[tuple[int, int, int, bytes, int]]:
+    """(name, first start, last start, digest of the bytes, anchor) of each run of a document."""
     for at in range(0, max(1, len(text) - p.length + 1), p.segment):
         part = text[at:at + p.segment + p.length - 1]
         for s, e, a in runs(np.frombuffer(part, np.uint8), p):
             core = part[a - p.band:a + p.gram] if s <= a - p.band else part[a:a + p.length - p.band]
             kept = part[s:e + p.length]
-            # the anchor's offset is part of the run
-            yield (xxhash.xxh64_intdigest(core, 1 + (s <= a - p.band)) - (1 << 63), at + s, at + e,
-                   hashlib.blake2b(kept, digest_size=16, salt=(a - s).to_bytes(4, "little")).digest())
+            yield xxhash.xxh64_intdigest(core, 1 + (s <= a - p.band)) - (1 << 63), at + s, at + e, _digest(kept, a - s), at + a
+
+
+def _refined(kept: bytes, before: int, width: int, p: SuffixParams) -> Iterator[tuple[int, int, int, bytes]]:
+    """(name, first start, last start, digest) of the ranges of a run's starts.
+
+    ``kept`` has the anchor at ``before``; starts count in it.  Range k holds the starts k width to (k + 1) width - 1 bytes before the anchor.
+    """
+    n = len(kept) - p.length + 1
+    for k in range((before - n + 1) // width, before // width + 1):
+        s, e = max(0, before - (k + 1) * width + 1), min(n - 1, before - k * width)
+        core = kept[before - k * width:before - (k + 1) * width + 1 + p.length]
+        yield xxhash.xxh64_intdigest(core, 3 + k) - (1 << 63), s, e, _digest(kept[s:e + p.length], before - s)
 
 
 # ---- suffix sorting -----------------------------------------------------------
@@ -255,25 +276,53 @@ def repeated_runs(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFram
         for b in slices(batches, limit=4 << 20):
             rows = [(k, *r) for k, t in enumerate(texts(b)) if len(t) >= p.length for r in _cut(t, p)]
             if rows:
-                k, name, s, e, d = zip(*rows)
+                k, name, s, e, d, a = zip(*rows)
                 k = pa.array(k)
                 yield pa.RecordBatch.from_arrays([b.column("at").take(k), b.column("th").take(k), pa.array(name, pa.int64()), pa.array(s, pa.int64()), pa.array(e, pa.int64()),
-                                                  pa.array(d, pa.binary())], ["at", "th", "name", "s", "e", "digest"])
+                                                  pa.array(d, pa.binary()), pa.array(a, pa.int64())], ["at", "th", "name", "s", "e", "digest", "a"])
 
     keyed = _keyed(docs)
-    every = staged(keyed.select("at", "th", "text").mapInArrow(cut, "at long, th long, name long, s long, e long, digest binary"), "suffix-runs")
-    shared = staged(every.groupBy("name").count().where("count > 1").select("name"), "suffix-names")
-    runs_ = staged(every.join(small_broadcast(shared, p.broadcast_bytes), "name", "left_semi"), "suffix-shared")
-    one = staged(runs_.groupBy("name", "digest").agg(F.count("*").alias("copies"), F.min(F.struct("at", "th", "s", "e")).alias("r")), "suffix-distinct")
-    copied = runs_.join(one.where("copies > 1").select("name", "digest"), ["name", "digest"], "left_semi").select("at", "th", "s", "e")
-    several = staged(one.groupBy("name").count().where("count > 1").select("name"), "suffix-several")
-    need = staged(one.join(small_broadcast(several, p.broadcast_bytes), "name", "left_semi").select("name", "copies", "r.*"), "suffix-need")
-    total = need.agg(F.sum(F.col("e") - F.col("s") + p.length)).first()[0] or 0
+    def with_text(need: DataFrame) -> DataFrame:
+        by_doc = need.groupBy("at", "th").agg(F.collect_list(F.struct("name", "copies", "s", "e", "a")).alias("need"))
+        by_doc = small_broadcast(staged(by_doc, "suffix-by-doc"), p.broadcast_bytes)
+        return keyed.select("at", "th", "text").join(by_doc, ["at", "th"])
+
+    def finer(width: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in slices(batches, limit=4 << 20):
+                rows = []
+                for at, th, t, need in zip(*(b.column(c).to_pylist() for c in ("at", "th", "text", "need"))):
+                    t = t.encode()
+                    rows += [(at, th, name, r["s"] + s, r["s"] + e, d, r["a"], r["copies"]) for r in need
+                             for name, s, e, d in _refined(t[r["s"]:r["e"] + p.length], r["a"] - r["s"], width, p)]
+                cols = list(zip(*rows))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k == 5 else pa.int64()) for k, c in enumerate(cols)], ["at", "th", "name", "s", "e", "digest", "a", "copies"])
+        return run
+
+    run_type = "at long, th long, name long, s long, e long, digest binary, a long"
+    every = staged(keyed.select("at", "th", "text").mapInArrow(cut, run_type), "suffix-runs").withColumn("copies", F.lit(1).cast("long"))
+    copied = calm = hot = None
+    for width in (0, *p.refine):
+        if width:
+            every = staged(with_text(hot).mapInArrow(finer(width), run_type + ", copies long"), "suffix-finer")
+        shared = staged(every.groupBy("name").count().where("count > 1").select("name"), "suffix-names")
+        runs_ = staged(every.join(small_broadcast(shared, p.broadcast_bytes), "name", "left_semi"), "suffix-shared")
+        one = staged(runs_.groupBy("name", "digest").agg(F.sum("copies").alias("copies"), F.min(F.struct("at", "th", "s", "e", "a")).alias("r")), "suffix-distinct")
+        more = runs_.join(one.where("copies > 1").select("name", "digest"), ["name", "digest"], "left_semi").select("at", "th", "s", "e")
+        copied = more if copied is None else copied.union(more)
+        if width == 1:  # equal windows have equal digests
+            break
+        held = F.sum(F.col("r.e") - F.col("r.s") + p.length)
+        several = staged(one.groupBy("name").agg(F.count("*").alias("n"), held.alias("held")).where("n > 1").select("name", "held"), "suffix-several")
+        need = staged(one.join(small_broadcast(several, p.broadcast_bytes), "name").select("name", "held", "copies", "r.*"), "suffix-need")
+        fits = need.where(F.col("held") <= p.bucket_bytes)
+        calm = fits if calm is None else calm.union(fits)
+        hot = need.where(F.col("held") > p.bucket_bytes)
+        if hot.isEmpty():
+            break
+    total = calm.agg(F.sum(F.col("e") - F.col("s") + p.length)).first()[0] or 0
     buckets = max(1, -(-int(total) // p.bucket_bytes))
 
-    by_doc = need.groupBy("at", "th").agg(F.collect_list(F.struct("name", "copies", "s", "e")).alias("need"))
-    by_doc = small_broadcast(staged(by_doc, "suffix-by-doc"), p.broadcast_bytes)
-
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, limit=4 << 20):
             rows = []
@@ -282,10 +331,10 @@ def repeated_runs(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFram
                 rows += [(at, th, r["name"], r["copies"], r["s"], t[r["s"]:r["e"] + p.length]) for r in need]
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in list(zip(*rows))[:5]), pa.array([r[5] for r in rows], pa.binary())], ["at", "th", "name", "copies", "s", "bytes"])
 
-    parts = keyed.select("at", "th", "text").join(by_doc, ["at", "th"]).mapInArrow(fetch, "at long, th long, name long, copies long, s long, bytes binary")
+    parts = with_text(calm).mapInArrow(fetch, "at long, th long, name long, copies long, s long, bytes binary")
 
     def sort_bucket(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.drop_duplicates(["at", "th", "s"])  # rows that repeat a doc_id and text
+        g = g.drop_duplicates(["at", "th", "name", "s"])  # rows that repeat a doc_id and text
         parts = g["bytes"].tolist()
         found = repeated_starts(parts, [len(t) - p.length + 1 for t in parts], p)
         rows = [(a, t, s + x, s + y) for a, t, s, c, f in zip(g["at"], g["th"], g["s"], g["copies"], found) if c == 1 for x, y in _spans(f)]

@@ -98,6 +98,25 @@ def test_repeats_equal_brute_force(spark, odd_rows, no_docs):
     assert suffix.remove_repeats(no_docs).count() == 0
 
 
+def test_a_short_passage_in_many_documents_fills_no_bucket(spark, monkeypatch):
+    r = random.Random(4)
+    fill = lambda n: bytes(r.choice(b"abcdefghijkl ") for _ in range(n)).decode()
+    passage, near = fill(330), fill(399)
+    rows = [(n, fill(450) + (passage if n % 2 else near) + fill(450)) for n in range(160)]
+    rows += [(1000 + n, fill(200) + rows[n][1][300 + n:1000 - n] + fill(200)) for n in range(12)] + [(2000, rows[20][1]), (2001, rows[21][1]), (3, rows[3][1])]
+    want = sorted(zip([d for d, _ in rows], *zip(*[x[:4] for x in _remove([t.encode() for _, t in rows], 400)])))
+    sort = suffix.repeated_starts
+
+    def bounded(parts, n_starts, p):
+        assert sum(map(len, parts)) <= 6 * p.bucket_bytes, sum(map(len, parts))
+        return sort(parts, n_starts, p)
+
+    monkeypatch.setattr(suffix, "repeated_starts", bounded)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = suffix.remove_repeats(docs, suffix.SuffixParams(bucket_bytes=4_000)).collect()
+    assert sorted((x["doc_id"], x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got) == want
+
+
 # ---- chat ---------------------------------------------------------------------------
 
 def test_escape_is_reversible():

@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,17 +67,18 @@ def fingerprint(text: bytes, words: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id and fp (the fingerprint's 64 bits as a signed long) of each row."""
+def fingerprints(docs: DataFrame, words: int = 3, more: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, columns ``more`` and fp (the fingerprint's 64 bits as a signed long) of each row."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             fp = np.array([fingerprint(t, words) for t in texts(b)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in named), pa.array(fp.view(np.int64))], [*named, "fp"])
 
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("fp", T.LongType())])
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    named = ["doc_id", *more]
+    schema = T.StructType([*(T.StructField(c, docs.schema[c].dataType) for c in named), T.StructField("fp", T.LongType())])
+    return docs.select(*named, "text").mapInArrow(run, schema)
 
 
 # ---- the top of the trie, on the driver: bounded by max_leaves -------------
@@ -239,24 +240,35 @@ def link_forest(fps: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame
     return dealt.groupBy("pair").applyInPandas(lambda g: _join_leaf_pair(g, budget), "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (least doc_id reachable) of each row."""
-    rows = staged(fingerprints(docs, p.words), "simhash-fp")
+def _grouped(rows: DataFrame, p: SimHashParams) -> DataFrame:
+    """The stored rows (doc_id, fp and others), their component_id and root (of one component; several may have one component_id)."""
     by_fp = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = components(link_forest(by_fp, p))
     rooted = by_fp.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = staged(rooted.join(least, "root").select("fp", "component_id"), "simhash-member")
-    return rows.join(member, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    member = staged(rooted.join(least, "root").select("fp", "component_id", "root"), "simhash-member")
+    return rows.join(member, "fp")
+
+
+def near_duplicates(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (least doc_id reachable) of each row."""
+    rows = staged(fingerprints(docs, p.words), "simhash-fp")
+    return _grouped(rows, p).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame:
     """One document of each group of near-duplicates: that of the least doc_id.
 
-    Rows with a null doc_id stay (they cannot be named); repeated rows of a
-    kept doc_id are left once.
+    Of rows that share this doc_id in the group the least fingerprint, then the
+    least text hash, is kept; versions in other groups count there.  Rows of a
+    kept doc_id and text are left once, the least by a hash of all columns.  Rows
+    with a null doc_id stay (they cannot be named).
     """
-    found = near_duplicates(docs, p)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    th = F.xxhash64("text")
+    rows = staged(fingerprints(docs.select("doc_id", "text", th.alias("th")), p.words, ("th",)), "simhash-fp")
+    kept = _grouped(rows, p).where("doc_id = component_id").groupBy("root").agg(F.min(F.struct("doc_id", "fp", "th")).alias("k"))
+    kept = kept.select("k.doc_id", F.col("k.th").alias("__th"))
+    named = docs.where("doc_id is not null").withColumn("__th", th).join(kept, ["doc_id", "__th"], "left_semi")
+    order = Window.partitionBy("doc_id", "__th").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    named = named.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
     return named.union(docs.where("doc_id is null"))

@@ -128,6 +128,15 @@ def test_simhash_groups(spark, odd_docs, odd_rows, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
 
 
+def test_keep_one_keeps_versions_of_other_groups(spark):
+    r = random.Random(31)
+    t = [words(r, 80) for _ in range(5)]
+    rows = [(5, t[0]), (5, t[1]), (3, t[1]), (5, t[2]), (5, t[2]), (6, t[0]), (7, t[3]), (7, t[4]), (8, t[4])]
+    docs = spark.createDataFrame([(d, x, n) for n, (d, x) in enumerate(rows)], "doc_id long, text string, n int").repartition(3)
+    got = simhash.keep_one(docs).collect()
+    assert sorted((x["doc_id"], x["text"]) for x in got) == sorted([(5, t[0]), (3, t[1]), (5, t[2]), (7, t[3]), (7, t[4])])
+
+
 # ---- toxicity -----------------------------------------------------------------
 
 def test_toxicity_on_held_out_rows(spark, odd_docs, no_docs):

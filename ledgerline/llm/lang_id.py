@@ -173,9 +173,10 @@ def code_lengths(model: PpmModel, docs: list[bytes], chunk: int = 1 << 19) -> np
         which = np.arange(first, last)[cut[:, 1] > cut[:, 0]]
         cut = cut[cut[:, 1] > cut[:, 0]]
         if len(which):
-            # pairs (start, end); the sums over separators between documents are dropped
-            edges = np.append(cut.reshape(-1), len(cost)) if cut[-1, 1] < len(cost) else cut.reshape(-1)[:-1]
-            out[which] += np.add.reduceat(cost, edges, axis=0, dtype=np.float64)[: 2 * len(which): 2]
+            # pairs (start, end); the sums over what lies between documents are dropped,
+            # and an end at the chunk's own end is implied
+            edges = cut.reshape(-1) if cut[-1, 1] < len(cost) else cut.reshape(-1)[:-1]
+            out[which] += np.add.reduceat(cost, edges, axis=0, dtype=np.float64)[::2]
     return out
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from ledgerline.llm import chat, components, embeddings, line_dedup, packing, pii, suffix
-from conftest import words
+from llm_rows import words
 
 SF = "/root/testdata/sf0.001"
 

@@ -4,10 +4,11 @@ import itertools
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from ledgerline.llm import decontaminate, lang_id, simhash, toxicity
-from conftest import words
+from llm_rows import words
 
 
 # ---- PPM --------------------------------------------------------------------
@@ -50,6 +51,31 @@ def test_code_lengths_are_exact(spark):
         assert np.allclose(got[:, j], want), lang
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_code_lengths_at_every_chunk_border(spark, ppm_model, seed):
+    """Empty texts at any place and every chunk from 1 byte on: the same sums as one text at a time."""
+    r = random.Random(seed)
+    for _ in range(40):
+        texts = [b"" if r.random() < 0.4 else words(r, r.randint(1, 6), "abcdefz").encode()[:r.randint(1, 30)] for _ in range(r.randint(1, 9))]
+        texts += r.choice([[], [b""], [b"", b""]])
+        alone = np.vstack([lang_id.code_lengths(ppm_model, [t], chunk=1 << 19) for t in texts])
+        for chunk in {1, 2, 3, r.randint(4, 64), sum(map(len, texts)) + 3 * len(texts)}:
+            assert np.allclose(lang_id.code_lengths(ppm_model, texts, chunk=chunk), alone), (texts, chunk)
+
+
+@pytest.fixture(scope="module")
+def ppm_model(spark):
+    r = random.Random(5)
+    rows = [(i, words(r, 30, "abcd" if i % 2 else "cdef"), "a" if i % 2 else "b") for i in range(16)]
+    return lang_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), lang_id.PpmParams(min_context=1))
+
+
+def test_language_of_an_empty_last_text(spark, ppm_model):
+    docs = spark.createDataFrame([(1, "abcd dcba", "a"), (2, "", "a"), (3, None, "a")], "doc_id long, text string, lang string").coalesce(1)
+    assert [r["lang_pred"] for r in lang_id.identify(docs, ppm_model).collect()][1:] == ["und", "und"]
+    assert [r["doc_id"] for r in lang_id.keep_identified(docs, ppm_model).collect()] == [1]
+
+
 def test_language_of_odd_rows(odd_docs, no_docs, odd_rows):
     model = lang_id.train(odd_docs)
     got = lang_id.identify(odd_docs, model).collect()

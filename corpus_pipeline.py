@@ -13,7 +13,7 @@ from ledgerline.llm.common import staged
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter or in none of the learned languages."""
+    """Drops documents without a letter or in none of the learned languages (all, if ``docs`` names no language)."""
     return lang_id.keep_identified(docs, lang_id.train(docs))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
+from small_tables import SF_SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -134,7 +134,7 @@ def test_serving_contract_fails_on_null(spark):
 
 
 def test_routing_partitions_the_input(spark):
-    from conftest import SF_SMALL
+    from small_tables import SF_SMALL
     from ledgerline.plans.registry import envelopes
     from ledgerline.streaming.envelope import decode_envelope, route
     env = envelopes(spark, SF_SMALL)
@@ -147,7 +147,7 @@ def test_routing_partitions_the_input(spark):
 
 
 def test_contract_enforcement_lists_all_offenders(spark):
-    from conftest import SF_SMALL
+    from small_tables import SF_SMALL
     from ledgerline.operators.contract import SchemaCompatibilityError, conformance, enforce, normalize_type
     from ledgerline.sources import fixtures as fx
     df = fx.txn_raw(spark, SF_SMALL).drop("currency")

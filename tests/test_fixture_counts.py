@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from ledgerline.operators import quality, reconcile
 from ledgerline.operators.velocity import velocity_signals
 from ledgerline.params import RiskParams

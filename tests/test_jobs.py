@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from ledgerline.functions.vault import unvault, vault
 from ledgerline.params import TEST_SALT
 from ledgerline.plans import medallion

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from tools.check_oracle import digest
 
 QUERIES = E.queries()

@@ -6,7 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from ledgerline.operators import incremental as inc
 from ledgerline.operators import kpis, quality
 from ledgerline.params import AS_OF

@@ -121,7 +121,7 @@ def test_upsert_clears_partition_left_empty(spark, tmp_path):
 def test_hot_account_is_split_and_exact(spark):
     """One account holding a third of all rows: same result as the textbook
     window, and no (account, cell) partition exceeds cell + window seconds."""
-    from conftest import SF_SMALL
+    from small_tables import SF_SMALL
     from ledgerline.operators.velocity import SEC, default_cell, per_second, trailing
     from reference_forms import velocity_by_self_join
     from ledgerline.sources import fixtures as fx

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from ledgerline.operators.velocity import velocity_signals
 from ledgerline.plans.registry import envelopes, q_stream_dead, q_stream_valid
 from ledgerline.schemas import RAW_EVENT

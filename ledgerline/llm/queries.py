@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, decontaminate, embeddings, lang_id, line_dedup, packing, pii, simhash, suffix, toxicity
+from ledgerline.llm import (ann, chat, decontaminate, embeddings, hard_negatives, importance, lang_id, line_dedup, packing, pii, simhash, suffix,
+                            toxicity)
 from ledgerline.llm.common import crc_mod
 
 
@@ -63,6 +64,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
 
 
+def op11_bit_sliced_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_segment_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -72,4 +88,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
     op1_ppm_language, op2_simhash_trie, op3_weak_toxicity, op4_spaced_seeds, op5_best_fit_packing, op6_suffix_grouping, op7_chat_rendering,
-    op8_bilstm_pii, op9_subspace_join, op10_line_dedup, pipeline)}
+    op8_bilstm_pii, op9_subspace_join, op10_line_dedup, op11_bit_sliced_resampling, op12_inverted_multi_index, op13_segment_negatives, pipeline)}

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.common import ship, staged
-from ledgerline.llm.vectors import first_of_equal, hash_share, lengths, matrices
+from ledgerline.llm.vectors import blocks, first_of_equal, hash_share, lengths, matrices
 from ledgerline.runtime import scratch_path
 
 CLOSE = 1e-9  # cosines of a matrix product this near the k-th best are computed exactly
@@ -274,19 +274,17 @@ def _nearest_of_length(rows: DataFrame, size: int, p: IndexParams) -> DataFrame:
     queries = scratch_path(spark, "ann-queries")
     near_queries = asked.select("vec_id", "vec", "slab", "tile").repartitionByRange(-(-n_asked // p.block), *by_cell)
     near_queries.select("vec_id", "vec").mapInArrow(reach, "vec_id long, vec binary, near double, far double").write.option("maxRecordsPerFile", p.block).parquet(queries)
-    kind = "vec_id long, vec binary, near double, far double"
+    kind = "vec_id long, vec binary, near double, far double"  # one file holds at most ``block`` queries
     found, keys = scratch_path(spark, "ann-found"), scratch_path(spark, "ann-keys")
-    for at, file in enumerate(sorted(spark.read.schema(kind).parquet(queries).inputFiles())):
-        got = spark.read.schema(kind).parquet(file).collect()  # at most ``block`` queries that lie near each other
-        if got:
-            spark.createDataFrame([(i, r["vec_id"]) for i, r in enumerate(got)], "query long, query_id long").write.parquet(f"{keys}/block={at}")
-            ids, near, far = (np.array([r[c] for r in got]) for c in ("vec_id", "near", "far"))
-            block = Block(ids, _matrix(got, size), np.full(len(got), -1.0), near, np.full(len(got), -2.0))
-            first = search(index, block, books, p, f"{found}/block={at}/part=0")
-            for r in _kth(first, p.k):
-                block.floor[r["query"]] = r["floor"]
-            block.near, block.far = near, far
-            search(index, block, books, p, f"{found}/block={at}/part=1")
+    for at, got in enumerate(blocks(spark, queries, kind, p.block)):  # queries that lie near each other
+        spark.createDataFrame([(i, r["vec_id"]) for i, r in enumerate(got)], "query long, query_id long").write.parquet(f"{keys}/block={at}")
+        ids, near, far = (np.array([r[c] for r in got]) for c in ("vec_id", "near", "far"))
+        block = Block(ids, _matrix(got, size), np.full(len(got), -1.0), near, np.full(len(got), -2.0))
+        first = search(index, block, books, p, f"{found}/block={at}/part=0")
+        for r in _kth(first, p.k):
+            block.floor[r["query"]] = r["floor"]
+        block.near, block.far = near, far
+        search(index, block, books, p, f"{found}/block={at}/part=1")
     hits = spark.read.schema("query long, vec_id long, score double, block int").parquet(found)
     rank = F.row_number().over(Window.partitionBy("block", "query").orderBy(F.desc("score"), "vec_id"))
     best = hits.select("block", "query", "vec_id", "score", rank.alias("rank")).where(F.col("rank") <= p.k)

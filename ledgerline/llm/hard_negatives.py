@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.common import ship, staged
-from ledgerline.llm.vectors import first_of_equal, lengths, matrices
+from ledgerline.llm.vectors import blocks, first_of_equal, lengths, matrices
 from ledgerline.runtime import scratch_path
 
 LEAST, MOST = -(1 << 62), 1 << 62
@@ -261,7 +261,7 @@ def _mine_length(rows: DataFrame, size: int, p: NegativeParams) -> DataFrame:
     stored.where(F.pmod("vec_id", F.lit(p.anchors)) == 0).select("vec_id", "label", "vec").write.option("maxRecordsPerFile", p.block).parquet(asked_at)
     pairs, hits = scratch_path(spark, "negatives-positives"), scratch_path(spark, "negatives-hits")
     done = False
-    for at, got in enumerate(_blocks(spark, asked_at, kind, p.block)):
+    for at, got in enumerate(blocks(spark, asked_at, kind, p.block)):
         done = True
         ids, labels = (np.array([r[c] for r in got], np.int64) for c in ("vec_id", "label"))
         x = np.frombuffer(b"".join(bytes(r["vec"]) for r in got), np.int32).reshape(len(got), size)
@@ -289,23 +289,3 @@ def _mine_length(rows: DataFrame, size: int, p: NegativeParams) -> DataFrame:
     if not done:
         return spark.createDataFrame([], "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long")
     return (spark.read.schema("anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long, block int").parquet(hits).drop("block"))
-
-
-def _blocks(spark, path: str, kind: str, size: int) -> Iterator[list]:
-    """The rows of a stored table in lists of about ``size`` (twice at most); small files share one."""
-    files, got = sorted(spark.read.schema(kind).parquet(path).inputFiles()), []
-    per_read = 64
-    at = 0
-    while at < len(files):
-        part = spark.read.schema(kind).parquet(*files[at:at + per_read])
-        n = part.count()
-        if n > size and per_read > 1:
-            per_read = max(1, per_read // 2)
-            continue
-        got += part.collect()  # at most ``size`` rows
-        at += per_read
-        if len(got) >= size:
-            yield got
-            got = []
-    if got:
-        yield got

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -53,3 +53,20 @@ def hash_share(rows: int, wanted: int, *cols: str, seed: int) -> Column:
 def lengths(rows: DataFrame, name: str) -> list[int]:
     """The lengths of vectors that occur; each is searched apart."""
     return sorted(r[0] for r in rows.select(F.size(name).alias("n")).where("n > 0").distinct().collect())
+
+
+def blocks(spark: SparkSession, path: str, kind: str, size: int) -> Iterator[list]:
+    """The rows of a stored table, whose files hold at most ``size``, in lists of less than twice ``size``; small files share a list."""
+    files, got, at, per_read = sorted(spark.read.schema(kind).parquet(path).inputFiles()), [], 0, 64
+    while at < len(files):
+        part = spark.read.schema(kind).parquet(*files[at:at + per_read])
+        if per_read > 1 and part.count() > size:
+            per_read = max(1, per_read // 2)
+            continue
+        got += part.collect()  # at most ``size`` rows
+        at += per_read
+        if len(got) >= size:
+            yield got
+            got = []
+    if got:
+        yield got

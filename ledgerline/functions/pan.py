@@ -21,13 +21,13 @@ def is_protected(pan: Column) -> Column:
     return pan.startswith(TOKEN_PREFIX) | (pan == F.lit(REDACTED))
 
 
-def pan_token(pan: Column, salt: str) -> Column:
+def pan_token(pan: Column, salt: str | Column) -> Column:
     """``tok_`` + first 24 hex of SHA-256(pan || salt) + ``_`` + last 4.
 
     Deterministic for a given salt; NULL stays NULL and values that are
     already tokens or redacted pass through unchanged.
     """
-    digest = F.sha2(F.concat(pan, F.lit(salt)), 256)
+    digest = F.sha2(F.concat(pan, F.lit(salt)), 256)  # F.lit leaves a column as it is
     token = F.concat(F.lit(TOKEN_PREFIX), F.substring(digest, 1, 24), F.lit("_"),
                      F.right(pan, F.lit(4)))
     return F.when(pan.isNull() | is_protected(pan), pan).otherwise(token)

@@ -23,20 +23,25 @@ def epoch_seconds(ts: Column | str) -> Column:
             + F.second(col).cast("long"))
 
 
-_ISO = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?)(?:Z|([+-])(\d{2}):?(\d{2}))?$"
+_ISO = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?(?:Z|[+-]\d{2}:?\d{2})?$"
+_SECONDS = 19  # characters of date and time up to the whole second
 
 
 def parse_iso_utc(text: Column | str) -> Column:
     """ISO-8601 text, fraction and offset optional -> TIMESTAMP_NTZ in UTC; NULL if it is none.
 
-    Without an offset the text is taken as UTC.
+    Without an offset the text is taken as UTC.  One pattern match a value: the
+    cast reads the local time whatever offset follows, which is then taken off.
     """
     col = F.trim(F.col(text) if isinstance(text, str) else text)
-    part = lambda k: F.regexp_extract(col, _ISO, k)
-    local = F.concat_ws(" ", part(1), part(2)).try_cast("timestamp_ntz")
-    number = lambda k: F.coalesce(part(k).try_cast("int"), F.lit(0))
-    sign = F.when(part(3) == "-", -1).otherwise(1)
-    return local - F.make_dt_interval(hours=sign * number(4), mins=sign * number(5))
+    local = F.when(col.rlike(_ISO), col.try_cast("timestamp_ntz"))
+    tail = F.substring(col, _SECONDS + 1, 20)  # fraction and offset
+    at = F.greatest(F.instr(tail, "+"), F.instr(tail, "-"))
+    number = lambda x: x.try_cast("int")
+    minutes = number(F.substr(tail, at + 1, F.lit(2))) * 60 + number(F.right(tail, F.lit(2)))
+    east = F.substr(tail, at, F.lit(1)) == "+"
+    back = F.when(at > 0, F.when(east, -minutes).otherwise(minutes)).otherwise(F.lit(0))
+    return F.timestamp_add("MINUTE", back, local)
 
 
 def days_before(day: dt.date, n: int) -> dt.date:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.params import DIM_BROADCAST_MAX_ROWS, RiskParams
+from ledgerline.params import DIM_BROADCAST_MAX_BYTES, RiskParams
 from ledgerline.runtime import bounded_broadcast
 
 
@@ -18,14 +18,14 @@ def dedup_dim(dim: DataFrame, key: str) -> DataFrame:
 
 def enrich(df: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame,
            params: RiskParams = RiskParams(),
-           max_dim_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+           max_dim_bytes: int = DIM_BROADCAST_MAX_BYTES) -> DataFrame:
     """Left-join merchant and geo dimensions, add the MCC flag and geo score.
 
     Both dimensions are deduplicated on their key and broadcast only after
-    their row count is checked, so the fact side is never shuffled here.
+    their size is checked, so the fact side is never shuffled here.
     """
-    mcc = bounded_broadcast(dedup_dim(dim_mcc, "mcc_code"), max_dim_rows)
-    geo = bounded_broadcast(dedup_dim(dim_geo, "country_code"), max_dim_rows)
+    mcc = bounded_broadcast(dedup_dim(dim_mcc, "mcc_code"), max_dim_bytes)
+    geo = bounded_broadcast(dedup_dim(dim_geo, "country_code"), max_dim_bytes)
     out = df.join(mcc, "mcc_code", "left").join(geo, "country_code", "left")
     return (out
             .withColumn("high_risk_mcc_flag",
@@ -39,9 +39,13 @@ def geo_mismatch(df: DataFrame, dim_account: DataFrame) -> DataFrame:
 
     The account dimension grows with the customer base, so this is a plain
     equi-join (sort-merge or AQE-converted broadcast), not a forced broadcast.
+    Rows without an account match nothing; a second join key spreads them
+    over all tasks instead of sending them to the one that NULL hashes to.
     """
     acct = dedup_dim(dim_account.select("account_id", F.col("home_country").alias("_home")), "account_id")
-    out = df.join(acct, "account_id", "left")
+    acct = acct.select("account_id", "_home", F.lit(0).cast("long").alias("_spread"))
+    spread = F.when(F.col("account_id").isNull(), F.xxhash64(*df.columns)).otherwise(F.lit(0))
+    out = df.withColumn("_spread", spread).join(acct, ["account_id", "_spread"], "left").drop("_spread")
     return (out.withColumn("geo_mismatch_flag",
                            F.coalesce(F.col("country_code") != F.col("_home"), F.lit(False)))
             .withColumnRenamed("_home", "account_home_country"))

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +20,9 @@ from ledgerline import schemas
 from ledgerline.functions.timefn import epoch_seconds, ts_literal
 from ledgerline.operators.quality import dedup_latest
 from ledgerline.params import IncrementalParams
-from ledgerline.sinks.writers import drop_stage, stage_and_publish, write_partitioned
+from ledgerline.runtime import scratch_path
+from ledgerline.sinks import key_index
+from ledgerline.sinks.writers import drop_stage, stage_rows, write_partitioned
 
 EPOCH = dt.datetime(1970, 1, 1)
 
@@ -61,56 +64,103 @@ def advance_watermark(spark: SparkSession, wm: DataFrame | None, source: str,
     return wm.filter(F.col("source_system") != source).select(*schemas.WATERMARKS.names).unionByName(row)
 
 
+class NullKeyError(ValueError):
+    """Updates hold rows without a key, which no upsert could ever find again."""
+
+
+def keyed(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Condition: every key column is set."""
+    ok = F.lit(True)
+    for k in keys:
+        ok = ok & F.col(k).isNotNull()
+    return ok
+
+
 def merge_frames(target: DataFrame, updates: DataFrame, keys: Sequence[str] = ("transaction_id",),
                  order_col: str = "updated_at") -> DataFrame:
     """I4/J7 as a pure plan: latest update per key replaces the target row,
-    new keys are inserted (update-all / insert-all)."""
-    upd = dedup_latest(updates, keys, (order_col,))
+    new keys are inserted (update-all / insert-all).  Updates without a key are
+    left out: they would match nothing and pile up with each run."""
+    upd = dedup_latest(updates.filter(keyed(updates, keys)), keys, (order_col,))
     kept = target.join(upd.select(*keys), list(keys), "left_anti")
     return kept.unionByName(upd.select(*target.columns))
 
 
-def upsert(spark: SparkSession, target_path: str | None, updates: DataFrame,
+@dataclass(frozen=True)
+class Prepared:
+    """A staged upsert: what ``publish_upsert`` puts in place, as often as it is asked to."""
+    path: str           # the new content of every touched partition
+    rows: int
+    stale: list[str]    # partition directories that end up without rows
+
+
+def prepare_upsert(spark: SparkSession, target_path: str, updates: DataFrame,
+                   partition_col: str, keys: Sequence[str] = ("transaction_id",),
+                   order_col: str = "updated_at", exists: bool = True) -> Prepared:
+    """First half of ``upsert``: everything but the change of the target.
+
+    Touched are the partitions of the updates and those that hold one of the
+    updated keys (a key may move); the key index beside the table
+    (``sinks.key_index``) names them, so the rest of the table is neither read
+    nor joined.
+    """
+    rows, nulls = F.count(F.lit(1)).alias("rows"), F.count_if(~keyed(updates, keys)).alias("nulls")
+    index = key_index.index_path(target_path)
+    # the deduplicated updates are used by several jobs below: stored once in the shared folder
+    stage, obs = scratch_path(spark, "upsert"), Observation("updates")
+    dedup_latest(updates.observe(obs, rows, nulls), keys, (order_col,)).write.parquet(stage)
+    if obs.get["nulls"]:
+        drop_stage(spark, stage)
+        raise NullKeyError(f"{obs.get['nulls']} of {obs.get['rows']} updates have no {' / '.join(keys)}")
+    upd = spark.read.schema(updates.schema).parquet(stage)
+    if not exists:
+        key_index.build(upd, index, keys, partition_col)
+        return Prepared(stage, upd.count(), [])
+    target = _typed_target(spark, target_path, upd, partition_col)
+    key_index.ensure(spark, target, index, keys, partition_col)
+    upd = upd.select(*target.columns)
+    touched = key_index.locate_and_extend(spark, index, upd, keys, partition_col)
+    if not touched:
+        return Prepared(stage, 0, [])
+    # partition values are metadata: the scope is a literal filter, pruned to those directories
+    part = F.col(partition_col)
+    in_scope = part.isin([v for v in touched if v is not None])
+    scope = target.filter(in_scope | part.isNull() if None in touched else in_scope)
+    before = partition_dirs(scope, partition_col)
+    new_scope = scope.join(upd.select(*keys), list(keys), "left_anti").unionByName(upd)
+    n, staged, copy = stage_rows(spark, new_scope, [partition_col])
+    drop_stage(spark, stage)
+    return Prepared(copy, n, sorted(before - partition_dirs(staged, partition_col)))
+
+
+def publish_upsert(spark: SparkSession, target_path: str, prepared: Prepared, schema: T.StructType, partition_col: str) -> int:
+    """Second half: replace the touched partitions from the staged copy.
+
+    Reads nothing of the target, so after a crash in the middle it is simply
+    called again, and the partitions come out whole.  A partition whose keys
+    all moved away is never written by a dynamic overwrite; it is removed.
+    """
+    if prepared.rows:
+        staged = spark.read.schema(schema).parquet(prepared.path)
+        write_partitioned(staged, target_path, [partition_col], mode="overwrite")
+    for name in prepared.stale:
+        _delete_partition(spark, target_path, name)
+    return prepared.rows
+
+
+def upsert(spark: SparkSession, target_path: str, updates: DataFrame,
            partition_col: str, keys: Sequence[str] = ("transaction_id",),
            order_col: str = "updated_at", exists: bool = True) -> int:
     """I4 with storage: rewrite only partitions the updates touch.
 
-    Touched = partitions of the updates plus partitions that currently hold
-    one of the updated keys (a key may move between partitions).  The first
-    load (``exists=False``) is a plain partitioned write.  A partition left
-    without rows (all its keys moved) is removed.  Returns the rows
-    published.  Re-running with the same updates gives the same table.
+    Updates without a key are refused before anything is changed.  Returns the
+    rows published.  Re-running with the same updates gives the same table; a
+    job that must survive a crash while publishing keeps the ``Prepared`` in a
+    ledger (``plans.incremental_job``).
     """
-    upd = dedup_latest(updates, keys, (order_col,))
-    if not exists:   # first load: nothing reads the target, write it directly
-        obs = Observation("first_load")
-        write_partitioned(upd.observe(obs, F.count(F.lit(1)).alias("rows")), target_path,
-                          [partition_col], mode="overwrite")
-        return obs.get["rows"]
-    target = _typed_target(spark, target_path, upd, partition_col)
-    # used by two jobs below; kept for the duration of this upsert only
-    # (recomputed from its lineage if an executor holding it is lost)
-    upd = upd.select(*target.columns).persist()
-    try:
-        hit = target.join(upd.select(*keys), list(keys), "left_semi").select(partition_col)
-        # partition values (metadata, bounded by the partition count): the
-        # scope read below is then a literal filter, pruned to those directories
-        touched = [r[0] for r in upd.select(partition_col).union(hit).distinct().collect()]
-        if not touched:
-            return 0
-        part = F.col(partition_col)
-        in_scope = part.isin([v for v in touched if v is not None])
-        scope = target.filter(in_scope | part.isNull() if None in touched else in_scope)
-        before = partition_dirs(scope, partition_col)
-        new_scope = scope.join(upd.select(*keys), list(keys), "left_anti").unionByName(upd)
-        n, staged, stage = stage_and_publish(spark, new_scope, target_path, [partition_col])
-    finally:
-        upd.unpersist()
-    # a partition whose keys all moved away is never written by a dynamic
-    # overwrite; remove it
-    for name in before - partition_dirs(staged, partition_col):
-        _delete_partition(spark, target_path, name)
-    drop_stage(spark, stage)
+    prepared = prepare_upsert(spark, target_path, updates, partition_col, keys, order_col, exists)
+    n = publish_upsert(spark, target_path, prepared, updates.schema, partition_col)
+    drop_stage(spark, prepared.path)
     return n
 
 
@@ -118,6 +168,7 @@ def _typed_target(spark: SparkSession, path: str, updates: DataFrame, partition_
     """The target with the partition column in the updates' type: directory
     names alone would turn "01" into 1."""
     kind = updates.schema[partition_col].dataType
+    # the data columns come from one file's footer, not from the rows
     fields = [T.StructField(f.name, kind if f.name == partition_col else f.dataType) for f in spark.read.parquet(path).schema.fields]
     return spark.read.schema(T.StructType(fields)).parquet(path)
 

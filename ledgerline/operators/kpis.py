@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.numeric import avg_of_scaled, round_ratio
 from ledgerline.functions.timefn import days_before
 from ledgerline.operators.enrich import dedup_dim
-from ledgerline.params import DIM_BROADCAST_MAX_ROWS
+from ledgerline.params import DIM_BROADCAST_MAX_BYTES
 from ledgerline.runtime import bounded_broadcast
 from ledgerline.schemas import MONEY_TOTAL
 
@@ -77,7 +77,7 @@ def top_accounts(alerts: DataFrame, as_of: dt.date, days: int = 7, k: int = 25)
 def geo_exposure(alerts: DataFrame, dim_geo: DataFrame) -> DataFrame:
     """K3: flagged volume by country joined to the geo dimension."""
     geo = bounded_broadcast(dedup_dim(dim_geo.select("country_code", "country_name", "fatf_watchlist"), "country_code"),
-                            DIM_BROADCAST_MAX_ROWS)
+                            DIM_BROADCAST_MAX_BYTES)
     a = alerts.filter(F.col("fraud_alert")).join(geo, "country_code")
     g = a.groupBy("country_code", "country_name", "fatf_watchlist").agg(
         F.count(F.lit(1)).alias("flagged_txn_count"),

@@ -51,14 +51,14 @@ def dq_gate(gold: DataFrame, rec: DataFrame, day: dt.date,
             params: DqParams = DqParams()) -> DataFrame:
     """One decision row for ``day``: metrics plus one boolean per threshold.
 
-    ``rec`` is the reconciliation of the run (one row per key with its
-    ``discrepancy_type``).  All metrics come from a single aggregation over
+    ``rec`` is the reconciliation (one row per key with its ``discrepancy_type``
+    and day); only the keys of ``day`` count.  All metrics come from a single aggregation over
     a tagged union of the two inputs.
     """
     g = gold.filter(F.col("txn_date") == F.lit(day)).select(
         F.lit("g").alias("_src"), F.col("transaction_id").isNull().alias("_null_id"),
         F.lit(False).alias("_match"))
-    r = rec.select(F.lit("r").alias("_src"), F.lit(False).alias("_null_id"),
+    r = rec.filter(F.col("txn_date") == F.lit(day)).select(F.lit("r").alias("_src"), F.lit(False).alias("_null_id"),
                    (F.col("discrepancy_type") == "MATCH").alias("_match"))
     src = F.col("_src")
     m = g.unionByName(r).agg(
@@ -80,23 +80,3 @@ def dq_gate(gold: DataFrame, rec: DataFrame, day: dt.date,
         F.coalesce(F.col("recon_accuracy_pct") >= params.recon_target_pct, F.lit(False)).alias("recon_ok"),
     )
     return out.withColumn("passed", F.col("rows_ok") & F.col("nulls_ok") & F.col("recon_ok"))
-
-
-def run_metrics(bronze_all: DataFrame, gold: DataFrame, alerts_col: str = "fraud_alert") -> DataFrame:
-    """Raw / quarantined / rejected / accepted / Gold / alert counts in one
-    aggregation over a tagged union of the landing rows and the Gold rows."""
-    n = F.size(F.col("dq_flags"))
-    has_id = F.col("transaction_id").isNotNull()
-    b = bronze_all.select(F.lit(True).alias("_raw"), (~has_id).alias("_q"),
-                          (has_id & (n > 0)).alias("_rej"), (has_id & (n == 0)).alias("_acc"),
-                          F.lit(False).alias("_alert"))
-    g = gold.select(F.lit(False).alias("_raw"), F.lit(False).alias("_q"), F.lit(False).alias("_rej"),
-                    F.lit(False).alias("_acc"), F.coalesce(F.col(alerts_col), F.lit(False)).alias("_alert"))
-    raw = F.col("_raw")
-    return b.unionByName(g).agg(
-        F.count_if(raw).alias("raw_rows"),
-        F.count_if(F.col("_q")).alias("quarantined"),
-        F.count_if(F.col("_rej")).alias("rejected"),
-        F.count_if(F.col("_acc")).alias("accepted_before_dedup"),
-        F.count_if(~raw).alias("silver_rows"),
-        F.count_if(F.col("_alert")).alias("alerts"))

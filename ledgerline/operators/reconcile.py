@@ -29,6 +29,8 @@ def _side(df: DataFrame, tag: str) -> DataFrame:
     away from a single reducer, which a full outer join could not split.
     """
     order = [c for c in ("updated_at", "ingest_ts") if c in df.columns]
+    # narrow first: the tie break of the dedup hashes every column that is left
+    df = df.select("transaction_id", "amount", "transaction_ts", *order)
     df = dedup_latest(df.filter(F.col("transaction_id").isNotNull()), ("transaction_id",), order)
     return df.select(
         "transaction_id",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import round_ratio
+from ledgerline.functions.timefn import epoch_seconds
 from ledgerline.operators.velocity import LIMB, attach, cents, per_second, square_limbs, trailing_by_events
 from ledgerline.params import RiskParams
 
@@ -48,18 +49,47 @@ def outlier_test(amount: Column, n: Column, s_amt: Column, s_sq: Column, z: floa
     return F.when((n > 1) & (ss > 0) & amount.isNotNull(), test).otherwise(F.lit(False))
 
 
+def _moment_sums(df: DataFrame, *by: Column | str) -> DataFrame:
+    hi, lo = square_limbs(cents(F.col("amount")).cast("long"))
+    return df.groupBy(*by).agg(
+        F.count("amount").alias("n_amt"), F.sum("amount").alias("s_amt"), F.sum(hi).alias("_hi"), F.sum(lo).alias("_lo"))
+
+
+def _squares() -> Column:
+    return F.struct(F.col("_hi").alias("hi"), F.col("_lo").alias("lo")).alias("s_sq")
+
+
 def account_stats(df: DataFrame) -> DataFrame:
     """G1: per-account count, average and sample standard deviation.
 
     Partial (map-side) aggregation of exact sums: a hot account is combined
     on every map task before the shuffle.
     """
-    hi, lo = square_limbs(cents(F.col("amount")).cast("long"))
-    agg = df.groupBy("account_id").agg(
-        F.count("amount").alias("n_amt"),
-        F.sum("amount").alias("s_amt"),
-        F.sum(hi).alias("_hi"), F.sum(lo).alias("_lo"))
-    return agg.select("account_id", "n_amt", "s_amt", F.struct(F.col("_hi").alias("hi"), F.col("_lo").alias("lo")).alias("s_sq"))
+    return _moment_sums(df, "account_id").select("account_id", "n_amt", "s_amt", _squares())
+
+
+CELL_S = 3600
+
+
+def spread_stats(df: DataFrame, cell_s: int = CELL_S) -> DataFrame:
+    """The account statistics once for every hour in which the account has rows:
+    (_a, _c, n_amt, s_amt, s_sq), for joins on (account, hour).
+
+    Such a join deals a hot account's rows to as many tasks as it has hours.
+    The hours come with the partial sums, from one scan of the rows.
+    """
+    hourly = _moment_sums(df.filter(F.col("account_id").isNotNull()), F.col("account_id").alias("_a"), stats_cell(df, cell_s).alias("_c"))
+    whole = hourly.groupBy(F.col("_a").alias("_b")).agg(
+        F.sum("n_amt").alias("n_amt"), F.sum("s_amt").cast("decimal(28,2)").alias("s_amt"), F.sum("_hi").cast("decimal(30,0)").alias("_hi"),
+        F.sum("_lo").cast("decimal(30,0)").alias("_lo"))
+    return hourly.select("_a", "_c").join(whole, F.col("_a") == F.col("_b")).select("_a", "_c", "n_amt", "s_amt", _squares())
+
+
+def stats_cell(df: DataFrame, cell_s: int = CELL_S) -> Column:
+    """The hour of a row; rows of a table without event times share one."""
+    if "transaction_ts" not in df.columns:
+        return F.lit(0).cast("long")
+    return F.floor(epoch_seconds("transaction_ts") / F.lit(cell_s)).cast("long")
 
 
 def stats_columns(df: DataFrame) -> DataFrame:
@@ -74,11 +104,16 @@ def stats_columns(df: DataFrame) -> DataFrame:
 
 
 def amount_outliers(df: DataFrame, params: RiskParams = RiskParams()) -> DataFrame:
-    """P11 with J3 as a join of the aggregated statistics (no window per account)."""
-    st = account_stats(df)
-    out = df.join(st, "account_id", "left")
+    """P11 with J3 as a join of the aggregated statistics (no window per account).
+
+    The rows are joined on (account, hour), see ``spread_stats``; rows without
+    an account match nothing and are spread by their hours likewise.
+    """
+    st = spread_stats(df)
+    rows = df.withColumn("_cell", stats_cell(df))
+    out = rows.join(st, (F.col("account_id") == F.col("_a")) & F.col("_cell").eqNullSafe(F.col("_c")), "left").drop("_a", "_c", "_cell")
     out = out.withColumn("amount_outlier_flag", outlier_test(
-        F.col("amount"), F.col("n_amt"), F.col("s_amt"), F.col("s_sq"), params.zscore))
+        F.col("amount"), F.coalesce(F.col("n_amt"), F.lit(0)), F.col("s_amt"), F.col("s_sq"), params.zscore))
     return stats_columns(out).drop("n_amt", "s_amt", "s_sq")
 
 
@@ -114,7 +149,8 @@ def trailing_outliers(df: DataFrame, days: int = 30, params: RiskParams = RiskPa
     squares) inside one-day cells, so a hot account is split by time and the
     work is linear in its seconds.
     """
-    ps = per_second(df)
+    # sums of nothing may be 0: every use below asks for the count first
+    ps = per_second(df).withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("s_amt", "s_hi", "s_lo")})
     tr = trailing_by_events(ps, days * 86400, ["n_amt", "s_amt", "s_hi", "s_lo"], exclude_current=True)
     out = attach(df, tr)
     n = F.coalesce(F.col("n_amt_w"), F.lit(0)).cast("long")

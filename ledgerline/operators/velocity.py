@@ -108,30 +108,32 @@ def trailing_by_events(per_sec: DataFrame, window_s: int, value_cols: Sequence[s
     """``trailing`` for long windows, linear in the seconds of an account.
 
     A second's values enter at ``sec`` (one later with ``exclude_current``) and
-    leave at ``sec + window_s + 1``; the sum at a second is a running sum of
-    these events.  It runs inside cells of ``cell_s`` seconds, whatever the
-    window, and starts from the totals of the account's earlier cells.
-    Counts and decimals are exact, so the result equals the sliding frame.
+    leave at ``sec + window_s + 1``; the sum at a second is the running sum of
+    these events, read off where the second itself enters.  It runs inside
+    cells of ``cell_s`` seconds, whatever the window, and starts from the
+    totals of the account's earlier cells.  Counts and decimals are exact, so
+    the result equals the sliding frame.  A nullable column is NULL where the
+    frame holds no value of it; one that is never NULL comes out as 0 there.
     """
-    sec = F.col(SEC)
-    moves = F.array(F.struct((sec + int(exclude_current)).alias("t"), F.lit(1).alias("sign")),
-                    F.struct((sec + int(window_s) + 1).alias("t"), F.lit(-1).alias("sign")),
-                    F.struct(sec.alias("t"), F.lit(0).alias("sign")))  # the second itself, asking
-    events = (per_sec.where(sec.isNotNull()).select(key, SEC, *value_cols, F.inline(moves))
-              .withColumn("_cell", F.floor(F.col("t") / F.lit(cell_s)).cast("long")))
-    for c in value_cols:
-        events = events.withColumns({f"_d_{c}": F.when(F.col("sign") > 0, F.col(c)).when(F.col("sign") < 0, -F.col(c)),
-                                     f"_n_{c}": F.when(F.col(c).isNotNull(), F.col("sign")).otherwise(0)})
-    parts = [f"_{x}_{c}" for c in value_cols for x in "dn"]
-    inside = (Window.partitionBy(key, "_cell").orderBy("t", F.col("sign") == 0)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = events.select(key, SEC, "_cell", "sign", *[F.sum(p).over(inside).alias(p) for p in parts]).where("sign = 0")
-    totals = events.groupBy(key, "_cell").agg(*[F.sum(p).alias(p) for p in parts])
+    sec, lag = F.col(SEC), int(exclude_current)
+    nullable = [c for c in value_cols if per_sec.schema[c].nullable]
+    sums = [*value_cols, *[f"_n_{c}" for c in nullable]]
+    values = {c: F.coalesce(F.col(c), F.lit(0)) for c in nullable} | {f"_n_{c}": F.col(c).isNotNull().cast("int") for c in nullable}
+    moves = F.array(F.struct((sec + lag).alias("t"), F.lit(True).alias("enters")),
+                    F.struct((sec + int(window_s) + 1).alias("t"), F.lit(False).alias("enters")))
+    events = per_sec.where(sec.isNotNull()).withColumns(values).select(key, *sums, F.inline(moves))
+    events = events.select(key, "t", "enters", F.floor(F.col("t") / F.lit(cell_s)).cast("long").alias("_cell"),
+                           *[F.when(F.col("enters"), F.col(c)).otherwise(-F.col(c)).alias(c) for c in sums])
+    inside = Window.partitionBy(key, "_cell").orderBy("t").rangeBetween(Window.unboundedPreceding, -lag)
+    running = (events.select(key, "t", "enters", "_cell", *[F.sum(c).over(inside).alias(c) for c in sums])
+               .where("enters").withColumn(SEC, F.col("t") - lag))
+    totals = events.groupBy(key, "_cell").agg(*[F.sum(c).alias(c) for c in sums])
     earlier = Window.partitionBy(key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(F.col(key).alias("_k"), F.col("_cell").alias("_c"), *[F.sum(p).over(earlier).alias(f"{p}_before") for p in parts])
+    carried = totals.select(F.col(key).alias("_k"), F.col("_cell").alias("_c"), *[F.sum(c).over(earlier).alias(f"{c}_before") for c in sums])
     both = running.join(carried, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_cell") == F.col("_c")))
-    total = lambda p: F.coalesce(F.col(p), F.lit(0)) + F.coalesce(F.col(f"{p}_before"), F.lit(0))
-    timed = both.select(key, SEC, *[F.when(total(f"_n_{c}") > 0, total(f"_d_{c}")).alias(f"{c}_w") for c in value_cols])
+    total = lambda c: F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"{c}_before"), F.lit(0))
+    out = {c: F.when(total(f"_n_{c}") > 0, total(c)) if c in nullable else total(c) for c in value_cols}
+    timed = both.select(key, SEC, *[x.alias(f"{c}_w") for c, x in out.items()])
     # without a time a row is its own frame
     untimed = per_sec.where(sec.isNull()).select(key, SEC, *[F.col(c).cast(timed.schema[f"{c}_w"].dataType).alias(f"{c}_w") for c in value_cols])
     return timed.unionByName(untimed)

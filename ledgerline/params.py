@@ -50,5 +50,5 @@ AS_OF = _dt.date(2024, 1, 31)
 # Tokenisation salt used by tests; production passes its own key material.
 TEST_SALT = "bGVkZ2VybGluZS10ZXN0LWtleQ=="
 
-# Maximum rows a dimension may have before it is joined without broadcast.
-DIM_BROADCAST_MAX_ROWS = 100_000
+# Estimated size (bytes of the optimised plan) up to which a dimension is broadcast.
+DIM_BROADCAST_MAX_BYTES = 8 << 20

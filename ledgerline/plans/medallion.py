@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline import schemas
-from ledgerline.functions.timefn import ts_literal
 from ledgerline.operators import enrich as en
 from ledgerline.operators import ingest, quality, scoring
 from ledgerline.operators import kpis as _kpis
-from ledgerline.operators.contract import require_not_null
 from ledgerline.operators.incremental import upsert as _upsert
-from ledgerline.operators.velocity import attach, per_second, trailing, velocity_columns, velocity_signals
+from ledgerline.plans import marts, serving
+from ledgerline.operators.velocity import SEC, attach, per_second, trailing, velocity_columns, velocity_signals
 from ledgerline.params import RiskParams
 from ledgerline.sinks.writers import drop_stale, replace_days
 from ledgerline.sinks.writers import write_partitioned as _write
@@ -35,15 +36,14 @@ def score_transactions(df: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame,
 
     Per-account work runs on partial (map-side combined) aggregates: the
     rolling window on the per-second pre-aggregate (cell-partitioned) and
-    the account statistics.  The two small results are joined on account,
-    and the rows themselves are shuffled once, for the join on (account,
+    the account statistics.  The two small results are joined on (account,
+    hour), and the rows themselves are shuffled once, for the join on (account,
     second); the dimensions are broadcast after a size check.
     """
     tr = trailing(per_second(df), params.velocity_window_s, ["n_id", "s_amt"])
-    acct = scoring.account_stats(df).select(
-        F.col("account_id").alias("_acct"), F.col("n_amt").alias("a_n"),
-        F.col("s_amt").alias("a_s"), F.col("s_sq").alias("a_sq"))
-    stats = tr.join(acct, tr["account_id"].eqNullSafe(acct["_acct"]), "left").drop("_acct")
+    acct = scoring.spread_stats(df).withColumnsRenamed({"n_amt": "a_n", "s_amt": "a_s", "s_sq": "a_sq"})
+    hour = F.floor(F.col(SEC) / F.lit(scoring.CELL_S)).cast("long")
+    stats = tr.join(acct, (F.col("account_id") == F.col("_a")) & hour.eqNullSafe(F.col("_c")), "left").drop("_a", "_c")
     rows = velocity_columns(attach(df, stats), params)
     rows = rows.withColumn("amount_outlier_flag", scoring.outlier_test(
         F.col("amount"), F.coalesce(F.col("a_n"), F.lit(0)), F.col("a_s"), F.col("a_sq"), params.zscore))
@@ -71,16 +71,7 @@ def gold_from_silver(silver_df: DataFrame, params: RiskParams = RiskParams()) ->
 def fraud_alerts(gold: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     """P15 + serving contract: alert rows in the table's shape, score as
     decimal(6,4); a NULL in a NOT NULL column fails the load."""
-    a = gold.filter(F.col("fraud_alert")).select(
-        "transaction_id", "account_id", "card_number_token", "amount", "currency",
-        "country_code", "mcc_code", "channel", "transaction_ts", "txn_date", "region",
-        F.col("fraud_risk_score").cast("decimal(6,4)").alias("fraud_risk_score"),
-        "fraud_alert", "velocity_flag", "high_risk_mcc_flag", "amount_outlier_flag",
-        ts_literal(loaded_at).alias("loaded_at"))
-    required = [f.name for f in schemas.FRAUD_ALERTS.fields if not f.nullable]
-    return require_not_null(a, required, "fraud_alerts")
-
-
+    return serving.shaped(gold.filter(F.col("fraud_alert")), "fraud_alerts", loaded_at)
 
 
 # --- jobs: the same plans with their sinks -------------------------------------
@@ -109,32 +100,52 @@ def run_bronze(spark: SparkSession, raw: DataFrame, bronze_path: str, salt: str,
 def run_silver(spark: SparkSession, bronze_df: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame,
                silver_path: str, exists: bool, params: RiskParams = RiskParams()) -> dict[str, int]:
     """Silver job: idempotent upsert by transaction_id (replays do not
-    duplicate history); the rejected rows of a batch replace its earlier ones."""
-    silver_df, rejected = silver(bronze_df, dim_mcc, dim_geo, params)
-    orj = Observation("rejected")
-    _write(rejected.observe(orj, F.count(F.lit(1)).alias("rows")), silver_path.rstrip("/") + "_rejected",
-           ["batch_id"], mode="overwrite", cluster=False)
+    duplicate history); the rejected rows of a batch replace its earlier ones.
+    Accepted and rejected rows are counted on the rejects' own write."""
+    seen, bad = Observation("quality"), F.size("dq_flags") > 0
+    flagged = quality.with_dq_flags(bronze_df)
+    counted = flagged.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejected"))
+    _write(counted.filter(bad), silver_path.rstrip("/") + "_rejected", ["batch_id"], mode="overwrite", cluster=False)
+    silver_df, _ = silver(bronze_df, dim_mcc, dim_geo, params)
     n = _upsert(spark, silver_path, silver_df, "ingest_date", order_col="ingest_ts", exists=exists)
-    return {"silver_rows_published": n, "rejected": orj.get["rows"]}
+    got = seen.get
+    return {"silver_rows_published": n, "rejected": got["rejected"], "accepted": got["rows"] - got["rejected"]}
 
 
 def run_gold(spark: SparkSession, silver_df: DataFrame, gold_path: str, kpi_path: str,
-             alerts_path: str, loaded_at: dt.datetime, params: RiskParams = RiskParams()) -> dict[str, int]:
+             alerts_path: str, loaded_at: dt.datetime, params: RiskParams = RiskParams(),
+             marts_path: str | None = None) -> dict[str, int]:
     """Gold job: score once, write Gold partitioned by (txn_date, region),
-    then derive KPIs and alerts from the written table (the scoring plan
-    is not re-run for each sink).  All partitions of the processed days are
-    replaced in the three tables, also by nothing."""
+    then derive KPIs, alerts and the report marts from the written table (the
+    scoring plan is not re-run for each sink).  All partitions of the processed
+    days are replaced in all of them, also by nothing.  Rows without a
+    timestamp belong to no day: they stay in Gold, are counted as ``undated``
+    and reach no roll-up."""
     og = Observation("gold")
     g = gold_from_silver(silver_df, params)
-    _write(g.observe(og, F.count(F.lit(1)).alias("rows"), F.count_if("fraud_alert").alias("alerts")),
+    _write(g.observe(og, F.count(F.lit(1)).alias("rows"), F.count_if("fraud_alert").alias("alerts"),
+                     F.count_if(F.col("txn_date").isNull()).alias("undated")),
            gold_path, ["txn_date", "region"], mode="overwrite")
     keys = silver_df.select(F.to_date("transaction_ts").alias("txn_date"), "region").distinct()
     days = sorted({r["txn_date"] for r in keys.collect() if r["txn_date"] is not None})
     drop_stale(spark, keys, gold_path, ["txn_date", "region"], days)
-    written = spark.read.parquet(gold_path).where(F.col("txn_date").isin(days))
+    publish_days(spark, g.schema, gold_path, kpi_path, alerts_path, loaded_at, days, marts_path)
+    return {"gold_rows": og.get["rows"], "alerts": og.get["alerts"], "undated": og.get["undated"]}
+
+
+def publish_days(spark: SparkSession, gold_schema: T.StructType, gold_path: str, kpi_path: str, alerts_path: str,
+                 loaded_at: dt.datetime, days: Sequence[dt.date], marts_path: str | None = None) -> None:
+    """Replace ``days`` of the tables derived from stored Gold: KPIs, alerts, marts.
+
+    Gold is read in its own types: directory names alone would turn a region
+    "01" into 1."""
+    gold = spark.read.schema(gold_schema).parquet(gold_path)
+    written = gold.where(F.col("txn_date").isin(list(days)))
     replace_days(spark, _kpis.daily_kpis(written), kpi_path, ["txn_date"], days)
     replace_days(spark, fraud_alerts(written, loaded_at), alerts_path, ["txn_date"], days)
-    return {"gold_rows": og.get["rows"], "alerts": og.get["alerts"]}
+    if marts_path:
+        alerts = spark.read.schema(schemas.FRAUD_ALERTS).parquet(alerts_path)
+        marts.refresh(spark, marts_path, days, gold=gold, alerts=alerts)
 
 
 def run_batch_transform(spark: SparkSession, src_path: str, out_path: str) -> int:
@@ -148,10 +159,11 @@ def run_batch_transform(spark: SparkSession, src_path: str, out_path: str) -> in
 
 
 def run_reconcile(spark: SparkSession, stream_df: DataFrame, batch_df: DataFrame, out_path: str,
-                  detected_at: dt.datetime) -> dict[str, int]:
+                  detected_at: dt.datetime, marts_path: str | None = None) -> dict[str, int]:
     """B8 + G6: discrepancies (serving shape) by txn_date and run; a replay of a
     run replaces its own rows.  The summary counts are observed on the same
-    pass as the write."""
+    pass as the write.  With ``marts_path`` the days that the run touched are
+    replaced in the report mart, from its own rows."""
     from ledgerline.operators import reconcile as rc
     rec = rc.reconcile(stream_df, batch_df)
     t = F.col("discrepancy_type")
@@ -159,6 +171,11 @@ def run_reconcile(spark: SparkSession, stream_df: DataFrame, batch_df: DataFrame
     rec = rec.observe(o, F.count(F.lit(1)).alias("total_count"),
                       F.count_if(t.isin(rc.MATCH, rc.AMOUNT_MISMATCH)).alias("matched_count"),
                       F.count_if(t == rc.MATCH).alias("exact_match_count"))
-    found = rc.discrepancies(rec, detected_at).withColumn("run_id", F.lit(detected_at.strftime("%Y%m%d%H%M%S")))
+    run_id = detected_at.strftime("%Y%m%d%H%M%S")
+    found = serving.shaped(rc.discrepancies(rec, detected_at), "reconciliation_discrepancies", detected_at).withColumn("run_id", F.lit(run_id))
     _write(found, out_path, ["txn_date", "run_id"], mode="overwrite")
+    if marts_path:
+        mine = spark.read.schema(found.schema).parquet(out_path).where(F.col("run_id") == run_id)
+        days = [r[0] for r in mine.select("txn_date").distinct().collect() if r[0] is not None]  # partition values
+        marts.refresh(spark, marts_path, days, disc=mine)
     return dict(o.get)

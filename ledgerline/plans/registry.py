@@ -17,18 +17,21 @@ from ledgerline.functions import pan
 from ledgerline.functions.timefn import days_before, ts_literal
 from ledgerline.operators import contract as ct
 from ledgerline.operators import enrich as en
-from ledgerline.operators import features, ingest, kpis, quality, reconcile, scoring
+from ledgerline.operators import features, ingest, kpis, marts, quality, reconcile, scoring
 from ledgerline.operators import incremental as inc
 from ledgerline.operators.velocity import velocity_signals
 from ledgerline.params import AS_OF, TEST_SALT, RiskParams
-from ledgerline.plans import medallion
+from ledgerline.plans import incremental_job as incremental_job_plan
+from ledgerline.plans import marts as stored_marts
+from ledgerline.plans import medallion, metrics, serving
 from ledgerline.runtime import scratch_path
 from ledgerline.schemas import RAW_EVENT, WATERMARKS
-from ledgerline.sinks import writers
+from ledgerline.sinks import compaction, evolving, writers
 from ledgerline.sources import fixtures as fx
 from ledgerline.sources import scans
 from ledgerline.sources.tables import literal_table, table
 from ledgerline.streaming import envelope as envl
+from ledgerline.streaming import jobs as stream_jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -132,47 +135,75 @@ def q_hourly(spark, sf_dir):
     return kpis.hourly_kpis(gold(spark, sf_dir))
 
 
+# --- reports on stored tables ---------------------------------------------
+_STORED: dict[tuple, str] = {}
+
+
+def stored(spark, sf_dir) -> str:
+    """Folder of stored Gold, alerts, discrepancies and marts, written once a session by the jobs' own steps.
+
+    The reports below read the marts; no events are scored for them.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        root, rows = scratch_path(spark, "serving"), gold(spark, sf_dir)
+        writers.write_partitioned(rows, f"{root}/gold", ["txn_date", "region"], mode="overwrite")
+        days = sorted(r[0] for r in scans.scan_partitioned(spark, f"{root}/gold", rows.schema).select("txn_date").distinct().collect() if r[0])
+        medallion.publish_days(spark, rows.schema, f"{root}/gold", f"{root}/kpis", f"{root}/alerts", RUN_TS, days, f"{root}/marts")
+        medallion.run_reconcile(spark, fx.txn(spark, sf_dir), fx.batch(spark, sf_dir), f"{root}/discrepancies", RUN_TS, f"{root}/marts")
+        _STORED[key] = root
+    return _STORED[key]
+
+
+def mart(spark, sf_dir, name):
+    return stored_marts.read(spark, f"{stored(spark, sf_dir)}/marts", name)
+
+
 @query("kpi_fraud_trend")
 def q_k1(spark, sf_dir):
-    return kpis.fraud_trend(gold(spark, sf_dir), AS_OF)
+    return marts.fraud_trend(mart(spark, sf_dir, "totals"), AS_OF)
 
 
 @query("kpi_top_accounts")
 def q_k2(spark, sf_dir):
-    return kpis.top_accounts(alerts(spark, sf_dir), AS_OF)
+    return marts.top_accounts(mart(spark, sf_dir, "alerted"), AS_OF)
 
 
 @query("kpi_geo_exposure")
 def q_k3(spark, sf_dir):
-    return kpis.geo_exposure(alerts(spark, sf_dir), fx.dim_geo_risk(spark))
+    return marts.geo_exposure(mart(spark, sf_dir, "alerted"), fx.dim_geo_risk(spark))
 
 
 @query("kpi_channel")
 def q_k4(spark, sf_dir):
-    return kpis.channel_breakdown(gold(spark, sf_dir), AS_OF)
+    return marts.channel_breakdown(mart(spark, sf_dir, "totals"), AS_OF)
 
 
 @query("kpi_high_risk_mcc")
 def q_k7(spark, sf_dir):
     # 30-day look-back: the one-day default has no qualifying group in the test data.
-    return kpis.high_risk_mcc(gold(spark, sf_dir), AS_OF, days=30)
+    return marts.high_risk_mcc(mart(spark, sf_dir, "risky"), AS_OF, days=30)
 
 
 @query("kpi_high_risk_mcc_day")
 def q_k7_day(spark, sf_dir):
     # the test data has no group above the report's threshold of 3 on one day
-    return kpis.high_risk_mcc(gold(spark, sf_dir), AS_OF, days=1, min_count=0)
-
+    return marts.high_risk_mcc(mart(spark, sf_dir, "risky"), AS_OF, days=1, min_count=0)
 
 
 @query("kpi_discrepancy_audit")
 def q_k5(spark, sf_dir):
-    return kpis.discrepancy_audit(disc(spark, sf_dir), AS_OF)
+    return marts.discrepancy_audit(mart(spark, sf_dir, "discrepant"), AS_OF)
 
 
 @query("kpi_recon_accuracy")
 def q_k6(spark, sf_dir):
-    return kpis.recon_accuracy(gold(spark, sf_dir), disc(spark, sf_dir), AS_OF)
+    return marts.recon_accuracy(mart(spark, sf_dir, "totals"), mart(spark, sf_dir, "discrepant"), AS_OF)
+
+
+@query("serving_daily_kpis")
+def q_serving_kpis(spark, sf_dir):
+    return serving.shaped(kpis.daily_kpis(gold(spark, sf_dir)), "daily_fraud_kpis", RUN_TS)
 
 
 # --- reconciliation and batch features ----------------------------------
@@ -264,11 +295,16 @@ def q_gold_from_silver(spark, sf_dir):
 
 @query("run_metrics")
 def q_run_metrics(spark, sf_dir):
-    raw_all = ingest.ingest_bronze(fx.txn_raw(spark, sf_dir), TEST_SALT, batch_id=BATCH_ID,
-                                   source_file=SOURCE_FILE)
-    everything = quality.with_dq_flags(raw_all[0].unionByName(raw_all[1]))
-    g = medallion.gold_from_silver(silver_tables(spark, sf_dir)[0])
-    return quality.run_metrics(everything, g)
+    """The Bronze, Silver and Gold jobs run once; the report reads their ledger."""
+    root = scratch_path(spark, "run")
+    mcc, geo = _dims(spark)
+    done = lambda job, values: metrics.record(spark, f"{root}/metrics", BATCH_ID, job, values, RUN_TS)
+    done("bronze", medallion.run_bronze(spark, fx.txn_raw(spark, sf_dir), f"{root}/bronze", TEST_SALT, batch_id=BATCH_ID, source_file=SOURCE_FILE))
+    rows = spark.read.schema(bronze(spark, sf_dir).schema).parquet(f"{root}/bronze")
+    done("silver", medallion.run_silver(spark, rows, mcc, geo, f"{root}/silver", exists=False))
+    silver = spark.read.schema(silver_tables(spark, sf_dir)[0].schema).parquet(f"{root}/silver")
+    done("gold", medallion.run_gold(spark, silver, f"{root}/gold", f"{root}/kpis", f"{root}/alerts", RUN_TS))
+    return metrics.run_metrics(metrics.read(spark, f"{root}/metrics")).drop("run_id")
 
 
 @query("dq_gate")
@@ -381,14 +417,38 @@ def q_upsert(spark, sf_dir):
     return inc.merge_frames(source_v1(spark, sf_dir), ext)
 
 
+def incremental_job(spark, sf_dir):
+    """(job, source schema) after three stored runs: the extract of day 24, today's, and today's again."""
+    job = incremental_job_plan.Job(scratch_path(spark, "silver-extract"), "txn_date")
+    for n, source in enumerate((source_v1, source_v2, source_v2)):
+        incremental_job_plan.run(spark, job, lambda: source(spark, sf_dir), RUN_TS + dt.timedelta(days=n))
+    return job, source_v1(spark, sf_dir).schema
+
+
 @query("incremental_run")
 def q_inc_run(spark, sf_dir):
-    target = scratch_path(spark, "silver-extract")
-    inc.upsert(spark, target, source_v1(spark, sf_dir), "txn_date", exists=False)
-    ext, _ = extract_v2(spark, sf_dir)
-    inc.upsert(spark, target, ext, "txn_date")
-    inc.upsert(spark, target, ext, "txn_date")  # replay: no change
-    return spark.read.parquet(target)
+    job, schema = incremental_job(spark, sf_dir)
+    return incremental_job_plan.current_rows(spark, job, schema)
+
+
+@query("incremental_ledger")
+def q_inc_ledger(spark, sf_dir):
+    job, _ = incremental_job(spark, sf_dir)
+    ledger = incremental_job_plan.read_ledger(spark, job)
+    return ledger.where(F.col("step").isin(incremental_job_plan.STAGED, incremental_job_plan.COMMITTED)) \
+        .select("source_system", "run_no", "step", "mark", "rows", "recorded_at")
+
+
+@query("compacted_table")
+def q_compacted(spark, sf_dir):
+    # appends of three producers leave three small files a day and region
+    path, rows = scratch_path(spark, "fragmented"), fx.txn(spark, sf_dir)
+    for n in range(3):
+        part = rows.where(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == n)
+        writers.write_partitioned(part, path, ["txn_date", "region"], mode="append")
+    compaction.compact(spark, path)
+    compaction.compact(spark, path)  # finds nothing to do
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 @query("history_as_of")
@@ -424,15 +484,15 @@ CORRUPT_B64_EVERY = 89
 BAD_JSON_EVERY = 83
 
 
-def envelopes(spark, sf_dir):
-    """Envelopes built from the landing data, with undecodable records."""
+def envelopes(spark, sf_dir, *beside):
+    """Envelopes built from the landing data, with undecodable records, and columns ``beside`` them."""
     raw = fx.txn_raw(spark, sf_dir)
     text = envl.event_json(raw, RAW_EVENT.names)
     eid = F.col("event_id")
     data = (F.when(F.pmod(eid, F.lit(CORRUPT_B64_EVERY)) == 0, F.concat(F.lit("corrupt!"), eid.cast("string")))
             .when(F.pmod(eid, F.lit(BAD_JSON_EVERY)) == 0, envl.b64(F.substring(text, 1, 25)))
             .otherwise(envl.b64(text)))
-    return raw.select(data.alias("data"), F.col("account_id").alias("partition_key"))
+    return raw.select(data.alias("data"), F.col("account_id").alias("partition_key"), *beside)
 
 
 @query("stream_decode")
@@ -456,6 +516,83 @@ def q_stream_dead(spark, sf_dir):
     return envl.route(envl.decode_envelope(envelopes(spark, sf_dir)))[1]
 
 
+# --- streams replayed over landed files ----------------------------------
+def replayed(spark, landings, start):
+    """Land the files of each frame in turn and run the stream over them until it has read all."""
+    root = scratch_path(spark, "replay")
+    for rows in landings:
+        rows.write.mode("append").parquet(f"{root}/landing")
+        start(f"{root}/landing", root).awaitTermination()
+    return f"{root}/out"
+
+
+def by_thirds(df, day):
+    """The rows of days 1 to 10, 11 to 20 and the rest: the order in which they land."""
+    third = F.least(F.floor((F.dayofmonth(day) - 1) / 10), F.lit(2))
+    return [df.filter(third == n) for n in range(3)]
+
+
+def file_stream(spark, schema, build):
+    """Start ``build`` over a Parquet landing folder into a Parquet table, with the checkpoint beside it."""
+    def start(landing, root):
+        out = build(spark.readStream.schema(schema).parquet(landing))
+        return (out.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
+                .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    return start
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    cols = ["transaction_id", "account_id", "mcc_code", "country_code", "channel", "region", "transaction_ts"]
+    raw = fx.txn_raw(spark, sf_dir).filter("transaction_id IS NOT NULL AND transaction_ts IS NOT NULL").select(*cols)
+    out = replayed(spark, by_thirds(raw, "transaction_ts"), file_stream(spark, raw.schema, stream_jobs.dedup_stream))
+    return spark.read.schema(raw.schema).parquet(out)
+
+
+@query("stream_windowed_kpis")
+def q_stream_windows(spark, sf_dir):
+    rows = gold(spark, sf_dir)
+    out = replayed(spark, by_thirds(rows, "txn_date"), file_stream(spark, rows.schema, stream_jobs.windowed_kpis))
+    return spark.read.parquet(out)
+
+
+@query("stream_velocity")
+def q_stream_velocity(spark, sf_dir):
+    rows = fx.txn(spark, sf_dir).select("transaction_id", "account_id", "amount", "transaction_ts")
+    out = replayed(spark, by_thirds(rows, "transaction_ts"), file_stream(spark, rows.schema, stream_jobs.velocity_stream))
+    return spark.read.parquet(out)
+
+
+LATE_AFTER_S = 1800
+
+
+@query("stream_late_arrivals")
+def q_stream_late(spark, sf_dir):
+    """Some envelopes land with the next third of the month; late ones go to the dead letter, none is lost."""
+    env = envelopes(spark, sf_dir, "ingest_date")
+    third = F.least(F.floor((F.dayofmonth("ingest_date") - 1) / 10), F.lit(2))
+    landing = third + F.when(F.sha2("data", 256).endswith("0"), 1).otherwise(0)
+    root = scratch_path(spark, "replay-late")
+    for n in range(4):
+        env.filter(landing == n).select("data", "partition_key").write.mode("append").json(f"{root}/landing")
+        stream_jobs.start_event_stream(spark, f"{root}/landing", f"{root}/out", checkpoint=f"{root}/checkpoint", failed_at=RUN_TS,
+                                       late_after_s=LATE_AFTER_S).awaitTermination()
+    return spark.read.parquet(f"{root}/out").select(F.col("batch_id").cast("long").alias("batch_id"), "partition_key", "payload_sha256", "route", "reason")
+
+
+@query("schema_evolving_append")
+def q_evolving(spark, sf_dir):
+    """Two producers' versions in one table: the second brings two more columns."""
+    path = scratch_path(spark, "evolving")
+    cols = ["transaction_id", "account_id", "amount", "currency", "transaction_ts", "mcc_code", "country_code", "channel"]
+    rows = fx.txn(spark, sf_dir)
+    fields = [f for f in ct.TRANSACTION_CONTRACT if f["name"] in cols]
+    half = ts_literal(dt.datetime(2024, 1, 16))
+    evolving.append(spark, rows.filter(F.col("transaction_ts") < half).select(*cols), path, fields, ct.CONTRACT_REQUIRED)
+    evolving.append(spark, rows.filter(F.col("transaction_ts") >= half).select(*cols, "device_id", "account_open_date"), path, fields, ct.CONTRACT_REQUIRED)
+    return evolving.read(spark, path)
+
+
 # --- free-text redaction -------------------------------------------------
 @query("redact_free_text")
 def q_redact_text(spark, sf_dir):

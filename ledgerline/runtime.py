@@ -46,44 +46,59 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-_BOUND_CACHE: dict[tuple, int] = {}
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of a path or URI."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
 
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the
-    frame is returned unchanged and the planner picks a shuffle join (AQE
-    can still convert it at run time from real sizes).  The proven count is
-    remembered per (plan, input files), so a dimension read by many jobs of
-    one session is checked once and re-checked when its files change.
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """The optimiser's estimate of a frame's size: file sizes for scans, their product for joins.  Runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int) -> DataFrame:
+    """Broadcast ``df`` only if its optimised plan is estimated at ``max_bytes`` at most.
+
+    Beyond the bound the frame is returned unchanged and the planner picks a
+    shuffle join (AQE can still convert it at run time from real sizes).
+    Parquet sizes are compressed, so callers leave room for several times
+    ``max_bytes`` in memory.
     """
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    n = _BOUND_CACHE.get(key)
-    if n is None:
-        n = df.limit(max_rows + 1).count()
-        _BOUND_CACHE[key] = n
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
 
 
 def cluster_conf(input_bytes: int, executor_cores: int, executor_memory_gb: int,
-                 target_partition_mb: int = 256) -> dict[str, str]:
+                 target_partition_mb: int = 256, max_partitions: int = 50_000) -> dict[str, str]:
     """Session settings sized for the data (set them when building the session).
 
     * file splits of ``target_partition_mb`` so a scan task reads a bounded
       slice whatever the table size;
     * initial shuffle partitions = input / target, never below 2x the cores
-      of the cluster share; AQE then coalesces small ones and splits skewed
-      ones (skew join), and ``rebalance`` writes get advisory-sized files;
+      of the cluster share and never above ``max_partitions`` (a plan's
+      map-output table and a stream's state stores grow with it; beyond it
+      partitions get larger and spill); AQE then coalesces small ones and
+      splits skewed ones (skew join), and ``rebalance`` writes get
+      advisory-sized files;
     * the broadcast threshold stays at the reference's 50 MB; our own
-      dimension broadcasts are additionally bounded by row count;
+      dimension broadcasts are additionally bounded by the plan's bytes;
     * stream state lives in RocksDB rather than on the JVM heap.
 
     With 4 GB per core and 256 MB partitions a task holds well under its
     memory share, so sorts and aggregations spill rarely.
     """
     mb = 1024 * 1024
-    parts = max(2 * executor_cores, -(-int(input_bytes) // (target_partition_mb * mb)))
+    parts = min(max_partitions, max(2 * executor_cores, -(-int(input_bytes) // (target_partition_mb * mb))))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -77,7 +77,8 @@ DAILY_KPIS = T.StructType([
     T.StructField("txn_amount_total", MONEY_TOTAL),
     T.StructField("flagged_txn_count", T.LongType()),
     T.StructField("flagged_exposure_amount", MONEY_TOTAL),
-    T.StructField("fraud_rate_pct", T.DoubleType()),
+    T.StructField("fraud_rate_pct", T.DecimalType(6, 3)),
+    T.StructField("loaded_at", T.TimestampNTZType()),
 ])
 
 DISCREPANCIES = T.StructType([
@@ -90,3 +91,17 @@ DISCREPANCIES = T.StructType([
     T.StructField("resolved", T.BooleanType()),
     T.StructField("resolution_notes", T.StringType()),
 ])
+
+# The dimensions as served: keys and defaults as declared.
+DIM_MERCHANT_SERVING = T.StructType([
+    T.StructField("mcc_code", T.StringType(), False),
+    T.StructField("mcc_description", T.StringType()),
+    T.StructField("risk_tier", T.StringType()),
+])
+
+DIM_GEO_SERVING = T.StructType([
+    T.StructField("country_code", T.StringType(), False),
+    T.StructField("country_name", T.StringType()),
+    T.StructField("geo_risk_score", T.DecimalType(4, 3)),
+    T.StructField("fatf_watchlist", T.BooleanType()),
+])

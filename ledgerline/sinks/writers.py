@@ -1,4 +1,4 @@
-"""Sinks: partitioned Parquet, staged partition publish, compaction, JDBC."""
+"""Sinks: partitioned Parquet, staged partition publish, bucketed tables, JDBC."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.runtime import scratch_path
+from ledgerline.runtime import delete_path, scratch_path
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "append",
@@ -69,14 +69,14 @@ def publish_partitions(spark: SparkSession, df: DataFrame, path: str, by: Sequen
     then the touched partitions are replaced by a dynamic overwrite.
     Single writer per target.  Returns the staged row count.
     """
-    n, _, stage = stage_and_publish(spark, df, path, by)
+    n, staged, stage = stage_rows(spark, df, by)
+    write_partitioned(staged, path, by, mode="overwrite", cluster=False)
     drop_stage(spark, stage)
     return n
 
 
-def stage_and_publish(spark: SparkSession, df: DataFrame, path: str,
-                      by: Sequence[str]) -> tuple[int, DataFrame, str]:
-    """``publish_partitions`` that leaves the staged table and returns it with its path."""
+def stage_rows(spark: SparkSession, df: DataFrame, by: Sequence[str]) -> tuple[int, DataFrame, str]:
+    """(row count, staged table, its path): ``df`` written to the shared folder, partitioned by ``by``, and checked."""
     stage = scratch_path(spark, "stage")
     obs = Observation("staged")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", *by).write.mode("overwrite") \
@@ -86,14 +86,12 @@ def stage_and_publish(spark: SparkSession, df: DataFrame, path: str,
     n = staged.count()
     if n != obs.get["rows"]:
         raise RuntimeError(f"staging check failed: wrote {obs.get['rows']} rows, read {n}")
-    write_partitioned(staged, path, by, mode="overwrite", cluster=False)
     return n, staged, stage
 
 
 def drop_stage(spark: SparkSession, stage: str) -> None:
     """Remove a staged copy after its publish."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    delete_path(spark, stage)
 
 
 def write_serving(df: DataFrame, url: str, table: str, properties: dict[str, str],
@@ -110,27 +108,6 @@ def register_partitioned_table(spark: SparkSession, name: str, path: str, df_sch
     spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
-def partition_file_stats(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame:
-    """Files and rows per partition, from the scan's file metadata (distributed)."""
-    df = spark.read.parquet(path)
-    return (df.select(*by, F.col("_metadata.file_path").alias("_file"))
-            .groupBy(*by).agg(F.countDistinct("_file").alias("files"),
-                              F.count(F.lit(1)).alias("rows")))
-
-
-def compact(spark: SparkSession, path: str, by: Sequence[str], max_files: int = 1) -> int:
-    """Rewrite only partitions holding more than ``max_files`` files.
-
-    The fragmented partitions are selected by a semi join against the file
-    statistics (no list on the driver) and published via staging.
-    Returns the number of rows rewritten.
-    """
-    stats = partition_file_stats(spark, path, by)
-    frag = stats.filter(F.col("files") > max_files).select(*by)
-    data = spark.read.parquet(path).join(frag, list(by), "left_semi")
-    return publish_partitions(spark, data.hint("rebalance", *by), path, by)
-
-
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
                    mode: str = "overwrite") -> None:
     """Bucketed, key-sorted table at ``path`` registered as ``table``.

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
-from ledgerline.params import DIM_BROADCAST_MAX_ROWS
+from ledgerline.params import DIM_BROADCAST_MAX_BYTES
 from ledgerline.runtime import bounded_broadcast
 from ledgerline.sources.tables import literal_table, table
 
@@ -95,10 +95,10 @@ def customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> (c_custkey, country_code, region); nation/region are tiny."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    nr = nation.join(bounded_broadcast(region, DIM_BROADCAST_MAX_ROWS),
+    nr = nation.join(bounded_broadcast(region, DIM_BROADCAST_MAX_BYTES),
                      nation.n_regionkey == region.r_regionkey)
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    cg = cust.join(bounded_broadcast(nr, DIM_BROADCAST_MAX_ROWS),
+    cg = cust.join(bounded_broadcast(nr, DIM_BROADCAST_MAX_BYTES),
                    cust.c_nationkey == nr.n_nationkey)
     return cg.select(
         "c_custkey",

@@ -21,6 +21,8 @@ JSON_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # Fixed routing reasons of the dead-letter table.
 DECODE_FAILED = "DECODE_FAILED"
 SCHEMA_VALIDATION_FAILED = "SCHEMA_VALIDATION_FAILED"
+# Ours: a complete event that arrives after its time has passed.
+LATE_ARRIVAL = "LATE_ARRIVAL"
 
 _EVENT_FIELDS = [f.name for f in schemas.RAW_EVENT.fields]
 _STAMPS = {f.name for f in schemas.RAW_EVENT.fields if f.dataType.typeName() == "timestamp_ntz"}
@@ -58,10 +60,11 @@ def encode_envelope(df: DataFrame) -> DataFrame:
 def decode_envelope(env: DataFrame) -> DataFrame:
     """base64 -> UTF-8 JSON -> typed event; undecodable rows are marked.
 
-    The parse runs inside a one-row ``inline`` generator.  Filters on the
-    decoded fields (routing) then stay above the generator, so each payload
-    is decoded and parsed exactly once per row; with a plain projection the
-    optimizer would substitute the parse into every pushed-down predicate.
+    The parses run inside one-row ``inline`` generators, first of the payload,
+    then of its timestamps.  Filters on the decoded fields (routing) then stay
+    above the generators, so each payload and each timestamp is parsed exactly
+    once per row; with a plain projection the optimizer would substitute the
+    parses into every pushed-down predicate.
     """
     payload = F.try_to_binary(F.col("data"), F.lit("base64")).cast("string")
     d = env.select("partition_key", "data", payload.alias("payload"))
@@ -69,12 +72,14 @@ def decode_envelope(env: DataFrame) -> DataFrame:
         F.json_object_keys("payload").isNull().alias("decode_error"),
         F.from_json("payload", iso_as_text(schemas.RAW_EVENT)).alias("_e"))
     d = d.select("partition_key", "data", F.inline(F.array(parsed)))
+    times = F.struct(*[parse_iso_utc(f"_e.{n}").alias(f"_t_{n}") for n in sorted(_STAMPS)])
+    d = d.select("partition_key", "data", "decode_error", "_e", F.inline(F.array(times)))
     bad = F.col("decode_error")
     return d.select(
         "partition_key",
         F.sha2(F.col("data"), 256).alias("payload_sha256"),
         bad.alias("decode_error"),
-        *[F.when(~bad, parse_iso_utc(f"_e.{n}") if n in _STAMPS else F.col(f"_e.{n}")).alias(n) for n in _EVENT_FIELDS],
+        *[F.when(~bad, F.col(f"_t_{n}") if n in _STAMPS else F.col(f"_e.{n}")).alias(n) for n in _EVENT_FIELDS],
     )
 
 
@@ -84,11 +89,15 @@ def redact(df: DataFrame) -> DataFrame:
             .withColumn("card_number", redact_pan(F.col("card_number"))))
 
 
-def flag_required(df: DataFrame, required: Sequence[str] = STREAM_REQUIRED) -> DataFrame:
-    """Missing (absent or NULL) required fields and the routing reason."""
+def flag_required(df: DataFrame, required: Sequence[str] = STREAM_REQUIRED, late: Column | None = None) -> DataFrame:
+    """Missing (absent or NULL) required fields and the routing reason.
+
+    ``late`` marks events that are behind the stream's time (S8)."""
     missing = F.array_compact(F.array(*[F.when(F.col(f).isNull(), F.lit(f)) for f in required]))
     reason = (F.when(F.col("decode_error"), F.lit(DECODE_FAILED))
               .when(F.size(missing) > 0, F.lit(SCHEMA_VALIDATION_FAILED)))
+    if late is not None:
+        reason = reason.when(late, F.lit(LATE_ARRIVAL))
     return df.withColumn("missing_fields", missing).withColumn("reason", reason)
 
 
@@ -96,10 +105,10 @@ VALID_COLUMNS = ["partition_key", "payload_sha256", *_EVENT_FIELDS, "redacted"]
 DEAD_COLUMNS = ["partition_key", "reason", "missing_fields", "payload_sha256", "event_redacted"]
 
 
-def routed(decoded: DataFrame) -> DataFrame:
+def routed(decoded: DataFrame, late: Column | None = None) -> DataFrame:
     """Decode -> redact -> validate in one projection, with a ``route``
     column (``valid`` / ``dead``) so one write can serve both sinks."""
-    checked = flag_required(redact(decoded))
+    checked = flag_required(redact(decoded), late=late)
     return checked.select(
         *checked.columns,
         F.when(F.col("reason").isNull(), F.lit("valid")).otherwise(F.lit("dead")).alias("route"),

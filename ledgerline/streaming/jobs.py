@@ -6,11 +6,12 @@
   ``batch_id=N`` directory with overwrite, so a batch replayed after a
   failure replaces itself instead of duplicating (exactly-once output with
   the checkpointed offsets).
-* ``dedup_stream`` (S4), ``windowed_kpis`` (S7/S8) and ``velocity_stream``
-  (S5, exact trailing window through per-account state).
+* ``dedup_stream`` (S4), ``windowed_kpis`` (S7) and ``velocity_stream``
+  (S5, exact trailing window through state per account and time cell).
+* late events (S8) go to the dead letter with a reason of their own.
 * ``score_stream`` / ``start_scoring_stream``: real-time risk scoring
-  (velocity state, stream-static enrichment and account statistics),
-  written to an exactly-once file sink.
+  (velocity state, enrichment, account statistics that are looked up again
+  for every batch), exactly-once by batch directories.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import datetime as dt
 import logging
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -29,12 +30,16 @@ from ledgerline.functions.pan import was_redacted
 from ledgerline.operators.contract import STREAM_REQUIRED
 from ledgerline.operators.kpis import _kpi_aggs, _with_rate
 from ledgerline.params import RiskParams
-from ledgerline.runtime import bounded_broadcast, checkpoint_root
-from ledgerline.streaming.envelope import decode_envelope, routed
+from ledgerline.runtime import bounded_broadcast, checkpoint_root, path_exists
+from ledgerline.streaming import statistics
+from ledgerline.streaming.envelope import LATE_ARRIVAL, decode_envelope, routed
 from ledgerline.functions.timefn import epoch_seconds, ts_literal
 
 log = logging.getLogger(__name__)
 
+# Stored account statistics up to this size (four numbers an account) are broadcast.
+STATS_BROADCAST_MAX_BYTES = 32 << 20
+
 
 def event_time(ts: Column | str) -> Column:
     """TIMESTAMP_NTZ -> TIMESTAMP on the UTC time line (for watermarks), zone-free."""
@@ -51,21 +56,54 @@ def read_event_stream(spark: SparkSession, src_dir: str, max_files_per_trigger:
     return r.json(src_dir)
 
 
-def route_batch(out_path: str, failed_at: dt.datetime | None = None
+def route_batch(out_path: str, failed_at: dt.datetime | None = None, late_after_s: int | None = None
                 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body; one write job per micro-batch.
 
     Rows land in ``out_path/batch_id=N/route=valid|dead``; overwrite of the
     batch directory makes a replayed batch replace itself.
+
+    With ``late_after_s`` (S8), a complete event more than that many seconds
+    behind the latest event of the batches before goes to the dead letter as
+    LATE_ARRIVAL instead of being dropped by a watermark downstream, so valid and
+    dead rows together are the input.  The latest event time is observed on the
+    write itself and kept per batch in ``<out_path>_marks``: a replayed batch
+    is judged by the same mark as the first time.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         stamp = ts_literal(failed_at) if failed_at else F.localtimestamp()
-        out = routed(batch).withColumn(
+        mark = late = None
+        if late_after_s is not None:
+            mark = read_mark(spark, out_path, batch_id - 1)
+            if mark is not None:
+                late = F.col("transaction_ts") < ts_literal(mark - dt.timedelta(seconds=late_after_s))
+        out = routed(batch, late).withColumn(
             "failed_at", F.when(F.col("route") == "dead", stamp))
+        latest = Observation("latest")
+        if late_after_s is not None:
+            on_time = (F.col("route") == "valid") | (F.col("reason") == LATE_ARRIVAL)
+            out = out.observe(latest, F.max(F.when(on_time, F.col("transaction_ts"))).alias("mark"))
         out.write.mode("overwrite").partitionBy("route").parquet(f"{out_path}/batch_id={batch_id}")
+        if late_after_s is not None:
+            seen = [x for x in (mark, latest.get["mark"]) if x is not None]
+            row = spark.createDataFrame([(max(seen) if seen else None,)], "mark timestamp_ntz")
+            row.coalesce(1).write.mode("overwrite").parquet(f"{marks_path(out_path)}/batch_id={batch_id}")
     return write
 
 
+def marks_path(out_path: str) -> str:
+    return out_path.rstrip("/") + "_marks"
+
+
+def read_mark(spark: SparkSession, out_path: str, batch_id: int) -> dt.datetime | None:
+    """Latest event time up to a batch; None before the first."""
+    path = f"{marks_path(out_path)}/batch_id={batch_id}"
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema("mark timestamp_ntz").parquet(path).first()["mark"]
+
+
 def read_routed(spark: SparkSession, out_path: str) -> tuple[DataFrame, DataFrame]:
     """(valid table, dead-letter table) of a routed stream output."""
     from ledgerline.streaming.envelope import DEAD_COLUMNS, VALID_COLUMNS
@@ -77,7 +115,8 @@ def read_routed(spark: SparkSession, out_path: str) -> tuple[DataFrame, DataFram
 def start_event_stream(spark: SparkSession, src_dir: str, out_path: str,
                        checkpoint: str | None = None, available_now: bool = True,
                        failed_at: dt.datetime | None = None,
-                       max_files_per_trigger: int | None = None) -> StreamingQuery:
+                       max_files_per_trigger: int | None = None,
+                       late_after_s: int | None = None) -> StreamingQuery:
     """One read, one routed write per micro-batch; counts observable
     in the query progress (``observedMetrics['routing']``)."""
     decoded = decode_envelope(read_event_stream(spark, src_dir, max_files_per_trigger))
@@ -92,7 +131,7 @@ def start_event_stream(spark: SparkSession, src_dir: str, out_path: str,
         F.count_if(~complete & ~F.col("decode_error")).alias("schema_failed"),
         F.count_if(was_redacted(F.col("card_number"))).alias("redacted"))
     ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/streams/events"
-    w = (observed.writeStream.foreachBatch(route_batch(out_path, failed_at))
+    w = (observed.writeStream.foreachBatch(route_batch(out_path, failed_at, late_after_s))
          .option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
     return w.start()
@@ -132,10 +171,12 @@ def dedup_stream(events: DataFrame, delay: str = "1 hour", key: str = "transacti
 
 def windowed_kpis(events: DataFrame, window: str = "1 hour", delay: str = "30 minutes",
                   ts: str = "transaction_ts") -> DataFrame:
-    """Tumbling-window KPI roll-up, appended once the watermark closes a window.
+    """Tumbling-window KPI roll-up, appended once the watermark closes a window.
 
-    Rows later than ``delay`` are dropped by the watermark and reported as
-    ``numRowsDroppedByWatermark`` in the query progress.
+    Rows later than ``delay`` would be dropped by the watermark (and reported as
+    ``numRowsDroppedByWatermark``); feed it valid rows of ``start_event_stream``
+    with ``late_after_s`` of the same delay, and late events are in the dead
+    letter instead.
     """
     e = events.withColumn("event_time", event_time(ts)).withWatermark("event_time", delay)
     g = e.groupBy(F.window("event_time", window).alias("w"), "region", "channel").agg(*_kpi_aggs())
@@ -147,105 +188,107 @@ def windowed_kpis(events: DataFrame, window: str = "1 hour", delay: str = "30 mi
 
 VELOCITY_OUT = ("transaction_id string, account_id string, transaction_ts timestamp_ntz, "
                 "amount decimal(18,2), txn_count_5min long, txn_sum_5min decimal(20,2), velocity_flag boolean")
-VELOCITY_STATE = ("p_id array<string>, p_sec array<long>, p_us array<long>, p_cents array<long>, "
-                  "p_has array<long>, p_keep array<string>, h_sec array<long>, h_cents array<long>, "
-                  "h_has array<long>")
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _velocity_fn(params: RiskParams):
-    """The per-account state function.
+def velocity_processor(win: int, min_count: int, min_cents: int, cell_s: int):
+    """The state of one (account, cell of ``cell_s`` seconds): a map from second to its sums and waiting rows.
 
-    It captures plain numbers only (no ledgerline objects), so Python
-    workers can run it without importing this package.
+    A batch reads and writes the seconds its rows fall into and no others.  A
+    timer fires when the watermark passes the first waiting second; its rows are
+    then final and leave with the sums of the window before them.  When the
+    watermark passes the end of the cell the whole state goes.  The class is
+    made here and captures plain numbers only, so Python workers can run it
+    without importing this package.
     """
-    win = int(params.velocity_window_s)
-    min_count = int(params.velocity_count)
-    min_cents = int(params.velocity_amount) * 100
-    return _make_velocity_state_fn(win, min_count, min_cents)
-
+    import json
+    from decimal import Decimal
 
-def _make_velocity_state_fn(win: int, min_count: int, min_cents: int):
     import numpy as np
     import pandas as pd
-    from decimal import Decimal
+    from pyspark.sql.streaming import StatefulProcessor
 
     epoch = pd.Timestamp("1970-01-01")
 
-    def fn(key, pdfs, state):
-        new = [p for p in pdfs]
-        if state.exists:
-            p_id, p_sec, p_us, p_cents, p_has, p_keep, h_sec, h_cents, h_has = state.get
-            pend = pd.DataFrame({"id": list(p_id), "sec": list(p_sec), "us": list(p_us),
-                                 "cents": list(p_cents), "has": list(p_has), "keep": list(p_keep)})
-            hist = pd.DataFrame({"sec": list(h_sec), "cents": list(h_cents), "has": list(h_has)})
-        else:
-            pend = pd.DataFrame({"id": [], "sec": [], "us": [], "cents": [], "has": [], "keep": []})
-            hist = pd.DataFrame({"sec": [], "cents": [], "has": []})
-        if new and not state.hasTimedOut:
-            x = pd.concat(new, ignore_index=True)
-            pend = pd.concat([pend, pd.DataFrame({
-                "id": x["transaction_id"], "sec": x["_sec"], "us": x["_us"],
-                "cents": x["_cents"].fillna(0), "has": x["_cents"].notna().astype("int64"),
-                "keep": x["_keep"]})],
-                ignore_index=True)
-        pend = pend.astype({"sec": "int64", "us": "int64", "cents": "int64", "has": "int64"})
-        hist = hist.astype({"sec": "int64", "cents": "int64", "has": "int64"})
-        wm_ms = state.getCurrentWatermarkMs()
-        # a second is complete once the watermark has passed its end
-        ready = (pend["sec"] + 1) * 1000 <= wm_ms
-        out = []
-        if ready.any():
-            known_sec = np.concatenate([hist["sec"].to_numpy(), pend["sec"].to_numpy()])
-            known_c = np.concatenate([hist["cents"].to_numpy(), pend["cents"].to_numpy()])
-            known_h = np.concatenate([hist["has"].to_numpy(), pend["has"].to_numpy()])
-            order = np.argsort(known_sec, kind="stable")
-            ks, kc, kh = known_sec[order], np.cumsum(known_c[order]), np.cumsum(known_h[order])
-            r = pend[ready]
-            hi = np.searchsorted(ks, r["sec"].to_numpy(), side="right")
-            lo = np.searchsorted(ks, r["sec"].to_numpy() - win, side="left")
-            cnt = hi - lo
-            csum, hsum = np.concatenate([[0], kc]), np.concatenate([[0], kh])
-            tot, has = csum[hi] - csum[lo], hsum[hi] - hsum[lo]
-            ts = epoch + pd.to_timedelta(r["sec"].to_numpy() * 1_000_000 + r["us"].to_numpy(), unit="us")
-            out.append(pd.DataFrame({
-                "transaction_id": r["id"].to_numpy(), "account_id": key[0], "transaction_ts": ts,
-                "amount": [Decimal(int(c)).scaleb(-2) if h else None for c, h in zip(r["cents"], r["has"])],
-                "txn_count_5min": cnt.astype("int64"),
-                "txn_sum_5min": [Decimal(int(s)).scaleb(-2) if h else None for s, h in zip(tot, has)],
-                "velocity_flag": (cnt >= min_count) | ((has > 0) & (tot >= min_cents)),
-                "_keep": r["keep"].to_numpy()}))
-            hist = pd.concat([hist, r[["sec", "cents", "has"]]], ignore_index=True)
-            pend = pend[~ready]
-        # history older than every second still to be emitted is no longer needed
-        horizon = min(pend["sec"].min() if len(pend) else wm_ms // 1000, wm_ms // 1000) - win
-        hist = hist[hist["sec"] >= horizon]
-        if len(pend) == 0 and len(hist) == 0:
-            state.remove()
-        else:
-            state.update((pend["id"].tolist(), pend["sec"].tolist(), pend["us"].tolist(),
-                          pend["cents"].tolist(), pend["has"].tolist(), pend["keep"].tolist(),
-                          hist["sec"].tolist(), hist["cents"].tolist(), hist["has"].tolist()))
-            if len(pend):
-                state.setTimeoutTimestamp(max(int((pend["sec"].min() + 1) * 1000), wm_ms + 1))
-            else:
-                state.setTimeoutTimestamp(wm_ms + win * 1000 + 1)
-        for o in out:
-            yield o
-
-    return fn
+    class Velocity(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.seconds = handle.getMapState("seconds", "sec long", "n long, cents long, has long, waiting string")
+
+        def handleInputRows(self, key, rows, timerValues):  # noqa: N802
+            new: dict[int, list] = {}
+            for x in rows:
+                cents = x["cents"].astype("object").where(x["cents"].notna(), None)
+                for own, sec, us, c, name, keep in zip(x["own"], x["sec"], x["us"], cents, x["transaction_id"], x["kept"]):
+                    at = new.setdefault(int(sec), [0, 0, 0, []])
+                    at[0] += 1
+                    if c is not None:
+                        at[1], at[2] = at[1] + int(c), at[2] + 1
+                    if own:
+                        at[3].append([name, int(us), None if c is None else int(c), keep])
+            for sec, (n, c, has, waiting) in new.items():
+                old = self.seconds.getValue((sec,))
+                if old is not None:
+                    n, c, has, waiting = n + old[0], c + old[1], has + old[2], json.loads(old[3]) + waiting
+                self.seconds.updateValue((sec,), (n, c, has, json.dumps(waiting)))
+            due = [sec + 1 for sec, x in new.items() if x[3]] + [(int(key[1]) + 1) * cell_s]
+            self.handle.registerTimer(min(due) * 1000)
+            return iter(())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802
+            now, end = timerValues.getCurrentWatermarkInMs(), (int(key[1]) + 1) * cell_s * 1000
+            held = sorted((k[0], v) for k, v in self.seconds.iterator())
+            ready = [(sec, v) for sec, v in held if v[3] != "[]" and (sec + 1) * 1000 <= now]
+            out = self._emit(key, held, ready) if ready else []
+            if now >= end:
+                self.seconds.clear()
+                return iter(out)
+            for sec, (n, c, has, _) in ready:
+                self.seconds.updateValue((sec,), (n, c, has, "[]"))
+            due = [(sec + 1) * 1000 for sec, v in held if v[3] != "[]" and (sec + 1) * 1000 > now]
+            self.handle.registerTimer(min([*due, end]))
+            return iter(out)
+
+        def _emit(self, key, held, ready):
+            secs = np.array([s for s, _ in held], np.int64)
+            sums = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum([v[:3] for _, v in held], axis=0, dtype=np.int64)])
+            rows = []
+            for sec, v in ready:
+                lo, hi = np.searchsorted(secs, sec - win), np.searchsorted(secs, sec, side="right")
+                n, c, has = (int(x) for x in sums[hi] - sums[lo])
+                total = Decimal(c).scaleb(-2) if has else None
+                for name, us, cents, keep in json.loads(v[3]):
+                    rows.append((name, key[0], epoch + pd.Timedelta(sec * 1_000_000 + us, unit="us"), None if cents is None else Decimal(cents).scaleb(-2),
+                                 n, total, n >= min_count or (has > 0 and c >= min_cents), keep))
+            return [pd.DataFrame(rows, columns=["transaction_id", "account_id", "transaction_ts", "amount", "txn_count_5min", "txn_sum_5min", "velocity_flag", "kept"])]
+
+        def close(self) -> None:
+            pass
+
+    return Velocity()
 
 
 def velocity_stream(events: DataFrame, params: RiskParams = RiskParams(), delay: str = "30 minutes",
-                    ts: str = "transaction_ts", keep: Sequence[str] = ()) -> DataFrame:
+                    ts: str = "transaction_ts", keep: Sequence[str] = (), cell_s: int | None = None) -> DataFrame:
     """Exact trailing-window velocity on a stream (equals W2/W3 on replay).
 
-    Per-account state keeps the rows not yet final (inside the watermark
-    delay) and the emitted rows still inside the look-back.  A row is
-    emitted once the watermark passes the end of its second, so no later
-    in-watermark row can change it.  State is bounded by the delay plus the
-    window per account, independent of history length.  ``keep`` columns
-    ride along with each row (as JSON in the state) and come back typed.
+    The state is keyed by (account, cell): time is cut into cells of ``cell_s``
+    seconds, and a row within one window of the next cell's start also counts
+    there, as in the batch form, so that a hot account spreads over tasks.  A
+    row is emitted once the watermark passes the end of its second, so no later
+    in-watermark row can change it.  State is bounded by the seconds of the
+    cells that the watermark has not passed; a batch writes only the seconds it
+    touches.  ``keep`` columns ride along with each row (as JSON in the state)
+    and come back typed.  State with timers needs the RocksDB store, which is
+    set for the session here.
     """
+    from ledgerline.operators.velocity import default_cell
+
+    events.sparkSession.conf.set(STATE_STORE, ROCKSDB)
+    win, width = int(params.velocity_window_s), int(cell_s or default_cell(params.velocity_window_s))
+    if width < win:
+        raise ValueError("cell width must be at least the window length")
     keep = [c for c in keep if c not in ("account_id", "transaction_id", "transaction_ts", "amount",
                                          "event_time")]
     keep_schema = T.StructType([f for f in events.schema.fields if f.name in keep])
@@ -253,41 +296,45 @@ def velocity_stream(events: DataFrame, params: RiskParams = RiskParams(), delay:
     # reuse an upstream event-time watermark (e.g. from ``dedup_stream``)
     timed = events if "event_time" in events.columns else \
         events.withColumn("event_time", event_time(ts)).withWatermark("event_time", delay)
-    e = (timed
-         .withColumn("_sec", epoch_seconds(ts))
-         .withColumn("_us", (F.extract(F.lit("SECOND"), F.col(ts)) * 1_000_000).cast("long") % 1_000_000)
-         .withColumn("_cents", (F.col("amount") * 100).cast("long"))
-         .withColumn("_keep", payload)
-         .select("account_id", "transaction_id", "_sec", "_us", "_cents", "_keep", "event_time"))
-    out = e.groupBy("account_id").applyInPandasWithState(
-        _velocity_fn(params), VELOCITY_OUT + ", _keep string", VELOCITY_STATE, "append", "EventTimeTimeout")
+    # the state function sees no column names that begin with an underscore
+    cell = F.floor(F.col("sec") / F.lit(width)).cast("long")
+    near_next = F.col("sec") >= (cell + 1) * F.lit(width) - F.lit(win)
+    mine = F.struct(cell.alias("cell"), F.lit(True).alias("own"))
+    context = F.struct((cell + 1).alias("cell"), F.lit(False).alias("own"))
+    e = timed.select(
+        "account_id", "transaction_id", epoch_seconds(ts).alias("sec"),
+        ((F.extract(F.lit("SECOND"), F.col(ts)) * 1_000_000).cast("long") % 1_000_000).alias("us"),
+        (F.col("amount") * 100).cast("long").alias("cents"), payload.alias("kept"), "event_time")
+    e = e.select("*", F.inline(F.when(near_next, F.array(mine, context)).otherwise(F.array(mine))))
+    # a context copy needs no payload
+    e = e.withColumn("kept", F.when(F.col("own"), F.col("kept")))
+    processor = velocity_processor(win, int(params.velocity_count), int(params.velocity_amount) * 100, width)
+    out = e.groupBy("account_id", "cell").transformWithStateInPandas(
+        processor, VELOCITY_OUT + ", kept string", "Append", "EventTime")
     if not keep:
-        return out.drop("_keep")
-    return (out.withColumn("_k", F.from_json("_keep", keep_schema))
-            .select(*[c for c in out.columns if c != "_keep"], *[F.col(f"_k.{c}").alias(c) for c in keep]))
+        return out.drop("kept")
+    return (out.withColumn("_k", F.from_json("kept", keep_schema))
+            .select(*[c for c in out.columns if c != "kept"], *[F.col(f"_k.{c}").alias(c) for c in keep]))
 
 
-def score_stream(events: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame, account_stats: DataFrame,
-                 params: RiskParams = RiskParams(), delay: str = "30 minutes",
-                 stats_broadcast_max_rows: int = 2_000_000) -> DataFrame:
-    """Real-time risk scoring: exact stateful velocity, stream-static
-    enrichment, outlier test against account statistics of the history
-    table (``scoring.account_stats`` of Silver), weighted score and alert.
-
-    The statistics grow with the number of accounts: they are broadcast
-    only when a row-count check proves them within
-    ``stats_broadcast_max_rows`` (four numbers per account), otherwise
-    joined by a shuffle per micro-batch (bucket the table on account_id to
-    avoid re-shuffling it).
+SCORED_FROM = ("transaction_id", "account_id", "transaction_ts", "amount")
+
+
+def score_rows(v: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame, account_stats: DataFrame,
+               params: RiskParams = RiskParams(), stats_max_bytes: int = STATS_BROADCAST_MAX_BYTES) -> DataFrame:
+    """Enrichment, outlier test against account statistics, weighted score and
+    alert of rows that carry their velocity.
+
+    The statistics grow with the number of accounts: they are broadcast only
+    when the stored table is within ``stats_max_bytes``, otherwise joined by a
+    shuffle per micro-batch.
     """
     from ledgerline.operators.enrich import enrich
     from ledgerline.operators.scoring import outlier_test, risk_score
 
-    keep = [c for c in events.columns if c not in ("account_id", "transaction_id", "transaction_ts", "amount")]
-    v = velocity_stream(events, params, delay, keep=keep)
     st = account_stats.select(F.col("account_id").alias("_acct"), F.col("n_amt").alias("_n"),
                               F.col("s_amt").alias("_s"), F.col("s_sq").alias("_sq"))
-    st = bounded_broadcast(st, stats_broadcast_max_rows)
+    st = bounded_broadcast(st, stats_max_bytes)
     j = v.join(st, v["account_id"] == st["_acct"], "left")
     j = j.withColumn("amount_outlier_flag", outlier_test(
         F.col("amount"), F.coalesce(F.col("_n"), F.lit(0)), F.col("_s"), F.col("_sq"), params.zscore))
@@ -295,19 +342,49 @@ def score_stream(events: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame, acco
     return risk_score(enrich(j, dim_mcc, dim_geo, params), params)
 
 
+def score_stream(events: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame, account_stats: DataFrame,
+                 params: RiskParams = RiskParams(), delay: str = "30 minutes") -> DataFrame:
+    """Real-time risk scoring against statistics that stay as they are while the
+    query runs: exact stateful velocity, then ``score_rows``."""
+    keep = [c for c in events.columns if c not in SCORED_FROM]
+    return score_rows(velocity_stream(events, params, delay, keep=keep), dim_mcc, dim_geo, account_stats, params)
+
+
+def score_batch(out_path: str, stats_path: str, dim_mcc: DataFrame, dim_geo: DataFrame,
+                params: RiskParams = RiskParams()) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body that scores each micro-batch with the newest statistics.
+
+    The version is chosen when a batch is first seen, recorded beside the
+    output and written with each score, so a replayed batch gives the same
+    scores although the statistics have moved on.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        chosen = f"{out_path.rstrip('/')}_versions/batch_id={batch_id}"
+        if not path_exists(spark, chosen + "/_SUCCESS"):
+            newest = spark.createDataFrame([(statistics.latest(spark, stats_path),)], "version long")
+            newest.coalesce(1).write.mode("overwrite").parquet(chosen)
+        version = spark.read.schema("version long").parquet(chosen).first()["version"]
+        scored = score_rows(batch, dim_mcc, dim_geo, statistics.read(spark, stats_path, version), params)
+        scored = scored.withColumns({"txn_date": F.to_date("transaction_ts"), "stats_version": F.lit(version).cast("long")})
+        scored.write.mode("overwrite").partitionBy("txn_date").parquet(f"{out_path}/batch_id={batch_id}")
+    return write
+
+
 def start_scoring_stream(spark: SparkSession, src_dir: str, out_path: str, dim_mcc: DataFrame,
-                         dim_geo: DataFrame, account_stats: DataFrame,
+                         dim_geo: DataFrame, stats_path: str,
                          params: RiskParams = RiskParams(), delay: str = "30 minutes",
                          checkpoint: str | None = None, available_now: bool = True,
                          max_files_per_trigger: int | None = None,
                          dedup: bool = True) -> StreamingQuery:
     """Real-time path: envelopes -> decode/redact/validate -> exact velocity
-    -> enrichment + account statistics -> score, appended by event date.
+    -> enrichment + account statistics -> score, by batch and event date.
 
     Re-delivered events are dropped within the watermark (one shared
-    event-time watermark drives the dedup and the velocity state).  The
-    Parquet file sink with a checkpoint is exactly-once; rows are written
-    once the watermark makes their velocity final.
+    event-time watermark drives the dedup and the velocity state).  Rows are
+    written once the watermark makes their velocity final; a batch replaces
+    its own directory, so output is exactly-once.  ``stats_path`` is a versioned
+    statistics table (``streaming.statistics``), looked up for every batch.
     """
     from ledgerline.streaming.envelope import split_routed
     decoded = decode_envelope(read_event_stream(spark, src_dir, max_files_per_trigger))
@@ -316,10 +393,10 @@ def start_scoring_stream(spark: SparkSession, src_dir: str, out_path: str, dim_m
                           "mcc_code", "country_code", "channel", "region")
     if dedup:   # at-least-once delivery: first arrival per id within the watermark (S4)
         events = dedup_stream(events, delay)
-    scored = score_stream(events, dim_mcc, dim_geo, account_stats, params, delay)
-    scored = scored.withColumn("txn_date", F.to_date("transaction_ts"))
+    keep = [c for c in events.columns if c not in SCORED_FROM]
+    v = velocity_stream(events, params, delay, keep=keep)
     ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/streams/scoring"
-    w = (scored.writeStream.format("parquet").outputMode("append").partitionBy("txn_date")
-         .option("path", out_path).option("checkpointLocation", ckpt))
+    w = (v.writeStream.foreachBatch(score_batch(out_path, stats_path, dim_mcc, dim_geo, params)).outputMode("append")
+         .option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
     return w.start()

@@ -166,7 +166,10 @@ def test_contract_enforcement_lists_all_offenders(spark):
 def test_cluster_conf_sizes_partitions():
     from ledgerline.runtime import cluster_conf
     big = cluster_conf(100 * 1024 ** 4, executor_cores=8000, executor_memory_gb=32)
-    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    # 256 MB each would be 409,600; more than max_partitions are not planned
+    assert int(big["spark.sql.shuffle.partitions"]) == 50_000
+    mid = cluster_conf(10 * 1024 ** 4, executor_cores=800, executor_memory_gb=32)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 10 * 1024 ** 4 // (256 * 1024 ** 2)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = cluster_conf(1024 ** 2, executor_cores=8, executor_memory_gb=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 16

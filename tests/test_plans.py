@@ -4,29 +4,31 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from small_tables import SF_SMALL
 from ledgerline.operators import incremental as inc
 from ledgerline.operators import kpis, quality
 from ledgerline.params import AS_OF
-from ledgerline.plans.registry import gold
+from ledgerline.plans.registry import REGISTRY, gold
 from ledgerline.sinks import writers
 from ledgerline.sources import fixtures as fx
 from ledgerline.sources import scans
 
 # queries that write first and return the read-back table are planned as scans
 WRITING = {"scan_json_raw", "sink_partitioned_roundtrip", "scan_partitioned", "scan_merge_schema",
-           "incremental_run"}
+           "incremental_run", "incremental_ledger", "compacted_table", "run_metrics", "schema_evolving_append",
+           "stream_dedup", "stream_windowed_kpis", "stream_velocity", "stream_late_arrivals"}
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - WRITING))
 def test_no_python_in_batch_plans(spark, name):
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(REGISTRY[name](spark, SF_SMALL))
     assert "EvalPython" not in p and "PythonUDF" not in p
 
 
@@ -94,3 +96,40 @@ def test_bucketed_sides_reconcile_without_shuffle(spark, tmp_path):
     finally:
         spark.sql("DROP TABLE IF EXISTS rec_stream")
         spark.sql("DROP TABLE IF EXISTS rec_batch")
+
+
+KPI_KEYS = sorted(k for k in REGISTRY if k.startswith("kpi_"))
+
+
+@pytest.mark.parametrize("name", KPI_KEYS)
+def test_reports_scan_stored_marts_and_no_events(spark, name):
+    df = REGISTRY[name](spark, SF_SMALL)
+    assert len(KPI_KEYS) == 8 and not any(SF_SMALL in f for f in df.inputFiles())
+    assert all("/marts/" in f for f in df.inputFiles())
+
+
+def test_timestamps_are_matched_once(spark):
+    from ledgerline.plans.registry import envelopes
+    from ledgerline.streaming import envelope as envl
+    for df, n in ((envl.decode_envelope(envelopes(spark, SF_SMALL)), 2), (envl.route(envl.decode_envelope(envelopes(spark, SF_SMALL)))[0], 2)):
+        p = df._jdf.queryExecution().optimizedPlan().toString()
+        assert p.count("RLIKE") == n and "regexp_extract(" not in p, p.count("RLIKE")
+
+
+def test_dimension_broadcast_runs_no_job_and_is_bounded_by_bytes(spark):
+    from ledgerline.runtime import bounded_broadcast
+    seen = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    big = spark.range(10_000_000)
+    assert "broadcast" in bounded_broadcast(spark.range(10), 1 << 20)._jdf.queryExecution().logical().toString().lower()
+    assert bounded_broadcast(big, 1 << 20) is big
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == seen
+
+
+def test_rows_without_an_account_are_spread(spark):
+    from ledgerline.operators import enrich, scoring
+    rows = fx.txn(spark, SF_SMALL).withColumn("account_id", F.when(F.col("event_id") % 3 > 0, F.col("account_id")))
+    out = enrich.geo_mismatch(rows, fx.dim_account(spark, SF_SMALL))
+    assert out.count() == 1000 and out.filter("account_id IS NULL AND (geo_mismatch_flag OR account_home_country IS NOT NULL)").count() == 0
+    text = scoring.amount_outliers(rows)._jdf.queryExecution().executedPlan().toString()
+    joined = [line for line in text.splitlines() if "Join" in line and "LeftOuter" in line]
+    assert joined and all("_cell" in line for line in joined)

@@ -9,7 +9,7 @@ from ledgerline.operators.velocity import velocity_signals
 from ledgerline.plans.registry import envelopes, q_stream_dead, q_stream_valid
 from ledgerline.schemas import RAW_EVENT
 from ledgerline.sources import fixtures as fx
-from ledgerline.streaming import jobs
+from ledgerline.streaming import jobs, statistics
 from ledgerline.functions.timefn import ts_literal
 
 RUN = dt.datetime(2024, 1, 31, 2)
@@ -215,9 +215,10 @@ def test_scoring_stream_end_to_end_from_envelopes(spark, tmp_path):
     flush = t.limit(1).withColumn("transaction_id", F.lit("flush")).withColumn("account_id", F.lit("acct_flush"))
     for when in (dt.datetime(2024, 6, 1), dt.datetime(2024, 6, 2)):
         encode_envelope(flush.withColumn("transaction_ts", ts_literal(when))).write.mode("append").json(src)
-    out = str(tmp_path / "scored")
+    out, stats = str(tmp_path / "scored"), str(tmp_path / "stats")
+    assert statistics.publish(spark, account_stats(t), stats) == 1
     q = jobs.start_scoring_stream(spark, src, out, fx.dim_merchant_category(spark), fx.dim_geo_risk(spark),
-                                  account_stats(t), delay="3 hours", checkpoint=str(tmp_path / "ck"),
+                                  stats, delay="3 hours", checkpoint=str(tmp_path / "ck"),
                                   max_files_per_trigger=4)
     q.awaitTermination()
     got = spark.read.parquet(out).filter(F.col("account_id") != "acct_flush")
@@ -227,27 +228,24 @@ def test_scoring_stream_end_to_end_from_envelopes(spark, tmp_path):
     assert rows(got.select(*cols)) == rows(want.select(*cols))
 
 
-def test_velocity_stream_on_rocksdb_state_store(spark, tmp_path):
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    old = spark.conf.get(provider, None)
-    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        t = fx.txn(spark, SF_SMALL).select("transaction_id", "account_id", "amount", "transaction_ts")
-        src = _event_files(spark, tmp_path, t)
-        far = spark.createDataFrame([("flush", "acct_flush", None, dt.datetime(2024, 6, 1))], t.schema)
-        far.write.mode("append").parquet(src)
-        far.withColumn("transaction_ts", ts_literal(dt.datetime(2024, 6, 2))).write.mode("append").parquet(src)
-        out = jobs.velocity_stream(_stream(spark, src, t.schema), delay="3 hours")
-        q = (out.writeStream.format("memory").queryName("vel_rocks").outputMode("append")
-             .trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start())
-        q.awaitTermination()
-        got = spark.table("vel_rocks").filter(F.col("account_id") != "acct_flush")
-        assert rows(got) == rows(velocity_signals(t).select(*got.columns))
-    finally:
-        if old is None:
-            spark.conf.unset(provider)
-        else:
-            spark.conf.set(provider, old)
+def test_velocity_cells_split_a_hot_account(spark, tmp_path):
+    """One account, cells as narrow as the window: the state has a key for each cell, results stay exact."""
+    t = fx.txn(spark, SF_SMALL).select("transaction_id", F.lit("hot").alias("account_id"), "amount", "transaction_ts")
+    src = _event_files(spark, tmp_path, t, parts=2)
+    far = spark.createDataFrame([("flush", "acct_flush", None, dt.datetime(2024, 6, 1))], t.schema)
+    far.write.mode("append").parquet(src)
+    far.withColumn("transaction_ts", ts_literal(dt.datetime(2024, 6, 2))).write.mode("append").parquet(src)
+    out = jobs.velocity_stream(_stream(spark, src, t.schema), delay="3 hours", cell_s=300)
+    q = (out.writeStream.format("memory").queryName("vel_hot").outputMode("append")
+         .trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.awaitTermination()
+    got = spark.table("vel_hot").filter(F.col("account_id") != "acct_flush")
+    assert rows(got) == rows(velocity_signals(t).select(*got.columns))
+    # states of passed cells are gone; each batch wrote the seconds it touched, not the account's history
+    states = [op for p in q.recentProgress for op in p.get("stateOperators", [])]
+    assert states and states[-1]["numRowsTotal"] <= 10
+    written = max(op["numRowsUpdated"] for op in states)
+    assert written <= 2 * t.count()
 
 
 def test_state_function_needs_no_package_import():
@@ -256,11 +254,72 @@ def test_state_function_needs_no_package_import():
     import sys
     from pyspark import cloudpickle
     from ledgerline.params import RiskParams
-    blob = cloudpickle.dumps(jobs._velocity_fn(RiskParams()))
+    p = RiskParams()
+    blob = cloudpickle.dumps(jobs.velocity_processor(p.velocity_window_s, p.velocity_count, p.velocity_amount * 100, 3600))
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     code = ("import pickle, sys; f = pickle.loads(sys.stdin.buffer.read()); "
-            "import importlib.util; assert importlib.util.find_spec('ledgerline') is None; print(callable(f))")
+            "import importlib.util; assert importlib.util.find_spec('ledgerline') is None; print(callable(f.handleInputRows))")
     out = subprocess.run([sys.executable, "-c", code], input=blob, capture_output=True, cwd="/", env=env,
                          timeout=120)
     assert out.returncode == 0, out.stderr.decode()[-500:]
     assert out.stdout.strip() == b"True"      # a worker without the package can run it
+
+
+def test_late_rows_go_to_the_dead_letter_and_none_is_lost(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "routed"), str(tmp_path / "ckpt")
+    env = envelopes(spark, SF_SMALL).withColumn("_h", F.pmod(F.xxhash64("data"), F.lit(5)))  # shuffled arrivals
+    for n in range(5):
+        env.filter(F.col("_h") == n).drop("_h").write.mode("append").json(src)
+        jobs.start_event_stream(spark, src, out, checkpoint=ckpt, failed_at=RUN, late_after_s=5 * 86400).awaitTermination()
+    valid, dead = jobs.read_routed(spark, out)
+    assert valid.count() + dead.count() == env.count()
+    late = dead.filter(F.col("reason") == "LATE_ARRIVAL")
+    assert late.count() > 100 and late.filter("event_redacted IS NULL").count() == 0
+    # the first batch has no mark; later ones keep nothing that is behind it
+    assert late.filter("batch_id = 0").count() == 0
+    for n in range(1, 5):
+        mark = jobs.read_mark(spark, out, n - 1)
+        oldest = valid.filter(F.col("batch_id") == n).agg(F.min("transaction_ts")).first()[0]
+        assert oldest >= mark - dt.timedelta(days=5)
+    # a replayed batch is judged by the same mark and replaces itself
+    before = rows(spark.read.parquet(out))
+    again = env.filter("_h = 3").drop("_h").withColumn("_x", F.lit(1)).drop("_x")
+    jobs.route_batch(out, RUN, 5 * 86400)(jobs.decode_envelope(again), 3)
+    assert rows(spark.read.parquet(out)) == before
+    valid, _ = jobs.read_routed(spark, out)  # the replayed batch has new files
+    # the windows of the valid rows lose nothing to the watermark
+    v = valid.withColumn("fraud_alert", F.lit(False))
+    landed = str(tmp_path / "valid")
+    for n in range(5):
+        v.filter(F.col("batch_id") == n).write.mode("append").parquet(landed)
+        k = jobs.windowed_kpis(spark.readStream.schema(v.schema).parquet(landed), delay="5 days")
+        q = (k.writeStream.format("parquet").option("path", str(tmp_path / "kpis")).option("checkpointLocation", str(tmp_path / "kck"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p.get("stateOperators", [])) == 0
+
+
+def test_statistics_are_looked_up_for_every_batch(spark, tmp_path):
+    from ledgerline.operators.scoring import account_stats
+    t = fx.txn(spark, SF_SMALL).select("transaction_id", "account_id", "amount", "transaction_ts", "currency", "mcc_code",
+                                       "country_code", "channel", "region").withColumns({"txn_count_5min": F.lit(1), "velocity_flag": F.lit(False)}).limit(50).cache()
+    out, stats = str(tmp_path / "scored"), str(tmp_path / "stats")
+    # tight statistics: whatever is far from 1.00 is an outlier; wide ones: nothing is
+    ids = [r[0] for r in t.select("account_id").distinct().collect()]
+    tight = spark.createDataFrame([(a, v) for a in ids for v in (0.99, 1.00, 1.01)], "account_id string, amount double").withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    wide = spark.createDataFrame([(a, v) for a in ids for v in (0, 10**9)], "account_id string, amount long").withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    write = jobs.score_batch(out, stats, fx.dim_merchant_category(spark), fx.dim_geo_risk(spark))
+    write(t, 0)  # no statistics yet
+    statistics.publish(spark, account_stats(tight), stats)
+    write(t, 1)
+    assert statistics.publish(spark, account_stats(wide), stats) == 2
+    write(t, 2)
+    write(t, 1)  # replayed after the statistics moved on
+    got = {r["batch_id"]: r for r in spark.read.parquet(out).groupBy("batch_id").agg(
+        F.min("stats_version").alias("v0"), F.max("stats_version").alias("v1"), F.count_if("amount_outlier_flag").alias("n"), F.count("*").alias("rows")).collect()}
+    assert [(got[b]["v0"], got[b]["v1"]) for b in range(3)] == [(0, 0), (1, 1), (2, 2)]
+    assert got[0]["n"] == 0 and got[1]["n"] > 40 and got[2]["n"] == 0 and {got[b]["rows"] for b in got} == {50}
+    # what a crash left without _SUCCESS is no version
+    import os
+    os.makedirs(f"{stats}/version=3")
+    assert statistics.latest(spark, stats) == 2 and statistics.expire(spark, stats, keep=1) == [1]

@@ -16,9 +16,10 @@ The benchmark's seeds are broadcast in blocks of items that hold about
 ``block_words`` words; each block runs over all documents, so neither the driver
 nor a task holds more of a larger benchmark.
 
-Items of fewer than ``min_item_words`` words (also null text) are no evidence and
-match nothing.  Null or short documents match nothing.  Repeated rows give
-repeated results; equal stretches of an item: the first counts.
+Items of fewer than ``min_item_words`` words are too short for a changed word: they
+match where all their words stand in a row, found by a hash of the whole item.
+Items without a word (also null text) match nothing, nor do null documents.
+Repeated rows give repeated results; equal stretches of an item: the first counts.
 """
 
 from __future__ import annotations
@@ -58,6 +59,7 @@ class SeedIndex:
     hashes: list[np.ndarray]      # of each mask, sorted
     item: list[np.ndarray]        # item and position of each hash
     pos: list[np.ndarray]
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # words of an item -> hashes of such items, sorted, and the items
 
 
 def words(text: str) -> list[str]:
@@ -76,12 +78,17 @@ def _seed_hashes(ids: np.ndarray, mask: str) -> np.ndarray:
 
 def build_index(rows: list[tuple], p: SeedParams) -> SeedIndex:
     vocab: dict[str, int] = {}
-    kept = [(i, w) for i, t in rows if len(w := words(t or "")) >= p.min_item_words]
+    kept = [(i, w) for i, t in rows if (w := words(t or ""))]
     items = [np.array([vocab.setdefault(x, len(vocab)) for x in w], np.int64) for _, w in kept]
     flat = np.concatenate(items) if items else np.zeros(0, np.int64)
-    index = SeedIndex(vocab, [i for i, _ in kept], items, flat, np.cumsum([0, *map(len, items)]), [], [], [])
+    index = SeedIndex(vocab, [i for i, _ in kept], items, flat, np.cumsum([0, *map(len, items)]), [], [], [], {})
+    for n in sorted({len(x) for x in items if len(x) < p.min_item_words}):
+        which = np.array([k for k, x in enumerate(items) if len(x) == n])
+        h = np.concatenate([_seed_hashes(items[k], "1" * n) for k in which])
+        order = np.argsort(h, kind="stable")
+        index.short[n] = h[order], which[order]
     for mask in p.masks:
-        per = [_seed_hashes(x, mask) for x in items]
+        per = [_seed_hashes(x if len(x) >= p.min_item_words else x[:0], mask) for x in items]
         h = np.concatenate(per) if per else np.zeros(0, np.uint64)
         order = np.argsort(h, kind="stable")
         index.hashes.append(h[order])
@@ -131,11 +138,25 @@ def _hits(ids: np.ndarray, index: SeedIndex, p: SeedParams) -> Iterator[tuple[np
             yield key // (2 * span), key % (2 * span) - span
 
 
+def _whole_items(ids: np.ndarray, index: SeedIndex) -> Iterator[tuple[int, int]]:
+    """(item, first place in the document) of the short items whose words all stand in a row there."""
+    for n, (hashes, item) in index.short.items():
+        h = _seed_hashes(ids, "1" * n)
+        lo, hi = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+        found: dict[int, int] = {}
+        for at in np.flatnonzero(hi > lo).tolist():
+            for i in item[lo[at]:hi[at]].tolist():
+                if i not in found and np.array_equal(index.items[i], ids[at:at + n]):
+                    found[i] = at
+        yield from found.items()
+
+
 def overlaps(text: str, index: SeedIndex, p: SeedParams) -> list[tuple[int, int, int, int, int]]:
     """(item, start in the document, start in the item, words, equal words): the longest of each item."""
     get = index.vocab.get
     ids = np.array([get(w, -1) for w in words(text)], np.int64)
-    best: dict[int, tuple[int, int, int, int, int]] = {}
+    best: dict[int, tuple[int, int, int, int, int]] = {
+        i: (at, 0, len(index.items[i]), len(index.items[i]), at) for i, at in _whole_items(ids, index)}
     for item, shift in _hits(ids, index, p):
         length = index.begin[item + 1] - index.begin[item]
         lo, hi = np.maximum(0, -shift), np.minimum(length, len(ids) - shift)

@@ -259,7 +259,7 @@ def test_leaks_are_found_and_clean_documents_kept(spark, odd_docs, no_docs):
             part[at] = "other"
         text[10:10] = part if d % 2 else part[:6]
         rows.append((d, " ".join(text).upper() if d % 7 == 0 else ", ".join(text)))
-        if d % 2 and i != 4:
+        if d % 2:
             want.add((d, i))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame([*((n, " ".join(x)) for n, x in enumerate(items)), (9, None), (10, "")], "item_id long, text string")
@@ -270,5 +270,10 @@ def test_leaks_are_found_and_clean_documents_kept(spark, odd_docs, no_docs):
         kept = {x["doc_id"] for x in decontaminate.drop_leaks(docs, bench, p).collect()}
         assert kept == {d for d, _ in rows} - {d for d, _ in want}
     assert decontaminate.drop_leaks(odd_docs, bench).count() == odd_docs.count()
+    few = spark.createDataFrame([(0, "What, IS this?"), (1, "what is that"), (2, "this"), (3, "what is"), (4, "???")], "item_id long, text string")
+    said = spark.createDataFrame([(1, "so what is this and what is this"), (2, "what is it"), (3, "is what"), (4, None), (5, "")], "doc_id long, text string")
+    got = sorted((x["doc_id"], x["item_id"], x["doc_start"], x["n_words"]) for x in decontaminate.find_leaks(said, few).collect())
+    assert got == [(1, 0, 1, 3), (1, 2, 3, 1), (1, 3, 1, 2), (2, 3, 0, 2)]
+    assert sorted(x["doc_id"] for x in decontaminate.drop_leaks(said, few).collect()) == [3, 4, 5]
     assert decontaminate.drop_leaks(odd_docs, bench.where("false")).columns == odd_docs.columns
     assert decontaminate.find_leaks(no_docs, bench).count() == 0

@@ -13,11 +13,11 @@ pair of vectors is handled in the first block that finds it, and verified by the
 cosine of the original vectors in double precision.  A group returns link counts
 for each vector and a spanning forest of its links, never all pairs.
 
-Equal vectors are joined once, with their number of copies.  Vectors that are
-null, zero or hold a null or non-finite component, vectors of another length than
-the table's most frequent one, and vectors without a vec_id link with nothing:
-n_links 0, a component of their own (null for a null vec_id), kept.
-Rows that repeat a vec_id are vectors of their own in the counts.
+Equal vectors are joined once, with their number of copies.  Vectors of different
+lengths are never linked; each length that occurs is joined apart.  Vectors that are
+null, empty, zero or hold a null or non-finite component, and vectors without a
+vec_id link with nothing: n_links 0, a component of their own (null for a null
+vec_id), kept.  Rows that repeat a vec_id are vectors of their own in the counts.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from ledgerline.llm.common import ship, staged
 from ledgerline.llm.components import components
 from ledgerline.llm.simhash import Forest
+from ledgerline.llm.vectors import hash_share, matrices
 
 
 @dataclass(frozen=True)
@@ -154,35 +155,42 @@ def _join_group(g: pd.DataFrame, blocks: Blocks, p: EmbeddingParams, kind: str)
                          "n": np.concatenate([links[some].astype(np.int64), np.zeros(len(u), np.int64)])})
 
 
-def usable(rows: DataFrame) -> tuple[DataFrame, str, int]:
-    """vec_id and vec (its bytes, null if it links with nothing), their number format, and the length of the vectors."""
+def usable(rows: DataFrame) -> tuple[DataFrame, str]:
+    """vec_id and vec (its bytes, null if it links with nothing), and their number format."""
     double = isinstance(rows.schema["embedding"].dataType.elementType, T.DoubleType)
     kind = "<f8" if double else "<f4"
-    size = rows.where("embedding is not null").groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    d = int(size["n"]) if size else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for v in b.column("embedding").to_pylist():
-                x = np.array(v if v is not None and len(v) == d and None not in v else [0.0], np.float64)
-                out.append((x.astype(kind) + 0.0).tobytes() if len(v or ()) and np.isfinite(x).all() and x.any() else None)
+            out: list[bytes | None] = [None] * b.num_rows
+            for at, x in matrices(b.column("embedding")):
+                for n, v in zip(at.tolist(), x.astype(kind) + 0.0):  # no negative zeros
+                    out[n] = v.tobytes() if np.isfinite(v).all() and v.any() else None
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(out, pa.binary())], ["vec_id", "vec"])
 
     ship(rows.sparkSession)
     schema = T.StructType([T.StructField("vec_id", rows.schema["vec_id"].dataType), T.StructField("vec", T.BinaryType())])
-    return rows.select("vec_id", "embedding").mapInArrow(run, schema), kind, d
+    return rows.select("vec_id", "embedding").mapInArrow(run, schema), kind
 
 
 def near_duplicates(rows: DataFrame, p: EmbeddingParams = EmbeddingParams()) -> DataFrame:
     """vec_id, n_links, component_id, kept of each vector."""
-    spark = rows.sparkSession
-    vecs, kind, d = usable(rows)
+    vecs, kind = usable(rows)
     vecs = staged(vecs, "vec-rows")
-    distinct = staged(vecs.where("vec is not null and vec_id is not null").groupBy("vec").agg(F.min("vec_id").cast("long").alias("node"), F.count("*").alias("copies")), "vec-distinct")
+    joins = F.col("vec").isNotNull() & F.col("vec_id").isNotNull()
+    out = vecs.where(~joins).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias("component_id"), F.lit(True).alias("kept"))
+    size = F.octet_length("vec")
+    for r in vecs.where(joins).select(size.alias("n")).distinct().orderBy("n").collect():  # a row a length
+        out = _of_length(vecs.where(joins & (size == r["n"])), kind, r["n"] // np.dtype(kind).itemsize, p).union(out)
+    return out
+
+
+def _of_length(vecs: DataFrame, kind: str, d: int, p: EmbeddingParams) -> DataFrame:
+    spark = vecs.sparkSession
+    distinct = staged(vecs.groupBy("vec").agg(F.min("vec_id").cast("long").alias("node"), F.count("*").alias("copies")), "vec-distinct")
     n = distinct.count()
-    sample = distinct.orderBy(F.xxhash64("vec"), "vec").limit(p.sample).select("vec").collect()  # bounded
-    points = np.frombuffer(b"".join(bytes(r[0]) for r in sample), kind).reshape(len(sample), d) if sample else np.zeros((0, max(d, 1)))
+    sample = distinct.where(hash_share(n, p.sample, "vec", seed=p.seed)).limit(2 * p.sample).select("vec").collect()  # bounded
+    points = np.frombuffer(b"".join(bytes(r[0]) for r in sample), kind).reshape(len(sample), d) if sample else np.zeros((0, d))
     shared = spark.sparkContext.broadcast(cut(points, n, p))
 
     def to_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,6 +210,4 @@ def near_duplicates(rows: DataFrame, p: EmbeddingParams = EmbeddingParams()) ->
     member = (distinct.join(links, F.col("node") == F.col("u"), "left").drop("u").join(roots.withColumnRenamed("node", "r"), F.col("node") == F.col("r"), "left")
               .select("vec", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("component_id")))
     member = staged(member, "vec-member")
-    alone = vecs.where("vec is null or vec_id is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias("component_id"), F.lit(True).alias("kept"))
-    linked = vecs.where("vec is not null and vec_id is not null").join(member, "vec").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
-    return linked.union(alone)
+    return vecs.join(member, "vec").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))

@@ -46,7 +46,7 @@ def test_packing_holds_everything_once(odd_docs, no_docs):
 
 
 def test_best_fit_takes_the_tightest_bin_and_beats_one_size():
-    p = packing.PackParams(sizes=(10, 20), factors=(1,), bin_cost=0)
+    p = packing.PackParams(sizes=(10, 20), bin_cost=0)
     where, offset, caps = packing.best_fit([9, 8, 6, 4, 2, 1], p)
     assert caps == [10, 10, 10] and where == [0, 1, 2, 2, 1, 0]
     r = random.Random(2)
@@ -57,6 +57,42 @@ def test_best_fit_takes_the_tightest_bin_and_beats_one_size():
     assert packing.best_fit([]) == ([], [], [])
 
 
+def _least_cost(lengths, p):
+    """Cheapest division of the pieces into bins, by trying all."""
+    best = [float("inf")]
+
+    def go(at, bins, _):
+        if at == len(lengths):
+            best[0] = min(best[0], sum(min(s for s in p.sizes if s >= b) + p.bin_cost for b in bins))
+            return
+        for k in range(len(bins)):
+            if bins[k] + lengths[at] <= max(p.sizes):
+                go(at + 1, [*bins[:k], bins[k] + lengths[at], *bins[k + 1:]], None)
+        go(at + 1, [*bins, lengths[at]], None)
+
+    go(0, [], None)
+    return best[0]
+
+
+def test_openings_weigh_all_lengths():
+    total = lambda x, p: sum(packing.best_fit(x, p)[2]) + p.bin_cost * len(packing.best_fit(x, p)[2])
+    p = packing.PackParams()
+    same = [100] * 4_096
+    assert total(same, p) == 12 * 32_784 + 16_400 + 2_064  # full large bins, then what is left in the least that holds it
+    r = random.Random(3)
+    for n in range(40):
+        x = sorted((r.choice([r.randint(1, 300), r.randint(1, 5_000), r.randint(1, 32_768)]) for _ in range(r.randint(1, 300))), reverse=True)
+        for size in p.sizes:  # no permitted length alone is cheaper
+            assert total(x, p) <= total(x, packing.PackParams(sizes=tuple(s for s in p.sizes if s >= size)))
+    p, ours, least = packing.PackParams(sizes=(10, 16, 30), bin_cost=1), 0, 0
+    for n in range(60):
+        x = sorted((r.randint(1, 16) for _ in range(r.randint(1, 7))), reverse=True)
+        a, b = total(x, p), _least_cost(x, p)
+        assert b <= a <= 1.5 * b
+        ours, least = ours + a, least + b
+    assert ours <= 1.05 * least
+
+
 # ---- suffix sorting ---------------------------------------------------------------
 
 def test_suffix_order_is_the_suffix_array():
@@ -261,6 +297,20 @@ def test_embedding_links_equal_brute_force(spark):
     assert embeddings.near_duplicates(table.where("false")).count() == 0
 
 
+def test_embeddings_of_several_lengths_are_joined_apart(spark):
+    r = np.random.default_rng(4)
+    rows = [(100 * d + i, [float(v) for v in r.normal(size=d)]) for d in (1, 8, 32) for i in range(3)]
+    rows += [(n + 50, v) for n, v in rows if n % 100 == 0]  # a copy of the first of each length
+    table = spark.createDataFrame([*rows, (9, None)], "vec_id long, embedding array<double>")
+    got = {x["vec_id"]: (x["n_links"], x["component_id"], x["kept"]) for x in embeddings.near_duplicates(table).collect()}
+    assert len(got) == len(rows) + 1 and got[9] == (0, 9, True)
+    for d in (8, 32):
+        assert got[100 * d] == (1, 100 * d, True) and got[100 * d + 50] == (1, 100 * d, False)
+        assert got[100 * d + 1] == (0, 100 * d + 1, True)
+    signs = {n: v[0] > 0 for n, v in rows if n < 200}  # vectors of one component: equal signs link
+    assert all(got[n][0] == sum(x == s for x in signs.values()) - 1 for n, s in signs.items())
+
+
 # ---- line dedup -----------------------------------------------------------------------
 
 def _dedup(rows):

@@ -551,7 +551,7 @@ def q_stream_dedup(spark, sf_dir):
 
 @query("stream_windowed_kpis")
 def q_stream_windows(spark, sf_dir):
-    rows = gold(spark, sf_dir)
+    rows = scans.scan_partitioned(spark, f"{stored(spark, sf_dir)}/gold", gold(spark, sf_dir).schema)
     out = replayed(spark, by_thirds(rows, "txn_date"), file_stream(spark, rows.schema, stream_jobs.windowed_kpis))
     return spark.read.parquet(out)
 
@@ -566,18 +566,29 @@ def q_stream_velocity(spark, sf_dir):
 LATE_AFTER_S = 1800
 
 
-@query("stream_late_arrivals")
-def q_stream_late(spark, sf_dir):
-    """Some envelopes land with the next third of the month; late ones go to the dead letter, none is lost."""
+def routed_replay(spark, sf_dir) -> str:
+    """Folder of the routed rows and the batch metrics of envelopes, some of which land with the next third of the month."""
     env = envelopes(spark, sf_dir, "ingest_date")
     third = F.least(F.floor((F.dayofmonth("ingest_date") - 1) / 10), F.lit(2))
     landing = third + F.when(F.sha2("data", 256).endswith("0"), 1).otherwise(0)
-    root = scratch_path(spark, "replay-late")
+    root = scratch_path(spark, "replay-routed")
     for n in range(4):
         env.filter(landing == n).select("data", "partition_key").write.mode("append").json(f"{root}/landing")
         stream_jobs.start_event_stream(spark, f"{root}/landing", f"{root}/out", checkpoint=f"{root}/checkpoint", failed_at=RUN_TS,
-                                       late_after_s=LATE_AFTER_S).awaitTermination()
-    return spark.read.parquet(f"{root}/out").select(F.col("batch_id").cast("long").alias("batch_id"), "partition_key", "payload_sha256", "route", "reason")
+                                       late_after_s=LATE_AFTER_S, metrics_path=f"{root}/metrics").awaitTermination()
+    return root
+
+
+@query("stream_late_arrivals")
+def q_stream_late(spark, sf_dir):
+    """Late events go to the dead letter, none is lost."""
+    rows = spark.read.parquet(f"{routed_replay(spark, sf_dir)}/out")
+    return rows.select(F.col("batch_id").cast("long").alias("batch_id"), "partition_key", "payload_sha256", "route", "reason")
+
+
+@query("stream_batch_metrics")
+def q_stream_metrics(spark, sf_dir):
+    return stream_jobs.read_batch_metrics(spark, f"{routed_replay(spark, sf_dir)}/metrics").drop("write_ms")
 
 
 @query("schema_evolving_append")

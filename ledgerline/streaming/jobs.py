@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -32,7 +33,7 @@ from ledgerline.operators.kpis import _kpi_aggs, _with_rate
 from ledgerline.params import RiskParams
 from ledgerline.runtime import bounded_broadcast, checkpoint_root, path_exists
 from ledgerline.streaming import statistics
-from ledgerline.streaming.envelope import LATE_ARRIVAL, decode_envelope, routed
+from ledgerline.streaming.envelope import DECODE_FAILED, LATE_ARRIVAL, SCHEMA_VALIDATION_FAILED, decode_envelope, routed
 from ledgerline.functions.timefn import epoch_seconds, ts_literal
 
 log = logging.getLogger(__name__)
@@ -56,8 +57,18 @@ def read_event_stream(spark: SparkSession, src_dir: str, max_files_per_trigger:
     return r.json(src_dir)
 
 
-def route_batch(out_path: str, failed_at: dt.datetime | None = None, late_after_s: int | None = None
-                ) -> Callable[[DataFrame, int], None]:
+REASON_COUNTS = {"decode_failed": DECODE_FAILED, "schema_failed": SCHEMA_VALIDATION_FAILED, "late": LATE_ARRIVAL}
+METRIC_COUNTS = ("events", "valid", *REASON_COUNTS, "redacted")
+BATCH_METRICS = ", ".join(f"{c} long" for c in (*METRIC_COUNTS, "write_ms"))
+
+
+def read_batch_metrics(spark: SparkSession, metrics_path: str) -> DataFrame:
+    """What each micro-batch counted on its own write, and the milliseconds it took."""
+    return spark.read.schema(BATCH_METRICS + ", batch_id long").parquet(metrics_path)
+
+
+def route_batch(out_path: str, failed_at: dt.datetime | None = None, late_after_s: int | None = None,
+                metrics_path: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body; one write job per micro-batch.
 
     Rows land in ``out_path/batch_id=N/route=valid|dead``; overwrite of the
@@ -68,7 +79,8 @@ def route_batch(out_path: str, failed_at: dt.datetime | None = None, late_after_
     LATE_ARRIVAL instead of being dropped by a watermark downstream, so valid and
     dead rows together are the input.  The latest event time is observed on the
     write itself and kept per batch in ``<out_path>_marks``: a replayed batch
-    is judged by the same mark as the first time.
+    is judged by the same mark as the first time.  With ``metrics_path`` (S2) the
+    counts observed on the write are kept there, a row a batch.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -80,15 +92,24 @@ def route_batch(out_path: str, failed_at: dt.datetime | None = None, late_after_
                 late = F.col("transaction_ts") < ts_literal(mark - dt.timedelta(seconds=late_after_s))
         out = routed(batch, late).withColumn(
             "failed_at", F.when(F.col("route") == "dead", stamp))
-        latest = Observation("latest")
-        if late_after_s is not None:
-            on_time = (F.col("route") == "valid") | (F.col("reason") == LATE_ARRIVAL)
-            out = out.observe(latest, F.max(F.when(on_time, F.col("transaction_ts"))).alias("mark"))
+        seen, started = Observation("batch"), time.monotonic()
+        reason = F.col("reason")
+        out = out.observe(
+            seen, F.count(F.lit(1)).alias("events"), F.count_if(reason.isNull()).alias("valid"),
+            *[F.count_if(F.coalesce(reason == r, F.lit(False))).alias(name) for name, r in REASON_COUNTS.items()],
+            F.count_if("redacted").alias("redacted"),
+            F.max(F.when(reason.isNull() | (reason == LATE_ARRIVAL), F.col("transaction_ts"))).alias("mark"))
         out.write.mode("overwrite").partitionBy("route").parquet(f"{out_path}/batch_id={batch_id}")
+        counts = dict(seen.get)
+        latest = counts.pop("mark")
         if late_after_s is not None:
-            seen = [x for x in (mark, latest.get["mark"]) if x is not None]
-            row = spark.createDataFrame([(max(seen) if seen else None,)], "mark timestamp_ntz")
+            known = [x for x in (mark, latest) if x is not None]
+            row = spark.createDataFrame([(max(known) if known else None,)], "mark timestamp_ntz")
             row.coalesce(1).write.mode("overwrite").parquet(f"{marks_path(out_path)}/batch_id={batch_id}")
+        if metrics_path is not None:
+            took = round((time.monotonic() - started) * 1000)
+            row = spark.createDataFrame([(*(counts[c] for c in METRIC_COUNTS), took)], BATCH_METRICS)
+            row.coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}")
     return write
 
 
@@ -116,7 +137,7 @@ def start_event_stream(spark: SparkSession, src_dir: str, out_path: str,
                        checkpoint: str | None = None, available_now: bool = True,
                        failed_at: dt.datetime | None = None,
                        max_files_per_trigger: int | None = None,
-                       late_after_s: int | None = None) -> StreamingQuery:
+                       late_after_s: int | None = None, metrics_path: str | None = None) -> StreamingQuery:
     """One read, one routed write per micro-batch; counts observable
     in the query progress (``observedMetrics['routing']``)."""
     decoded = decode_envelope(read_event_stream(spark, src_dir, max_files_per_trigger))
@@ -131,7 +152,7 @@ def start_event_stream(spark: SparkSession, src_dir: str, out_path: str,
         F.count_if(~complete & ~F.col("decode_error")).alias("schema_failed"),
         F.count_if(was_redacted(F.col("card_number"))).alias("redacted"))
     ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/streams/events"
-    w = (observed.writeStream.foreachBatch(route_batch(out_path, failed_at, late_after_s))
+    w = (observed.writeStream.foreachBatch(route_batch(out_path, failed_at, late_after_s, metrics_path))
          .option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
     return w.start()

@@ -19,7 +19,7 @@ from ledgerline.sources import scans
 # queries that write first and return the read-back table are planned as scans
 WRITING = {"scan_json_raw", "sink_partitioned_roundtrip", "scan_partitioned", "scan_merge_schema",
            "incremental_run", "incremental_ledger", "compacted_table", "run_metrics", "schema_evolving_append",
-           "stream_dedup", "stream_windowed_kpis", "stream_velocity", "stream_late_arrivals"}
+           "stream_dedup", "stream_windowed_kpis", "stream_velocity", "stream_late_arrivals", "stream_batch_metrics"}
 
 
 def plan(df) -> str:

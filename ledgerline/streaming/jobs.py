@@ -7,7 +7,7 @@
   failure replaces itself instead of duplicating (exactly-once output with
   the checkpointed offsets).
 * ``dedup_stream`` (S4), ``windowed_kpis`` (S7) and ``velocity_stream``
-  (S5, exact trailing window through state per account and time cell).
+  (S5, exact trailing window through state per account bucket and time cell).
 * late events (S8) go to the dead letter with a reason of their own.
 * ``score_stream`` / ``start_scoring_stream``: real-time risk scoring
   (velocity state, enrichment, account statistics that are looked up again
@@ -213,15 +213,15 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def velocity_processor(win: int, min_count: int, min_cents: int, cell_s: int):
-    """The state of one (account, cell of ``cell_s`` seconds): a map from second to its sums and waiting rows.
+def velocity_processor(win: int, min_count: int, min_cents: int):
+    """The state of one (bucket of accounts, time cell): a map from (account, second) to its sums and rows.
 
     A batch reads and writes the seconds its rows fall into and no others.  A
     timer fires when the watermark passes the first waiting second; its rows are
-    then final and leave with the sums of the window before them.  When the
-    watermark passes the end of the cell the whole state goes.  The class is
-    made here and captures plain numbers only, so Python workers can run it
-    without importing this package.
+    then final and leave with the sums of the window before them.  Seconds that no
+    later window reaches are removed, so the state holds the watermark delay
+    and one window.  The class is made here and captures plain numbers only, so
+    Python workers can run it without importing this package.
     """
     import json
     from decimal import Decimal
@@ -230,59 +230,73 @@ def velocity_processor(win: int, min_count: int, min_cents: int, cell_s: int):
     import pandas as pd
     from pyspark.sql.streaming import StatefulProcessor
 
-    epoch = pd.Timestamp("1970-01-01")
+    epoch, nobody = pd.Timestamp("1970-01-01"), "\0"  # stands for a missing account
 
     class Velocity(StatefulProcessor):
         def init(self, handle) -> None:
             self.handle = handle
-            self.seconds = handle.getMapState("seconds", "sec long", "n long, cents long, has long, waiting string")
+            self.seconds = handle.getMapState("seconds", "account string, sec long", "n long, cents long, has long, rows string")
+            self.done = handle.getValueState("done", "ms long")
 
         def handleInputRows(self, key, rows, timerValues):  # noqa: N802
-            new: dict[int, list] = {}
+            new: dict[tuple, list] = {}
             for x in rows:
                 cents = x["cents"].astype("object").where(x["cents"].notna(), None)
-                for own, sec, us, c, name, keep in zip(x["own"], x["sec"], x["us"], cents, x["transaction_id"], x["kept"]):
-                    at = new.setdefault(int(sec), [0, 0, 0, []])
+                for own, account, sec, us, c, name, kept in zip(x["own"], x["account_id"], x["sec"], x["us"], cents, x["transaction_id"], x["kept"]):
+                    at = new.setdefault((nobody if account is None else account, int(sec)), [0, 0, 0, []])
                     at[0] += 1
                     if c is not None:
                         at[1], at[2] = at[1] + int(c), at[2] + 1
                     if own:
-                        at[3].append([name, int(us), None if c is None else int(c), keep])
-            for sec, (n, c, has, waiting) in new.items():
-                old = self.seconds.getValue((sec,))
+                        at[3].append([name, int(us), None if c is None else int(c), kept])
+            known = self.seconds.exists()  # each call is a round trip to the state store
+            for at, (n, c, has, own) in new.items():
+                old = self.seconds.getValue(at) if known else None
                 if old is not None:
-                    n, c, has, waiting = n + old[0], c + old[1], has + old[2], json.loads(old[3]) + waiting
-                self.seconds.updateValue((sec,), (n, c, has, json.dumps(waiting)))
-            due = [sec + 1 for sec, x in new.items() if x[3]] + [(int(key[1]) + 1) * cell_s]
-            self.handle.registerTimer(min(due) * 1000)
+                    n, c, has, own = n + old[0], c + old[1], has + old[2], json.loads(old[3]) + own
+                self.seconds.updateValue(at, (n, c, has, json.dumps(own)))
+            self.handle.registerTimer(min(sec + 1 if x[3] else sec + 1 + win for (_, sec), x in new.items()) * 1000)
             return iter(())
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802
-            now, end = timerValues.getCurrentWatermarkInMs(), (int(key[1]) + 1) * cell_s * 1000
-            held = sorted((k[0], v) for k, v in self.seconds.iterator())
-            ready = [(sec, v) for sec, v in held if v[3] != "[]" and (sec + 1) * 1000 <= now]
-            out = self._emit(key, held, ready) if ready else []
-            if now >= end:
+            now = timerValues.getCurrentWatermarkInMs()
+            last = self.done.get()
+            if last is not None and last[0] == now:  # another timer of the same batch
+                return iter(())
+            held = sorted((k, v) for k, v in self.seconds.iterator())
+            out = self._emit(held, last[0] if last is not None else 0, now)
+            due, passed = [], []
+            for at, v in held:
+                gone = (at[1] + 1 + win) * 1000  # no second that is still to come reaches back to this one
+                if gone <= now:
+                    passed.append(at)
+                else:
+                    due.append((at[1] + 1) * 1000 if v[3] != "[]" and (at[1] + 1) * 1000 > now else gone)
+            if due:
+                for at in passed:
+                    self.seconds.removeKey(at)
+                self.done.update((now,))
+                self.handle.registerTimer(min(due))
+            else:
                 self.seconds.clear()
-                return iter(out)
-            for sec, (n, c, has, _) in ready:
-                self.seconds.updateValue((sec,), (n, c, has, "[]"))
-            due = [(sec + 1) * 1000 for sec, v in held if v[3] != "[]" and (sec + 1) * 1000 > now]
-            self.handle.registerTimer(min([*due, end]))
+                self.done.clear()
             return iter(out)
 
-        def _emit(self, key, held, ready):
-            secs = np.array([s for s, _ in held], np.int64)
-            sums = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum([v[:3] for _, v in held], axis=0, dtype=np.int64)])
-            rows = []
-            for sec, v in ready:
-                lo, hi = np.searchsorted(secs, sec - win), np.searchsorted(secs, sec, side="right")
-                n, c, has = (int(x) for x in sums[hi] - sums[lo])
+        def _emit(self, held, last, now):
+            sums = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(np.array([v[:3] for _, v in held], np.int64).reshape(-1, 3), axis=0)])
+            rows, lo = [], 0
+            for at, ((account, sec), v) in enumerate(held):
+                while held[lo][0][0] != account or held[lo][0][1] < sec - win:
+                    lo += 1
+                if v[3] == "[]" or not last < (sec + 1) * 1000 <= now:
+                    continue
+                n, c, has = (int(x) for x in sums[at + 1] - sums[lo])
                 total = Decimal(c).scaleb(-2) if has else None
-                for name, us, cents, keep in json.loads(v[3]):
-                    rows.append((name, key[0], epoch + pd.Timedelta(sec * 1_000_000 + us, unit="us"), None if cents is None else Decimal(cents).scaleb(-2),
-                                 n, total, n >= min_count or (has > 0 and c >= min_cents), keep))
-            return [pd.DataFrame(rows, columns=["transaction_id", "account_id", "transaction_ts", "amount", "txn_count_5min", "txn_sum_5min", "velocity_flag", "kept"])]
+                for name, us, cents, kept in json.loads(v[3]):
+                    rows.append((name, None if account == nobody else account, epoch + pd.Timedelta(sec * 1_000_000 + us, unit="us"),
+                                 None if cents is None else Decimal(cents).scaleb(-2), n, total, n >= min_count or (has > 0 and c >= min_cents), kept))
+            columns = ["transaction_id", "account_id", "transaction_ts", "amount", "txn_count_5min", "txn_sum_5min", "velocity_flag", "kept"]
+            return [pd.DataFrame(rows, columns=columns)] if rows else []
 
         def close(self) -> None:
             pass
@@ -290,24 +304,29 @@ def velocity_processor(win: int, min_count: int, min_cents: int, cell_s: int):
     return Velocity()
 
 
+VELOCITY_CELL_S = 6 * 3600
+VELOCITY_BUCKETS = 256
+
+
 def velocity_stream(events: DataFrame, params: RiskParams = RiskParams(), delay: str = "30 minutes",
-                    ts: str = "transaction_ts", keep: Sequence[str] = (), cell_s: int | None = None) -> DataFrame:
+                    ts: str = "transaction_ts", keep: Sequence[str] = (), cell_s: int = VELOCITY_CELL_S,
+                    buckets: int = VELOCITY_BUCKETS) -> DataFrame:
     """Exact trailing-window velocity on a stream (equals W2/W3 on replay).
 
-    The state is keyed by (account, cell): time is cut into cells of ``cell_s``
-    seconds, and a row within one window of the next cell's start also counts
-    there, as in the batch form, so that a hot account spreads over tasks.  A
-    row is emitted once the watermark passes the end of its second, so no later
-    in-watermark row can change it.  State is bounded by the seconds of the
-    cells that the watermark has not passed; a batch writes only the seconds it
-    touches.  ``keep`` columns ride along with each row (as JSON in the state)
+    The state is keyed by (bucket of accounts, cell): time is cut into cells of
+    ``cell_s`` seconds, and a row within one window of the next cell's start also
+    counts there, as in the batch form, so that a hot account spreads over
+    tasks by time; accounts are dealt to ``buckets`` by a hash, since a state key
+    of its own for each account and hour costs more than its few rows.  A row
+    is emitted once the watermark passes the end of its second, so no later
+    in-watermark row can change it.  State is bounded by the watermark delay and
+    the window; a batch writes only the seconds it touches.  ``keep`` columns ride
+    along with each row (as JSON in the state)
     and come back typed.  State with timers needs the RocksDB store, which is
     set for the session here.
     """
-    from ledgerline.operators.velocity import default_cell
-
     events.sparkSession.conf.set(STATE_STORE, ROCKSDB)
-    win, width = int(params.velocity_window_s), int(cell_s or default_cell(params.velocity_window_s))
+    win, width = int(params.velocity_window_s), int(cell_s)
     if width < win:
         raise ValueError("cell width must be at least the window length")
     keep = [c for c in keep if c not in ("account_id", "transaction_id", "transaction_ts", "amount",
@@ -329,8 +348,9 @@ def velocity_stream(events: DataFrame, params: RiskParams = RiskParams(), delay:
     e = e.select("*", F.inline(F.when(near_next, F.array(mine, context)).otherwise(F.array(mine))))
     # a context copy needs no payload
     e = e.withColumn("kept", F.when(F.col("own"), F.col("kept")))
-    processor = velocity_processor(win, int(params.velocity_count), int(params.velocity_amount) * 100, width)
-    out = e.groupBy("account_id", "cell").transformWithStateInPandas(
+    e = e.withColumn("bucket", F.pmod(F.xxhash64("account_id"), F.lit(buckets)))
+    processor = velocity_processor(win, int(params.velocity_count), int(params.velocity_amount) * 100)
+    out = e.groupBy("bucket", "cell").transformWithStateInPandas(
         processor, VELOCITY_OUT + ", kept string", "Append", "EventTime")
     if not keep:
         return out.drop("kept")

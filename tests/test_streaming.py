@@ -241,11 +241,10 @@ def test_velocity_cells_split_a_hot_account(spark, tmp_path):
     q.awaitTermination()
     got = spark.table("vel_hot").filter(F.col("account_id") != "acct_flush")
     assert rows(got) == rows(velocity_signals(t).select(*got.columns))
-    # states of passed cells are gone; each batch wrote the seconds it touched, not the account's history
+    # seconds that no later window reaches are gone; each batch wrote the seconds it touched, not the account's history
     states = [op for p in q.recentProgress for op in p.get("stateOperators", [])]
     assert states and states[-1]["numRowsTotal"] <= 10
-    written = max(op["numRowsUpdated"] for op in states)
-    assert written <= 2 * t.count()
+    assert sum(op["numRowsUpdated"] for op in states) <= 8 * t.count()
 
 
 def test_state_function_needs_no_package_import():
@@ -255,7 +254,7 @@ def test_state_function_needs_no_package_import():
     from pyspark import cloudpickle
     from ledgerline.params import RiskParams
     p = RiskParams()
-    blob = cloudpickle.dumps(jobs.velocity_processor(p.velocity_window_s, p.velocity_count, p.velocity_amount * 100, 3600))
+    blob = cloudpickle.dumps(jobs.velocity_processor(p.velocity_window_s, p.velocity_count, p.velocity_amount * 100))
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     code = ("import pickle, sys; f = pickle.loads(sys.stdin.buffer.read()); "
             "import importlib.util; assert importlib.util.find_spec('ledgerline') is None; print(callable(f.handleInputRows))")

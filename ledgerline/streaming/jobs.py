@@ -90,16 +90,21 @@ def route_batch(out_path: str, failed_at: dt.datetime | None = None, late_after_
             mark = read_mark(spark, out_path, batch_id - 1)
             if mark is not None:
                 late = F.col("transaction_ts") < ts_literal(mark - dt.timedelta(seconds=late_after_s))
-        out = routed(batch, late).withColumn(
-            "failed_at", F.when(F.col("route") == "dead", stamp))
+        # rows that come routed already cost no planning of the routing in each batch
+        out = batch if "route" in batch.columns else routed(batch, late)
+        out = out.withColumn("failed_at", F.when(F.col("route") == "dead", stamp))
         seen, started = Observation("batch"), time.monotonic()
         reason = F.col("reason")
-        out = out.observe(
-            seen, F.count(F.lit(1)).alias("events"), F.count_if(reason.isNull()).alias("valid"),
-            *[F.count_if(F.coalesce(reason == r, F.lit(False))).alias(name) for name, r in REASON_COUNTS.items()],
-            F.count_if("redacted").alias("redacted"),
-            F.max(F.when(reason.isNull() | (reason == LATE_ARRIVAL), F.col("transaction_ts"))).alias("mark"))
+        counted = late_after_s is not None or metrics_path is not None
+        if counted:
+            out = out.observe(
+                seen, F.count(F.lit(1)).alias("events"), F.count_if(reason.isNull()).alias("valid"),
+                *[F.count_if(F.coalesce(reason == r, F.lit(False))).alias(name) for name, r in REASON_COUNTS.items()],
+                F.count_if("redacted").alias("redacted"),
+                F.max(F.when(reason.isNull() | (reason == LATE_ARRIVAL), F.col("transaction_ts"))).alias("mark"))
         out.write.mode("overwrite").partitionBy("route").parquet(f"{out_path}/batch_id={batch_id}")
+        if not counted:
+            return
         counts = dict(seen.get)
         latest = counts.pop("mark")
         if late_after_s is not None:
@@ -152,7 +157,9 @@ def start_event_stream(spark: SparkSession, src_dir: str, out_path: str,
         F.count_if(~complete & ~F.col("decode_error")).alias("schema_failed"),
         F.count_if(was_redacted(F.col("card_number"))).alias("redacted"))
     ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/streams/events"
-    w = (observed.writeStream.foreachBatch(route_batch(out_path, failed_at, late_after_s, metrics_path))
+    # without a mark the routing is the same for every batch: it is planned with the stream
+    rows = routed(observed) if late_after_s is None else observed
+    w = (rows.writeStream.foreachBatch(route_batch(out_path, failed_at, late_after_s, metrics_path))
          .option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
     return w.start()

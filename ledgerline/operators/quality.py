@@ -51,14 +51,14 @@ def dq_gate(gold: DataFrame, rec: DataFrame, day: dt.date,
             params: DqParams = DqParams()) -> DataFrame:
     """One decision row for ``day``: metrics plus one boolean per threshold.
 
-    ``rec`` is the reconciliation (one row per key with its ``discrepancy_type``
-    and day); only the keys of ``day`` count.  All metrics come from a single aggregation over
-    a tagged union of the two inputs.
+    ``rec`` is the reconciliation of the run (one row per key with its
+    ``discrepancy_type``); all of its keys count, whatever their day.  All
+    metrics come from a single aggregation over a tagged union of the two inputs.
     """
     g = gold.filter(F.col("txn_date") == F.lit(day)).select(
         F.lit("g").alias("_src"), F.col("transaction_id").isNull().alias("_null_id"),
         F.lit(False).alias("_match"))
-    r = rec.filter(F.col("txn_date") == F.lit(day)).select(F.lit("r").alias("_src"), F.lit(False).alias("_null_id"),
+    r = rec.select(F.lit("r").alias("_src"), F.lit(False).alias("_null_id"),
                    (F.col("discrepancy_type") == "MATCH").alias("_match"))
     src = F.col("_src")
     m = g.unionByName(r).agg(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import round_ratio
 from ledgerline.functions.timefn import epoch_seconds
-from ledgerline.operators.velocity import LIMB, attach, cents, per_second, square_limbs, trailing_by_events
+from ledgerline.operators.velocity import LIMB, attach, cell_of, cents, per_second, square_limbs, trailing_by_events
 from ledgerline.params import RiskParams
 
 
@@ -76,20 +76,20 @@ def spread_stats(df: DataFrame, cell_s: int = CELL_S) -> DataFrame:
     (_a, _c, n_amt, s_amt, s_sq), for joins on (account, hour).
 
     Such a join deals a hot account's rows to as many tasks as it has hours.
-    The hours come with the partial sums, from one scan of the rows.
+    The sums are combined by account on the map side, where the hours are only
+    listed: sums by hour would be about as many rows as the table.
     """
-    hourly = _moment_sums(df.filter(F.col("account_id").isNotNull()), F.col("account_id").alias("_a"), stats_cell(df, cell_s).alias("_c"))
-    whole = hourly.groupBy(F.col("_a").alias("_b")).agg(
-        F.sum("n_amt").alias("n_amt"), F.sum("s_amt").cast("decimal(28,2)").alias("s_amt"), F.sum("_hi").cast("decimal(30,0)").alias("_hi"),
-        F.sum("_lo").cast("decimal(30,0)").alias("_lo"))
-    return hourly.select("_a", "_c").join(whole, F.col("_a") == F.col("_b")).select("_a", "_c", "n_amt", "s_amt", _squares())
+    known = df.filter(F.col("account_id").isNotNull())
+    hours = known.select(F.col("account_id").alias("_a"), stats_cell(df, cell_s).alias("_c")).distinct()
+    whole = _moment_sums(known, F.col("account_id").alias("_b"))
+    return hours.join(whole, F.col("_a") == F.col("_b")).select("_a", "_c", "n_amt", "s_amt", _squares())
 
 
 def stats_cell(df: DataFrame, cell_s: int = CELL_S) -> Column:
-    """The hour of a row; rows of a table without event times share one."""
+    """The hour of a row; rows without event times share one."""
     if "transaction_ts" not in df.columns:
         return F.lit(0).cast("long")
-    return F.floor(epoch_seconds("transaction_ts") / F.lit(cell_s)).cast("long")
+    return cell_of(epoch_seconds("transaction_ts"), cell_s)
 
 
 def stats_columns(df: DataFrame) -> DataFrame:
@@ -111,7 +111,7 @@ def amount_outliers(df: DataFrame, params: RiskParams = RiskParams()) -> DataFra
     """
     st = spread_stats(df)
     rows = df.withColumn("_cell", stats_cell(df))
-    out = rows.join(st, (F.col("account_id") == F.col("_a")) & F.col("_cell").eqNullSafe(F.col("_c")), "left").drop("_a", "_c", "_cell")
+    out = rows.join(st, (F.col("account_id") == F.col("_a")) & (F.col("_cell") == F.col("_c")), "left").drop("_a", "_c", "_cell")
     out = out.withColumn("amount_outlier_flag", outlier_test(
         F.col("amount"), F.coalesce(F.col("n_amt"), F.lit(0)), F.col("s_amt"), F.col("s_sq"), params.zscore))
     return stats_columns(out).drop("n_amt", "s_amt", "s_sq")

@@ -15,7 +15,7 @@ from ledgerline.operators import ingest, quality, scoring
 from ledgerline.operators import kpis as _kpis
 from ledgerline.operators.incremental import upsert as _upsert
 from ledgerline.plans import marts, serving
-from ledgerline.operators.velocity import SEC, attach, per_second, trailing, velocity_columns, velocity_signals
+from ledgerline.operators.velocity import CELL, default_cell, trailing_rows, velocity_columns, velocity_signals
 from ledgerline.params import RiskParams
 from ledgerline.sinks.writers import drop_stale, replace_days
 from ledgerline.sinks.writers import write_partitioned as _write
@@ -34,17 +34,14 @@ def score_transactions(df: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame,
                        params: RiskParams = RiskParams()) -> DataFrame:
     """Velocity, enrichment, outlier and score for event rows in one pass.
 
-    Per-account work runs on partial (map-side combined) aggregates: the
-    rolling window on the per-second pre-aggregate (cell-partitioned) and
-    the account statistics.  The two small results are joined on (account,
-    hour), and the rows themselves are shuffled once, for the join on (account,
-    second); the dimensions are broadcast after a size check.
+    The rows are shuffled once, by (account, cell): the rolling window runs there
+    and the account statistics, spread over the same cells, join without a
+    further shuffle of rows.  The dimensions are broadcast after a size check.
     """
-    tr = trailing(per_second(df), params.velocity_window_s, ["n_id", "s_amt"])
-    acct = scoring.spread_stats(df).withColumnsRenamed({"n_amt": "a_n", "s_amt": "a_s", "s_sq": "a_sq"})
-    hour = F.floor(F.col(SEC) / F.lit(scoring.CELL_S)).cast("long")
-    stats = tr.join(acct, (F.col("account_id") == F.col("_a")) & hour.eqNullSafe(F.col("_c")), "left").drop("_a", "_c")
-    rows = velocity_columns(attach(df, stats), params)
+    cell_s = default_cell(params.velocity_window_s)
+    acct = scoring.spread_stats(df, cell_s).withColumnsRenamed({"n_amt": "a_n", "s_amt": "a_s", "s_sq": "a_sq"})
+    rows = velocity_columns(trailing_rows(df, params.velocity_window_s, cell_s=cell_s), params)
+    rows = rows.join(acct, (F.col("account_id") == F.col("_a")) & (F.col(CELL) == F.col("_c")), "left").drop("_a", "_c", CELL)
     rows = rows.withColumn("amount_outlier_flag", scoring.outlier_test(
         F.col("amount"), F.coalesce(F.col("a_n"), F.lit(0)), F.col("a_s"), F.col("a_sq"), params.zscore))
     rows = rows.drop("a_n", "a_s", "a_sq")

@@ -140,23 +140,41 @@ def q_hourly(spark, sf_dir):
 _STORED: dict[tuple, str] = {}
 
 
-def stored(spark, sf_dir) -> str:
-    """Folder of stored Gold, alerts, discrepancies and marts, written once a session by the jobs' own steps.
-
-    The reports below read the marts; no events are scored for them.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        root, rows = scratch_path(spark, "serving"), gold(spark, sf_dir)
-        writers.write_partitioned(rows, f"{root}/gold", ["txn_date", "region"], mode="overwrite")
-        days = sorted(r[0] for r in scans.scan_partitioned(spark, f"{root}/gold", rows.schema).select("txn_date").distinct().collect() if r[0])
-        medallion.publish_days(spark, rows.schema, f"{root}/gold", f"{root}/kpis", f"{root}/alerts", RUN_TS, days, f"{root}/marts")
-        medallion.run_reconcile(spark, fx.txn(spark, sf_dir), fx.batch(spark, sf_dir), f"{root}/discrepancies", RUN_TS, f"{root}/marts")
-        _STORED[key] = root
-    return _STORED[key]
+def _once(step):
+    """Run a step that writes a folder once a session and table directory; returns the folder."""
+    @functools.wraps(step)
+    def run(spark, sf_dir) -> str:
+        key = (step.__name__, spark.sparkContext.applicationId, sf_dir)
+        if key not in _STORED:
+            root = scratch_path(spark, step.__name__.replace("_", "-"))
+            step(spark, sf_dir, root)
+            _STORED[key] = root
+        return _STORED[key]
+    return run
+
+
+@_once
+def stored_gold(spark, sf_dir, root):
+    """Gold as the job writes it."""
+    writers.write_partitioned(gold(spark, sf_dir), f"{root}/gold", ["txn_date", "region"], mode="overwrite")
+
+
+@_once
+def stored_reports(spark, sf_dir, root):
+    """KPIs, alerts and the marts of stored Gold; the reports read the marts, no events are scored for them."""
+    path, schema = f"{stored_gold(spark, sf_dir)}/gold", gold(spark, sf_dir).schema
+    days = sorted(r[0] for r in scans.scan_partitioned(spark, path, schema).select("txn_date").distinct().collect() if r[0])
+    medallion.publish_days(spark, schema, path, f"{root}/kpis", f"{root}/alerts", RUN_TS, days, f"{root}/marts")
+
+
+@_once
+def stored_discrepancies(spark, sf_dir, root):
+    """Discrepancies and their mart: reconciliation asks for no Gold."""
+    medallion.run_reconcile(spark, fx.txn(spark, sf_dir), fx.batch(spark, sf_dir), f"{root}/discrepancies", RUN_TS, f"{root}/marts")
 
 
 def mart(spark, sf_dir, name):
+    stored = stored_discrepancies if name == "discrepant" else stored_reports
     return stored_marts.read(spark, f"{stored(spark, sf_dir)}/marts", name)
 
 
@@ -552,7 +570,7 @@ def q_stream_dedup(spark, sf_dir):
 
 @query("stream_windowed_kpis")
 def q_stream_windows(spark, sf_dir):
-    rows = scans.scan_partitioned(spark, f"{stored(spark, sf_dir)}/gold", gold(spark, sf_dir).schema)
+    rows = scans.scan_partitioned(spark, f"{stored_gold(spark, sf_dir)}/gold", gold(spark, sf_dir).schema)
     out = replayed(spark, by_thirds(rows, "txn_date"), file_stream(spark, rows.schema, stream_jobs.windowed_kpis))
     return spark.read.parquet(out)
 

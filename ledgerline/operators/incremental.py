@@ -96,19 +96,21 @@ class Prepared:
 
 def prepare_upsert(spark: SparkSession, target_path: str, updates: DataFrame,
                    partition_col: str, keys: Sequence[str] = ("transaction_id",),
-                   order_col: str = "updated_at", exists: bool = True) -> Prepared:
+                   order_col: str = "updated_at", exists: bool = True, unique: bool = False) -> Prepared:
     """First half of ``upsert``: everything but the change of the target.
 
     Touched are the partitions of the updates and those that hold one of the
     updated keys (a key may move); the key index beside the table
     (``sinks.key_index``) names them, so the rest of the table is neither read
-    nor joined.
+    nor joined.  ``unique`` says that the updates have one row a key already, so
+    that they need no shuffle by key to make them so.
     """
     rows, nulls = F.count(F.lit(1)).alias("rows"), F.count_if(~keyed(updates, keys)).alias("nulls")
     index = key_index.index_path(target_path)
     # the deduplicated updates are used by several jobs below: stored once in the shared folder
     stage, obs = scratch_path(spark, "upsert"), Observation("updates")
-    dedup_latest(updates.observe(obs, rows, nulls), keys, (order_col,)).write.parquet(stage)
+    seen = updates.observe(obs, rows, nulls)
+    (seen if unique else dedup_latest(seen, keys, (order_col,))).write.parquet(stage)
     if obs.get["nulls"]:
         drop_stage(spark, stage)
         raise NullKeyError(f"{obs.get['nulls']} of {obs.get['rows']} updates have no {' / '.join(keys)}")
@@ -150,7 +152,7 @@ def publish_upsert(spark: SparkSession, target_path: str, prepared: Prepared, sc
 
 def upsert(spark: SparkSession, target_path: str, updates: DataFrame,
            partition_col: str, keys: Sequence[str] = ("transaction_id",),
-           order_col: str = "updated_at", exists: bool = True) -> int:
+           order_col: str = "updated_at", exists: bool = True, unique: bool = False) -> int:
     """I4 with storage: rewrite only partitions the updates touch.
 
     Updates without a key are refused before anything is changed.  Returns the
@@ -158,7 +160,7 @@ def upsert(spark: SparkSession, target_path: str, updates: DataFrame,
     job that must survive a crash while publishing keeps the ``Prepared`` in a
     ledger (``plans.incremental_job``).
     """
-    prepared = prepare_upsert(spark, target_path, updates, partition_col, keys, order_col, exists)
+    prepared = prepare_upsert(spark, target_path, updates, partition_col, keys, order_col, exists, unique)
     n = publish_upsert(spark, target_path, prepared, updates.schema, partition_col)
     drop_stage(spark, prepared.path)
     return n

@@ -15,7 +15,7 @@ from ledgerline.operators import ingest, quality, scoring
 from ledgerline.operators import kpis as _kpis
 from ledgerline.operators.incremental import upsert as _upsert
 from ledgerline.plans import marts, serving
-from ledgerline.operators.velocity import CELL, default_cell, trailing_rows, velocity_columns, velocity_signals
+from ledgerline.operators.velocity import CELL, LONG_WINDOW_S, default_cell, trailing_rows, velocity_columns, velocity_signals
 from ledgerline.params import RiskParams
 from ledgerline.sinks.writers import drop_stale, replace_days
 from ledgerline.sinks.writers import write_partitioned as _write
@@ -27,7 +27,10 @@ def silver(bronze: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame,
     clean, rejected = quality.split_clean(bronze)
     deduped = quality.dedup_latest(clean)
     enriched = en.enrich(deduped, dim_mcc, dim_geo, params)
-    return velocity_signals(enriched, params), rejected
+    if params.velocity_window_s > LONG_WINDOW_S:
+        return velocity_signals(enriched, params), rejected
+    rows = trailing_rows(enriched, params.velocity_window_s)
+    return velocity_columns(rows.drop(CELL), params), rejected
 
 
 def score_transactions(df: DataFrame, dim_mcc: DataFrame, dim_geo: DataFrame,
@@ -104,7 +107,8 @@ def run_silver(spark: SparkSession, bronze_df: DataFrame, dim_mcc: DataFrame, di
     counted = flagged.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejected"))
     _write(counted.filter(bad), silver_path.rstrip("/") + "_rejected", ["batch_id"], mode="overwrite", cluster=False)
     silver_df, _ = silver(bronze_df, dim_mcc, dim_geo, params)
-    n = _upsert(spark, silver_path, silver_df, "ingest_date", order_col="ingest_ts", exists=exists)
+    # Silver keeps the latest version of each id: the upsert need not look for it again
+    n = _upsert(spark, silver_path, silver_df, "ingest_date", order_col="ingest_ts", exists=exists, unique=True)
     got = seen.get
     return {"silver_rows_published": n, "rejected": got["rejected"], "accepted": got["rows"] - got["rejected"]}
 

@@ -455,7 +455,7 @@ def q_inc_ledger(spark, sf_dir):
     job, _ = incremental_job(spark, sf_dir)
     ledger = incremental_job_plan.read_ledger(spark, job)
     return ledger.where(F.col("step").isin(incremental_job_plan.STAGED, incremental_job_plan.COMMITTED)) \
-        .select("source_system", "run_no", "step", "mark", "rows", "recorded_at")
+        .select("source_system", F.col("run_no").cast("int").alias("run_no"), "step", "mark", "rows", "recorded_at")
 
 
 @query("compacted_table")
